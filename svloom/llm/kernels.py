@@ -108,8 +108,13 @@ def slices(text: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int,
         at = to
 
 
-def split_words(data: np.ndarray, offsets: np.ndarray) -> Words:
-    word = ~_SPACE[data]
+#: True for the ASCII bytes that are no letters or digits.
+NOT_ALNUM = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+
+
+def split_words(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _SPACE) -> Words:
+    """between: a table of the 256 bytes, true for those that separate words."""
+    word = ~between[data]
     before = np.zeros(len(data) + 1, dtype=bool)
     before[1:] = word
     before[offsets] = False
@@ -121,9 +126,9 @@ def split_words(data: np.ndarray, offsets: np.ndarray) -> Words:
     return Words(data, offsets, starts, ends, np.searchsorted(starts, offsets))
 
 
-def words_in(text: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, Words]]:
+def words_in(text: pa.Array, limit: int = SLICE_BYTES, between: np.ndarray = _SPACE) -> Iterator[tuple[int, int, Words]]:
     for at, to, data, offsets in slices(text, limit):
-        yield at, to, split_words(data, offsets)
+        yield at, to, split_words(data, offsets, between)
 
 
 def per_row(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
