@@ -3,7 +3,7 @@
 Words are lower-cased runs of letters and digits. One pass over the documents looks up each
 3-gram among those of the benchmark items and gathers, where two of an item stand on about
 the same diagonal, the words of that passage. Document frequencies of the grams, counted
-over the whole corpus, then tell each item's seeds: its rarer half, whatever the corpus'
+over the whole corpus, then tell each item's seeds: its rarer half and what ties with it, whatever the corpus'
 size, so that a passage that half of the documents leak still has seeds. Passages with two
 seeds are aligned with the item word by word; the score (match 2, mismatch and gap -1) over
 the score of a whole copy is 1 for an exact copy and falls with each edit.
@@ -19,10 +19,12 @@ ignored.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -123,6 +125,22 @@ def alignment(words: pa.Array, item: pa.Array) -> pa.Array:
     return pa.array([align(np.array(a), np.array(b)) for a, b in zip(words.to_pylist(), item.to_pylist(), strict=True)], pa.float64())
 
 
+def gatherer(held: Broadcast) -> Callable:
+    """The column function that gathers each text's known grams and passages."""
+
+    @arrow_column(_FOUND)
+    def gather(text: pa.Array) -> pa.Array:
+        out = []
+        for _, _, w in _tokens(text):
+            hashes, row = w.hashes(), w.row_of_word()
+            grams, at = windows(hashes, row, GRAM)
+            seen, found = held.value.passages(w, hashes, row, grams, at)
+            out.append(pa.StructArray.from_arrays([pa.array(seen, pa.list_(pa.int64())), pa.array(found, pa.list_(_PASSAGE))], fields=list(_FOUND)))
+        return join_lists(out, _FOUND)
+
+    return gather
+
+
 def leaks(docs: DataFrame, items: DataFrame, min_score: float = 0.5, min_seeds: int = 2, block_grams: int = 1_000_000) -> DataFrame:
     """`doc_id, text` and `item_id, text` to doc_id, item_id, score, start_word: one row per leaked item of a document."""
     spark = docs.sparkSession
@@ -134,19 +152,10 @@ def leaks(docs: DataFrame, items: DataFrame, min_score: float = 0.5, min_seeds:
         mine = known.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block)
         held = spark.sparkContext.broadcast(Lookup(mine.collect()))
 
-        def gather(text: pa.Array, held=held) -> pa.Array:
-            out = []
-            for _, _, w in _tokens(text):
-                hashes, row = w.hashes(), w.row_of_word()
-                grams, at = windows(hashes, row, GRAM)
-                seen, found = held.value.passages(w, hashes, row, grams, at)
-                out.append(pa.StructArray.from_arrays([pa.array(seen, pa.list_(pa.int64())), pa.array(found, pa.list_(_PASSAGE))], fields=list(_FOUND)))
-            return join_lists(out, _FOUND)
-
-        read = settled(docs.select("doc_id", arrow_column(_FOUND)(gather)("text").alias("f")).where(F.size("f.grams") > 0).select("doc_id", "f.*"))
+        read = settled(docs.select("doc_id", gatherer(held)("text").alias("f")).where(F.size("f.grams") > 0).select("doc_id", "f.*"))
         df = read.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("n_docs"))
         item_gram = mine.select("item_id", F.explode(F.array_distinct("grams")).alias("gram"))
-        rank = F.percent_rank().over(W.partitionBy("item_id").orderBy(F.coalesce("n_docs", F.lit(0)), "gram"))
+        rank = F.percent_rank().over(W.partitionBy("item_id").orderBy(F.coalesce("n_docs", F.lit(0))))
         seeds = item_gram.join(df, "gram", "left").withColumn("rank", rank).where("rank <= 0.5").groupBy("item_id").agg(F.collect_list("gram").alias("seeds"))
         asked = mine.select("item_id", F.col("words").alias("item")).join(seeds, "item_id")
         passages = read.select("doc_id", F.explode("passages").alias("p")).select("doc_id", "p.*").join(asked, "item_id")
