@@ -1,0 +1 @@
+"""The registered queries, by subject."""
