@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import settled, table
 
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 SPAM_TERMS = ("spam", "pills", "casino", "viagra", "xxx", "porn", "warez", "malware", "phish")
@@ -81,7 +81,7 @@ def _strength(groups: DataFrame) -> float:
 
 def host_reputation(pages: DataFrame, z: float = 1.28, limit: float = 0.25) -> DataFrame:
     """`host, outcome` rows to `host, bad_share, bad_bound, bad_host`: one row per host."""
-    hosts = pages.groupBy("host").agg(F.count("outcome").alias("n"), F.coalesce(F.sum("outcome"), F.lit(0)).alias("bad")).withColumns({"domain": domain_of(F.col("host")), "suffix": suffix_of(F.col("host"))})
+    hosts = settled(pages.groupBy("host").agg(F.count("outcome").alias("n"), F.coalesce(F.sum("outcome"), F.lit(0)).alias("bad"))).withColumns({"domain": domain_of(F.col("host")), "suffix": suffix_of(F.col("host"))})
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     all_ = suffixes.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
