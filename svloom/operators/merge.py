@@ -207,7 +207,7 @@ def reciprocal_chains(df: DataFrame, keys: Sequence[str], ratio: float = C.OVERL
     """
     marked = islands(df, keys, ["start_pos", "end_pos", "call_id"], F.col("start_pos"), F.col("end_pos"))
     grouped = marked.groupBy(*keys, "island").agg(F.array_sort(F.collect_list(F.struct("start_pos", "end_pos", "call_id"))).alias("rows"))
-    empty = F.array().cast("array<struct<start_pos:bigint,end_pos:bigint,ids:array<bigint>>>")
+    empty = F.array().cast(f"array<struct<start_pos:bigint,end_pos:bigint,ids:array<{dict(df.dtypes)['call_id']}>>>")
 
     def add(chains: Column, x: Column) -> Column:
         last = F.element_at(chains, -1)
