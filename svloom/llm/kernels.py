@@ -13,6 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_type
 
@@ -157,3 +158,16 @@ def signed(x: np.ndarray) -> pa.Array:
 def arrow_column(kind: pa.DataType) -> Callable:
     """Decorates a function of Arrow arrays to become a function of columns that gives `kind`."""
     return lambda f: F.arrow_udf(f, from_arrow_type(kind))
+
+
+@arrow_column(pa.binary())
+def squeezed(text: pa.Array) -> pa.Array:
+    """Each text compressed, for the one shuffle that texts make."""
+    press = zstandard.ZstdCompressor(level=1)
+    return pa.array([press.compress((t or "").encode()) for t in text.to_pylist()], pa.binary())
+
+
+@arrow_column(pa.string())
+def unsqueezed(body: pa.Array) -> pa.Array:
+    press = zstandard.ZstdDecompressor()
+    return pa.array([press.decompress(b).decode() for b in body.to_pylist()], pa.string())
