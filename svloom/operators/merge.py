@@ -18,8 +18,14 @@ from ..session import settled
 from .filters import caller_rank, is_precise_source, is_translocation, methods_of
 from .intervals import islands
 
-LOW = F.col("start_pos") - F.col("wiggle")
-HIGH = F.col("end_pos") + F.col("wiggle")
+
+
+def low() -> Column:
+    return F.col("start_pos") - F.col("wiggle")
+
+
+def high() -> Column:
+    return F.col("end_pos") + F.col("wiggle")
 
 
 def merge_intra(calls: DataFrame, keys: Sequence[str] = ("sv_type", "source", "chrom")) -> DataFrame:
@@ -30,9 +36,9 @@ def merge_intra(calls: DataFrame, keys: Sequence[str] = ("sv_type", "source", "c
     pair up, are left out; see `pair_translocations`.
     """
     rows = calls.where(~is_translocation())
-    marked = islands(rows, keys, ["start_pos", "end_pos", "call_id"], LOW, HIGH)
+    marked = islands(rows, keys, ["start_pos", "end_pos", "call_id"], low(), high())
     leaf = F.struct("start_pos", "end_pos", "call_id", "sv_len", "wiggle", "source")
-    merged = marked.groupBy(*keys, "island").agg(F.min(LOW).alias("low"), F.max(HIGH).alias("high"), F.max("sv_len").alias("sv_len"), F.count("*").alias("n_calls"), F.array_sort(F.collect_list(leaf)).alias("leaves"))
+    merged = marked.groupBy(*keys, "island").agg(F.min(low()).alias("low"), F.max(high()).alias("high"), F.max("sv_len").alias("sv_len"), F.count("*").alias("n_calls"), F.array_sort(F.collect_list(leaf)).alias("leaves"))
     first, single = F.element_at("leaves", 1), F.col("n_calls") == 1
     return merged.select(
         first["call_id"].alias("l1_id"),
@@ -49,19 +55,19 @@ def merge_intra(calls: DataFrame, keys: Sequence[str] = ("sv_type", "source", "c
 def _round(rows: DataFrame, ratio: float) -> DataFrame:
     """One round of `merge_inter`: rows with component, island, its bounds, and whether it fits its island."""
     keys = ["sv_type", "chrom", "path"]
-    rows = islands(rows, keys, [LOW, "start_pos", "end_pos", "id"], LOW, HIGH, touching=True, name="component")
+    rows = islands(rows, keys, [low(), "start_pos", "end_pos", "id"], low(), high(), touching=True, name="component")
     inner = [*keys, "component"]
     order = ["start_pos", "end_pos", "id"]
-    rows = islands(rows, inner, order, LOW, HIGH, name="part")
+    rows = islands(rows, inner, order, low(), high(), name="part")
     # Touching intervals without wiggle also merge: the next island begins where the last one, merged, ended.
-    parts = rows.groupBy(*inner, "part").agg(F.max(HIGH).alias("reach"), F.count("*").alias("size"), F.min_by(F.struct("start_pos", "end_pos", "wiggle"), F.struct(*order)).alias("first"))
+    parts = rows.groupBy(*inner, "part").agg(F.max(high()).alias("reach"), F.count("*").alias("size"), F.min_by(F.struct("start_pos", "end_pos", "wiggle"), F.struct(*order)).alias("first"))
     w = W.partitionBy(*inner).orderBy("part")
     touches = (F.col("first.wiggle") == 0) & (F.col("first.start_pos") == F.lag("reach").over(w)) & (F.col("first.end_pos") > F.col("first.start_pos")) & ((F.lag("size").over(w) > 1) | (F.lag("first.wiggle").over(w) == 0))
     parts = parts.withColumn("joins", F.coalesce(touches, F.lit(False))).withColumn("island", F.sum(F.when(F.col("joins"), 0).otherwise(1)).over(w.rowsBetween(W.unboundedPreceding, 0)))
     rows = rows.join(parts.select(*inner, "part", "island"), [*inner, "part"]).drop("part")
     isle = W.partitionBy(*inner, "island")
-    rows = rows.withColumns({"low": F.min(LOW).over(isle), "high": F.max(HIGH).over(isle), "size": F.count("*").over(isle)})
-    own = HIGH - LOW
+    rows = rows.withColumns({"low": F.min(low()).over(isle), "high": F.max(high()).over(isle), "size": F.count("*").over(isle)})
+    own = high() - low()
     alone = F.col("size") == 1
     fits = (own >= 1) & (alone | (own >= ratio * (F.col("high") - F.col("low"))))
     whole = W.partitionBy(*inner)
@@ -98,7 +104,7 @@ def level2(level1: DataFrame, links: DataFrame) -> DataFrame:
     """
     rows = level1.join(links, "l1_id")
     item = F.struct("start_pos", "end_pos", "l1_id", "wiggle", "sv_len", "source", "n_calls", "leaves")
-    merged = rows.groupBy("l2_id", "sv_type", "chrom").agg(F.array_sort(F.collect_list(item)).alias("items"), F.min(LOW).alias("low"), F.max(HIGH).alias("high"), F.max("sv_len").alias("sv_len"), F.array_sort(F.collect_set("source")).alias("sources"))
+    merged = rows.groupBy("l2_id", "sv_type", "chrom").agg(F.array_sort(F.collect_list(item)).alias("items"), F.min(low()).alias("low"), F.max(high()).alias("high"), F.max("sv_len").alias("sv_len"), F.array_sort(F.collect_set("source")).alias("sources"))
     first = F.element_at("items", 1)
     leaf = lambda x: F.struct(x["start_pos"].alias("start"), x["end_pos"].alias("end"), x["wiggle"].cast("int").alias("wiggle"), x["sv_len"].alias("len"), x["source"].alias("source"))
     own = F.transform(first["leaves"], leaf)
@@ -124,8 +130,8 @@ def level2(level1: DataFrame, links: DataFrame) -> DataFrame:
 def precise_islands(members: DataFrame) -> DataFrame:
     """The merge of each call's precise members: `l2_id, start_pos, end_pos` of each island, wiggle included, and its size."""
     precise = members.where(is_precise_source(F.col("source")))
-    marked = islands(precise, ["l2_id"], ["start_pos", "end_pos", "source"], LOW, HIGH)
-    return marked.groupBy("l2_id", "island").agg(F.min(LOW).alias("low"), F.max(HIGH).alias("high"), F.count("*").alias("size"))
+    marked = islands(precise, ["l2_id"], ["start_pos", "end_pos", "source"], low(), high())
+    return marked.groupBy("l2_id", "island").agg(F.min(low()).alias("low"), F.max(high()).alias("high"), F.count("*").alias("size"))
 
 
 def member_rows(calls: DataFrame) -> DataFrame:
@@ -134,10 +140,10 @@ def member_rows(calls: DataFrame) -> DataFrame:
     )
 
 
-def _good(low: Column, high: Column, ratio: float) -> Column:
-    """A member, with wiggle, overlaps [low, high) reciprocally."""
-    common = F.least(HIGH, high) - F.greatest(LOW, low)
-    return (common >= 1) & (common >= ratio * F.greatest(HIGH - LOW, high - low))
+def _good(begin: Column, end: Column, ratio: float) -> Column:
+    """A member, with wiggle, overlaps [begin, end) reciprocally."""
+    common = F.least(high(), end) - F.greatest(low(), begin)
+    return (common >= 1) & (common >= ratio * F.greatest(high() - low(), end - begin))
 
 
 def validate_calls(calls: DataFrame, ratio: float = C.OVERLAP_RATIO) -> DataFrame:
@@ -190,7 +196,7 @@ def pair_translocations(calls: DataFrame) -> DataFrame:
     place = F.row_number().over(W.partitionBy(*keys, "_run").orderBy("start_pos", "end_pos", "call_id")) - 1
     rows = rows.withColumn("_pair", F.floor(place / 2))
     merged = F.count("*") > 1
-    return rows.groupBy(*keys, "_run", "_pair").agg(F.min("call_id").alias("l1_id"), F.when(merged, F.min(LOW)).otherwise(F.min("start_pos")).alias("start_pos"), F.when(merged, F.max(HIGH)).otherwise(F.max("end_pos")).alias("end_pos"), F.count("*").alias("n_calls")).drop("_run", "_pair")
+    return rows.groupBy(*keys, "_run", "_pair").agg(F.min("call_id").alias("l1_id"), F.when(merged, F.min(low())).otherwise(F.min("start_pos")).alias("start_pos"), F.when(merged, F.max(high())).otherwise(F.max("end_pos")).alias("end_pos"), F.count("*").alias("n_calls")).drop("_run", "_pair")
 
 
 def merge_by_distance(df: DataFrame, keys: Sequence[str], id_: str, overlap: int, touching: bool = True) -> DataFrame:

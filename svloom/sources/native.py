@@ -111,7 +111,7 @@ def cnvnator(lines: DataFrame) -> DataFrame:
     place = lambda i: F.regexp_extract(_at(f, 1), r"^(.*):(\d+)-(\d+)$", i)
     rows = lines.withColumn("_f", _fields(F.col("value"))).where(F.size("_f") >= 9)
     named = [(n, _at(f, i, "double").alias(n)) for n, i in (("rd", 3), ("e1", 4), ("e2", 5), ("e3", 6), ("e4", 7), ("q0", 8))]
-    out = rows.select(*[c for c in lines.columns if c != "value"], F.when(f[0] == "deletion", "DEL").when(f[0] == "duplication", "DUP").alias("sv_type"), place(1).alias("chrom"), place(2).cast("bigint").alias("start_pos"), place(3).cast("bigint").alias("end_pos"), *[c for _, c in named])
+    out = rows.select(*[c for c in lines.columns if c != "value"], F.when(f[0] == "deletion", "DEL").when(f[0] == "duplication", "DUP").alias("sv_type"), place(1).alias("chrom"), place(2).try_cast("bigint").alias("start_pos"), place(3).try_cast("bigint").alias("end_pos"), *[c for _, c in named])
     return out.withColumn("sv_len", F.col("end_pos") - F.col("start_pos"))
 
 
@@ -167,7 +167,7 @@ def vcf_calls(records: DataFrame, source: Column, least: int = 50, most: int = 1
     ins = F.col("sv_type") == "INS"
     start = F.col("pos") + F.when((F.col("source") == "Pindel") & ins, 1).otherwise(0)
     precise = F.col("source").isin("Pindel", "BreakSeq", "HaplotypeCaller", "SoftClip")
-    return rows.withColumns({"start_pos": start, "end_pos": info["END"].cast("bigint"), "wiggle": F.when(ins & precise, F.greatest(F.lit(ins_wiggle), F.lit(wiggle))).otherwise(wiggle)})
+    return rows.withColumns({"start_pos": start, "end_pos": info["END"].try_cast("bigint"), "wiggle": F.when(ins & precise, F.greatest(F.lit(ins_wiggle), F.lit(wiggle))).otherwise(wiggle)})
 
 
 def vcf_small(records: DataFrame, least: int = 50, wiggle: int = 100, ins_wiggle: int = 100) -> DataFrame:
@@ -176,7 +176,7 @@ def vcf_small(records: DataFrame, least: int = 50, wiggle: int = 100, ins_wiggle
     kept = records.where(F.col("filter").isin("PASS", ".") & (F.size(F.split("alt", ",")) == 1) & ~F.col("alt").startswith("<") & (F.greatest(n_ref, n_alt) >= least) & (n_ref != n_alt))
     dele = n_ref > n_alt
     start = F.when(dele, F.col("pos")).otherwise(F.col("pos") + 1)
-    return kept.withColumns({"sv_type": F.when(dele, "DEL").otherwise("INS"), "start_pos": start, "end_pos": F.when(dele, F.col("pos") + n_ref - 1).otherwise(start), "sv_len": F.abs(n_ref - n_alt).cast("bigint"), "wiggle": F.lit(max(wiggle, ins_wiggle)), "source": F.lit("HaplotypeCaller")})
+    return kept.withColumns({"sv_type": F.when(dele, "DEL").otherwise("INS"), "start_pos": start, "end_pos": F.when(dele, F.col("pos") + n_ref - 1).otherwise(start), "sv_len": F.abs(n_ref - n_alt).try_cast("bigint"), "wiggle": F.lit(max(wiggle, ins_wiggle)), "source": F.lit("HaplotypeCaller")})
 
 
 # Contigs, assembled contigs, packed names
@@ -185,7 +185,7 @@ def vcf_small(records: DataFrame, least: int = 50, wiggle: int = 100, ins_wiggle
 def contigs(lines: DataFrame) -> DataFrame:
     """An index of a reference: name up to a blank, and length."""
     f = F.split("value", "\t")
-    return lines.select(F.substring_index(f[0], " ", 1).alias("chrom"), f[1].cast("bigint").alias("length"))
+    return lines.select(F.substring_index(f[0], " ", 1).alias("chrom"), f[1].try_cast("bigint").alias("length"))
 
 
 CONTIG_HEADER = r"^>?(\w[\w.]*)_(\d+)_(\d+)_([A-Z]+)_NODE_(\d+)_length_(\d+)_cov_([0-9.]+)"
@@ -206,7 +206,7 @@ def packed_name(name: Column) -> Column:
     """`base64(json),type,length,methods` to a struct."""
     f = F.split(name, ",")
     info = F.from_json(F.unbase64(f[0]).cast("string"), "map<string,string>")
-    return F.struct(info.alias("info"), f[1].alias("sv_type"), f[2].cast("bigint").alias("sv_len"), F.split(f[3], ";").alias("methods"))
+    return F.struct(info.alias("info"), f[1].alias("sv_type"), f[2].try_cast("bigint").alias("sv_len"), F.split(f[3], ";").alias("methods"))
 
 
 def pack_name(info: Column, sv_type: Column, sv_len: Column, methods: Column) -> Column:
