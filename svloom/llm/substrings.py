@@ -6,12 +6,13 @@ share a phrase, and only phrases that stand in two documents need a closer look:
 
 1. every document gives its phrases and a hash of the block of windows that each stands for;
 2. phrases of two or more documents recur (a grouped count; a hot phrase is summed before it
-   is shuffled). If a phrase's blocks are all equal, its first document decides for the block;
+   is shuffled). A block that an earlier document has as well goes as a whole, so of many
+   copies only the first with a block need look at its windows;
 3. documents with recurring phrases are streamed through Aho-Corasick automata of them. An
    automaton holds the phrases of a bounded slice of the documents that a task reads, with
    one symbol per word, so automata stay small however many phrases recur; each place found
    is confirmed by 64-bit hashes;
-4. where blocks differ, the windows themselves are counted by (phrase, window), a key of
+4. where a phrase's blocks differ, the windows themselves are counted by (phrase, window), a key of
    128 bits, and each document learns which of its windows an earlier one has.
 
 Cases: a null or empty text, or one of under 50 words, loses nothing; a null doc_id neither
@@ -22,6 +23,7 @@ other; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
@@ -30,8 +32,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import settled, table
-from .kernels import _BASE, _INVERSE, Words, arrow_column, join_lists, lists, mix, powers, signed, slices, words_in
+from .common import WORD, settled, table
+from .kernels import _BASE, _INVERSE, Words, arrow_column, join_lists, lists, mix, powers, signed, slices, squeezed, unsqueezed, words_in
 
 WINDOW = 50
 PHRASE = 10
@@ -119,51 +121,77 @@ def _places(p: Passages, w: Words, chosen: np.ndarray) -> np.ndarray:
 
 
 @arrow_column(_LOCATED)
-def locate(text: pa.Array, recurring: pa.Array) -> pa.Array:
+def locate(body: pa.Array, recurring: pa.Array) -> pa.Array:
     """Spans of words that an earlier document has for certain, and windows that need counting.
 
-    recurring: list<struct<phrase, same>> of the row; same: all blocks of the phrase are
-    equal and this document isn't the first.
+    body: compressed texts. recurring: list<struct<phrase, block, same>> of the row, as
+    `recurring_blocks` gives it.
     """
-    out = []
-    for at, to, w in words_in(text):
-        p = Passages(w)
-        mine = recurring.slice(at, to - at)
-        flat = mine.flatten()
-        owner = np.repeat(np.arange(w.rows), np.diff(mine.offsets.to_numpy()))
-        known = {(r, h): s for r, h, s in zip(owner.tolist(), flat.field("phrase").to_pylist(), flat.field("same").to_pylist(), strict=True)}
-        keys = list(zip(p.row[p.place].tolist(), p.phrase[p.place].view(np.int64).tolist(), strict=True))
-        listed = np.array([i for i, k in enumerate(keys) if k in known], dtype=np.int64)
-        hit = _places(p, w, listed) if len(listed) else listed
-        hit = np.array([i for i in hit.tolist() if keys[i] in known], dtype=np.int64)
-        same = np.array([known[keys[i]] for i in hit.tolist()], dtype=bool)
-        first = w.first[p.row[p.place]]
-        a = hit[same]
-        spans = pa.StructArray.from_arrays([pa.array((p.low - first)[a], pa.int32()), pa.array((p.high - first)[a] + WINDOW, pa.int32())], fields=list(_SPAN))
-        b = hit[~same]
-        sizes = (p.high - p.low + 1)[b]
-        of = np.repeat(b, sizes)
-        start = p.low[of] + np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        windows = pa.StructArray.from_arrays([signed(p.phrase[p.place[of]]), signed(p.span(start, WINDOW)), pa.array(start - first[of], pa.int32())], fields=list(_WINDOWS))
-        row = p.row[p.place]
-        out.append(pa.StructArray.from_arrays([lists(spans, np.bincount(row[a], minlength=w.rows)), lists(windows, np.bincount(row[of], minlength=w.rows))], fields=list(_LOCATED)))
+    out = [_locate(w, recurring.slice(first + at, to - at)) for first, _, text in unsqueezed(body) for at, to, w in words_in(text)]
     return join_lists(out, _LOCATED)
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """`doc_id, text` to `doc_id, text_key, spans`: the words (start, end) that windows of earlier documents cover."""
-    keyed = docs.where("doc_id is not null").select("doc_id", F.xxhash64("text").alias("text_key"), "text")
-    read = settled(keyed.select("doc_id", "text_key", phrases_of("text").alias("p")))
-    seen = read.select("doc_id", "text_key", F.explode("p").alias("p")).select("doc_id", "text_key", "p.phrase", "p.block")
-    recurring = seen.groupBy("phrase").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), (F.min("block") == F.max("block")).alias("same")).where("first < last").drop("last")
-    per_doc = seen.select("doc_id", "text_key", "phrase").join(recurring, "phrase").where("not same or doc_id > first")
-    per_doc = per_doc.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("phrase", "same")).alias("recurring"))
-    located = settled(keyed.join(per_doc, ["doc_id", "text_key"]).select("doc_id", "text_key", locate("text", "recurring").alias("l")).select("doc_id", "text_key", "l.*"))
-    windows = located.select("doc_id", "text_key", F.explode("windows").alias("w")).select("doc_id", "text_key", "w.*")
+def _locate(w: Words, mine: pa.Array) -> pa.Array:
+    p = Passages(w)
+    flat = mine.flatten()
+    owner = np.repeat(np.arange(w.rows), np.diff(mine.offsets.to_numpy()))
+    fields = [flat.field(x).to_pylist() for x in ("phrase", "block", "same")]
+    known = {(r, h, b): s for r, h, b, s in zip(owner.tolist(), *fields, strict=True)}
+    keys = list(zip(p.row[p.place].tolist(), p.phrase[p.place].view(np.int64).tolist(), p.blocks().view(np.int64).tolist(), strict=True))
+    listed = np.array([i for i, k in enumerate(keys) if k in known], dtype=np.int64)
+    hit = _places(p, w, listed) if len(listed) else listed
+    hit = np.array([i for i in hit.tolist() if keys[i] in known], dtype=np.int64)
+    same = np.array([known[keys[i]] for i in hit.tolist()], dtype=bool)
+    row = p.row[p.place]
+    first = w.first[row]
+    a = hit[same]
+    spans = pa.StructArray.from_arrays([pa.array((p.low - first)[a], pa.int32()), pa.array((p.high - first)[a] + WINDOW, pa.int32())], fields=list(_SPAN))
+    b = hit[~same]
+    sizes = (p.high - p.low + 1)[b]
+    of = np.repeat(b, sizes)
+    start = p.low[of] + np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    windows = pa.StructArray.from_arrays([signed(p.phrase[p.place[of]]), signed(p.span(start, WINDOW)), pa.array(start - first[of], pa.int32())], fields=list(_WINDOWS))
+    return pa.StructArray.from_arrays([lists(spans, np.bincount(row[a], minlength=w.rows)), lists(windows, np.bincount(row[of], minlength=w.rows))], fields=list(_LOCATED))
+
+
+def with_key(docs: DataFrame) -> DataFrame:
+    """Documents that take part, with a key of their text beside the doc_id."""
+    return docs.where("doc_id is not null").withColumn("text_key", F.xxhash64("text"))
+
+
+KEY = ["doc_id", "text_key"]
+
+
+def recurring_blocks(seen: DataFrame) -> DataFrame:
+    """`doc_id, phrase, block` of all phrases to `doc_id, recurring`: what each document must look at.
+
+    recurring is a list of (phrase, block, same). A block that an earlier document has as
+    well is `same`: all its windows go. Otherwise the document is the first with this block,
+    and asks for its windows one by one if the phrase stands in other blocks too.
+    """
+    phrases = seen.groupBy("phrase").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), (F.min("block") == F.max("block")).alias("only"))
+    again = settled(seen.join(phrases.where("first < last").select("phrase", "only"), "phrase").select("doc_id", "phrase", "block", "only"))
+    blocks = again.groupBy("phrase", "block").agg(F.min("doc_id").alias("first"))
+    marked = again.join(blocks, ["phrase", "block"]).withColumn("same", F.col("doc_id") > F.col("first")).where("same or not only")
+    return marked.groupBy("doc_id").agg(F.collect_set(F.struct("phrase", "block", "same")).alias("recurring"))
+
+
+def located_repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """`doc_id, text` to (documents with recurring phrases: key, body, spans, windows; spans of all: key, spans).
+
+    body is the compressed text. Both are settled or cheap to read twice. Texts are shuffled
+    once, compressed, to meet their recurring phrases.
+    """
+    keyed = with_key(docs.select("doc_id", "text"))
+    seen = settled(keyed.select("doc_id", phrases_of("text").alias("p"))).select("doc_id", F.explode("p").alias("p")).select("doc_id", "p.phrase", "p.block")
+    bodies = keyed.select(*KEY, squeezed("text").alias("body"))
+    met = bodies.join(recurring_blocks(seen), "doc_id").select(*KEY, "body", locate("body", "recurring").alias("l"))
+    located = settled(met.select(*KEY, "body", "l.*").where("size(spans) > 0 or size(windows) > 0"))
+    windows = located.select(*KEY, F.explode("windows").alias("w")).select(*KEY, "w.*")
     first = windows.groupBy("phrase", "window").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").drop("last")
-    later = windows.join(first, ["phrase", "window"]).where("doc_id > first").select("doc_id", "text_key", "start", (F.col("start") + WINDOW).alias("end"))
-    spans = located.select("doc_id", "text_key", F.explode("spans").alias("s")).select("doc_id", "text_key", "s.*")
-    return spans.unionByName(later).groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    later = windows.join(first, ["phrase", "window"]).where("doc_id > first").select(*KEY, "start", (F.col("start") + WINDOW).alias("end"))
+    spans = located.select(*KEY, F.explode("spans").alias("s")).select(*KEY, "s.*")
+    return located, spans.unionByName(later).groupBy(*KEY).agg(F.collect_set(F.struct("start", "end")).alias("cut"))
 
 
 _KEPT = pa.struct([("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string())])
@@ -181,25 +209,32 @@ def _kept_words(body: bytes, spans: list[tuple[int, int]]) -> tuple[int, list[by
     return len(words), kept + words[at:]
 
 
-def _each(text: pa.Array, spans: pa.Array):
+def _each(text: pa.Array, spans: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
     """(words in all, kept words) of each row."""
     flat = spans.flatten()
-    start, end, ends = flat.field("start").to_numpy(), flat.field("end").to_numpy(), np.cumsum([0, *(x or 0 for x in _lengths(spans))])
+    start, end = flat.field("start").to_numpy(), flat.field("end").to_numpy()
+    ends = np.cumsum([0, *(n or 0 for n in pc.list_value_length(spans).to_pylist())])
     for at, to, data, offsets in slices(text):
         for i in range(to - at):
             a, b = ends[at + i], ends[at + i + 1]
             yield _kept_words(data[offsets[i] : offsets[i + 1]].tobytes(), list(zip(start[a:b].tolist(), end[a:b].tolist(), strict=True)))
 
 
-def _lengths(spans: pa.Array) -> list:
-    return pc.list_value_length(spans).to_pylist()
+def _digest(rows: Iterator[tuple[int, list[bytes]]]) -> pa.Array:
+    found = [(n, n - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()) for n, kept in rows]
+    cols = list(zip(*found, strict=True)) or [[], [], []]
+    return pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _KEPT, strict=True)], fields=list(_KEPT))
 
 
 @arrow_column(_KEPT)
-def kept_digest(text: pa.Array, spans: pa.Array) -> pa.Array:
-    rows = [(n, n - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()) for n, kept in _each(text, spans)]
-    cols = list(zip(*rows, strict=True)) or [[], [], []]
-    return pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _KEPT, strict=True)], fields=list(_KEPT))
+def whole_digest(text: pa.Array) -> pa.Array:
+    return _digest(_kept_words(data[offsets[i] : offsets[i + 1]].tobytes(), []) for at, to, data, offsets in slices(text) for i in range(to - at))
+
+
+@arrow_column(_KEPT)
+def kept_digest(body: pa.Array, spans: pa.Array) -> pa.Array:
+    """Of compressed texts without the words of the spans."""
+    return _digest(x for at, to, text in unsqueezed(body) for x in _each(text, spans.slice(at, to - at)))
 
 
 @arrow_column(pa.string())
@@ -207,17 +242,31 @@ def kept_text(text: pa.Array, spans: pa.Array) -> pa.Array:
     return pa.array([b" ".join(kept).decode() for _, kept in _each(text, spans)], pa.string())
 
 
-def with_spans(docs: DataFrame) -> DataFrame:
-    """`docs` with `spans`, the words to take out, or null."""
-    spans = repeated_spans(docs.select("doc_id", "text"))
-    return docs.withColumn("text_key", F.xxhash64("text")).join(spans, ["doc_id", "text_key"], "left").drop("text_key")
-
-
 def drop_repeated(docs: DataFrame) -> DataFrame:
     """`docs` with the text of kept words, joined by spaces where any were taken out."""
-    return with_spans(docs).withColumn("text", F.when(F.col("spans").isNotNull(), kept_text("text", "spans")).otherwise(F.col("text"))).drop("spans")
+    _, cuts = located_repeats(docs)
+    out = docs.withColumn("text_key", F.xxhash64("text")).join(cuts, KEY, "left")
+    return out.withColumn("text", F.when(F.col("cut").isNotNull(), kept_text("text", "cut")).otherwise(F.col("text"))).drop("text_key", "cut")
+
+
+def digests(docs: DataFrame) -> DataFrame:
+    """`doc_id, text` to doc_id, n_words, n_removed, kept_sha256. Only texts that lose words are looked at twice."""
+    whole = docs.select("doc_id", F.xxhash64("text").alias("text_key"), whole_digest("text").alias("whole"))
+    located, cuts = located_repeats(docs)
+    cut = located.select(*KEY, "body").dropDuplicates(KEY).join(cuts, KEY).select(*KEY, kept_digest("body", "cut").alias("less"))
+    return whole.join(cut, KEY, "left").select("doc_id", F.coalesce("less", "whole").alias("k")).select("doc_id", "k.*")
 
 
 def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = with_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return docs.select("doc_id", kept_digest("text", "spans").alias("k")).select("doc_id", "k.*")
+    return digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+OP9_SQL = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS ws FROM documents),
+win AS (SELECT doc_id, i, md5(array_to_string(ws[i : i + 49], ' ')) AS h FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM d)),
+first AS (SELECT h, min(doc_id) AS f FROM win GROUP BY h),
+cut AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS pos FROM win JOIN first USING (h) WHERE doc_id > f),
+w AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM d),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY pos) AS body FROM w WHERE NOT EXISTS (SELECT 1 FROM cut WHERE cut.doc_id = w.doc_id AND cut.pos = w.pos) GROUP BY doc_id)
+SELECT d.doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(body, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)
+"""
