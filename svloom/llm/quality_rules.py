@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import settled, table
+from .common import WORD, settled, table
 from .kernels import _BASE, _INVERSE, Words, arrow_column, join_lists, lists, mix, per_row, powers, signed, windows, words_in
 
 _SYMBOL = np.zeros(256, dtype=bool)
@@ -136,3 +136,21 @@ def quality_rules(docs: DataFrame, min_words: int = 10, max_repeat_percent: int
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_id"), F.col("source").alias("host"), "text")
     return quality_rules(docs).select(F.col("row_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "frequent_words")
+
+
+OP10_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{WORD}') AS ws FROM documents),
+g AS (SELECT doc_id, i, array_to_string(ws[i : i + 4], ' ') AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM d)),
+rep AS (SELECT doc_id, count(DISTINCT pos) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS pos FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS c FROM g) WHERE c > 1) GROUP BY doc_id),
+raw AS (SELECT doc_id, host, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS nr FROM d),
+l AS (SELECT doc_id, host, line, nr, regexp_extract_all(lower(line), '{WORD}') AS lw FROM raw),
+lines AS (SELECT doc_id, host, line, nr, array_to_string(lw, ' ') AS norm, len(lw) AS words FROM l WHERE len(lw) > 0),
+dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n, string_agg(norm, chr(10) ORDER BY nr) AS content FROM lines GROUP BY doc_id),
+hosts AS (SELECT host, count(DISTINCT coalesce(content, '')) AS host_docs FROM d LEFT JOIN dup USING (doc_id) GROUP BY host),
+freq AS (SELECT host, norm, count(DISTINCT content) AS n_docs FROM lines JOIN dup USING (doc_id) GROUP BY host, norm),
+lost AS (SELECT doc_id, CAST(sum(words) AS BIGINT) AS n FROM lines JOIN freq USING (host, norm) JOIN hosts USING (host) WHERE n_docs > 20 AND n_docs > 0.2 * host_docs GROUP BY doc_id),
+s AS (SELECT d.doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars, length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(dup.n, 0) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words, coalesce(lost.n, 0) AS frequent_words
+  FROM d LEFT JOIN dup USING (doc_id) LEFT JOIN rep USING (doc_id) LEFT JOIN lost USING (doc_id)),
+b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM s)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND n_words - frequent_words >= 0.3 * n_words AS kept, frequent_words FROM b
+"""

@@ -19,4 +19,6 @@ QUERIES = {
 
 SQL = {
     "op5_format_chats": chat.OP5_SQL,
+    "op9_substrings": substrings.OP9_SQL,
+    "op10_quality_rules": quality_rules.OP10_SQL,
 }
