@@ -18,6 +18,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op3_filter_urls": url_filter.OP3_SQL,
     "op5_format_chats": chat.OP5_SQL,
     "op9_substrings": substrings.OP9_SQL,
     "op10_quality_rules": quality_rules.OP10_SQL,

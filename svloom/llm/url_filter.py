@@ -26,6 +26,8 @@ from .common import settled, table
 
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 SPAM_TERMS = ("spam", "pills", "casino", "viagra", "xxx", "porn", "warez", "malware", "phish")
+#: What is not visible text of a page.
+VISIBLE = r"(?s)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->|<[^>]*>"
 #: Second labels that belong to the suffix where a country code follows.
 SECOND_LABELS = ("co", "com", "org", "net", "ac", "gov", "edu")
 
@@ -62,7 +64,7 @@ def domain_of(host: Column) -> Column:
 
 def page_outcome(host: Column, html: Column, max_junk: float = 0.04) -> Column:
     """1 bad, 0 good, null not labelled."""
-    text = F.regexp_replace(html, r"(?s)<(script|style)\b.*?</\1>|<!--.*?-->|<[^>]*>", "")
+    text = F.regexp_replace(html, VISIBLE, "")
     junk = F.length(text) - F.length(F.regexp_replace(text, r"[#*$%|!]", ""))
     return F.when(host.rlike("|".join(SPAM_TERMS)), 1).when(F.length(text) >= 20, (junk > max_junk * F.length(text)).cast("int"))
 
@@ -108,8 +110,45 @@ def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> D
     reputation = host_reputation(seen.select("host", page_outcome(host, F.col("html")).alias("outcome")))
     judged = seen.select("page_id", "host", "path").join(reputation, "host")
     method = F.when(F.col("bad_host"), "block").otherwise("allow")
-    return judged.select("page_id", "host", "path", rule_for(host, path, rules, lambda _, r: F.lit(r)).alias("rule"), F.coalesce(rule_for(host, path, rules, lambda v, _: F.lit(v)), method).alias("verdict"), "bad_share", "bad_bound")
+    return judged.select("page_id", "host", "path", rule_for(host, path, rules, lambda _, r: F.lit(r)).alias("rule"), F.coalesce(rule_for(host, path, rules, lambda v, _: F.lit(v)), method).alias("verdict"), F.round("bad_share", 6).alias("bad_share"), F.round("bad_bound", 6).alias("bad_bound"))
 
 
 def op3_filter_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+def _rules_sql(what: str) -> str:
+    """The longest fitting rule's verdict or text as a CASE."""
+    cases = []
+    for verdict, rule in sorted(RULES, key=lambda r: -len(r[1])):
+        name, _, rest = rule.partition("/")
+        cases.append(f"WHEN (host = '{name}' OR ends_with(host, '.{name}')) AND starts_with(path, '/{rest}') THEN '{verdict if what == 'verdict' else rule}'")
+    return "CASE " + " ".join(cases) + " END"
+
+
+def _level_sql(name: str, groups: str, parent: str) -> str:
+    """`groups` (n, bad, and `parent`) with the posterior's a and b."""
+    p = f"greatest(0.001, least(0.999, {parent}))"
+    return f"""{name}_m AS (SELECT sum(n * pow(bad / n - {p}, 2) / ({p} * (1 - {p}))) AS s, count(*) AS g, sum(n) AS n, sum(n * n) AS nn FROM {groups} WHERE n > 0),
+{name}_r AS (SELECT CASE WHEN g = 0 THEN 0.5 ELSE least(0.99, greatest(0.01, CASE WHEN n - nn / n - (g - 1) > 0 THEN (s - (g - 1)) / (n - nn / n - (g - 1)) ELSE 0.5 END)) END AS rho FROM {name}_m),
+{name} AS MATERIALIZED (SELECT x.*, (1 - rho) / rho * {parent} + bad AS a, (1 - rho) / rho * (1 - {parent}) + n - bad AS b FROM {groups} x, {name}_r)"""
+
+
+OP3_SQL = f"""
+WITH q AS (SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}') AS host,
+  coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path, regexp_replace(html, '{VISIBLE}', '', 'g') AS text FROM pages),
+o AS (SELECT host, CASE WHEN regexp_matches(host, '{"|".join(SPAM_TERMS)}') THEN 1 WHEN length(text) >= 20 THEN CAST(length(text) - length(regexp_replace(text, '[#*$%|!]', '', 'g')) > 0.04 * length(text) AS INTEGER) END AS bad FROM q),
+h0 AS (SELECT host, string_split(host, '.') AS l, count(bad) AS n, coalesce(sum(bad), 0) AS bad FROM o GROUP BY host),
+h1 AS (SELECT *, len(l) > 2 AND length(l[-1]) = 2 AND l[-2] IN ('co', 'com', 'org', 'net', 'ac', 'gov', 'edu') AS two FROM h0),
+h AS MATERIALIZED (SELECT host, n, bad, array_to_string(CASE WHEN two THEN l[-3:] ELSE l[-2:] END, '.') AS domain, array_to_string(CASE WHEN two THEN l[-2:] ELSE l[-1:] END, '.') AS suffix FROM h1),
+d AS MATERIALIZED (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM h GROUP BY domain, suffix),
+s AS MATERIALIZED (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM d GROUP BY suffix),
+s1 AS MATERIALIZED (SELECT s.*, (SELECT (sum(bad) + 0.5) / (sum(n) + 1) FROM s) AS parent FROM s),
+{_level_sql("sx", "s1", "parent")},
+d1 AS MATERIALIZED (SELECT d.*, sx.a / (sx.a + sx.b) AS parent FROM d JOIN sx USING (suffix)),
+{_level_sql("dx", "d1", "parent")},
+g1 AS MATERIALIZED (SELECT h.*, dx.a / (dx.a + dx.b) AS parent FROM h JOIN dx USING (domain, suffix)),
+{_level_sql("hx", "g1", "parent")},
+r AS (SELECT host, a / (a + b) AS share, a / (a + b) - 1.28 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) AS bound FROM hx)
+SELECT page_id, host, path, {_rules_sql("rule")} AS rule, coalesce({_rules_sql("verdict")}, CASE WHEN bound > 0.25 THEN 'block' ELSE 'allow' END) AS verdict, round(share, 6) AS bad_share, round(bound, 6) AS bad_bound FROM q JOIN r USING (host)
+"""
