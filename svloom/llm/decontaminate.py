@@ -1,12 +1,12 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Words are lower-cased runs of letters and digits. One pass over the documents looks up each
-3-gram among those of the benchmark items and gathers, where two of an item stand on about
-the same diagonal, the words of that passage. Document frequencies of the grams, counted
-over the whole corpus, then tell each item's seeds: its rarer half and what ties with it, whatever the corpus'
-size, so that a passage that half of the documents leak still has seeds. Passages with two
-seeds are aligned with the item word by word; the score (match 2, mismatch and gap -1) over
-the score of a whole copy is 1 for an exact copy and falls with each edit.
+3-gram among those of the benchmark items. Where two of an item stand on about the same
+diagonal, the words of that passage are aligned with the item; no gram is too frequent to be
+a seed, since those that an edited copy keeps may be the item's commonest. The score (match 2,
+mismatch and gap -1) over the score of a whole copy is 1 for an exact copy and falls with each
+edit. A passage with too few of the item's words for the least score, however they are
+aligned, is not aligned.
 
 The items are the query set. Their grams reach the tasks by broadcast, in blocks of at most
 `block_grams`; a larger benchmark takes more passes.
@@ -26,7 +26,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import settled, table
@@ -53,20 +52,21 @@ def item_grams(text: pa.Array) -> pa.Array:
     return join_lists(out, _ITEM)
 
 
-_PASSAGE = pa.struct([("item_id", pa.int64()), ("start", pa.int32()), ("grams", pa.list_(pa.int64())), ("words", pa.list_(pa.int64()))])
-_FOUND = pa.struct([("grams", pa.list_(pa.int64())), ("passages", pa.list_(_PASSAGE))])
+_LEAKS = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int32()), ("score", pa.float64())]))
 
 
 class Lookup:
     """The grams of a block of items, sorted, with the items and places of each."""
 
-    def __init__(self, items: list):
+    def __init__(self, items: list, min_score: float, min_seeds: int):
         gram = np.array([g for r in items for g in r["grams"]], dtype=np.int64).view(np.uint64)
         order = np.argsort(gram, kind="stable")
         self.item = np.repeat(np.arange(len(items)), [len(r["grams"]) for r in items])[order]
         self.place = np.concatenate([np.arange(len(r["grams"])) for r in items] or [np.zeros(0, int)])[order]
         self.ids = np.array([r["item_id"] for r in items], dtype=np.int64)
-        self.sizes = np.array([len(r["words"]) for r in items], dtype=np.int64)
+        self.words = [np.array(r["words"], dtype=np.int64).view(np.uint64) for r in items]
+        self.seeds = [min(min_seeds, len(set(r["grams"]))) for r in items]
+        self.min_score = min_score
         self.grams, self.first, self.count = np.unique(gram[order], return_index=True, return_counts=True)
 
     def find(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -79,16 +79,12 @@ class Lookup:
         hit = np.flatnonzero(self.grams[at] == grams)
         return hit, at[hit]
 
-    def passages(self, w, hashes: np.ndarray, row: np.ndarray, grams: np.ndarray, at: np.ndarray) -> tuple[list, list]:
-        """For each row its different known grams, and its passages (item_id, start, grams, words)."""
+    def leaks(self, w, hashes: np.ndarray, row: np.ndarray, grams: np.ndarray, at: np.ndarray) -> list:
+        """For each row the passages (item_id, start, score) that reach the least score."""
         hit, known = self.find(grams)
-        seen = [[] for _ in range(w.rows)]
         found = [[] for _ in range(w.rows)]
         if not len(hit):
-            return seen, found
-        pairs = np.unique(np.column_stack((row[at[hit]], known)), axis=0)
-        for r in np.unique(pairs[:, 0]):
-            seen[r] = self.grams[pairs[pairs[:, 0] == r, 1]].view(np.int64).tolist()
+            return found
         n = self.count[known]
         of = np.repeat(np.arange(len(hit)), n)
         entry = np.repeat(self.first[known], n) + np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
@@ -97,12 +93,17 @@ class Lookup:
         r, item, diagonal, gram = r[order], item[order], diagonal[order], known[of][order]
         new = np.flatnonzero(np.append(True, (r[1:] != r[:-1]) | (item[1:] != item[:-1]) | (diagonal[1:] - diagonal[:-1] > SLACK)))
         for a, b in zip(new, np.append(new[1:], len(r)), strict=True):
-            mine = np.unique(gram[a:b])
-            if len(mine) >= min(2, self.sizes[item[a]] - GRAM + 1):
-                first, last = w.first[r[a]], w.first[r[a] + 1]
-                low, high = max(first, diagonal[a] - SLACK), min(last, diagonal[b - 1] + self.sizes[item[a]] + SLACK)
-                found[r[a]].append({"item_id": int(self.ids[item[a]]), "start": int(low - first), "grams": self.grams[mine].view(np.int64).tolist(), "words": hashes[low:high].view(np.int64).tolist()})
-        return seen, found
+            if len(np.unique(gram[a:b])) < self.seeds[item[a]]:
+                continue
+            words = self.words[item[a]]
+            first, last = w.first[r[a]], w.first[r[a] + 1]
+            low, high = max(first, diagonal[a] - SLACK), min(last, diagonal[b - 1] + len(words) + SLACK)
+            if np.isin(words, hashes[low:high]).mean() < self.min_score:
+                continue
+            score = align(hashes[low:high], words)
+            if score >= self.min_score:
+                found[r[a]].append({"item_id": int(self.ids[item[a]]), "start": int(low - first), "score": score})
+        return found
 
 
 def align(words: np.ndarray, item: np.ndarray) -> float:
@@ -120,25 +121,19 @@ def align(words: np.ndarray, item: np.ndarray) -> float:
     return best / (2 * len(item))
 
 
-@arrow_column(pa.float64())
-def alignment(words: pa.Array, item: pa.Array) -> pa.Array:
-    return pa.array([align(np.array(a), np.array(b)) for a, b in zip(words.to_pylist(), item.to_pylist(), strict=True)], pa.float64())
+def finder(held: Broadcast) -> Callable:
+    """The column function that finds each text's leaked passages."""
 
-
-def gatherer(held: Broadcast) -> Callable:
-    """The column function that gathers each text's known grams and passages."""
-
-    @arrow_column(_FOUND)
-    def gather(text: pa.Array) -> pa.Array:
+    @arrow_column(_LEAKS)
+    def find(text: pa.Array) -> pa.Array:
         out = []
         for _, _, w in _tokens(text):
             hashes, row = w.hashes(), w.row_of_word()
             grams, at = windows(hashes, row, GRAM)
-            seen, found = held.value.passages(w, hashes, row, grams, at)
-            out.append(pa.StructArray.from_arrays([pa.array(seen, pa.list_(pa.int64())), pa.array(found, pa.list_(_PASSAGE))], fields=list(_FOUND)))
-        return join_lists(out, _FOUND)
+            out.append(pa.array(held.value.leaks(w, hashes, row, grams, at), _LEAKS))
+        return join_lists(out, _LEAKS)
 
-    return gather
+    return find
 
 
 def leaks(docs: DataFrame, items: DataFrame, min_score: float = 0.5, min_seeds: int = 2, block_grams: int = 1_000_000) -> DataFrame:
@@ -150,18 +145,9 @@ def leaks(docs: DataFrame, items: DataFrame, min_score: float = 0.5, min_seeds:
     out = None
     for block in range(blocks):
         mine = known.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block)
-        held = spark.sparkContext.broadcast(Lookup(mine.collect()))
-
-        read = settled(docs.select("doc_id", gatherer(held)("text").alias("f")).where(F.size("f.grams") > 0).select("doc_id", "f.*"))
-        df = read.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("n_docs"))
-        item_gram = mine.select("item_id", F.explode(F.array_distinct("grams")).alias("gram"))
-        rank = F.percent_rank().over(W.partitionBy("item_id").orderBy(F.coalesce("n_docs", F.lit(0))))
-        seeds = item_gram.join(df, "gram", "left").withColumn("rank", rank).where("rank <= 0.5").groupBy("item_id").agg(F.collect_list("gram").alias("seeds"))
-        asked = mine.select("item_id", F.col("words").alias("item")).join(seeds, "item_id")
-        passages = read.select("doc_id", F.explode("passages").alias("p")).select("doc_id", "p.*").join(asked, "item_id")
-        enough = F.size(F.array_intersect("grams", "seeds")) >= F.least(F.lit(min_seeds), F.size("seeds"))
-        scored = passages.where(enough).withColumn("score", alignment("words", "item")).where(F.col("score") >= min_score)
-        part = scored.groupBy("doc_id", "item_id").agg(F.max(F.struct("score", (-F.col("start")).alias("back"))).alias("m")).select("doc_id", "item_id", F.round("m.score", 6).alias("score"), (-F.col("m.back")).alias("start_word"))
+        held = spark.sparkContext.broadcast(Lookup(mine.collect(), min_score, min_seeds))
+        found = docs.select("doc_id", F.explode(finder(held)("text")).alias("p")).select("doc_id", "p.*")
+        part = found.groupBy("doc_id", "item_id").agg(F.max(F.struct("score", (-F.col("start")).alias("back"))).alias("m")).select("doc_id", "item_id", F.round("m.score", 6).alias("score"), (-F.col("m.back")).alias("start_word"))
         out = part if out is None else out.unionByName(part)
     return out
 

@@ -154,6 +154,19 @@ def test_leaks(spark, tmp_path):
     assert {r["doc_id"] for r in clean.collect()} == set(range(len(texts))) - set(range(3, 15))
 
 
+def test_leaks_of_edited_copies(spark):
+    """Copies that keep under half of an item's grams are found, also where other documents leak it whole."""
+    rng = random.Random(12)
+    items = [sentence(rng, n) for n in (24, 40, 60)] + ["echo echo echo echo"]
+    replaced = lambda t, k: " ".join(sentence(rng, 1) + "q" if i % k == k - 1 else x for i, x in enumerate(t.split()))
+    texts = [sentence(rng, 30) + " " + replaced(t, k) + " " + sentence(rng, 30) for t in items[:3] for k in (4, 5, 6)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    want = {(i, i // 3) for i in range(9)}
+    find = lambda texts: {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(documents(spark, texts), bench).collect()}
+    assert find(texts) == want
+    assert find(texts + items) == want | {(9 + i, i) for i in range(4)}
+
+
 def test_leaks_in_blocks(spark, tmp_path):
     """A benchmark of more grams than a block takes more passes and finds the same."""
     rng = random.Random(8)
