@@ -12,6 +12,8 @@ rows; other columns are ignored.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -19,13 +21,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import WORD, settled, table
-from .kernels import _BASE, _INVERSE, Words, arrow_column, join_lists, lists, mix, per_row, powers, signed, windows, words_in
+from .kernels import _BASE, _INVERSE, Words, arrow_column, join_lists, lists, mix, per_row, powers, signed, squeezed, unsqueezed, windows, words_in
 
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
+_WORDS = re.compile(WORD)
+
 REPEAT_WINDOW = 5
 
 
@@ -85,39 +89,74 @@ def text_stats(text: pa.Array) -> pa.Array:
     return join_lists(out, _STATS)
 
 
-_LINES = pa.struct([("content", pa.int64()), ("lines", pa.list_(pa.struct([("line", pa.int64()), ("words", pa.int64())])))])
+_LINES = pa.struct([("content", pa.int64()), ("lines", pa.list_(pa.int64()))])
 
 
 @arrow_column(_LINES)
 def normalised_lines(text: pa.Array) -> pa.Array:
-    """The hash of a text's lower-cased words, and of each different line of it with the words it holds in all."""
+    """The hash of a text's lower-cased words, and of each different line of it."""
     out = []
     for _, _, w in words_in(pc.utf8_lower(text.cast(pa.large_string()))):
-        lines, row, counts = line_hashes(w, w.hashes(), raw=False)
+        lines, row, _ = line_hashes(w, w.hashes(), raw=False)
         content = np.zeros(w.rows, dtype=np.uint64)
         place = np.arange(len(lines), dtype=np.uint64) - np.searchsorted(row, row).astype(np.uint64)
         np.add.at(content, row, lines * (place * np.uint64(2) + np.uint64(1)))
         order = np.lexsort((lines, row))
-        lines, row, counts = lines[order], row[order], counts[order]
+        lines, row = lines[order], row[order]
         new = np.flatnonzero(np.concatenate((np.ones(min(1, len(lines)), bool), (lines[1:] != lines[:-1]) | (row[1:] != row[:-1]))))
-        words = np.add.reduceat(counts, new) if len(new) else counts
-        pairs = pa.StructArray.from_arrays([signed(lines[new]), pa.array(words, pa.int64())], ["line", "words"])
-        out.append(pa.StructArray.from_arrays([signed(content), lists(pairs, np.bincount(row[new], minlength=w.rows))], fields=list(_LINES)))
+        out.append(pa.StructArray.from_arrays([signed(content), lists(signed(lines[new]), np.bincount(row[new], minlength=w.rows))], fields=list(_LINES)))
     return join_lists(out, _LINES)
 
 
-def depletion(read: DataFrame, min_docs: int, max_share: float) -> DataFrame:
-    """`row_id, host, content, lines` to `row_id, content, frequent_words`, for the rows that have any.
+def frequent_lines(read: DataFrame, min_docs: int, max_share: float) -> DataFrame:
+    """`row_id, host, content, lines` to `row_id, host, content, frequent`, for the rows that have any.
 
     A line is frequent if more than min_docs and more than max_share of the host's distinct
-    documents have it. frequent_words are the row's words in such lines.
+    documents have it.
     """
-    lines = read.select("row_id", "host", "content", F.explode("lines").alias("l")).select("row_id", "host", "content", "l.line", "l.words")
+    lines = read.select("row_id", "host", "content", F.explode("lines").alias("line"))
     hosts = read.groupBy("host").agg(F.count_distinct("content").alias("host_docs"))
     found = lines.groupBy("host", "line", "content").agg(F.lit(1).alias("one")).groupBy("host", "line").agg(F.count("*").alias("n_docs")).where(F.col("n_docs") > min_docs)
     frequent = found.join(hosts, "host").where(F.col("n_docs") > max_share * F.col("host_docs")).select("host", "line")
-    hit = lines.join(frequent, ["host", "line"]).groupBy("row_id", "host", "content").agg(F.collect_set(F.struct("line", "words")).alias("hit"))
-    return hit.select("row_id", "host", "content", F.aggregate("hit", F.lit(0).cast("long"), lambda n, x: n + x["words"]).alias("frequent_words"))
+    return lines.join(frequent, ["host", "line"]).groupBy("row_id", "host", "content").agg(F.collect_set("line").alias("frequent"))
+
+
+_LEFT = pa.struct([("text", pa.string()), ("n_left", pa.int64())])
+
+
+@arrow_column(_LEFT)
+def text_left(body: pa.Array, frequent: pa.Array) -> pa.Array:
+    """Each compressed text without its frequent lines, and the number of words left."""
+    out = []
+    for first, last, text in unsqueezed(body):
+        at = first
+        for _, _, w in words_in(pc.utf8_lower(text)):
+            lines, row, counts = line_hashes(w, w.hashes(), raw=False)
+            edges = np.searchsorted(row, np.arange(w.rows + 1))
+            left, n_left = text.slice(at - first, w.rows).to_pylist(), w.counts()
+            for i, gone in enumerate(frequent.slice(at, w.rows).to_pylist()):
+                if gone:
+                    mine = slice(edges[i], edges[i + 1])
+                    stays = ~np.isin(lines[mine], np.array(gone, dtype=np.int64).view(np.uint64))
+                    n_left[i] = counts[mine][stays].sum()
+                    each = iter(stays)
+                    left[i] = "\n".join(x for x in left[i].split("\n") if not _WORDS.search(x) or next(each))
+            out.append(pa.StructArray.from_arrays([pa.array(left, pa.string()), pa.array(n_left, pa.int64())], fields=list(_LEFT)))
+            at += w.rows
+    return join_lists(out, _LEFT)
+
+
+def without_frequent_lines(docs: DataFrame, min_docs: int = 20, max_share: float = 0.2) -> DataFrame:
+    """`row_id, host, text` to row_id, the counts of `text_stats`, n_left and text: what its frequent lines leave of it.
+
+    The other lines, and those without words, stay as they are; a null text gives "".
+    """
+    host = F.coalesce(F.concat(F.lit("="), "host"), F.lit("")).alias("host")
+    read = settled(docs.select("row_id", host, normalised_lines("text").alias("n")).select("row_id", "host", "n.*"))
+    lost = frequent_lines(read, min_docs, max_share)
+    whole = docs.select("row_id", host, text_stats("text").alias("s"), normalised_lines("text")["content"].alias("content"), squeezed("text").alias("body"))
+    out = whole.join(lost, ["row_id", "host", "content"], "left")
+    return out.select("row_id", "s.*", text_left("body", "frequent").alias("l")).select("*", "l.*").drop("l")
 
 
 def quality_rules(docs: DataFrame, min_words: int = 10, max_repeat_percent: int = 20, min_left: float = 0.3, min_docs: int = 20, max_share: float = 0.2) -> DataFrame:
@@ -125,10 +164,7 @@ def quality_rules(docs: DataFrame, min_words: int = 10, max_repeat_percent: int
 
     min_left: the share of a document's words that must stand outside frequent lines.
     """
-    host = F.coalesce(F.concat(F.lit("="), "host"), F.lit(""))
-    read = settled(docs.select("row_id", host.alias("host"), text_stats("text").alias("s"), normalised_lines("text").alias("n")).select("row_id", "host", "s.*", "n.*"))
-    lost = depletion(read, min_docs, max_share)
-    out = read.drop("lines").join(lost, ["row_id", "host", "content"], "left").withColumn("frequent_words", F.coalesce("frequent_words", F.lit(0)))
+    out = without_frequent_lines(docs, min_docs, max_share).drop("text").withColumn("frequent_words", F.col("n_words") - F.col("n_left")).drop("n_left")
     out = out.withColumn("base_failed", (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words")))
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("n_words") - F.col("frequent_words") >= min_left * F.col("n_words")))
 

@@ -95,5 +95,18 @@ def test_copies_are_one_document(spark, tmp_path):
     assert not got.loc[50:79].kept.any()
 
 
+def test_frequent_lines_are_removed(spark):
+    """Each text comes back without its frequent lines, and the query's counts are those of what stays."""
+    rng = random.Random(4)
+    own = [sentence(rng, 12) for _ in range(40)]
+    texts = [f"All rights  reserved\r\n\n{t}\nall RIGHTS reserved\ntail {i}" for i, t in enumerate(own)] + [sentence(rng, 20), None, "", "\n \n"]
+    docs = documents(spark, texts, ["h"] * len(texts)).selectExpr("doc_id AS row_id", "source AS host", "text")
+    got = {r["row_id"]: r for r in quality_rules.without_frequent_lines(docs).collect()}
+    want = [f"\n{t}\ntail {i}" for i, t in enumerate(own)] + [texts[40], "", "", "\n \n"]
+    assert [got[i]["text"] for i in range(len(texts))] == want
+    rules = {r["row_id"]: r["frequent_words"] for r in quality_rules.quality_rules(docs).collect()}
+    assert all(rules[i] == len(words(texts[i])) - len(words(want[i])) == got[i]["n_words"] - got[i]["n_left"] for i in rules)
+
+
 def test_rules_of_nothing(spark, tmp_path):
     assert quality_rules.op10_quality_rules(spark, folder(spark, tmp_path, documents=spark.createDataFrame([], DOCS))).count() == 0
