@@ -63,6 +63,20 @@ def test_marked_article(spark, tmp_path):
     assert got.n_chars.tolist() == [len(t) for t in got.text]
 
 
+def test_wrapped_articles_are_not_lost():
+    text = lambda page: [t for t, a in html_text.page_blocks(page)]
+    story = "<article><p>Story</p><div class='share-buttons'>Share</div></article>"
+    for wrap in ('<body class="has-sidebar">{}</body>', '<body class="no-sidebar header-fixed">{}</body>', '<body class="sidebar">{}</body>', '<div id="content-with-sidebar">{}</div>', "<form action=x>{}</form>", '<div class="sidebar-layout">{}</div>', '<div class="related">{}</div>', "<div class=modal><main>{}</main></div>"):
+        assert text(wrap.format(story)) == ["Story"], wrap
+    assert text('<article class="post comment-open"><p>Story</p></article>') == ["Story"]
+    assert text('<article class="post"><p>Story</p><article class="comment">Nice</article></article>') == ["Story"]
+    assert text('<form><p>Story</p><input></form>') == ["Story"]
+    assert text(f'<div class="sidebar"><article>Teaser</article></div>{story}') == ["Story"]
+    assert text('<div id="comments"><article>Nice</article></div><p>Story</p>') == ["Story"]
+    assert text("<datalist><option>One<option value=2>Two</datalist><p>Story</p>") == ["Story"]
+    assert text("<select><option>One<option>Two<p>Story</p>") == ["Story"]
+
+
 def test_pairing_deletes_the_shared_frame(spark, tmp_path):
     page = "<body><div>Home</div><p>About</p><p>Story {0}</p><p>More of {0}</p><p>End</p></body>"
     rows = [(f"http://h.org/a/{i:02}", page.format(i)) for i in range(6)] + [("http://alone.org/", page.format("x")), ("http://twin.org/1", page.format("t")), ("http://twin.org/2", page.format("t"))]
