@@ -14,6 +14,7 @@ are joined to classes by spreading the least id.
 Buckets: of up to `small` texts each pair is a candidate. A larger bucket links its texts to
 one of it, and is divided further by second bands, where the same holds: no bucket gives all
 pairs, and texts of a large group meet others than one leader, in up to 72 further buckets.
+This is not whole: a text that links to no leader it meets stays out of its class.
 
 Cases: a text of under five words is one shingle; a null or empty text has none and is a
 class of its own; rows of one doc_id are one document; a null doc_id is left out; an empty
@@ -165,9 +166,11 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_classes(docs: DataFrame, min_similarity: float = 0.8, small: int = 12) -> DataFrame:
-    """`doc_id, text` to doc_id, class_id (the least doc_id of the class), n_links.
+    """`doc_id, text` to doc_id, class_id (the least doc_id of the class), n_found_links.
 
-    n_links: how many verified links to other texts the document's text has.
+    n_found_links: how many verified links to other texts were found for the document's text. In
+    buckets of more than `small` texts only links to leaders are looked for, so a text of a large
+    group has more.
     """
     docs = docs.where("doc_id is not null")
     read = settled(docs.select("doc_id", sketch("text").alias("s")).select("doc_id", "s.*"))
@@ -184,10 +187,10 @@ def near_classes(docs: DataFrame, min_similarity: float = 0.8, small: int = 12)
     of = lambda x: sets.select(F.col("doc_id").alias(x), F.col("set").alias(f"set_{x}"))
     links = settled(likely.join(of("a"), "a").join(of("b"), "b").withColumn("similarity", jaccard("set_a", "set_b")).where(F.col("similarity") >= min_similarity).select("a", "b"))
     labels = components(links)
-    degree = links.select("a").union(links.select("b")).groupBy(F.col("a").alias("id")).agg(F.count("*").alias("n_links"))
+    degree = links.select("a").union(links.select("b")).groupBy(F.col("a").alias("id")).agg(F.count("*").alias("n_found_links"))
     classes = labels.join(degree, "id")
     members = read.select("doc_id", "whole", "n_shingles").distinct().join(copies, ["whole", "n_shingles"], "left")
-    return members.join(classes, "id", "left").select("doc_id", F.coalesce("label", "id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return members.join(classes, "id", "left").select("doc_id", F.coalesce("label", "id", "doc_id").alias("class_id"), F.coalesce("n_found_links", F.lit(0)).alias("n_found_links"))
 
 
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -102,6 +102,16 @@ def test_near_duplicates(spark, tmp_path):
     assert got.sort_index().class_id.tolist() == brute_classes(texts)
 
 
+def test_found_links(spark):
+    """The links of a small group are all found; the count of a large one's is named as what was found."""
+    rng = random.Random(13)
+    few, many = ([edited(rng, t, 1) for _ in range(n)] for t, n in ((sentence(rng, 150), 6), (sentence(rng, 150), 60)))
+    got = near_dups.near_classes(documents(spark, few + many))
+    assert got.columns == ["doc_id", "class_id", "n_found_links"]
+    found = {r["doc_id"]: r["n_found_links"] for r in got.collect()}
+    assert all(found[i] == 5 for i in range(6)) and all(1 <= found[i] <= 59 for i in range(6, 66))
+
+
 def test_signatures_estimate_probability_jaccard():
     """Components agree as often as the probability Jaccard of the weights says."""
     rng = np.random.default_rng(5)
