@@ -4,20 +4,26 @@ Shingles of five words weigh 1 + ln(count). For each, a Poisson process of that
 arrivals on the components of a signature; a component keeps its earliest shingle. Arrivals
 are drawn for all shingles of many documents at once, round by round, and a shingle stops as
 soon as its next arrival is later than all components' (early termination). Components agree
-with the probability Jaccard of the weights, which for equal counts is the Jaccard similarity.
+with the probability Jaccard of the weights. The same similarity, computed from the whole
+shingle sets, is the proof of a link; where no shingle repeats it is the Jaccard similarity.
 
 Documents of equal words are one text from the start. Signatures are cut into bands; texts
 that share a band are candidates, an estimate over the whole signature drops hopeless pairs,
-and what stays is verified by the Jaccard similarity of the whole shingle sets. Verified links
-are joined to classes by spreading the least id.
+and what stays is verified. Links are contracted to classes before anything else is tried:
 
-Buckets: of up to `small` texts each pair is a candidate. A larger bucket links its texts to
-one of it, and is divided further by second bands, where the same holds: no bucket gives all
-pairs, and texts of a large group meet others than one leader, in up to 72 further buckets.
-This is not whole: a text that links to no leader it meets stays out of its class.
+1. a bucket of up to `small` texts gives all its pairs, a larger one links each text to its
+   least; links become classes;
+2. a large bucket that then holds several classes is open. Its texts outside its greatest
+   class are tested against all its texts of other classes, in blocks of bounded size, and
+   one link for each text, class and block comes back.
+
+So every two texts that share a bucket are in one class or were compared: nothing is capped,
+and no bucket gives all its pairs as rows.
 
 Cases: a text of under five words is one shingle; a null or empty text has none and is a
-class of its own; rows of one doc_id are one document; a null doc_id is left out; an empty
+class of its own; a doc_id with several rows is one document, of the text with the least
+hash, and its repeated rows become one in the pipeline's stage; a null doc_id has no class, and
+its rows stay in the stage; a very long text is one more text, read in one piece; an empty
 table gives no rows; other columns are ignored.
 """
 
@@ -34,9 +40,10 @@ from .kernels import _BASE, _INVERSE, Words, arrow_column, join_lists, lists, mi
 SHINGLE = 5
 BANDS, ROWS = 24, 4
 SIZE = BANDS * ROWS
-#: The distances from a band to the second bands that divide its large buckets.
-SECOND = (1, 5, 11)
-
+#: A pair is verified if its signatures agree this much less than the similarity asked for (over four standard deviations).
+DOUBT = 0.17
+#: Texts and shingles in a block that an open bucket is compared by.
+BLOCK_TEXTS, BLOCK_SHINGLES = 192, 100_000
 
 def shingles(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(row, shingle, count) of each different shingle, sorted, and the hash of each row's words."""
@@ -105,54 +112,78 @@ def estimate(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array((x == y).mean(1), pa.float64())
 
 
-@arrow_column(pa.list_(pa.int32()))
+_SET = pa.struct([("whole", pa.int64()), ("set", pa.list_(pa.int64()))])
+
+
+@arrow_column(_SET)
 def shingle_set(body: pa.Array) -> pa.Array:
-    """The different shingles of each compressed text, 32 bits each."""
+    """The different shingles of each compressed text, ascending: 32 bits of hash, then the count."""
     out = []
     for _, _, text in unsqueezed(body):
         for _, _, w in words_in(text):
-            row, found, _, _ = shingles(w)
-            out.append(lists(pa.array((found >> np.uint64(32)).astype(np.uint32).view(np.int32), pa.int32()), np.bincount(row, minlength=w.rows)))
-    return join_lists(out, pa.list_(pa.int32()))
+            row, found, count, whole = shingles(w)
+            packed = (found & np.uint64(0xFFFFFFFF << 32)) | np.minimum(count, 0xFFFFFFFF).astype(np.uint64)
+            sets = lists(signed(packed), np.bincount(row, minlength=w.rows))
+            out.append(pa.StructArray.from_arrays([signed(whole), sets], fields=list(_SET)))
+    return join_lists(out, _SET)
+
+
+def _weighed(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles and the weights of a set."""
+    s = s.view(np.uint64)
+    return s >> np.uint64(32), 1 + np.log((s & np.uint64(0xFFFFFFFF)).astype(np.float64))
+
+
+def similarity(a: np.ndarray, b: np.ndarray) -> float:
+    """The probability Jaccard of two shingle sets: the chance that both signatures keep one shingle.
+
+    For a shared shingle d it is 1 over the sum, for all shingles e, of the greater of x_e/x_d and
+    y_e/y_d. Which is greater depends on the order of the ratios x/y alone, so running sums do.
+    """
+    (ka, x), (kb, y) = _weighed(a), _weighed(b)
+    at = np.searchsorted(kb, ka)
+    at[at == len(kb)] = 0
+    both = kb[at] == ka if len(kb) else np.zeros(len(ka), dtype=bool)
+    n = int(both.sum())
+    if not n:
+        return 0.0
+    if x.max() == 1 and y.max() == 1:
+        return n / (len(a) + len(b) - n)
+    dx, dy = x[both], y[at[both]]
+    order = np.argsort(dx / dy, kind="stable")
+    dx, dy = dx[order], dy[order]
+    ratio = dx / dy
+    first = np.searchsorted(ratio, ratio)
+    below = np.concatenate(([0.0], np.cumsum(dy)))[first] + (y.sum() - dy.sum())
+    above = dx.sum() - np.concatenate(([0.0], np.cumsum(dx)))[first] + (x.sum() - dx.sum())
+    return float((1 / (above / dx + below / dy)).sum())
 
 
 @arrow_column(pa.float64())
-def jaccard(a: pa.Array, b: pa.Array) -> pa.Array:
-    out = np.zeros(len(a))
-    for i, (x, y) in enumerate(zip(a, b, strict=True)):
-        x, y = x.values.to_numpy(), y.values.to_numpy()
-        both = len(np.intersect1d(x, y))
-        out[i] = both / max(1, len(np.unique(x)) + len(np.unique(y)) - both)
-    return pa.array(out, pa.float64())
+def similarities(a: pa.Array, b: pa.Array) -> pa.Array:
+    return pa.array([similarity(x.values.to_numpy(), y.values.to_numpy()) for x, y in zip(a, b, strict=True)], pa.float64())
 
 
-def _bucket_pairs(members: DataFrame, small: int) -> tuple[DataFrame, DataFrame]:
-    """(candidate pairs, the members of large buckets) of `id, key`.
+def buckets_of(texts: DataFrame) -> DataFrame:
+    """`id, bands` to `id, key, n, leader` of the buckets of two texts and more; the leader is the least id.
 
-    Most texts are alone in their buckets, so what shares one is settled first and all else
-    reads that. A bucket's leader is its least id after an exclusive or with the key, another
-    order in each bucket.
+    The counts are settled before they meet the members, so that the join may split a hot bucket.
     """
-    turned = F.col("id").bitwiseXOR(F.col("key"))
-    buckets = members.groupBy("key").agg(F.count("*").alias("n"), F.min(turned).alias("least")).where("n > 1")
-    met = settled(members.join(buckets, "key").select("id", "key", "n", F.col("least").bitwiseXOR(F.col("key")).alias("leader")))
-    star = met.where(f"id <> leader and (n > {small} or n = 2)").select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b"))
-    few = met.where(f"n > 2 and n <= {small}")
-    left, right = few.select("key", F.col("id").alias("a")), few.select("key", F.col("id").alias("b"))
-    return star.unionByName(left.join(right, "key").where("a < b").select("a", "b")), met.where(f"n > {small}").select("id", "key")
+    members = texts.select("id", F.explode("bands").alias("key"))
+    counts = settled(members.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("leader")).where("n > 1"))
+    return settled(members.join(counts, "key"))
 
 
-def candidate_pairs(texts: DataFrame, small: int = 12) -> DataFrame:
-    """`id, bands` to the different pairs a < b that share a bucket."""
-    pairs, large = _bucket_pairs(texts.select("id", F.explode("bands").alias("key")), small)
-    full = large.join(texts.select("id", "bands"), "id").withColumn("band", F.array_position("bands", F.col("key")) - 1)
-    second = [F.element_at("bands", (F.pmod(F.col("band") + d, F.lit(BANDS)) + 1).cast("int")) for d in SECOND]
-    divided = full.select("id", F.explode(F.array(*[F.xxhash64("key", F.lit(d), s) for d, s in zip(SECOND, second, strict=True)])).alias("key"))
-    return pairs.unionByName(_bucket_pairs(divided, small)[0]).distinct()
+def first_pairs(met: DataFrame, small: int) -> DataFrame:
+    """The different pairs a < b of a small bucket, and those of a large one's texts and its leader."""
+    star = met.where(f"id <> leader and (n > {small} or n = 2)").select(F.col("leader").alias("a"), F.col("id").alias("b"))
+    few = met.where(f"n > 2 and n <= {small}")
+    left, right = few.select("key", F.col("id").alias("a")), few.select("key", F.col("id").alias("b"))
+    return star.unionByName(left.join(right, "key").where("a < b").select("a", "b")).distinct()
 
 
-def components(links: DataFrame) -> DataFrame:
-    """`a, b` to `id, label`: the least id of each connected part. Labels spread along links and jump to their label's label."""
+def _spread(links: DataFrame) -> DataFrame:
+    """`a, b` to `id, label` by spreading the least id along links and jumping to labels' labels."""
     both = settled(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))))
     labels = settled(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).withColumnRenamed("a", "id"))
     while True:
@@ -165,32 +196,114 @@ def components(links: DataFrame) -> DataFrame:
         labels = labels.drop("old")
 
 
-def near_classes(docs: DataFrame, min_similarity: float = 0.8, small: int = 12) -> DataFrame:
-    """`doc_id, text` to doc_id, class_id (the least doc_id of the class), n_found_links.
+def components(links: DataFrame) -> DataFrame:
+    """`a < b` to `id, label`: the least id of each connected part.
 
-    n_found_links: how many verified links to other texts were found for the document's text. In
-    buckets of more than `small` texts only links to leaders are looked for, so a text of a large
-    group has more.
+    Each text is contracted into its least neighbour first, so that only the links between
+    neighbours so chosen go through the rounds, not those of every text of a large group.
     """
-    docs = docs.where("doc_id is not null")
+    up = settled(links.groupBy("b").agg(F.min("a").alias("up")))
+    rest = links.join(up, "b").where("a <> up").select(F.col("up").alias("a"), F.col("a").alias("b")).distinct()
+    heads = up.select(F.col("up").alias("b")).unionByName(rest.select("b")).distinct()
+    chain = up.join(heads, "b", "left_semi").select(F.col("up").alias("a"), "b")
+    labels = _spread(rest.unionByName(chain))
+    named = lambda key: labels.select(F.col("id").alias(key), F.col("label").alias(f"{key}_label"))
+    below = up.join(named("up"), "up", "left").join(labels.select(F.col("id").alias("b")), "b", "left_anti").select(F.col("b").alias("id"), F.coalesce("up_label", "up").alias("label"))
+    roots = up.select(F.col("up").alias("id")).distinct().join(labels, "id", "left_anti").select("id", F.col("id").alias("label"))
+    return settled(below.unionByName(roots).unionByName(labels))
+
+
+_FOUND = "a long, b long"
+
+
+def _block_links(min_similarity: float):
+    def links(asked: pa.Table, held: pa.Table) -> pa.Table:
+        """One link of each asked text to each other class of a block, if there is any.
+
+        One pass over the block bounds the similarity with all its texts: with equal weights the bound is
+        the similarity itself. Only what it leaves is worked out.
+        """
+        found: tuple[list, list] = ([], [])
+        if asked.num_rows and held.num_rows:
+            ids, label = held["other_id"].to_numpy(), held["other_label"].to_numpy()
+            sets = [x.values.to_numpy() for x in held["other_set"]]
+            keys, weights = _weighed(np.concatenate(sets))
+            first = np.cumsum([0, *map(len, sets)])[:-1]
+            known, code = np.unique(keys, return_inverse=True)
+            total, equal = np.add.reduceat(weights, first), weights.max() == 1
+            for i, mine, x in zip(asked["of_id"].to_pylist(), asked["of_label"].to_pylist(), asked["of_set"], strict=True):
+                x = x.values.to_numpy()
+                x_keys, x_weights = _weighed(x)
+                at = np.searchsorted(known, x_keys)
+                at[at == len(known)] = 0
+                hit = known[at] == x_keys
+                shared = np.zeros(len(known))
+                shared[at[hit]] = x_weights[hit]
+                here = shared[code]
+                of_x = np.add.reduceat(here, first)
+                if equal and x_weights.max() == 1:
+                    most = of_x / (len(x) + total - of_x)
+                else:
+                    of_held, of_both = (np.add.reduceat(np.where(here > 0, w, 0.0), first) for w in (weights, np.maximum(here, weights)))
+                    most = of_both / (x_weights.sum() + total - np.minimum(of_x, of_held))
+                may = np.flatnonzero((label != mine) & (most >= min_similarity - 1e-9))
+                joined: set[int] = set()
+                for j in may[np.argsort(-most[may], kind="stable")].tolist():
+                    if int(label[j]) not in joined and similarity(x, sets[j]) >= min_similarity:
+                        joined.add(int(label[j]))
+                        found[0].append(min(i, int(ids[j])))
+                        found[1].append(max(i, int(ids[j])))
+        return pa.table([pa.array(x, pa.int64()) for x in found], ["a", "b"])
+
+    return links
+
+
+def open_links(met: DataFrame, labels: DataFrame, texts: DataFrame, sets: DataFrame, min_similarity: float) -> DataFrame:
+    """The links `a < b` between classes that share a large bucket; met: the members of large buckets."""
+    classed = met.select("id", "key").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    parts = classed.groupBy("key", "label").agg(F.count("*").alias("n"))
+    rule = settled(parts.groupBy("key").agg(F.max_by("label", F.struct("n", -F.col("label"))).alias("major"), F.sum("n").alias("n"), F.max("n").alias("most"), F.count("*").alias("classes")).where("classes > 1"))
+    members = classed.join(rule.select("key", "major"), "key").join(texts.select("id", "n_shingles"), "id")
+    weights = members.groupBy("key").agg(F.sum("n_shingles").alias("shingles"), F.sum(F.when(F.col("label") != F.col("major"), F.col("n_shingles")).otherwise(0)).alias("asked_shingles"))
+    blocks = lambda n, shingles: F.greatest(F.ceil(n / BLOCK_TEXTS), F.ceil(F.col(shingles) / BLOCK_SHINGLES)).cast("int")
+    cut = settled(rule.join(weights, "key").select("key", "major", blocks(F.col("n"), "shingles").alias("blocks"), blocks(F.col("n") - F.col("most"), "asked_shingles").alias("chunks")))
+    held = classed.join(cut, "key").join(sets, "id")
+    place = lambda n: F.pmod(F.xxhash64("id", "key"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    what = ("id", "label", "set")
+    asked = held.where("label <> major").select("key", *what, place("chunks").alias("chunk"), every("blocks").alias("block"))
+    others = held.select("key", *what, place("blocks").alias("block"), every("chunks").alias("chunk"))
+    asked = asked.toDF("of_key", *(f"of_{c}" for c in what), "of_chunk", "of_block")  # names of its own: both sides come of one table
+    others = others.toDF("key", *(f"other_{c}" for c in what), "block", "chunk")
+    return asked.groupBy("of_key", "of_chunk", "of_block").cogroup(others.groupBy("key", "chunk", "block")).applyInArrow(_block_links(min_similarity), _FOUND).distinct()
+
+
+def near_classes(docs: DataFrame, min_similarity: float = 0.8, small: int = 12) -> DataFrame:
+    """`doc_id, text` to doc_id, class_id: the least doc_id of the class."""
+    docs = docs.where("doc_id is not null").select("doc_id", "text")
     read = settled(docs.select("doc_id", sketch("text").alias("s")).select("doc_id", "s.*"))
-    copies = read.where("n_shingles > 0").groupBy("whole", "n_shingles").agg(F.min("doc_id").alias("id"))
-    texts = read.join(copies.select("id"), F.col("doc_id") == F.col("id"), "left_semi").dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("id"), "bands", "signature", "n_shingles")
-    pairs = candidate_pairs(texts, small)
+    own = settled(read.groupBy("doc_id").agg(F.min(F.struct("whole", "n_shingles")).alias("t")).select("doc_id", "t.*"))
+    copies = settled(own.where("n_shingles > 0").groupBy("whole", "n_shingles").agg(F.min("doc_id").alias("id")))
+    texts = settled(read.join(copies.select(F.col("id").alias("doc_id"), "whole"), ["doc_id", "whole"], "left_semi").dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("id"), "whole", "bands", "signature", "n_shingles"))
+    met = buckets_of(texts)
+    pairs = first_pairs(met, small)
     side = lambda x: texts.select(F.col("id").alias(x), F.col("signature").alias(f"s{x}"), F.col("n_shingles").alias(f"n{x}"))
-    fits = F.least("na", "nb") >= F.greatest("na", "nb") * min_similarity
-    likely = pairs.join(side("a"), "a").join(side("b"), "b").where(fits).withColumn("about", estimate("sa", "sb")).where(F.col("about") >= min_similarity - 0.2)
+    fits = F.least("na", "nb") >= F.greatest("na", "nb") * (min_similarity - DOUBT)
+    likely = pairs.join(side("a"), "a").join(side("b"), "b").where(fits).withColumn("about", estimate("sa", "sb")).where(F.col("about") >= min_similarity - DOUBT)
     likely = settled(likely.select("a", "b"))
-    asked = likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).distinct()
-    bodies = docs.select("doc_id", squeezed("text").alias("body")).join(asked, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    sets = settled(bodies.select("doc_id", shingle_set("body").alias("set")))
-    of = lambda x: sets.select(F.col("doc_id").alias(x), F.col("set").alias(f"set_{x}"))
-    links = settled(likely.join(of("a"), "a").join(of("b"), "b").withColumn("similarity", jaccard("set_a", "set_b")).where(F.col("similarity") >= min_similarity).select("a", "b"))
+    large = met.where(f"n > {small}")
+    asked = likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).union(large.select("id")).distinct()
+    bodies = docs.join(asked, "doc_id", "left_semi").select("doc_id", squeezed("text").alias("body"))
+    sets = bodies.select(F.col("doc_id").alias("id"), shingle_set("body").alias("s")).select("id", "s.*").join(texts.select("id", "whole"), ["id", "whole"], "left_semi")
+    sets = settled(sets.dropDuplicates(["id"]).select("id", "set"))
+    of = lambda x: sets.select(F.col("id").alias(x), F.col("set").alias(f"set_{x}"))
+    links = settled(likely.join(of("a"), "a").join(of("b"), "b").where(similarities("set_a", "set_b") >= min_similarity).select("a", "b"))
     labels = components(links)
-    degree = links.select("a").union(links.select("b")).groupBy(F.col("a").alias("id")).agg(F.count("*").alias("n_found_links"))
-    classes = labels.join(degree, "id")
-    members = read.select("doc_id", "whole", "n_shingles").distinct().join(copies, ["whole", "n_shingles"], "left")
-    return members.join(classes, "id", "left").select("doc_id", F.coalesce("label", "id", "doc_id").alias("class_id"), F.coalesce("n_found_links", F.lit(0)).alias("n_found_links"))
+    more = settled(open_links(large, labels, texts, sets, min_similarity))
+    if not more.isEmpty():
+        labels = components(links.unionByName(more))
+    members = own.join(copies, ["whole", "n_shingles"], "left")
+    return members.join(labels, "id", "left").select("doc_id", F.coalesce("label", "id", "doc_id").alias("class_id"))
 
 
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,7 +311,11 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class: that of the least doc_id."""
+    """One document of each class: that of the least doc_id. Of equal rows of it one stays."""
     docs = docs.select("doc_id", "text", "lang", "source", "n_chars")
-    extra = near_classes(docs.select("doc_id", "text")).where("doc_id <> class_id").select("doc_id")
-    return docs.join(extra, "doc_id", "left_anti")
+    extra = near_classes(docs).where("doc_id <> class_id").select("doc_id")
+    kept = docs.join(extra, "doc_id", "left_anti")
+    again = settled(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    if again.isEmpty():
+        return kept
+    return kept.join(again, "doc_id", "left_anti").unionByName(kept.join(again, "doc_id", "left_semi").distinct())

@@ -1,5 +1,7 @@
 import hashlib
+import math
 import random
+from collections import Counter
 
 import numpy as np
 
@@ -60,14 +62,19 @@ def test_passages_of_nothing(spark, tmp_path):
     assert substrings.op9_substrings(spark, folder(spark, tmp_path, documents=spark.createDataFrame([], DOCS))).count() == 0
 
 
-def shingle_set(t):
+def shingle_weights(t):
     w = words(t)
     n = min(5, len(w))
-    return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if w else set()
+    return {k: 1 + math.log(c) for k, c in Counter(tuple(w[i : i + n]) for i in range(len(w) - n + 1)).items()} if w else {}
+
+
+def probability_jaccard(x, y):
+    every = set(x) | set(y)
+    return sum(1 / sum(max(x.get(e, 0) / x[d], y.get(e, 0) / y[d]) for e in every) for d in set(x) & set(y))
 
 
 def brute_classes(texts):
-    sets, parent = [shingle_set(t) for t in texts], list(range(len(texts)))
+    weights, parent = [shingle_weights(t) for t in texts], list(range(len(texts)))
 
     def find(x):
         while parent[x] != x:
@@ -76,7 +83,7 @@ def brute_classes(texts):
 
     for i in range(len(texts)):
         for j in range(i):
-            if sets[i] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+            if len(set(weights[i]) & set(weights[j])) > 0.3 * len(weights[i]) and probability_jaccard(weights[i], weights[j]) >= 0.8 - 1e-9:
                 a, b = find(i), find(j)
                 parent[max(a, b)] = min(a, b)
     return [find(i) for i in range(len(texts))]
@@ -102,14 +109,55 @@ def test_near_duplicates(spark, tmp_path):
     assert got.sort_index().class_id.tolist() == brute_classes(texts)
 
 
-def test_found_links(spark):
-    """The links of a small group are all found; the count of a large one's is named as what was found."""
+def classes(docs, **options):
+    return [r["class_id"] for r in near_dups.near_classes(docs, **options).orderBy("doc_id").collect()]
+
+
+def test_near_duplicates_of_large_groups(spark, monkeypatch):
+    """Groups whose texts are mostly just under or over the limit: no link of a large bucket is lost, in blocks of any size."""
     rng = random.Random(13)
-    few, many = ([edited(rng, t, 1) for _ in range(n)] for t, n in ((sentence(rng, 150), 6), (sentence(rng, 150), 60)))
-    got = near_dups.near_classes(documents(spark, few + many))
-    assert got.columns == ["doc_id", "class_id", "n_found_links"]
-    found = {r["doc_id"]: r["n_found_links"] for r in got.collect()}
-    assert all(found[i] == 5 for i in range(6)) and all(1 <= found[i] <= 59 for i in range(6, 66))
+    texts = []
+    for n, edits in ((70, 3), (50, 5)):
+        base = sentence(rng, 110)
+        texts += [edited(rng, base, rng.randrange(1, edits + 1)) for _ in range(n)]
+    rng.shuffle(texts)
+    want = brute_classes(texts)
+    assert 2 < len(set(want)) < 80
+    assert classes(documents(spark, texts), small=4) == want
+    monkeypatch.setattr(near_dups, "BLOCK_TEXTS", 7)
+    assert classes(documents(spark, texts), small=3) == want
+
+
+def test_near_duplicates_of_repetitive_texts(spark):
+    """A phrase that repeats weighs more than one of its shingles, in the sketch and in the proof alike."""
+    rng = random.Random(14)
+    texts = []
+    for _ in range(12):
+        shared, phrases = sentence(rng, 200), [sentence(rng, 12) for _ in range(2)]
+        texts += [f"{shared} {' '.join([p] * 20)}" for p in phrases]
+        texts += [f"{shared} {' '.join([phrases[0]] * n)}" for n in (18, 25)]
+        texts += [edited(rng, texts[-1], 2)]
+    assert classes(documents(spark, texts)) == brute_classes(texts)
+
+
+def test_similarity_is_the_probability_jaccard():
+    rng = random.Random(15)
+    for _ in range(200):
+        x, y = ({rng.randrange(30): rng.choice((1, 1, 2, 3, 50)) for _ in range(rng.randrange(1, 25))} for _ in range(2))
+        packed = [np.array(sorted((k + 1) << 32 | c for k, c in s.items()), dtype=np.int64) for s in (x, y)]
+        want = probability_jaccard(*({k: 1 + math.log(c) for k, c in s.items()} for s in (x, y)))
+        assert abs(near_dups.similarity(*packed) - want) < 1e-9
+
+
+def test_near_duplicates_of_odd_rows(spark):
+    """Rows of one doc_id are one document; a null id has no class and stays in the stage; long texts are texts."""
+    rng = random.Random(16)
+    long = sentence(rng, 120_000)
+    rows = [(1, "a b c d e f"), (1, "a b c d e f"), (2, "g h"), (2, "i j"), (None, "a b c d e f"), (3, long), (4, long + " more"), (5, None), (6, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCS)
+    got = near_dups.near_classes(docs).collect()
+    assert sorted((r["doc_id"], r["class_id"]) for r in got) == [(1, 1), (2, 2), (3, 3), (4, 3), (5, 5), (6, 6)]
+    assert sorted(r["doc_id"] or 0 for r in near_dups.near_dup_stage(spark, docs, "").collect()) == [0, 1, 2, 2, 3, 5, 6]
 
 
 def test_signatures_estimate_probability_jaccard():
@@ -128,8 +176,20 @@ def test_signatures_estimate_probability_jaccard():
 
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 200)], "a long, b long")
-    got = {r["id"]: r["label"] for r in near_dups.components(links).collect()}
-    assert got == {i: 0 for i in range(61)} | {100: 100, 200: 100}
+    got = [(r["id"], r["label"]) for r in near_dups.components(links).collect()]
+    assert sorted(got) == [(i, 0) for i in range(61)] + [(100, 100), (200, 100)]
+
+
+def test_components_of_random_links(spark):
+    rng = random.Random(17)
+    for n in (5, 40, 90):
+        links = {tuple(sorted(rng.sample(range(100), 2))) for _ in range(n)}
+        label = {v: v for link in links for v in link}
+        for _ in label:
+            for a, b in links:
+                label[a] = label[b] = min(label[a], label[b])
+        got = [(r["id"], r["label"]) for r in near_dups.components(spark.createDataFrame(sorted(links), "a long, b long")).collect()]
+        assert sorted(got) == sorted(label.items())
 
 
 def test_near_duplicates_of_nothing(spark, tmp_path):
