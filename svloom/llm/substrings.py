@@ -8,16 +8,20 @@ share a phrase, and only phrases that stand in two documents need a closer look:
 2. phrases of two or more documents recur (a grouped count; a hot phrase is summed before it
    is shuffled). A block that an earlier document has as well goes as a whole, so of many
    copies only the first with a block need look at its windows;
-3. documents with recurring phrases are streamed through Aho-Corasick automata of them. An
-   automaton holds the phrases of a bounded slice of the documents that a task reads, with
-   one symbol per word, so automata stay small however many phrases recur; each place found
-   is confirmed by 64-bit hashes;
+3. documents are dealt to shards of a few megabytes. A shard's recurring phrases are compiled
+   into one Aho-Corasick automaton, and all its documents stream through it. The automaton
+   says where phrases stand; hashes of the blocks there confirm them. Phrases come to the
+   automaton by their keys alone, which spell them: a symbol of 6 bits for each word;
 4. where a phrase's blocks differ, the windows themselves are counted by (phrase, window), a key of
-   128 bits, and each document learns which of its windows an earlier one has.
+   over 120 bits, and each document learns which of its windows an earlier one has.
+
+Phrases that share a key by chance are looked at together and told apart by the hashes of their
+blocks and windows.
 
 Cases: a null or empty text, or one of under 50 words, loses nothing; a null doc_id neither
 loses words nor counts as earlier; rows of one doc_id are one document, none earlier than the
-other; an empty table gives no rows; other columns are ignored.
+other; a very long text is one row of its shard, and none is cut; an empty table gives no rows;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,6 +41,15 @@ from .kernels import _BASE, _INVERSE, Words, arrow_column, join_lists, lists, mi
 
 WINDOW = 50
 PHRASE = 10
+#: Bits of a word's symbol; a phrase's key has PHRASE of them.
+BITS = 6
+#: Bytes of text in a shard.
+SHARD_BYTES = 4 << 20
+
+
+def spelled(key: int) -> str:
+    """The symbols of a phrase's key."""
+    return "".join(chr(48 + (key >> BITS * i & (1 << BITS) - 1)) for i in range(PHRASE))
 
 
 class Passages:
@@ -45,24 +58,33 @@ class Passages:
     def __init__(self, w: Words):
         self.row = w.row_of_word()
         self.hashes = w.hashes()
+        self.first = w.first
         n = len(self.hashes)
         self.total = np.zeros(n + 1, dtype=np.uint64)
         np.cumsum(self.hashes * powers(_BASE, n), out=self.total[1:])
-        self.phrase = self.span(np.arange(max(0, n - PHRASE + 1)), PHRASE)
-        room = max(0, n - WINDOW + 1)
-        at = np.flatnonzero(self.row[:room] == self.row[WINDOW - 1 :]) if room else np.zeros(0, dtype=np.int64)
-        chosen = self._least(WINDOW - PHRASE + 1)[at] if len(at) else at
-        new = np.flatnonzero(np.append(True, chosen[1:] != chosen[:-1])) if len(at) else at
-        self.place = chosen[new]  # of each chosen phrase: where it stands,
-        self.low = at[new]  # the first and last of the windows it stands for
-        self.high = at[np.append(new[1:], len(at)) - 1] if len(at) else at
+        self.symbol = self.hashes >> np.uint64(64 - BITS)
+        at = np.arange(max(0, n - PHRASE + 1))
+        self.key = np.zeros(len(at), dtype=np.uint64)
+        for i in range(PHRASE):
+            self.key |= self.symbol[i : i + len(at)] << np.uint64(BITS * i)
+        self.rank = mix(self.key)
 
     def span(self, start: np.ndarray, size: np.ndarray | int) -> np.ndarray:
         return mix((self.total[start + size] - self.total[start]) * powers(_INVERSE, len(self.hashes) + 1)[start])
 
+    def choose(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place, low, high): where chosen phrases stand, the first and the last window that each stands for."""
+        room = max(0, len(self.hashes) - WINDOW + 1)
+        at = np.flatnonzero(self.row[:room] == self.row[WINDOW - 1 :]) if room else np.zeros(0, dtype=np.int64)
+        if not len(at):
+            return at, at, at
+        chosen = self._least(WINDOW - PHRASE + 1)[at]
+        new = np.flatnonzero(np.append(True, chosen[1:] != chosen[:-1]))
+        return chosen[new], at[new], at[np.append(new[1:], len(at)) - 1]
+
     def _least(self, size: int) -> np.ndarray:
         """Where, of `size` phrases from each place on, the least stands; the last of equal ones."""
-        g = self.phrase
+        g = self.rank
 
         def better(a: np.ndarray, shift: int) -> np.ndarray:
             x, y = a[: len(a) - shift], a[shift:]
@@ -73,14 +95,36 @@ class Passages:
             best, span = better(best, span), 2 * span
         return better(best, size - span) if size > span else best
 
-    def blocks(self) -> np.ndarray:
+    def windows_of(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The places whose phrase stands for a window, and the first and the last of those windows.
+
+        A window is of the least phrase in it, so windows of a place lie between the lesser phrases
+        beside it and the ends of its row.
+        """
+        reach = WINDOW - PHRASE
+        begin, end = self.first[self.row[place]], self.first[self.row[place] + 1] - PHRASE
+        beside = place[:, None] + np.arange(1, reach + 1)
+        lesser = (self.rank[np.minimum(beside, len(self.rank) - 1)] <= self.rank[place][:, None]) & (beside <= end[:, None])
+        after = np.where(lesser.any(1), place + 1 + lesser.argmax(1), end + 1)
+        beside = place[:, None] - np.arange(1, reach + 1)
+        lesser = (self.rank[np.maximum(beside, 0)] < self.rank[place][:, None]) & (beside >= begin[:, None])
+        before = np.where(lesser.any(1), place - 1 - lesser.argmax(1), begin - 1)
+        low, high = np.maximum(before + 1, place - reach), np.minimum(place, after - reach - 1)
+        some = low <= high
+        return place[some], low[some], high[some]
+
+    def blocks(self, place: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
         """A hash of the words of each block of windows, and of where the phrase stands in it."""
-        size = self.high - self.low + WINDOW
-        return mix(self.span(self.low, size) + (size * 1024 + self.place - self.low).astype(np.uint64))
+        size = high - low + WINDOW
+        return mix(self.span(low, size) + (size * 1024 + place - low).astype(np.uint64))
 
-    def symbols(self) -> str:
-        """One character per word, so that a phrase is a string of PHRASE characters."""
-        return ((self.hashes >> np.uint64(44)).astype(np.uint32) + np.uint32(0x10000)).tobytes().decode("utf-32-le")
+    def located(self, automaton: ahocorasick.Automaton) -> np.ndarray:
+        """Where the automaton's phrases stand."""
+        text = (self.symbol + np.uint64(48)).astype(np.uint8).tobytes().decode("latin-1")
+        if not text or not len(automaton):
+            return np.zeros(0, dtype=np.int64)
+        at = np.fromiter((end for end, _ in automaton.iter(text)), dtype=np.int64) - (PHRASE - 1)
+        return at[self.row[at] == self.row[at + PHRASE - 1]]
 
 
 _PHRASES = pa.list_(pa.struct([("phrase", pa.int64()), ("block", pa.int64())]))
@@ -91,107 +135,124 @@ def phrases_of(text: pa.Array) -> pa.Array:
     out = []
     for _, _, w in words_in(text):
         p = Passages(w)
-        pairs = pa.StructArray.from_arrays([signed(p.phrase[p.place]), signed(p.blocks())], fields=list(_PHRASES.value_type))
-        out.append(lists(pairs, np.bincount(p.row[p.place], minlength=w.rows)))
+        place, low, high = p.choose()
+        pairs = pa.StructArray.from_arrays([signed(p.key[place]), signed(p.blocks(place, low, high))], fields=list(_PHRASES.value_type))
+        out.append(lists(pairs, np.bincount(p.row[place], minlength=w.rows)))
     return join_lists(out, _PHRASES)
 
 
 _SPAN = pa.struct([("start", pa.int32()), ("end", pa.int32())])
 _WINDOWS = pa.struct([("phrase", pa.int64()), ("window", pa.int64()), ("start", pa.int32())])
-_LOCATED = pa.struct([("spans", pa.list_(_SPAN)), ("windows", pa.list_(_WINDOWS))])
+_LOCATED = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("spans", pa.list_(_SPAN)), ("windows", pa.list_(_WINDOWS))])
+LOCATED = "doc_id long, text_key long, spans array<struct<start: int, end: int>>, windows array<struct<phrase: long, window: long, start: int>>"
 
 
-def _places(p: Passages, w: Words, chosen: np.ndarray) -> np.ndarray:
-    """Which of the slice's chosen phrases (indexes into p.place) recur, by an automaton of `chosen` ones."""
-    text = p.symbols()
+def automaton_of(phrases: np.ndarray) -> ahocorasick.Automaton:
+    """The automaton of the phrases with these keys."""
     automaton = ahocorasick.Automaton()
-    for i in chosen:
-        at = int(p.place[i])
-        automaton.add_word(text[at : at + PHRASE], int(p.phrase[at]))
+    for key in phrases.tolist():
+        automaton.add_word(spelled(key), key)
     automaton.make_automaton()
-    index = {int(at): i for i, at in enumerate(p.place)}
-    found = []
-    for row in np.unique(p.row[p.place[chosen]]):
-        first = int(w.first[row])
-        for end, phrase in automaton.iter(text[first : int(w.first[row + 1])]):
-            at = first + end - PHRASE + 1
-            if at in index and int(p.phrase[at]) == phrase:
-                found.append(index[at])
-    return np.array(sorted(found), dtype=np.int64)
-
-
-@arrow_column(_LOCATED)
-def locate(body: pa.Array, recurring: pa.Array) -> pa.Array:
-    """Spans of words that an earlier document has for certain, and windows that need counting.
-
-    body: compressed texts. recurring: list<struct<phrase, block, same>> of the row, as
-    `recurring_blocks` gives it.
-    """
-    out = [_locate(w, recurring.slice(first + at, to - at)) for first, _, text in unsqueezed(body) for at, to, w in words_in(text)]
-    return join_lists(out, _LOCATED)
+    return automaton
+
 
+def locate(recurring: pa.Table, docs: pa.Table) -> pa.Table:
+    """The spans of a shard's documents that an earlier one has for certain, and windows that need counting.
 
-def _locate(w: Words, mine: pa.Array) -> pa.Array:
+    recurring: doc_id, phrase, block, same, as `recurring_blocks` gives them, of the shard's
+    documents; docs: doc_id, text_key and the compressed text, body.
+    """
+    rule = _Rules(recurring)
+    automaton = automaton_of(np.unique(recurring["phrase"].to_numpy()))
+    out = []
+    keys = docs.select(["of_doc", "text_key"]).combine_chunks()
+    body = docs["body"].combine_chunks()
+    body = body if isinstance(body, pa.Array) else pa.concat_arrays(body.chunks)
+    for first, _, text in unsqueezed(body):
+        for at, to, w in words_in(text):
+            mine = keys.slice(first + at, to - at)
+            ids = mine["of_doc"].combine_chunks().to_numpy(zero_copy_only=False)
+            spans, windows = _located(w, ids, rule, automaton)
+            found = pa.table([mine["of_doc"].combine_chunks(), mine["text_key"].combine_chunks(), spans, windows], schema=_LOCATED)
+            out.append(found.filter(pc.greater(pc.add(pc.list_value_length(spans), pc.list_value_length(windows)), 0)))
+    return pa.concat_tables(out) if out else _LOCATED.empty_table()
+
+
+class _Rules:
+    """What becomes of a document's block of a phrase, by one hash of the three."""
+
+    def __init__(self, recurring: pa.Table):
+        doc, phrase, block = (recurring[c].to_numpy().view(np.uint64) for c in ("doc_id", "phrase", "block"))
+        key = self.key(doc, phrase, block)
+        order = np.argsort(key, kind="stable")
+        self.keys, self.same = key[order], recurring["same"].to_numpy(zero_copy_only=False).astype(bool)[order]
+
+    @staticmethod
+    def key(doc: np.ndarray, phrase: np.ndarray, block: np.ndarray) -> np.ndarray:
+        return mix(mix(doc + np.uint64(_BASE)) + mix(phrase) * np.uint64(3) + block)
+
+    def of(self, doc: np.ndarray, phrase: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(whether there is a rule, whether it says that the block goes as a whole)"""
+        key = self.key(doc, phrase, block)
+        at = np.searchsorted(self.keys, key)
+        at[at == len(self.keys)] = 0
+        hit = self.keys[at] == key if len(self.keys) else np.zeros(len(key), dtype=bool)
+        return hit, hit & self.same[at] if len(self.keys) else hit
+
+
+def _located(w: Words, ids: np.ndarray, rule: _Rules, automaton: ahocorasick.Automaton) -> tuple[pa.Array, pa.Array]:
     p = Passages(w)
-    flat = mine.flatten()
-    owner = np.repeat(np.arange(w.rows), np.diff(mine.offsets.to_numpy()))
-    fields = [flat.field(x).to_pylist() for x in ("phrase", "block", "same")]
-    known = {(r, h, b): s for r, h, b, s in zip(owner.tolist(), *fields, strict=True)}
-    keys = list(zip(p.row[p.place].tolist(), p.phrase[p.place].view(np.int64).tolist(), p.blocks().view(np.int64).tolist(), strict=True))
-    listed = np.array([i for i, k in enumerate(keys) if k in known], dtype=np.int64)
-    hit = _places(p, w, listed) if len(listed) else listed
-    hit = np.array([i for i in hit.tolist() if keys[i] in known], dtype=np.int64)
-    same = np.array([known[keys[i]] for i in hit.tolist()], dtype=bool)
-    row = p.row[p.place]
+    place, low, high = p.windows_of(p.located(automaton))
+    row = p.row[place]
+    hit, same = rule.of(ids[row].astype(np.int64).view(np.uint64), p.key[place], p.blocks(place, low, high))
     first = w.first[row]
-    a = hit[same]
-    spans = pa.StructArray.from_arrays([pa.array((p.low - first)[a], pa.int32()), pa.array((p.high - first)[a] + WINDOW, pa.int32())], fields=list(_SPAN))
-    b = hit[~same]
-    sizes = (p.high - p.low + 1)[b]
+    a = np.flatnonzero(same)
+    spans = pa.StructArray.from_arrays([pa.array((low - first)[a], pa.int32()), pa.array((high - first)[a] + WINDOW, pa.int32())], fields=list(_SPAN))
+    b = np.flatnonzero(hit & ~same)
+    sizes = (high - low + 1)[b]
     of = np.repeat(b, sizes)
-    start = p.low[of] + np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    windows = pa.StructArray.from_arrays([signed(p.phrase[p.place[of]]), signed(p.span(start, WINDOW)), pa.array(start - first[of], pa.int32())], fields=list(_WINDOWS))
-    return pa.StructArray.from_arrays([lists(spans, np.bincount(row[a], minlength=w.rows)), lists(windows, np.bincount(row[of], minlength=w.rows))], fields=list(_LOCATED))
+    start = low[of] + np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    windows = pa.StructArray.from_arrays([signed(p.key[place[of]]), signed(p.span(start, WINDOW)), pa.array(start - first[of], pa.int32())], fields=list(_WINDOWS))
+    return lists(spans, np.bincount(row[a], minlength=w.rows)), lists(windows, np.bincount(row[of], minlength=w.rows))
 
 
 def with_key(docs: DataFrame) -> DataFrame:
-    """Documents that take part, with a key of their text beside the doc_id."""
-    return docs.where("doc_id is not null").withColumn("text_key", F.xxhash64("text"))
+    """Documents with a key of their text beside the doc_id."""
+    return docs.withColumn("text_key", F.xxhash64("text"))
 
 
 KEY = ["doc_id", "text_key"]
 
 
 def recurring_blocks(seen: DataFrame) -> DataFrame:
-    """`doc_id, phrase, block` of all phrases to `doc_id, recurring`: what each document must look at.
+    """`doc_id, phrase, block` of all phrases to `doc_id, phrase, block, same`: what must be located.
 
-    recurring is a list of (phrase, block, same). A block that an earlier document has as
-    well is `same`: all its windows go. Otherwise the document is the first with this block,
-    and asks for its windows one by one if the phrase stands in other blocks too.
+    A block that an earlier document has as well is `same`: all its windows go. Otherwise the
+    document is the first with this block, and asks for its windows one by one if the phrase
+    stands in other blocks too. Counts are settled before they are joined, so that joins may split
+    a hot phrase.
     """
-    phrases = seen.groupBy("phrase").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), (F.min("block") == F.max("block")).alias("only"))
-    again = settled(seen.join(phrases.where("first < last").select("phrase", "only"), "phrase").select("doc_id", "phrase", "block", "only"))
-    blocks = again.groupBy("phrase", "block").agg(F.min("doc_id").alias("first"))
-    marked = again.join(blocks, ["phrase", "block"]).withColumn("same", F.col("doc_id") > F.col("first")).where("same or not only")
-    return marked.groupBy("doc_id").agg(F.collect_set(F.struct("phrase", "block", "same")).alias("recurring"))
+    phrases = settled(seen.groupBy("phrase").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), (F.min("block") == F.max("block")).alias("only")).where("first < last").select("phrase", "only"))
+    again = settled(seen.join(phrases, "phrase").select("doc_id", "phrase", "block", "only"))
+    blocks = settled(again.groupBy("phrase", "block").agg(F.min("doc_id").alias("first")))
+    return again.join(blocks, ["phrase", "block"]).withColumn("same", F.col("doc_id") > F.col("first")).where("same or not only").select("doc_id", "phrase", "block", "same")
 
 
-def located_repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """`doc_id, text` to (documents with recurring phrases: key, body, spans, windows; spans of all: key, spans).
-
-    body is the compressed text. Both are settled or cheap to read twice. Texts are shuffled
-    once, compressed, to meet their recurring phrases.
-    """
+def repeated_spans(docs: DataFrame) -> DataFrame:
+    """`doc_id, text` to `doc_id, text_key, cut`: the spans of words to take out of each text that loses any."""
     keyed = with_key(docs.select("doc_id", "text"))
-    seen = settled(keyed.select("doc_id", phrases_of("text").alias("p"))).select("doc_id", F.explode("p").alias("p")).select("doc_id", "p.phrase", "p.block")
-    bodies = keyed.select(*KEY, squeezed("text").alias("body"))
-    met = bodies.join(recurring_blocks(seen), "doc_id").select(*KEY, "body", locate("body", "recurring").alias("l"))
-    located = settled(met.select(*KEY, "body", "l.*").where("size(spans) > 0 or size(windows) > 0"))
+    read = settled(keyed.where("doc_id is not null").select("doc_id", F.octet_length("text").alias("bytes"), phrases_of("text").alias("p")))
+    seen = read.select("doc_id", F.explode("p").alias("p")).select("doc_id", "p.phrase", "p.block")
+    shards = max(1, -(-(read.agg(F.sum("bytes")).first()[0] or 0) // SHARD_BYTES))
+    shard = lambda key: F.pmod(F.xxhash64(key), F.lit(shards))
+    rules = recurring_blocks(seen).withColumn("shard", shard("doc_id"))
+    bodies = keyed.where("doc_id is not null").select(F.col("doc_id").alias("of_doc"), "text_key", squeezed("text").alias("body")).withColumn("of_shard", shard("of_doc"))
+    located = settled(rules.groupBy("shard").cogroup(bodies.groupBy("of_shard")).applyInArrow(locate, LOCATED))
     windows = located.select(*KEY, F.explode("windows").alias("w")).select(*KEY, "w.*")
-    first = windows.groupBy("phrase", "window").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").drop("last")
+    first = settled(windows.groupBy("phrase", "window").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").drop("last"))
     later = windows.join(first, ["phrase", "window"]).where("doc_id > first").select(*KEY, "start", (F.col("start") + WINDOW).alias("end"))
     spans = located.select(*KEY, F.explode("spans").alias("s")).select(*KEY, "s.*")
-    return located, spans.unionByName(later).groupBy(*KEY).agg(F.collect_set(F.struct("start", "end")).alias("cut"))
+    return spans.unionByName(later).groupBy(*KEY).agg(F.collect_set(F.struct("start", "end")).alias("cut"))
 
 
 _KEPT = pa.struct([("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string())])
@@ -226,11 +287,6 @@ def _digest(rows: Iterator[tuple[int, list[bytes]]]) -> pa.Array:
     return pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _KEPT, strict=True)], fields=list(_KEPT))
 
 
-@arrow_column(_KEPT)
-def whole_digest(text: pa.Array) -> pa.Array:
-    return _digest(_kept_words(data[offsets[i] : offsets[i + 1]].tobytes(), []) for at, to, data, offsets in slices(text) for i in range(to - at))
-
-
 @arrow_column(_KEPT)
 def kept_digest(body: pa.Array, spans: pa.Array) -> pa.Array:
     """Of compressed texts without the words of the spans."""
@@ -244,17 +300,14 @@ def kept_text(text: pa.Array, spans: pa.Array) -> pa.Array:
 
 def drop_repeated(docs: DataFrame) -> DataFrame:
     """`docs` with the text of kept words, joined by spaces where any were taken out."""
-    _, cuts = located_repeats(docs)
-    out = docs.withColumn("text_key", F.xxhash64("text")).join(cuts, KEY, "left")
+    out = with_key(docs).join(repeated_spans(docs), KEY, "left")
     return out.withColumn("text", F.when(F.col("cut").isNotNull(), kept_text("text", "cut")).otherwise(F.col("text"))).drop("text_key", "cut")
 
 
 def digests(docs: DataFrame) -> DataFrame:
-    """`doc_id, text` to doc_id, n_words, n_removed, kept_sha256. Only texts that lose words are looked at twice."""
-    whole = docs.select("doc_id", F.xxhash64("text").alias("text_key"), whole_digest("text").alias("whole"))
-    located, cuts = located_repeats(docs)
-    cut = located.select(*KEY, "body").dropDuplicates(KEY).join(cuts, KEY).select(*KEY, kept_digest("body", "cut").alias("less"))
-    return whole.join(cut, KEY, "left").select("doc_id", F.coalesce("less", "whole").alias("k")).select("doc_id", "k.*")
+    """`doc_id, text` to doc_id, n_words, n_removed, kept_sha256."""
+    bodies = with_key(docs).select(*KEY, squeezed("text").alias("body"))
+    return bodies.join(repeated_spans(docs), KEY, "left").select("doc_id", kept_digest("body", "cut").alias("k")).select("doc_id", "k.*")
 
 
 def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:

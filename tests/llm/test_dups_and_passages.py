@@ -4,8 +4,11 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import zstandard
 
 from svloom.llm import decontaminate, near_dups, substrings
+from svloom.llm.kernels import words_in
 
 from .helpers import DOCS, documents, folder, sentence, words
 
@@ -58,6 +61,43 @@ def test_passages_as_text_and_repeated_rows(spark):
     assert got == {0: p, 1: "x y", 2: None}
 
 
+def test_the_automaton_gives_the_places(spark, monkeypatch):
+    """A phrase that is taken out of the shards' automata takes its spans along; long texts and many shards do no harm."""
+    rng = random.Random(18)
+    p, long = sentence(rng, 60), sentence(rng, 150_000)
+    texts = ["x " + p, p + " y", long, "z " + long, None]
+    docs = documents(spark, texts).unionByName(documents(spark, [p]).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "text", "lang", "source", "n_chars"))
+    digest = lambda: {r["doc_id"]: (r["n_words"], r["n_removed"]) for r in substrings.digests(docs).collect()}
+    want = {0: (61, 0), 1: (61, 60), 2: (150_000, 0), 3: (150_001, 150_000), 4: (0, 0), None: (60, 0)}
+    assert digest() == want
+    monkeypatch.setattr(substrings, "SHARD_BYTES", 1000)
+    assert digest() == want
+    w = next(words_in(pa.array([texts[1]])))[2]
+    found = substrings.Passages(w)
+    place, low, high = found.choose()
+    keys = np.unique(found.key[place])
+    table = pa.table({"doc_id": [1] * len(place), "phrase": found.key[place].view(np.int64), "block": found.blocks(place, low, high).view(np.int64), "same": [True] * len(place)})
+    body = pa.table({"of_doc": [1], "text_key": [0], "body": pa.array([zstandard.compress(texts[1].encode())], pa.binary())})
+    spans = lambda: {s["start"] for r in substrings.locate(table, body).to_pylist() for s in r["spans"]}
+    assert spans() == set(low.tolist())
+    whole = substrings.automaton_of
+    for gone in keys:
+        monkeypatch.setattr(substrings, "automaton_of", lambda phrases, gone=gone: whole(phrases[phrases != gone.view(np.int64)]))
+        assert spans() == set(low[found.key[place] != gone].tolist())
+
+
+def test_shards_find_what_windows_choose():
+    """The windows worked out around a located phrase are those that winnowing gives it."""
+    rng = random.Random(19)
+    for _ in range(60):
+        texts = [" ".join(rng.choice("ab") if rng.random() < 0.7 else str(rng.randrange(99)) for _ in range(rng.randrange(200))) for _ in range(4)]
+        for _, _, w in words_in(pa.array(texts)):
+            p = substrings.Passages(w)
+            place, low, high = p.choose()
+            got = p.windows_of(p.located(substrings.automaton_of(np.unique(p.key[place]).view(np.int64))))
+            assert [x.tolist() for x in got] == [x.tolist() for x in (place, low, high)]
+
+
 def test_passages_of_nothing(spark, tmp_path):
     assert substrings.op9_substrings(spark, folder(spark, tmp_path, documents=spark.createDataFrame([], DOCS))).count() == 0
 
