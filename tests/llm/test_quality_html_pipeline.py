@@ -1,4 +1,6 @@
 import random
+import re
+import time
 import zlib
 
 import corpus_pipeline
@@ -64,7 +66,7 @@ def test_marked_article(spark, tmp_path):
 
 
 def test_wrapped_articles_are_not_lost():
-    text = lambda page: [t for t, a in html_text.page_blocks(page)]
+    text = lambda page: [t for t, _ in html_text.page_lines(page)]
     story = "<article><p>Story</p><div class='share-buttons'>Share</div></article>"
     for wrap in ('<body class="has-sidebar">{}</body>', '<body class="no-sidebar header-fixed">{}</body>', '<body class="sidebar">{}</body>', '<div id="content-with-sidebar">{}</div>', "<form action=x>{}</form>", '<div class="sidebar-layout">{}</div>', '<div class="related">{}</div>', "<div class=modal><main>{}</main></div>"):
         assert text(wrap.format(story)) == ["Story"], wrap
@@ -77,13 +79,84 @@ def test_wrapped_articles_are_not_lost():
     assert text("<select><option>One<option>Two<p>Story</p>") == ["Story"]
 
 
+def test_nothing_else_is_dropped():
+    """Names that only hold a frame word, other attributes' values and inline frames cost no text."""
+    text = lambda page: [t for t, _ in html_text.page_lines(page)]
+    for page, want in (
+        ('<body class="no-sidebar"><article><p>Hello world</p></article>', ["Hello world"]),
+        ('<main class="with-sidebar"><p>Hello world</p></main>', ["Hello world"]),
+        ('<article><div style="overflow:hidden"><p>Body text</p></div><p data-hidden="0">More</p><p hidden>No</p></article>', ["Body text", "More"]),
+        ('<article><section id="related-work"><p>Work</p></section><div class="search-results">Results</div><div class="article-header"><h1>Title</h1></div></article>', ["Work", "Results", "Title"]),
+        ('<article><p>One <span class="ad">Buy</span> two <b class=x>three</b></p><div class="related-posts">Other</div></article>', ["One two three"]),
+        ('<article><p>a < b and c</p><p title="x > y">d</p></article> tail <a href=', ["a < b and c", "d"]),
+        ('<p title="it\'s">one</p><p>two" three</p><p title="open>four</p>', ["one", 'two" three', "four"]),
+        ("<nav>Menu</nav><footer>Foot</footer>", []),
+        ('<div class="header">Site</div><p>Story', ["Story"]),
+    ):
+        assert text(page) == want, page
+
+
+def test_long_pages_are_scanned_in_linear_time():
+    pages = ["<a " * 1_700_000, "<a b='" * 800_000, "<div>" * 300_000 + "</span>" * 300_000, "<select>" * 500_000, "<" * 2_000_000, '<p class="x' * 400_000 + ">", "<!--" * 1_000_000, "<p>some words of text</p>" * 200_000]
+    began = time.process_time()
+    for page in pages:
+        html_text.page_lines(page)
+    assert time.process_time() - began < 40
+    rng = random.Random(20)
+    a, b = ([rng.randrange(3) if rng.random() < 0.5 else rng.randrange(10**6) for _ in range(12_000)] for _ in range(2))
+    began = time.process_time()
+    hit = html_text.common_lines(a, b)
+    rest = iter(b)
+    assert all(a[i] in rest for i in hit) and time.process_time() - began < 20
+
+
 def test_pairing_deletes_the_shared_frame(spark, tmp_path):
-    page = "<body><div>Home</div><p>About</p><p>Story {0}</p><p>More of {0}</p><p>End</p></body>"
+    page = "<body><div>Home</div><p>About</p><p>Story {0} {0}</p><p>More of {0} {0}</p><p>End</p></body>"
     rows = [(f"http://h.org/a/{i:02}", page.format(i)) for i in range(6)] + [("http://alone.org/", page.format("x")), ("http://twin.org/1", page.format("t")), ("http://twin.org/2", page.format("t"))]
     got = extract(spark, tmp_path, *rows)
-    assert got.text.tolist()[:6] == [f"Story {i}\n\nMore of {i}" for i in range(6)]
-    assert got.text[6] == "Home\n\nAbout\n\nStory x\n\nMore of x\n\nEnd"
-    assert got.text[7] == got.text[8] == "Home\n\nAbout\n\nStory t\n\nMore of t\n\nEnd"
+    assert got.text.tolist()[:6] == [f"Story {i} {i}\n\nMore of {i} {i}" for i in range(6)]
+    assert got.text[6] == "Home\n\nAbout\n\nStory x x\n\nMore of x x\n\nEnd"
+    assert got.text[7] == got.text[8] == "Home\n\nAbout\n\nStory t t\n\nMore of t t\n\nEnd"
+
+
+def brute_extract(rows):
+    """Pairs pages by sorting all of them, and aligns by the whole table."""
+    split = lambda u: re.fullmatch(r"(?:.*?://([^/?#]*)([^?#]*).*)?", u or "", re.S).groups("")
+    lines = [html_text.page_lines(h or "") for _, _, h in rows]
+    order = sorted(range(len(rows)), key=lambda i: (*split(rows[i][1]), rows[i][0]))
+    out = {}
+    for k, i in enumerate(order):
+        texts, gone = [t for t, _ in lines[i]], set()
+        beside = [order[j] for j in (k - 1, k + 1) if 0 <= j < len(order) and split(rows[order[j]][1])[0] == split(rows[i][1])[0]]
+        for j in beside:
+            hit = html_text.common_lines(texts, [t for t, _ in lines[j]])
+            size = lambda some: sum(len(texts[x].split()) for x in some)
+            if hit and 2 * size(hit) < size(range(len(texts))):
+                gone = {x for x in hit if lines[i][x][1]}
+                break
+        out[rows[i][0]] = "\n\n".join(t for x, t in enumerate(texts) if x not in gone)
+    return out
+
+
+def test_extraction_is_that_of_all_pairs(spark, tmp_path):
+    """Suspects go where a neighbour shares them, marked articles stay, copies show nothing, repeated rows are each extracted."""
+    rng = random.Random(21)
+    rows = []
+    for i in range(60):
+        host = rng.choice(["a.org", "b.org", "c.net", "lone.net" if i == 7 else "a.org"])
+        site = f"<div>Top of {host}</div>"
+        story = "".join(f"<p>{sentence(rng, rng.randrange(1, 12))}</p>" for _ in range(rng.randrange(6)))
+        kind = rng.randrange(4)
+        promo = f'<div class="promo-of-{host[0]}">Same promo of {host}</div>'
+        body = [f"{site}{story}<p>Foot of {host}</p>", f"<nav>x</nav><article>{story}{promo}</article>", f'<main class="with-menu">{story}</main>{site}', rows[-1][2] if rows else story][kind]
+        rows.append((i, f"http://{host}/{rng.choice('xyz')}/{rng.randrange(9)}?q={i}", body))
+    rows += [(60, None, "<p>lone</p>"), (61, "http://a.org/z/99", None)]
+    got = extract(spark, tmp_path, *(r[1:] for r in rows))
+    want = brute_extract(rows)
+    assert {i: r.text for i, r in got.iterrows()} == want
+    assert any("Same promo" in t for t in want.values()) and sum("Same promo" in r[2] for r in rows if r[2]) > sum("Same promo" in t for t in want.values())
+    pages = spark.createDataFrame([(1, "http://a.org/1", "<p>x</p>")] * 2 + [(1, "http://a.org/2", "<p>y</p>"), (None, None, "<p>z</p>")], PAGES)
+    assert sorted(r["text"] for r in html_text.extract_text(pages).collect()) == ["x", "x", "y", "z"]
 
 
 def lcs(a, b):
@@ -94,10 +167,12 @@ def lcs(a, b):
     return t[-1][-1]
 
 
-def test_common_lines_are_longest():
+def test_common_lines_are_longest(monkeypatch):
     rng = random.Random(10)
-    for _ in range(100):
+    for k in range(200):
         a, b = ([rng.randrange(6) for _ in range(rng.randrange(15))] for _ in range(2))
+        if k == 100:
+            monkeypatch.setattr(html_text, "AT_ONCE", 1)
         hit = html_text.common_lines(a, b)
         rest = iter(b)
         assert hit == sorted(set(hit)) and len(hit) == lcs(a, b) and all(a[i] in rest for i in hit)
