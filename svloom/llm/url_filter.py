@@ -6,28 +6,39 @@ estimated by moments at each level, shrinks a domain towards its suffix and a ho
 its domain. A host is blocked if the lower 90% bound of its posterior share of bad pages lies
 above a quarter, so a few bad pages don't condemn a host of a good domain.
 
-Outcomes come with the pages: a page is bad if its host carries a term of SPAM_TERMS or its
-visible text is mostly junk signs, good if it has a visible text without them; pages
-without visible text are not labelled.
+Pages have no labels, documents do. So a page is labelled by its content, never by its host's
+name: what sets documents of bad quality apart (shares of junk signs, of capitals and of
+repeated words, each in steps) gives log odds for the main text of a page. A page with positive
+log odds is bad, else good; one with hardly any text is not labelled. The odds are counted on at
+most `sample_rows` labelled documents, those whose id has the least checksum.
 
 Cases: a null url or one without "://" has an empty host and path, fits no rule, and stands
-for a host of its own; pages of equal url are each judged; an empty table gives no rows.
+for a host of its own; null, empty and very long html is one page more, labelled if it has text;
+pages of equal url and repeated rows are each judged; without labels no page is bad; a label of
+a null or unknown document teaches nothing; an empty table gives no rows; other columns are
+ignored.
 """
 
 from __future__ import annotations
 
+import math
 import string
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import settled, table
+from .common import WORD, settled, table
 
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
-SPAM_TERMS = ("spam", "pills", "casino", "viagra", "xxx", "porn", "warez", "malware", "phish")
-#: What is not visible text of a page.
-VISIBLE = r"(?s)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->|<[^>]*>"
+#: The article of a page, and what of it is not visible text.
+ARTICLE = r"(?is)<article\b[^>]*>(.*)</article>"
+VISIBLE = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<title\b.*?</title>|<!--.*?-->|<[^>]*>"
+JUNK = "[#*$%|<>@^~!?]"
+#: What of a text is counted, and how many steps a whole share has; the last step holds all from STEPS on.
+SIGNS = (("junk", 200), ("capitals", 40), ("repeats", 20))
+STEPS = 20
 #: Second labels that belong to the suffix where a country code follows.
 SECOND_LABELS = ("co", "com", "org", "net", "ac", "gov", "edu")
 
@@ -62,11 +73,41 @@ def domain_of(host: Column) -> Column:
     return F.when(two, F.substring_index(host, ".", -3)).otherwise(F.substring_index(host, ".", -2))
 
 
-def page_outcome(host: Column, html: Column, max_junk: float = 0.04) -> Column:
+def main_text(html: Column) -> Column:
+    found = F.regexp_extract(html, ARTICLE, 1)
+    return F.regexp_replace(F.when(found != "", found).otherwise(html), VISIBLE, " ")
+
+
+def text_signs(text: Column) -> list[Column]:
+    """The step of each of SIGNS that a text is on."""
+    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+    without = lambda chars: F.length(text) - F.length(F.regexp_replace(text, chars, ""))
+    found = ((without(JUNK), F.length(text)), (without("[A-Z]"), F.length(text)), (F.size(words) - F.size(F.array_distinct(words)), F.size(words)))
+    return [F.least(F.lit(STEPS), F.floor(steps * n.cast("long") / F.greatest(F.lit(1), size))).cast("int").alias(name) for (name, steps), (n, size) in zip(SIGNS, found, strict=True)]
+
+
+def sign_odds(docs: DataFrame, labels: DataFrame, sample_rows: int = 12_000) -> tuple[float, dict[str, list[float]]]:
+    """(log odds that a document is bad, what each step of each sign adds), from the labelled sample.
+
+    A row for each step comes to the driver.
+    """
+    known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("quality").alias("good"))
+    sample = known.orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(sample_rows)
+    taught = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("good", *text_signs(F.coalesce("text", F.lit(""))))
+    steps = taught.select("good", F.explode(F.array(*[F.struct(F.lit(name).alias("sign"), F.col(name).alias("step")) for name, _ in SIGNS])).alias("s"))
+    counts = {(r["sign"], r["step"], r["good"]): r["count"] for r in steps.groupBy("s.sign", "s.step", "good").count().collect()}
+    total = [sum(n for (sign, _, good), n in counts.items() if good == k and sign == SIGNS[0][0]) for k in (0, 1)]
+    share = lambda name, step, good: (counts.get((name, step, good), 0) + 1) / (total[good] + STEPS + 1)
+    odds = {name: [math.log(share(name, step, 0) / share(name, step, 1)) for step in range(STEPS + 1)] for name, _ in SIGNS}
+    return math.log((total[0] + 1) / (total[1] + 1)), odds
+
+
+def page_outcome(html: Column, odds: tuple[float, dict[str, list[float]]], min_chars: int = 20) -> Column:
     """1 bad, 0 good, null not labelled."""
-    text = F.regexp_replace(html, VISIBLE, "")
-    junk = F.length(text) - F.length(F.regexp_replace(text, r"[#*$%|!]", ""))
-    return F.when(host.rlike("|".join(SPAM_TERMS)), 1).when(F.length(text) >= 20, (junk > max_junk * F.length(text)).cast("int"))
+    text = main_text(html)
+    weigh = lambda step, name: F.element_at(F.array(*map(F.lit, odds[1][name])), step + 1)
+    total = reduce(lambda a, x: a + x, [weigh(step, name) for step, (name, _) in zip(text_signs(text), SIGNS, strict=True)], F.lit(odds[0]))
+    return F.when(F.length(F.trim(text)) >= min_chars, (total > 0).cast("int"))
 
 
 def _strength(groups: DataFrame) -> float:
@@ -103,18 +144,20 @@ def host_reputation(pages: DataFrame, z: float = 1.28, limit: float = 0.25) -> D
     return out.select("host", mean.alias("bad_share"), bound.alias("bad_bound"), (bound > limit).alias("bad_host"))
 
 
-def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> DataFrame:
-    """`page_id, url, html` to page_id, host, path, rule, verdict and the host's bad_share."""
+def filter_urls(pages: DataFrame, docs: DataFrame, labels: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> DataFrame:
+    """`page_id, url, html` to page_id, host, path, rule, verdict and the host's bad_share; docs and labels tell bad texts."""
+    odds = sign_odds(docs, labels)
     host, path = F.col("host"), F.col("path")
     seen = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "html")
-    reputation = host_reputation(seen.select("host", page_outcome(host, F.col("html")).alias("outcome")))
+    reputation = host_reputation(seen.select("host", page_outcome(F.col("html"), odds).alias("outcome")))
     judged = seen.select("page_id", "host", "path").join(reputation, "host")
     method = F.when(F.col("bad_host"), "block").otherwise("allow")
     return judged.select("page_id", "host", "path", rule_for(host, path, rules, lambda _, r: F.lit(r)).alias("rule"), F.coalesce(rule_for(host, path, rules, lambda v, _: F.lit(v)), method).alias("verdict"), F.round("bad_share", 6).alias("bad_share"), F.round("bad_bound", 6).alias("bad_bound"))
 
 
 def op3_filter_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return filter_urls(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return filter_urls(pages, table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
 
 
 def _rules_sql(what: str) -> str:
@@ -134,10 +177,27 @@ def _level_sql(name: str, groups: str, parent: str) -> str:
 {name} AS MATERIALIZED (SELECT x.*, (1 - rho) / rho * {parent} + bad AS a, (1 - rho) / rho * (1 - {parent}) + n - bad AS b FROM {groups} x, {name}_r)"""
 
 
+def _signs_sql(text: str) -> str:
+    """The columns of `text_signs`."""
+    words = f"regexp_extract_all({text}, '{WORD}')"
+    without = lambda chars: f"length({text}) - length(regexp_replace({text}, '{chars}', '', 'g'))"
+    found = ((without(JUNK), f"length({text})"), (without("[A-Z]"), f"length({text})"), (f"len({words}) - len(list_distinct({words}))", f"len({words})"))
+    return ", ".join(f"CAST(least({STEPS}, floor({steps} * ({n}) / greatest(1, {size}))) AS INTEGER) AS {name}" for (name, steps), (n, size) in zip(SIGNS, found, strict=True))
+
+
+_SHARE_SQL = f"(coalesce(sum(n) FILTER (good = {{0}}), 0) + 1) / (any_value(n{{0}}) + {STEPS + 1})"
+
 OP3_SQL = f"""
-WITH q AS (SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}') AS host,
-  coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path, regexp_replace(html, '{VISIBLE}', '', 'g') AS text FROM pages),
-o AS (SELECT host, CASE WHEN regexp_matches(host, '{"|".join(SPAM_TERMS)}') THEN 1 WHEN length(text) >= 20 THEN CAST(length(text) - length(regexp_replace(text, '[#*$%|!]', '', 'g')) > 0.04 * length(text) AS INTEGER) END AS bad FROM q),
+WITH known AS (SELECT doc_id, max(quality) AS good FROM labels WHERE quality IN (0, 1) AND doc_id IS NOT NULL GROUP BY doc_id ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id LIMIT 12000),
+taught AS MATERIALIZED (SELECT good, {_signs_sql("t")} FROM (SELECT good, coalesce(text, '') AS t FROM documents JOIN known USING (doc_id))),
+sizes AS (SELECT count(*) FILTER (good = 0) AS n0, count(*) FILTER (good = 1) AS n1 FROM taught),
+seen AS (SELECT good, sign, step, count(*) AS n FROM (UNPIVOT taught ON {", ".join(name for name, _ in SIGNS)} INTO NAME sign VALUE step) GROUP BY ALL),
+odds AS MATERIALIZED (SELECT sign, step, ln(({_SHARE_SQL.format(0)}) / ({_SHARE_SQL.format(1)})) AS w FROM (SELECT s.sign, x.step, good, n, n0, n1 FROM (SELECT unnest(['{"', '".join(name for name, _ in SIGNS)}']) AS sign) s CROSS JOIN (SELECT unnest(range({STEPS + 1})) AS step) x CROSS JOIN sizes LEFT JOIN seen ON seen.sign = s.sign AND seen.step = x.step) GROUP BY sign, step),
+q AS MATERIALIZED (SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}') AS host,
+  coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path, regexp_replace(CASE WHEN regexp_extract(html, '{ARTICLE}', 1) <> '' THEN regexp_extract(html, '{ARTICLE}', 1) ELSE html END, '{VISIBLE}', ' ', 'g') AS text FROM pages),
+weighed AS (SELECT host, text, {_signs_sql("text")} FROM q),
+o AS (SELECT host, CASE WHEN length(trim(text, ' ')) >= 20 THEN CAST((SELECT ln((n0 + 1) / (n1 + 1)) FROM sizes) + {" + ".join(f"{name}_o.w" for name, _ in SIGNS)} > 0 AS INTEGER) END AS bad
+  FROM weighed {" ".join(f"LEFT JOIN odds {name}_o ON {name}_o.sign = '{name}' AND {name}_o.step = weighed.{name}" for name, _ in SIGNS)}),
 h0 AS (SELECT host, string_split(host, '.') AS l, count(bad) AS n, coalesce(sum(bad), 0) AS bad FROM o GROUP BY host),
 h1 AS (SELECT *, len(l) > 2 AND length(l[-1]) = 2 AND l[-2] IN ('co', 'com', 'org', 'net', 'ac', 'gov', 'edu') AS two FROM h0),
 h AS MATERIALIZED (SELECT host, n, bad, array_to_string(CASE WHEN two THEN l[-3:] ELSE l[-2:] END, '.') AS domain, array_to_string(CASE WHEN two THEN l[-2:] ELSE l[-1:] END, '.') AS suffix FROM h1),

@@ -1,14 +1,24 @@
 import hashlib
+import os
 import random
 import re
 
+import duckdb
 from pyspark.sql import functions as F
 
 from svloom.llm import chat, secrets, url_filter
 
-from ..compare import assert_same, connect
+from ..compare import TABLES, assert_same
 from .helpers import DOCS, documents, folder, sentence
 
+
+def connect(sf_dir, names=TABLES):
+    con = duckdb.connect()
+    for t in names:
+        at = f"{sf_dir}/{t}.parquet"
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{at if os.path.isfile(at) else at + '/*.parquet'}'")
+    return con
+
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS, HEX = re.compile("AKIA[A-Z0-9]+"), re.compile("[0-9a-f]+")
 
@@ -66,10 +76,24 @@ def brute_rule(url):
     return (host, path, *(max(fits)[1:] if fits else (None, None)))
 
 
+def judged(rng, n=60):
+    """Documents of which every third is bad by its content, and their labels."""
+    rows = [(i, sentence(rng, 30) if i % 3 else rng.choice(["#$% *** ||| win now !!! " * 9, sentence(rng, 30).upper(), "buy this now " * 25])) for i in range(n)]
+    return rows, [(i, int(i % 3 > 0), 0) for i, _ in rows]
+
+
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def web(spark, tmp_path, pages, taught=None):
+    docs, labels = taught or judged(random.Random(5))
+    return folder(spark, tmp_path, pages=spark.createDataFrame(pages, "page_id long, url string, html string"), documents=documents(spark, [t for _, t in docs]), labels=spark.createDataFrame(labels, LABELS))
+
+
 def test_rules(spark, tmp_path):
     urls = [None, "", "no scheme", "http://A.NET/x", "http://net/", "http://net", "https://www.example.net/en/1?x#y", "https://example.net/de/", "http://example.com/de/a", "http://sub.example.com/de", "http://example.com/en", "ftp://x.org/fr/p", "http://notnet/", "http://É.NET/en/#a://b.net/", "http://x.net:80/", "http://a.org?x=/fr/", "http://u@v.net/a/b?c"]
-    pages = spark.createDataFrame([(i, u, "<p>some text that is long enough to judge</p>") for i, u in enumerate(urls)], "page_id long, url string, html string")
-    got = url_filter.op3_filter_urls(spark, folder(spark, tmp_path, pages=pages)).toPandas().set_index("page_id")
+    pages = [(i, u, "<p>some text that is long enough to judge</p>") for i, u in enumerate(urls)]
+    got = url_filter.op3_filter_urls(spark, web(spark, tmp_path, pages)).toPandas().set_index("page_id")
     assert len(got) == len(urls)
     for i, u in enumerate(urls):
         host, path, verdict, rule = brute_rule(u)
@@ -80,19 +104,36 @@ def test_rules(spark, tmp_path):
 
 
 def test_reputation(spark, tmp_path):
-    """Many bad pages block a host; one does not; null html and equal urls do no harm."""
-    good, bad = "<p>plain words of a decent page go on here</p>", "<p>#$%| *** $$$ ### %%% ||| win now</p>"
-    rows = [(f"http://h{i % 40}.example.org/p{i}", good) for i in range(400)] + [("http://junk.example.org/a", bad)] * 30 + [("http://h1.example.org/odd", bad), ("http://h2.example.org/null", None), ("http://spam-hub.example.org/1", good)]
-    rows += [(f"http://spam-hub.example.org/{i}", good) for i in range(9)]
-    pages = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id long, url string, html string")
-    got = url_filter.op3_filter_urls(spark, folder(spark, tmp_path, pages=pages)).toPandas()
+    """Many bad pages block a host, whatever its name; one does not; null and long html, equal urls and repeated rows do no harm."""
+    rng = random.Random(6)
+    good = lambda: f"<nav>#$% ||| ***</nav><article><p>{sentence(rng, 25)}</p></article>"
+    bad = lambda: rng.choice(["<p>#$%| *** $$$ ### %%% ||| win now</p>", f"<article>{sentence(rng, 25).upper()}</article>", "<p>buy this now " + "buy this now " * 20])
+    rows = [(f"http://h{i % 40}.example.org/p{i}", good()) for i in range(400)] + [("http://plain-name.example.org/a", bad()) for _ in range(30)] + [("http://h1.example.org/odd", bad()), ("http://h2.example.org/null", None), ("http://h3.example.org/long", f"<p>{sentence(rng, 150_000)}")]
+    rows += [(f"http://casino-spam.example.org/{i}", good()) for i in range(10)]
+    pages = [(i, *r) for i, r in enumerate(rows)]
+    sf = web(spark, tmp_path, [*pages, pages[0], (None, None, good())])
+    got = url_filter.op3_filter_urls(spark, sf).toPandas()
+    assert len(got) == len(pages) + 2
     verdicts = got.groupby("host").verdict.agg(set).to_dict()
-    assert verdicts["junk.example.org"] == {"block"} and verdicts["spam-hub.example.org"] == {"block"}
+    assert verdicts["plain-name.example.org"] == {"block"} and verdicts["casino-spam.example.org"] == {"allow"}
     assert all(v == {"allow"} for h, v in verdicts.items() if h.startswith("h"))
+    known = connect(sf, ("pages", "documents", "labels")).sql(url_filter.OP3_SQL).filter("page_id IS NOT NULL")
+    assert_same(url_filter.op3_filter_urls(spark, sf).where("page_id IS NOT NULL"), known.df())
+
+
+def test_reputation_without_labels(spark, tmp_path):
+    sf = web(spark, tmp_path, [(i, "http://a.org/", "<p>#$% *** ||| win now !!! ###</p>") for i in range(9)], ([(0, None)], [(7, 1, 0), (None, 0, 0)]))
+    assert set(url_filter.op3_filter_urls(spark, sf).toPandas().verdict) == {"allow"}
+
+
+def test_urls_as_sql(spark, sf_dir):
+    assert_same(url_filter.op3_filter_urls(spark, sf_dir), connect(sf_dir).sql(url_filter.OP3_SQL).df())
 
 
 def test_urls_of_nothing(spark, tmp_path):
-    assert url_filter.op3_filter_urls(spark, folder(spark, tmp_path, pages=spark.createDataFrame([], "page_id long, url string, html string"))).count() == 0
+    pages = spark.createDataFrame([], "page_id long, url string, html string")
+    sf = folder(spark, tmp_path, pages=pages, documents=spark.createDataFrame([], DOCS), labels=spark.createDataFrame([], LABELS))
+    assert url_filter.op3_filter_urls(spark, sf).count() == 0
 
 
 CHAT = "conv_id long, turn long, role string, text string"
