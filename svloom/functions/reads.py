@@ -69,51 +69,80 @@ def infer_svtype(low: int = C.ISIZE_MEAN - 2 * C.ISIZE_SD, high: int = C.ISIZE_M
     )
 
 
+# Where the other breakpoint is.
+#
+# A fragment runs from its read's outer end in the read's own direction d (+1 forward, -1 reverse)
+# over `isize_mean` bases, the mate at its far end. Say the breakpoint `at` lies `reach` bases from the
+# outer end, and the read's aligned part covers `span`. Seen along d, everything mirrors, so each
+# kind of event has one formula for both strands:
+#
+# deletion      the fragment goes on beyond the gap. Mates lie |tlen| apart from outer end to outer end, which
+#               is the fragment and the gap: the gap is |tlen| - mean.
+# duplication   the fragment goes on at the copy's begin, behind the read, where mean - reach bases reach the
+#               mate's outer end. From the mate's inner end to the end of the read's part is |tlen|.
+# inversion     the fragment goes on at the other breakpoint against d, so mates point the same way. Mean - reach
+#               bases on, the mate's outer end is behind the read, or ahead of it at the segment's far side. If
+#               the breakpoint is behind the aligned part (the read begins before it), the rest of the fragment
+#               lies in the segment and goes past its other end to the mate.
+
+
+def _direction() -> Column:
+    return F.when(F.col("is_reverse"), -1).otherwise(1)
+
+
+def _mate_ahead() -> Column:
+    """The mate lies on in the read's direction."""
+    return (F.col("pos") <= F.col("mate_pos")) == ~F.col("is_reverse")
+
+
+def _beyond(svtype: Column, ahead: Column, behind: Column, reach: Column, span: Column, isize_mean: int, inserted: Column, deleted: Column, doubled: Column) -> Column:
+    """How far beyond the breakpoint, along the read's direction, the other one is; null if the read tells nothing.
+
+    ahead, behind: where the breakpoint lies from the read. inserted, deleted, doubled: whether the
+    read is in place for these events.
+    """
+    stretch, total = F.abs("tlen") - isize_mean, F.abs("tlen") + isize_mean
+    inverted = (
+        F.when(ahead & _mate_ahead(), total - 2 * reach - F.col("rlen"))
+        .when(ahead, span - 2 * reach - stretch)
+        .when(behind & ~_mate_ahead(), F.col("rlen") - 2 * reach - stretch)
+    )
+    return (
+        F.when(svtype == "DEL", F.when(deleted, stretch))
+        .when(svtype == "DUP", F.when(doubled, F.col("rlen") + span - total))
+        .when(svtype == "INV", inverted)
+        .when(svtype == "INS", F.when(inserted, F.lit(0)))
+    )
+
+
+def _placed(svtype: Column, at: Column, beyond: Column) -> Column:
+    """The other breakpoint's place; 1, by convention, for insertions."""
+    return F.when(svtype == "INS", F.when(beyond.isNotNull(), F.lit(1).cast("bigint"))).otherwise(at + _direction() * beyond)
+
+
 def other_breakpoint(svtype: Column, location: Column, clip: Column, isize_mean: int = C.ISIZE_MEAN, near_end: int = 2) -> Column:
     """Where a clipped read puts the other breakpoint (1 for insertions); null if it fits none. See `votes`.
 
-    The fragment spans `isize_mean`; what the insert size has over it, or with it, leads from
-    the clip to the other end, on the side that strand and order of the pair allow.
+    A clip ahead ends the aligned part at the breakpoint; a clip behind is what of the read lies before it.
     """
     left, right = clip["left"] <= near_end, clip["right"] <= near_end
-    reverse, first = F.col("is_reverse"), F.col("pos") <= F.col("mate_pos")
-    over, both = F.abs("tlen") - isize_mean, F.abs("tlen") + isize_mean
-    n = F.col("rlen")
-    ins = F.when((left & reverse) | (right & ~reverse), F.lit(1).cast("bigint"))
-    inv = (
-        F.when(right & ~reverse & ~first, location - (over + clip["left"]))
-        .when(left & ~reverse & ~first, location + (n - over - 2 * clip["len"]))
-        .when(left & reverse & first, location + over + clip["right"])
-        .when(right & reverse & first, location - (n - over - 2 * clip["len"]))
-        .when(left & reverse & ~first, location - (both - 2 * clip["right"] - n))
-        .when(right & ~reverse & first, location + (both - 2 * clip["left"] - n))
-    )
-    dele = F.when(left & reverse & ~first, location - over).when(right & ~reverse & first, location + over)
-    dup = F.when(left & reverse & first, location + both - n - clip["right"]).when(right & ~reverse & ~first, location - both + n + clip["left"])
-    at = F.when(svtype == "INS", ins).when(svtype == "INV", inv).when(svtype == "DEL", dele).when(svtype == "DUP", dup)
-    return at
+    ahead, behind = F.when(F.col("is_reverse"), left).otherwise(right), F.when(F.col("is_reverse"), right).otherwise(left)
+    kept = F.when(F.col("is_reverse"), clip["right"]).otherwise(clip["left"])
+    reach = F.when(ahead, kept).otherwise(clip["len"])
+    return _placed(svtype, location, _beyond(svtype, ahead, behind, reach, kept, isize_mean, ahead, ahead & _mate_ahead(), ahead & ~_mate_ahead()))
 
 
 def neighbour_breakpoint(svtype: Column, location: Column, isize_mean: int = C.ISIZE_MEAN, wiggle: int = 20) -> Column:
     """The same for a read without a clip, from its distance to the breakpoint."""
-    left, right = F.col("pos") > location - wiggle, F.col("aend") < location + wiggle
-    reverse, first = F.col("is_reverse"), F.col("pos") <= F.col("mate_pos")
-    over, both = F.abs("tlen") - isize_mean, F.abs("tlen") + isize_mean
-    n, before, after = F.col("rlen"), F.col("pos") - location, F.col("aend") - location
+    before, beside = F.col("aend") < location + wiggle, F.col("pos") > location - wiggle
+    ahead, behind = F.when(F.col("is_reverse"), beside).otherwise(before), F.when(F.col("is_reverse"), before).otherwise(beside)
+    outer = F.when(F.col("is_reverse"), F.col("aend")).otherwise(F.col("pos"))
+    mate_edge = F.when(F.col("is_reverse"), F.col("mate_pos") + F.col("rlen")).otherwise(F.col("mate_pos"))
     away = F.col("mate_is_unmapped") | (F.col("chrom") != F.col("mate_chrom"))
-    ins = F.when(~reverse & right, F.when(away | (F.col("mate_pos") > location - wiggle), 1)).when(reverse & left, F.when(away | (F.col("mate_pos") + n < location + wiggle), 1)).cast("bigint")
-    inv = (
-        F.when(~reverse & ~first & right, location - (over - 2 * before - n))
-        .when(~reverse & ~first & left, location + (2 * before - over + n))
-        .when(reverse & first & left, location + (over + 2 * after - n))
-        .when(reverse & first & right, location - (n - over - 2 * after))
-        .when(reverse & ~first & left, location - (both - 2 * after - n))
-        .when(~reverse & first & right, location + (both + 2 * before - n))
-    )
-    dele = F.when(reverse & left, location - over).when(~reverse & right, location + over)
-    dup = F.when(reverse & first & left, location + both - 2 * n).when(~reverse & ~first & (F.col("pos") < location + wiggle), location - both + 2 * n)
-    at = F.when(svtype == "INS", ins).when(svtype == "INV", inv).when(svtype == "DEL", dele).when(svtype == "DUP", dup)
-    return at
+    inserted = ahead & (away | (_direction() * (mate_edge - location) > -wiggle))
+    begun = F.when(F.col("is_reverse"), ahead).otherwise(F.col("pos") < location + wiggle)  # a forward read of a duplication may run over the breakpoint
+    reach = _direction() * (location - outer)
+    return _placed(svtype, location, _beyond(svtype, ahead, behind, reach, F.col("rlen"), isize_mean, inserted, ahead, begun & ~_mate_ahead()))
 
 
 def votes(at: Column) -> Column:
