@@ -154,6 +154,8 @@ def test_extraction_is_that_of_all_pairs(spark, tmp_path):
     got = extract(spark, tmp_path, *(r[1:] for r in rows))
     want = brute_extract(rows)
     assert {i: r.text for i, r in got.iterrows()} == want
+    shuffled = html_text.extract_text(spark.createDataFrame(rows, PAGES), broadcast_lines=0)
+    assert {r["page_id"]: r["text"] for r in shuffled.collect()} == want
     assert any("Same promo" in t for t in want.values()) and sum("Same promo" in r[2] for r in rows if r[2]) > sum("Same promo" in t for t in want.values())
     pages = spark.createDataFrame([(1, "http://a.org/1", "<p>x</p>")] * 2 + [(1, "http://a.org/2", "<p>y</p>"), (None, None, "<p>z</p>")], PAGES)
     assert sorted(r["text"] for r in html_text.extract_text(pages).collect()) == ["x", "x", "y", "z"]
