@@ -102,12 +102,12 @@ def sign_odds(docs: DataFrame, labels: DataFrame, sample_rows: int = 12_000) ->
     return math.log((total[0] + 1) / (total[1] + 1)), odds
 
 
-def page_outcome(html: Column, odds: tuple[float, dict[str, list[float]]], min_chars: int = 20) -> Column:
-    """1 bad, 0 good, null not labelled."""
-    text = main_text(html)
-    weigh = lambda step, name: F.element_at(F.array(*map(F.lit, odds[1][name])), step + 1)
-    total = reduce(lambda a, x: a + x, [weigh(step, name) for step, (name, _) in zip(text_signs(text), SIGNS, strict=True)], F.lit(odds[0]))
-    return F.when(F.length(F.trim(text)) >= min_chars, (total > 0).cast("int"))
+def page_outcomes(pages: DataFrame, odds: tuple[float, dict[str, list[float]]], min_chars: int = 20) -> DataFrame:
+    """`host, html` to host, outcome: 1 bad, 0 good, null not labelled. Each step is a projection of its own, and computed once."""
+    weigh = lambda name: F.element_at(F.array(*map(F.lit, odds[1][name])), F.col(name) + 1)
+    total = reduce(lambda a, x: a + x, [weigh(name) for name, _ in SIGNS], F.lit(odds[0]))
+    signs = pages.select("host", main_text(F.col("html")).alias("text")).select("host", (F.length(F.trim("text")) >= min_chars).alias("told"), *text_signs(F.col("text")))
+    return signs.select("host", F.when(F.col("told"), (total > 0).cast("int")).alias("outcome"))
 
 
 def _strength(groups: DataFrame) -> float:
@@ -149,7 +149,7 @@ def filter_urls(pages: DataFrame, docs: DataFrame, labels: DataFrame, rules: Seq
     odds = sign_odds(docs, labels)
     host, path = F.col("host"), F.col("path")
     seen = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "html")
-    reputation = host_reputation(seen.select("host", page_outcome(F.col("html"), odds).alias("outcome")))
+    reputation = host_reputation(page_outcomes(seen.select("host", "html"), odds))
     judged = seen.select("page_id", "host", "path").join(reputation, "host")
     method = F.when(F.col("bad_host"), "block").otherwise("allow")
     return judged.select("page_id", "host", "path", rule_for(host, path, rules, lambda _, r: F.lit(r)).alias("rule"), F.coalesce(rule_for(host, path, rules, lambda v, _: F.lit(v)), method).alias("verdict"), F.round("bad_share", 6).alias("bad_share"), F.round("bad_bound", 6).alias("bad_bound"))

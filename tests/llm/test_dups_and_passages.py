@@ -277,6 +277,41 @@ def test_leaks_of_edited_copies(spark):
     assert find(texts + items) == want | {(9 + i, i) for i in range(4)}
 
 
+def test_seeds_are_rare(spark):
+    """A frequent gram is no seed of an item with enough others, so it costs no lookups; items of frequent grams keep them."""
+    rng = random.Random(22)
+    common = "in order to be able to say that"
+    items = [f"{common} {sentence(rng, 40)}" for _ in range(30)] + [common]
+    texts = [f"{sentence(rng, 20)} {common} {sentence(rng, 20)}" for _ in range(60)] + [sentence(rng, 9) + " " + t for t in items]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    held, build = [], decontaminate.Lookup.__init__
+
+    def spy(self, *args):
+        build(self, *args)
+        held.append(self)
+
+    decontaminate.Lookup.__init__ = spy
+    try:
+        got = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(documents(spark, texts), bench, rare_docs=20).collect()}
+    finally:
+        decontaminate.Lookup.__init__ = build
+    assert got == {(60 + i, i) for i in range(30)} | {(i, 30) for i in range(91)}
+    assert held[0].count.max() == 1 and len(held[0].grams) > 30 * 30
+
+
+def test_leaks_of_odd_rows(spark):
+    """Null ids, repeated rows and long texts are judged row by row in the stage; one item fills a block alone."""
+    rng = random.Random(23)
+    item, long = sentence(rng, 40), sentence(rng, 120_000)
+    bench = spark.createDataFrame([(0, item), (1, sentence(rng, 300)), (2, item)], "item_id long, text string")
+    rows = [(None, item), (None, "clean text of some words"), (1, f"{long} {item}"), (2, long), (3, None), (4, item), (4, item), (4, "clean")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCS)
+    got = sorted((-1 if r["doc_id"] is None else r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs, bench, block_grams=50).collect())
+    assert got == [(-1, 0), (-1, 2), (1, 0), (1, 2), (4, 0), (4, 2)]
+    kept = decontaminate.with_leaks(docs, bench).where("size(leaks) = 0").collect()
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"] is None) for r in kept) == [(False, 2, False), (False, 3, True), (False, 4, False), (True, 0, False)]
+
+
 def test_leaks_in_blocks(spark, tmp_path):
     """A benchmark of more grams than a block takes more passes and finds the same."""
     rng = random.Random(8)
