@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: A word, as a pattern of Java, DuckDB and Python.
@@ -18,16 +19,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def settled(df: DataFrame) -> DataFrame:
     """`df`, computed once and kept in the cluster's checkpoint folder.
 
-    The folder is the session's spark.checkpoint.dir; only where none is set (tests on
-    one machine) a temporary one is taken.
     """
-    spark = df.sparkSession
-    sc = spark.sparkContext
+    sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The session's spark.checkpoint.dir; where none is set a temporary folder, but only if all runs on this machine."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = tempfile.mkdtemp(prefix="spark-")
+    return folder
+
+
+def numbered(df: DataFrame, *order: str, running: str | None = None) -> DataFrame:
+    """`df`, range-sorted, with `nr`, the rows' numbers in the given order, from 0; no task holds all rows.
+
+    running: a column whose sum over all rows before is added as `before`.
+    """
+    held = settled(df.orderBy(*order)).withColumn("_id", F.monotonically_increasing_id())
+    held = held.withColumns({"_part": F.shiftright("_id", 33).cast("int"), "_row": F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))})
+    sums = held.groupBy("_part").agg(F.count("*").alias("_n"), F.sum(F.col(running) if running else F.lit(0)).alias("_sum"))  # a row for each partition
+    earlier = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    starts = sums.select("_part", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_start") for c in ("_n", "_sum")])
+    out = held.join(F.broadcast(starts), "_part").withColumn("nr", F.col("_n_start") + F.col("_row"))
+    if running:
+        within = W.partitionBy("_part").orderBy("_row").rowsBetween(W.unboundedPreceding, -1)
+        out = out.withColumn("before", F.col("_sum_start") + F.coalesce(F.sum(running).over(within), F.lit(0)))
+    return out.drop("_id", "_part", "_row", "_n_start", "_sum_start")
+
+
 def n_words(text: Column) -> Column:
     """How many words a text has; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

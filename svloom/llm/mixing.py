@@ -2,24 +2,27 @@
 
 Each source is a flow. Its documents stand in a shuffled queue, up to `max_epochs` times
 over; a copy's virtual finish time is the source's tokens up to and with it, divided by
-the source's share. All copies are served in the order of that time until the budget of
-tokens is used up, so every source comes to its share whatever the lengths of its
-documents.
+the source's share. All copies are range-sorted by that time and served in this order until
+the budget of all tokens is used up, which a running total over the sorted partitions tells.
+A copy during which its source comes to its share is served in two parts, so every source
+comes to its share whatever the lengths of its documents.
 
 Cases: null text or one without words has size 0 and takes nothing; a null source is a
-source of its own, the last; repeated rows each stand in the queue; an empty table gives
-no rows; other columns are ignored, whatever their names.
+source of its own, the last; rows of a null doc_id and repeated rows each stand in the queue,
+in `mix_stage` equal rows come back as one with their copies added up; a very long text is one
+document of that size; an empty table gives no rows; other columns are ignored, whatever their
+names.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import n_words, settled, table, unit
+from .common import n_words, numbered, settled, table, unit
 
 #: Steps of a queue's order that are summed before the running sum, for each source.
 STEPS = 4096
@@ -45,23 +48,22 @@ def source_targets(totals: DataFrame, weights: Sequence[float], max_epochs: int,
 
 
 def fair_queue(sizes: DataFrame, weights: Sequence[float] = (5, 2, 1), max_epochs: int = 3, budget_share: float = 1.0, seed: int = 20240611) -> DataFrame:
-    """The served documents: `doc_id, source, size` with source_size, target, virtual_finish, copies, taken.
+    """`sizes` (with at least doc_id, source, size) with row_nr, source_size, target, virtual_finish, copies, taken added.
 
     virtual_finish is that of a document's first copy, copies how many are served, taken
-    the tokens of them; the last copy of a source is cut where the budget ends. Rows come
-    range-partitioned and sorted by virtual finish time; documents that the budget does not
-    reach come last, with taken 0.
+    the tokens of them. Documents that the budget does not reach have taken 0.
 
     A queue's running sum is taken in two steps, so that a source that holds a third of all
     rows is not one task's work: sums of STEPS slices of each queue, then inside a slice.
     """
     queued = settled(
-        sizes.select(
-            "doc_id",
-            "source",
-            F.col("size").cast("long").alias("size"),
-            F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("flow"),
-            unit(F.col("doc_id"), F.col("source"), seed=seed).alias("turn"),
+        sizes.withColumns(
+            {
+                "size": F.col("size").cast("long"),
+                "flow": F.coalesce(F.concat(F.lit("="), "source"), F.lit("")),
+                "turn": unit(F.col("doc_id"), F.col("source"), seed=seed),
+                "row_nr": F.monotonically_increasing_id(),
+            }
         ).withColumn("step", F.floor(F.col("turn") * STEPS).cast("int"))
     )
     steps = queued.groupBy("flow", "source", "step").agg(F.sum("size").alias("step_size"))
@@ -69,30 +71,56 @@ def fair_queue(sizes: DataFrame, weights: Sequence[float] = (5, 2, 1), max_epoch
     targets = source_targets(totals, weights, max_epochs, budget_share).drop("source")
     before = W.partitionBy("flow").orderBy("step").rowsBetween(W.unboundedPreceding, -1)
     starts = steps.select("flow", "step", F.coalesce(F.sum("step_size").over(before), F.lit(0)).alias("step_start")).join(targets, "flow")
-    inside = W.partitionBy("flow", "step").orderBy("turn", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0)
+    inside = W.partitionBy("flow", "step").orderBy("turn", "doc_id", "size", "row_nr").rowsBetween(W.unboundedPreceding, 0)
     placed = queued.join(starts, ["flow", "step"]).withColumn("through", F.col("step_start") + F.sum("size").over(inside))
-    left = F.round("target").cast("long")
-    served = [F.greatest(F.lit(0), F.least(F.col("size"), left - F.col("source_size") * k - F.col("through") + F.col("size"))) for k in range(max_epochs)]
-    placed = placed.withColumn("taken", sum(served[1:], served[0])).withColumn("copies", sum((F.when(x > 0, 1).otherwise(0) for x in served[1:]), F.when(served[0] > 0, 1).otherwise(0)))
-    placed = placed.withColumn("virtual_finish", F.when(F.col("target") > 0, F.col("through") / F.col("target")).otherwise(F.lit(float("inf"))))
-    return placed.select("doc_id", "source", "size", "source_size", "target", "virtual_finish", "copies", "taken").orderBy("virtual_finish", "doc_id")
+    placed = settled(placed.withColumn("virtual_finish", F.when(F.col("target") > 0, F.col("through") / F.col("target")).otherwise(F.lit(float("inf")))).drop("flow", "turn", "step", "step_start"))
+    budget = F.lit(placed.agg(F.sum("size")).first()[0] or 0) * budget_share
+    taken = served(placed, max_epochs, budget)
+    return placed.drop("through").join(taken, "row_nr", "left").fillna(0, ["copies", "taken"])
+
+
+def served(placed: DataFrame, max_epochs: int, budget: Column) -> DataFrame:
+    """`row_nr, size, source_size, target, through` to `row_nr, copies, taken` of what is served before the budget ends."""
+    copy = F.struct("epoch", (F.col("through") + F.col("epoch") * F.col("source_size")).alias("end"))
+    copies = placed.where("size > 0 and target > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(max_epochs - 1)))).withColumn("c", copy)
+    share, begin, end = F.round("target").cast("long"), F.col("c.end") - F.col("size"), F.col("c.end")
+    part = lambda low, high: F.struct(F.col("c.epoch").alias("epoch"), low.alias("low"), high.alias("high"))
+    parts = F.when((begin < share) & (share < end), F.array(part(begin, share), part(share, end))).otherwise(F.array(part(begin, end)))
+    parts = copies.select("row_nr", "target", F.explode(parts).alias("p")).select("row_nr", "p.epoch", F.round(F.col("p.high") / F.col("target"), 9).alias("finish"), (F.col("p.high") - F.col("p.low")).alias("words"))
+    # Parts of one virtual time go by their length, the remnants of rounded shares last.
+    line = numbered(parts, "finish", "words", "row_nr", "epoch", running="words")
+    taken = F.greatest(F.lit(0), F.least(F.col("words"), F.floor(budget + 0.5).cast("long") - F.col("before")))
+    got = line.select("row_nr", "epoch", taken.alias("taken")).where("taken > 0")
+    return got.groupBy("row_nr").agg(F.count_distinct("epoch").alias("copies"), F.sum("taken").alias("taken"))
 
 
 def mixed_copies(docs: DataFrame, **options: object) -> DataFrame:
     """One row for each served copy: the columns of `docs`, `epoch` and the copy's `words`, by virtual finish time."""
-    served = fair_queue(docs.select("doc_id", "source", n_words(F.col("text")).alias("size")), **options).where("taken > 0").dropDuplicates(["doc_id"])
-    copies = served.select("doc_id", "virtual_finish", F.col("source_size") / F.col("target"), "size", "taken", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("epoch")).toDF("doc_id", "finish", "lap", "size", "taken", "epoch")
-    copies = copies.select("doc_id", (F.col("finish") + F.col("lap") * F.col("epoch")).alias("finish"), "epoch", F.least(F.col("size"), F.col("taken") - F.col("size") * F.col("epoch")).alias("words"))
-    return docs.select("doc_id", "text", "lang", "source", "n_chars").join(copies, "doc_id").orderBy("finish", "doc_id").drop("finish")
+    mix = with_mix(docs.select("doc_id", "text", "lang", "source", "n_chars"), **options)
+    copies = mix.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("copies").cast("int") - 1))).withColumn("words", F.least(F.col("size"), F.col("taken") - F.col("size") * F.col("epoch")))
+    finish = F.col("virtual_finish") + F.col("epoch") * F.col("source_size") / F.col("target")
+    return copies.orderBy(finish, "doc_id").select("doc_id", "text", "lang", "source", "n_chars", "epoch", "words")
+
+
+def with_mix(docs: DataFrame, **options: object) -> DataFrame:
+    """The documents that the mix takes, equal rows as one, with size, source_size, target, virtual_finish, copies and taken.
+
+    Texts meet what is taken of them by a hash of the row.
+    """
+    keyed = docs.withColumn("row_key", F.xxhash64(*docs.columns))
+    mix = fair_queue(keyed.select("row_key", "doc_id", "source", n_words(F.col("text")).alias("size")), **options).where("taken > 0")
+    first = ("size", "source_size", "target")
+    mix = mix.groupBy("row_key").agg(*[F.first(c).alias(c) for c in first], F.min("virtual_finish").alias("virtual_finish"), F.sum("copies").alias("copies"), F.sum("taken").alias("taken"))
+    return keyed.join(mix, "row_key").dropDuplicates(["row_key"]).drop("row_key")
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return fair_queue(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"))).select("doc_id", "size", "source_size", "target", "taken", "virtual_finish", "copies")
+    mix = fair_queue(docs.select("doc_id", "source", n_words(F.col("text")).alias("size")))
+    return mix.select("doc_id", "size", "source_size", "target", "taken", "virtual_finish", "copies")
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes, with how many of their words it takes and when."""
     docs = docs.select("doc_id", "text", "lang", "source", "n_chars")
-    served = fair_queue(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"))).where("taken > 0")
-    return docs.join(served.groupBy("doc_id").agg(F.min("virtual_finish").alias("virtual_finish"), F.max("copies").alias("copies"), F.max("taken").alias("taken")), "doc_id")
+    return with_mix(docs).drop("size", "source_size", "target")

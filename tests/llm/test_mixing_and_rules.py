@@ -40,11 +40,46 @@ def test_mix(spark, tmp_path):
         assert r["size"] == len(words(t)) and r.source_size == sizes[s] and abs(r.target - want[s]) < 1e-6
         assert 0 <= r.taken <= 3 * r["size"]
         taken[s] += r.taken
-    assert all(abs(taken[s] - want[s]) <= 1 for s in sizes)
+    assert all(abs(taken[s] - want[s]) <= 2 for s in sizes)
+    assert sum(taken.values()) == sum(sizes.values())
     again = mixing.op1_mix_sources(spark, sf).toPandas().set_index("doc_id").sort_index()
     assert (again.taken.sort_index() == got.taken.sort_index()).all()
 
 
+def test_truncation_of_the_global_order(spark):
+    """What is taken is what a plain walk along all copies by virtual finish time serves before the budget ends."""
+    rng = random.Random(24)
+    for share in (1.0, 0.4, 2.5):
+        rows = [(i, rng.choice(["a", "b", "b", "c", None]), rng.choice([0, 1, 5, 30, 900])) for i in range(150)]
+        got = {r["doc_id"]: r for r in mixing.fair_queue(spark.createDataFrame(rows, "doc_id long, source string, size long"), budget_share=share).collect()}
+        line = []
+        for i, _, n in rows:
+            r = got[i]
+            through = round(r["virtual_finish"] * r["target"]) if n else 0
+            for k in range(3 if n else 0):
+                begin, end = through - n + k * r["source_size"], through + k * r["source_size"]
+                cut = [begin, round(r["target"]), end] if begin < round(r["target"]) < end else [begin, end]
+                line += [(round(b / r["target"], 9), b - a, i) for a, b in zip(cut, cut[1:])]
+        left, taken = int(sum(n for _, _, n in rows) * share + 0.5), Counter()
+        for _, n, i in sorted(line, key=lambda x: x[:2]):
+            taken[i] += min(n, left)
+            left -= min(n, left)
+        # Parts of the same time and length may change places where the budget ends.
+        assert sum(abs(taken[i] - r["taken"]) for i, r in got.items()) <= 4
+
+
+def test_mix_of_odd_rows(spark):
+    """Null ids stay in the mix; equal rows come back as one with their copies; a long text is one document."""
+    rows = [(None, "a b c", "x"), (None, None, "x"), (1, "a b c", "x"), (1, "a b c", "x"), (1, "other text", "y"), (2, "w " * 150_000, None), (3, "", "y")]
+    docs = spark.createDataFrame([(i, t, "en", s, 0) for i, t, s in rows], DOCS)
+    stage = mixing.mix_stage(spark, docs, "")
+    assert stage.columns == ["doc_id", "text", "lang", "source", "n_chars", "virtual_finish", "copies", "taken"]
+    got = {(r["doc_id"], r["source"]): (r["copies"], r["taken"]) for r in stage.collect()}
+    assert got[None, "x"] == (3, 9) and got[1, "x"] == (6, 18) and got[1, "y"] == (3, 6) and set(got) == {(None, "x"), (1, "x"), (1, "y"), (2, None)}
+    assert sum(t for _, t in got.values()) == sum(len(words(t)) for _, t, _ in rows)
+    assert mixing.fair_queue(docs.selectExpr("doc_id", "source", "length(text) AS size")).count() == len(rows)
+
+
 def test_mix_of_nothing(spark, tmp_path):
     assert mixing.op1_mix_sources(spark, folder(spark, tmp_path, documents=spark.createDataFrame([], DOCS))).count() == 0
 

@@ -5,7 +5,7 @@ import zlib
 
 import corpus_pipeline
 
-from svloom.llm import html_text, quality
+from svloom.llm import common, html_text, quality
 
 from .helpers import DOCS, documents, folder, sentence, words
 
@@ -182,7 +182,7 @@ def test_common_lines_are_longest(monkeypatch):
 
 def test_numbering_does_not_depend_on_partitions(spark):
     df = spark.createDataFrame([(i * 7919 % 101,) for i in range(101)], "x long").repartition(7)
-    assert sorted((r["x"], r["nr"]) for r in html_text.numbered(df, "x").collect()) == [(i, i) for i in range(101)]
+    assert sorted((r["x"], r["nr"]) for r in common.numbered(df, "x").collect()) == [(i, i) for i in range(101)]
 
 
 def test_pages_of_nothing(spark, tmp_path):
