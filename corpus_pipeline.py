@@ -7,11 +7,11 @@ tests/llm holds them against brute force.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from svloom.llm.common import shared_folder
 from svloom.llm.decontaminate import decontaminate_stage
 from svloom.llm.mixing import mix_stage
 from svloom.llm.near_dups import near_dup_stage
@@ -31,8 +31,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages in turn; what each keeps is written under the cluster's checkpoint folder."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
-    out = f"{shared}/pipeline-{uuid.uuid4().hex}"
+    out = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{out}/{name}")

@@ -8,8 +8,14 @@ from pyspark.sql import DataFrame
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """`df`, computed once and kept in the session's spark.checkpoint.dir (a temporary folder only where none is set)."""
+    """`df`, computed once and kept in the session's spark.checkpoint.dir.
+
+    Where none is set a temporary folder is taken, but only if all runs on this machine.
+    """
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        spark.sparkContext.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-"))
     return df.checkpoint()
