@@ -18,10 +18,26 @@ from pyspark.sql import functions as F
 BIN = 10_000
 
 
-def _binned(df: DataFrame, pad: Column, width: int) -> DataFrame:
-    first = F.floor((F.col("start_pos") - pad) / width)
-    last = F.greatest(first, F.floor((F.col("end_pos") + pad - 1) / width))
-    return df.withColumn("_first", first).withColumn("_bin", F.explode(F.sequence(first, last)))
+#: Intervals over so many bins are listed under bins that are so much wider.
+LONG = 256
+
+
+def _listed(df: DataFrame, pad: Column, width: int, with_long: str, with_short: str) -> DataFrame:
+    """`df` under each of its bins: `_bin`, and `_first`, the first bin of the same kind and width.
+
+    A short interval meets the other side's short ones in narrow bins and its long ones in wide bins, a long
+    one both kinds in wide bins, so that none is listed many times.
+    """
+
+    def bins(kind: str, size: int) -> Column:
+        first = F.floor((F.col("start_pos") - pad) / size)
+        last = F.greatest(first, F.floor((F.col("end_pos") + pad - 1) / size))
+        return F.transform(F.sequence(first, last), lambda b: F.struct(F.lit(kind).alias("kind"), b.alias("bin"), first.alias("first")))
+
+    short = F.col("end_pos") - F.col("start_pos") + 2 * pad <= LONG * width
+    wide = width * LONG
+    at = F.when(short, F.concat(bins("narrow", width), bins(with_long, wide))).otherwise(F.concat(bins(with_short, wide), bins("wide", wide)))
+    return df.withColumn("_at", F.explode(at)).withColumns({"_kind": F.col("_at.kind"), "_bin": F.col("_at.bin"), "_first": F.col("_at.first")}).drop("_at")
 
 
 def overlap_join(a: DataFrame, b: DataFrame, pad: int | Column = 0, prefix: str = "b_", on: Sequence[str] = (), width: int = BIN) -> DataFrame:
@@ -31,15 +47,15 @@ def overlap_join(a: DataFrame, b: DataFrame, pad: int | Column = 0, prefix: str
     columns that must be equal. `pad` may be a column of `a`.
     """
     pad = F.lit(pad) if isinstance(pad, int) else pad
-    left = _binned(a, pad, width)
-    right = _binned(b, F.lit(0), width).select(*[F.col(c).alias(prefix + c) for c in b.columns], F.col("_first").alias("_first_b"), F.col("_bin").alias("_bin_b"))
-    keys = (F.col("chrom") == F.col(prefix + "chrom")) & (F.col("_bin") == F.col("_bin_b"))
+    left = _listed(a, pad, width, "a short", "b short")
+    right = _listed(b, F.lit(0), width, "b short", "a short").select(*[F.col(c).alias(prefix + c) for c in b.columns], *[F.col(c).alias(f"{c}_b") for c in ("_kind", "_bin", "_first")])
+    keys = (F.col("chrom") == F.col(prefix + "chrom")) & (F.col("_kind") == F.col("_kind_b")) & (F.col("_bin") == F.col("_bin_b"))
     for c in on:
         keys = keys & (F.col(c) == F.col(prefix + c))
     low = F.greatest(F.col("start_pos") - pad, F.col(prefix + "start_pos"))
     high = F.least(F.col("end_pos") + pad, F.col(prefix + "end_pos"))
     met = left.join(right, keys & (low < high) & (F.col("_bin") == F.greatest("_first", "_first_b")))
-    return met.withColumn("overlap_bp", high - low).drop("_first", "_bin", "_first_b", "_bin_b")
+    return met.withColumn("overlap_bp", high - low).drop("_kind", "_bin", "_first", "_kind_b", "_bin_b", "_first_b")
 
 
 def reciprocal(ratio: float, prefix: str = "b_") -> Column:
@@ -62,13 +78,8 @@ def contained_in(a: DataFrame, dim: DataFrame, pad: int = 0) -> DataFrame:
     return a.join(dim, fits, "left_semi")
 
 
-def islands(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], low: Column, high: Column, touching: bool = False, name: str = "island", gap: int | Column = 0) -> DataFrame:
-    """Numbers runs of rows that overlap the rows before them, within `keys`, in the given order.
-
-    A row begins a new island if its `low` is at or beyond (beyond, if touching counts) the
-    greatest `high` so far plus `gap`.
-    """
-    gap = F.lit(gap) if isinstance(gap, int) else gap
+def islands_within(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], low: Column, high: Column, touching: bool = False, name: str = "island", gap: int = 0) -> DataFrame:
+    """`islands` for keys of few rows, such as the members of one call: a window over each key."""
     w = W.partitionBy(*keys).orderBy(*order)
     reach = F.max(high).over(w.rowsBetween(W.unboundedPreceding, -1)) + gap
     new = (low > reach) if touching else (low >= reach)
@@ -76,21 +87,30 @@ def islands(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], l
     return flagged.withColumn(name, F.sum("_new").over(w.rowsBetween(W.unboundedPreceding, 0))).drop("_new")
 
 
-def block_islands(df: DataFrame, keys: Sequence[str], id_: str, low: Column, high: Column, block: int = 1_000_000, gap: int = 0) -> DataFrame:
-    """`islands` by (low, id) for keys of very many rows: no task sorts a whole key.
+def islands(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], low: Column, high: Column, touching: bool = False, name: str = "island", gap: int = 0, block: int = 1_000_000) -> DataFrame:
+    """Numbers runs of rows that overlap the rows before them, within `keys`, in the given order.
+
+    A row begins a new island if its `low` is at or beyond (beyond, if touching counts) the
+    greatest `high` so far plus `gap`.
 
-    Rows are dealt to coordinate blocks by `low`; a block's greatest `high` is carried into
-    the next blocks by a running maximum over the small table of blocks.
+    The first of `order` is a coordinate. Rows are dealt to blocks of it, so no task sorts a whole
+    key: a block's greatest `high`, and the islands begun in it, are carried into the next blocks by
+    running sums over the small table of blocks.
     """
-    rows = df.withColumns({"_low": low, "_high": high}).withColumn("_block", F.floor(F.col("_low") / block))
-    tops = rows.groupBy(*keys, "_block").agg(F.max("_high").alias("_top"))
-    before = W.partitionBy(*keys).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    tops = tops.withColumn("_carry", F.max("_top").over(before)).drop("_top")
-    rows = rows.join(tops, [*keys, "_block"])
-    w = W.partitionBy(*keys, "_block").orderBy("_low", id_)
-    reach = F.greatest(F.max("_high").over(w.rowsBetween(W.unboundedPreceding, -1)), F.col("_carry"))
-    rows = rows.withColumn("_new", F.when(reach.isNull() | (F.col("_low") >= reach + gap), 1).otherwise(0))
+    first = F.col(order[0]) if isinstance(order[0], str) else order[0]
+    rows = df.withColumns({"_low": low, "_high": high, "_block": F.floor(first / block), "_key": F.struct(*keys)})
+    before = W.partitionBy("_key").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+    tops = rows.groupBy("_key", "_block").agg(F.max("_high").alias("_top")).select("_key", "_block", F.max("_top").over(before).alias("_carry"))
+    rows = _carried(rows, tops, "_carry")
+    w = W.partitionBy("_key", "_block").orderBy(*order)
+    reach = F.greatest(F.max("_high").over(w.rowsBetween(W.unboundedPreceding, -1)), F.col("_carry")) + gap
+    rows = rows.withColumn("_new", F.when(reach.isNull() | ((F.col("_low") > reach) if touching else (F.col("_low") >= reach)), 1).otherwise(0))
     rows = rows.withColumn("_within", F.sum("_new").over(w.rowsBetween(W.unboundedPreceding, 0)))
-    counts = rows.groupBy(*keys, "_block").agg(F.sum("_new").alias("_news"))
-    counts = counts.withColumn("_base", F.coalesce(F.sum("_news").over(before), F.lit(0))).drop("_news")
-    return rows.join(counts, [*keys, "_block"]).withColumn("island", F.col("_base") + F.col("_within")).drop("_low", "_high", "_block", "_carry", "_new", "_within", "_base")
+    counts = rows.groupBy("_key", "_block").agg(F.sum("_new").alias("_news")).select("_key", "_block", F.coalesce(F.sum("_news").over(before), F.lit(0)).alias("_base"))
+    return _carried(rows, counts, "_base").withColumn(name, F.col("_base") + F.col("_within")).drop("_low", "_high", "_block", "_key", "_carry", "_new", "_within", "_base")
+
+
+def _carried(rows: DataFrame, blocks: DataFrame, what: str) -> DataFrame:
+    """`rows` with a column of their key's block; keys of null are keys too."""
+    other = blocks.select(F.col("_key").alias("_of_key"), F.col("_block").alias("_of_block"), what)
+    return rows.join(other, rows["_key"].eqNullSafe(other["_of_key"]) & (rows["_block"] == other["_of_block"])).drop("_of_key", "_of_block")

@@ -16,8 +16,7 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from ..session import settled
 from .filters import caller_rank, is_precise_source, is_translocation, methods_of
-from .intervals import islands
-
+from .intervals import islands, islands_within
 
 
 def low() -> Column:
@@ -28,15 +27,8 @@ def high() -> Column:
     return F.col("end_pos") + F.col("wiggle")
 
 
-def merge_intra(calls: DataFrame, keys: Sequence[str] = ("sv_type", "source", "chrom")) -> DataFrame:
-    """`call_id, start_pos, end_pos, sv_len, wiggle` and keys to level-1 intervals.
-
-    One row per island: l1_id (its first call), bounds, wiggle (0 if merged), sv_len (the
-    greatest), n_calls, and `leaves` with the calls' raw bounds. Translocations, which only
-    pair up, are left out; see `pair_translocations`.
-    """
-    rows = calls.where(~is_translocation())
-    marked = islands(rows, keys, ["start_pos", "end_pos", "call_id"], low(), high())
+def _level1(marked: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Runs of calls, numbered by `island` within `keys`, to level-1 intervals."""
     leaf = F.struct("start_pos", "end_pos", "call_id", "sv_len", "wiggle", "source")
     merged = marked.groupBy(*keys, "island").agg(F.min(low()).alias("low"), F.max(high()).alias("high"), F.max("sv_len").alias("sv_len"), F.count("*").alias("n_calls"), F.array_sort(F.collect_list(leaf)).alias("leaves"))
     first, single = F.element_at("leaves", 1), F.col("n_calls") == 1
@@ -52,13 +44,84 @@ def merge_intra(calls: DataFrame, keys: Sequence[str] = ("sv_type", "source", "c
     )
 
 
+def merge_intra(calls: DataFrame, keys: Sequence[str] = ("sv_type", "source", "chrom")) -> DataFrame:
+    """`call_id, start_pos, end_pos, sv_len, wiggle` and keys to level-1 intervals.
+
+    One row per island: l1_id (its first call), bounds, wiggle (0 if merged), sv_len (the
+    greatest), n_calls, and `leaves` with the calls' raw bounds. Translocations, which only
+    pair up, are left out; see `pair_translocations`.
+    """
+    rows = calls.where(~is_translocation())
+    return _level1(islands(rows, keys, ["start_pos", "end_pos", "call_id"], low(), high()), keys)
+
+
+def _near_runs(rows: DataFrame, keys: Sequence[str], id_: str, reach: Column) -> DataFrame:
+    """Rows with `site`, `run`, `nr` and `n`: runs of rows each near the one before it, and the places in a run, from 0.
+
+    Near is within the wiggle of the row before at both ends. Rows are cut first into sites, where starts
+    lie `reach` or more apart, so that a window spans neighbours only.
+    """
+    order = ["start_pos", "end_pos", id_]
+    rows = islands(rows, keys, order, F.col("start_pos"), F.col("start_pos") + reach, name="site")
+    site = W.partitionBy(*keys, "site").orderBy(*order)
+    within = F.lag("wiggle").over(site)
+    near = (F.col("start_pos") - F.lag("start_pos").over(site) < within) & (F.abs(F.col("end_pos") - F.lag("end_pos").over(site)) < within)
+    rows = rows.withColumn("_near", F.coalesce(near, F.lit(False)))
+    rows = rows.withColumn("run", F.sum(F.when(F.col("_near"), 0).otherwise(1)).over(site.rowsBetween(W.unboundedPreceding, 0)))
+    run = W.partitionBy(*keys, "site", "run")
+    return rows.withColumns({"nr": F.row_number().over(run.orderBy(*order)) - 1, "n": F.count("*").over(run)}).drop("_near")
+
+
+TX_KEYS = ["sv_type", "source", "chrom", "chrom2"]
+
+
+def pair_translocations(calls: DataFrame) -> DataFrame:
+    """ITX and CTX to level-1 intervals: of one caller, consecutive calls whose ends both lie within the wiggle pair up.
+
+    A merged pair has no wiggle left, so it takes up nothing more: within a run of near calls
+    the first pairs with the second, the third with the fourth, and so on.
+    """
+    runs = _near_runs(calls.where(is_translocation()), TX_KEYS, "call_id", F.col("wiggle"))
+    keys = [*TX_KEYS, "site", "run"]
+    return _level1(runs.withColumn("island", F.floor(F.col("nr") / 2)), keys).drop("site", "run")
+
+
+def merge_pairs(level1: DataFrame) -> DataFrame:
+    """Level-1 translocations to their level-2 interval: `l1_id, l2_id` for each.
+
+    Across callers, too, they merge in pairs. A pair's bounds lie its members' wiggle outside of them, so no
+    member fits its own pair; it fits if it is near to one that is left over single. As in `merge_inter`,
+    a site that fits gives its pairs, one of which none fits stays as it is, and else both halves go
+    through again.
+    """
+    keys = ["sv_type", "chrom", "chrom2", "path"]
+    reach = F.array_max(F.transform("leaves", lambda x: x["wiggle"]))
+    kept = ["id", *keys[:3], "start_pos", "end_pos", "wiggle", "reach"]
+    rows = level1.where(is_translocation()).withColumns({"id": F.col("l1_id"), "reach": reach}).select(*kept, F.lit("").alias("path"))
+    done = None
+    while True:
+        runs = _near_runs(rows, keys, "id", F.col("reach"))
+        site, pair = W.partitionBy(*keys, "site"), W.partitionBy(*keys, "site", "run", F.floor(F.col("nr") / 2)).orderBy("nr")
+        single = (F.col("nr") == F.col("n") - 1) & (F.col("n") % 2 == 1) & (F.col("wiggle") > 0)
+        runs = runs.withColumn("singles", F.collect_list(F.when(single, F.struct("start_pos", "end_pos"))).over(site))
+        near = lambda x: (F.abs(F.col("start_pos") - x["start_pos"]) < F.col("wiggle")) & (F.abs(F.col("end_pos") - x["end_pos"]) < F.col("wiggle"))
+        runs = runs.withColumn("fits", F.exists("singles", near))
+        runs = runs.withColumns({"n_fit": F.sum(F.when(F.col("fits"), 1).otherwise(0)).over(site), "n_all": F.count("*").over(site), "head": F.first("id").over(pair)})
+        judged = settled(runs)
+        out = judged.where("n_fit = n_all or n_fit = 0").select(F.col("id").alias("l1_id"), F.when(F.col("n_fit") > 0, F.col("head")).otherwise(F.col("id")).alias("l2_id"))
+        done = out if done is None else done.unionByName(out)
+        rows = judged.where("n_fit > 0 and n_fit < n_all").select(*kept, F.concat("path", F.when(F.col("fits"), "g").otherwise("b")).alias("path"))
+        if rows.isEmpty():
+            return done
+
+
 def _round(rows: DataFrame, ratio: float) -> DataFrame:
     """One round of `merge_inter`: rows with component, island, its bounds, and whether it fits its island."""
     keys = ["sv_type", "chrom", "path"]
     rows = islands(rows, keys, [low(), "start_pos", "end_pos", "id"], low(), high(), touching=True, name="component")
     inner = [*keys, "component"]
     order = ["start_pos", "end_pos", "id"]
-    rows = islands(rows, inner, order, low(), high(), name="part")
+    rows = islands_within(rows, inner, order, low(), high(), name="part")
     # Touching intervals without wiggle also merge: the next island begins where the last one, merged, ended.
     parts = rows.groupBy(*inner, "part").agg(F.max(high()).alias("reach"), F.count("*").alias("size"), F.min_by(F.struct("start_pos", "end_pos", "wiggle"), F.struct(*order)).alias("first"))
     w = W.partitionBy(*inner).orderBy("part")
@@ -74,17 +137,18 @@ def _round(rows: DataFrame, ratio: float) -> DataFrame:
     return rows.withColumn("fits", fits).withColumns({"n_fit": F.sum(F.when(F.col("fits"), 1).otherwise(0)).over(whole), "n_all": F.count("*").over(whole)})
 
 
-def merge_inter(level1: DataFrame, ratio: float = C.OVERLAP_RATIO, max_rounds: int = 30) -> DataFrame:
-    """Level-1 intervals to their level-2 interval: `l1_id, l2_id` for each.
+def merge_inter(level1: DataFrame, ratio: float = C.OVERLAP_RATIO) -> DataFrame:
+    """Level-1 intervals, no translocations, to their level-2 interval: `l1_id, l2_id` for each.
 
     A component whose intervals all fit the islands they merge into gives these islands; if
     none fits, each stays for itself; else it is divided by fit and both halves go through
-    again. A round is a few windows over the unfinished intervals, which are settled in the
-    shared folder; only their number comes to the driver.
+    again, each smaller than before, until all are done. A round is a few windows over the
+    unfinished intervals, which are settled in the shared folder; only whether there are any
+    comes to the driver.
     """
-    rows = level1.select(F.col("l1_id").alias("id"), "sv_type", "chrom", "start_pos", "end_pos", "wiggle").withColumn("path", F.lit(""))
+    rows = level1.where(~is_translocation()).select(F.col("l1_id").alias("id"), "sv_type", "chrom", "start_pos", "end_pos", "wiggle").withColumn("path", F.lit(""))
     done = None
-    for _ in range(max_rounds):
+    while True:
         judged = settled(_round(rows, ratio))
         ready = judged.where("n_fit = n_all or n_fit = 0")
         isle = W.partitionBy("sv_type", "chrom", "path", "component", "island").orderBy("start_pos", "end_pos", "id")
@@ -93,7 +157,17 @@ def merge_inter(level1: DataFrame, ratio: float = C.OVERLAP_RATIO, max_rounds: i
         rows = judged.where("n_fit > 0 and n_fit < n_all").select("id", "sv_type", "chrom", "start_pos", "end_pos", "wiggle", F.concat("path", F.when(F.col("fits"), "g").otherwise("b")).alias("path"))
         if rows.isEmpty():
             return done
-    raise RuntimeError(f"merge_inter did not finish in {max_rounds} rounds")
+
+
+def level1_of(calls: DataFrame) -> DataFrame:
+    """The level-1 intervals of all types, with chrom2."""
+    return merge_intra(calls).withColumn("chrom2", F.col("chrom")).unionByName(pair_translocations(calls))
+
+
+def level2_of(calls: DataFrame, ratio: float = C.OVERLAP_RATIO) -> DataFrame:
+    """Calls with wiggle to their level-2 intervals, of all types."""
+    level1 = settled(level1_of(calls))
+    return level2(level1, merge_inter(level1, ratio).unionByName(merge_pairs(level1)))
 
 
 def level2(level1: DataFrame, links: DataFrame) -> DataFrame:
@@ -104,7 +178,7 @@ def level2(level1: DataFrame, links: DataFrame) -> DataFrame:
     """
     rows = level1.join(links, "l1_id")
     item = F.struct("start_pos", "end_pos", "l1_id", "wiggle", "sv_len", "source", "n_calls", "leaves")
-    merged = rows.groupBy("l2_id", "sv_type", "chrom").agg(F.array_sort(F.collect_list(item)).alias("items"), F.min(low()).alias("low"), F.max(high()).alias("high"), F.max("sv_len").alias("sv_len"), F.array_sort(F.collect_set("source")).alias("sources"))
+    merged = rows.groupBy("l2_id", "sv_type", "chrom").agg(F.array_sort(F.collect_list(item)).alias("items"), F.min(low()).alias("low"), F.max(high()).alias("high"), F.max("sv_len").alias("sv_len"), F.array_sort(F.collect_set("source")).alias("sources"), F.max("chrom2").alias("chrom2"))
     first = F.element_at("items", 1)
     leaf = lambda x: F.struct(x["start_pos"].alias("start"), x["end_pos"].alias("end"), x["wiggle"].cast("int").alias("wiggle"), x["sv_len"].alias("len"), x["source"].alias("source"))
     own = F.transform(first["leaves"], leaf)
@@ -115,6 +189,7 @@ def level2(level1: DataFrame, links: DataFrame) -> DataFrame:
         "l2_id",
         "sv_type",
         "chrom",
+        "chrom2",
         F.when(F.size("items") == 1, first["start_pos"]).otherwise(F.col("low")).alias("start_pos"),
         F.when(F.size("items") == 1, first["end_pos"]).otherwise(F.col("high")).alias("end_pos"),
         F.array_min(F.transform(every, lambda x: x["start_pos"])).alias("leaf_start"),
@@ -128,15 +203,15 @@ def level2(level1: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def precise_islands(members: DataFrame) -> DataFrame:
-    """The merge of each call's precise members: `l2_id, start_pos, end_pos` of each island, wiggle included, and its size."""
-    precise = members.where(is_precise_source(F.col("source")))
-    marked = islands(precise, ["l2_id"], ["start_pos", "end_pos", "source"], low(), high())
+    """The merge of each call's precise members: `l2_id, low, high` of each island, wiggle included, and its size; none of translocations."""
+    precise = members.where(is_precise_source(F.col("source")) & ~is_translocation())
+    marked = islands_within(precise, ["l2_id"], ["start_pos", "end_pos", "source"], low(), high())
     return marked.groupBy("l2_id", "island").agg(F.min(low()).alias("low"), F.max(high()).alias("high"), F.count("*").alias("size"))
 
 
 def member_rows(calls: DataFrame) -> DataFrame:
-    return calls.select("l2_id", F.col("leaf_start").alias("call_start"), F.col("leaf_end").alias("call_end"), F.explode("members").alias("m")).select(
-        "l2_id", "call_start", "call_end", F.col("m.start").alias("start_pos"), F.col("m.end").alias("end_pos"), F.col("m.wiggle").alias("wiggle"), F.col("m.len").alias("sv_len"), F.col("m.source").alias("source")
+    return calls.select("l2_id", "sv_type", F.col("leaf_start").alias("call_start"), F.col("leaf_end").alias("call_end"), F.explode("members").alias("m")).select(
+        "l2_id", "sv_type", "call_start", "call_end", F.col("m.start").alias("start_pos"), F.col("m.end").alias("end_pos"), F.col("m.wiggle").alias("wiggle"), F.col("m.len").alias("sv_len"), F.col("m.source").alias("source")
     )
 
 
@@ -150,7 +225,8 @@ def validate_calls(calls: DataFrame, ratio: float = C.OVERLAP_RATIO) -> DataFram
     """Level-2 calls to their verdict: is_validated, is_precise, `by` (the deciding member), bounds of the calls.
 
     The first caller in order of trust decides that has exactly one member, if this
-    reciprocally overlaps the call or an island of its precise members.
+    reciprocally overlaps the call or an island of its precise members. A translocation's bounds
+    lie outside of its members', so there the first precise caller with exactly one decides.
     """
     members = member_rows(calls)
     per_source = W.partitionBy("l2_id", "source")
@@ -158,7 +234,7 @@ def validate_calls(calls: DataFrame, ratio: float = C.OVERLAP_RATIO) -> DataFram
     precise = precise_islands(members).groupBy("l2_id").agg(F.collect_list(F.struct("low", "high")).alias("islands"))
     single = single.join(precise, "l2_id", "left")
     near = F.exists(F.coalesce("islands", F.array().cast("array<struct<low:bigint,high:bigint>>")), lambda x: _good(x["low"], x["high"], ratio))
-    deciding = single.where(_good(F.col("call_start"), F.col("call_end"), ratio) | near)
+    deciding = single.where(F.when(is_translocation(), is_precise_source(F.col("source"))).otherwise(_good(F.col("call_start"), F.col("call_end"), ratio) | near))
     chosen = deciding.groupBy("l2_id").agg(F.min_by(F.struct("source", "start_pos", "end_pos", "sv_len"), caller_rank(F.col("source"))).alias("by"))
     lengths = members.where("sv_len > 0").groupBy("l2_id").agg(F.min_by("sv_len", F.struct(caller_rank(F.col("source")), "start_pos")).alias("some_len"))
     out = calls.join(chosen, "l2_id", "left").join(lengths, "l2_id", "left")
@@ -177,26 +253,7 @@ def snap_precise(validated: DataFrame) -> DataFrame:
 
 def consolidated(calls: DataFrame, ratio: float = C.OVERLAP_RATIO) -> DataFrame:
     """Calls with wiggle to the final call set: merged, validated, snapped."""
-    level1 = settled(merge_intra(calls))
-    return snap_precise(validate_calls(level2(level1, merge_inter(level1, ratio)), ratio))
-
-
-def pair_translocations(calls: DataFrame) -> DataFrame:
-    """ITX and CTX of one caller: consecutive calls whose ends both lie within the wiggle pair up, at most two.
-
-    A merged pair has no wiggle left, so it takes up nothing more: within a run of near calls
-    the first pairs with the second if near, the third with the fourth, and so on, a fold over
-    the run's calls.
-    """
-    keys = ["sv_type", "source", "chrom", "chrom2"]
-    rows = calls.where(is_translocation())
-    order = W.partitionBy(*keys).orderBy("start_pos", "end_pos", "call_id")
-    near = (F.col("start_pos") - F.lag("start_pos").over(order) < F.col("wiggle")) & (F.abs(F.col("end_pos") - F.lag("end_pos").over(order)) < F.col("wiggle"))
-    rows = rows.withColumn("_near", F.coalesce(near, F.lit(False))).withColumn("_run", F.sum(F.when(F.col("_near"), 0).otherwise(1)).over(order.rowsBetween(W.unboundedPreceding, 0)))
-    place = F.row_number().over(W.partitionBy(*keys, "_run").orderBy("start_pos", "end_pos", "call_id")) - 1
-    rows = rows.withColumn("_pair", F.floor(place / 2))
-    merged = F.count("*") > 1
-    return rows.groupBy(*keys, "_run", "_pair").agg(F.min("call_id").alias("l1_id"), F.when(merged, F.min(low())).otherwise(F.min("start_pos")).alias("start_pos"), F.when(merged, F.max(high())).otherwise(F.max("end_pos")).alias("end_pos"), F.count("*").alias("n_calls")).drop("_run", "_pair")
+    return snap_precise(validate_calls(level2_of(calls, ratio), ratio))
 
 
 def merge_by_distance(df: DataFrame, keys: Sequence[str], id_: str, overlap: int, touching: bool = True) -> DataFrame:
@@ -235,10 +292,8 @@ def coalesce_adjacent(df: DataFrame, near: int = 10) -> DataFrame:
     besides soft clips and assembly and none by assembly.
     """
     keys = ["sv_type", "chrom"]
-    order = W.partitionBy(*keys).orderBy("start_pos", "end_pos", "call_id")
     # Starts only grow, so calls whose start is farther than `near` from the last one's can't share a run.
-    apart = F.col("start_pos") - F.lag("start_pos").over(order) > near
-    marked = df.withColumn("_cut", F.sum(F.when(F.coalesce(apart, F.lit(True)), 1).otherwise(0)).over(order.rowsBetween(W.unboundedPreceding, 0)))
+    marked = islands(df, keys, ["start_pos", "end_pos", "call_id"], F.col("start_pos"), F.col("start_pos") + near, touching=True, name="_cut")
     grouped = marked.groupBy(*keys, "_cut").agg(F.array_sort(F.collect_list(F.struct("start_pos", "end_pos", "call_id", "passed", "methods"))).alias("rows"))
     empty = F.array().cast("array<struct<start_pos:bigint,end_pos:bigint,first_id:bigint,n_calls:int,passed:boolean,methods:array<string>>>")
 
@@ -261,5 +316,5 @@ def call_stats(validated: DataFrame) -> DataFrame:
 
 def info_merge(calls: DataFrame) -> DataFrame:
     """The keys that a merged call's INFO gains: SOURCES with each member, and the numbers of methods and callers."""
-    member = lambda m: F.concat_ws("-", F.col("chrom"), m["start"].cast("string"), F.col("chrom"), m["end"].cast("string"), m["len"].cast("string"), m["source"])
+    member = lambda m: F.concat_ws("-", F.col("chrom"), m["start"].cast("string"), F.col("chrom2"), m["end"].cast("string"), m["len"].cast("string"), m["source"])
     return calls.where(F.size("members") > 0).select("l2_id", F.array_join(F.array_sort(F.transform("members", member)), ",").alias("sources_text"), F.size(methods_of(F.col("sources"))).alias("num_svmethods"), F.size("sources").alias("num_svtools"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from ..fixtures import Inputs
 from ..operators import filters, merge
-from ..operators.intervals import anti_overlap, block_islands, overlap_join, reciprocal
+from ..operators.intervals import anti_overlap, islands, overlap_join, reciprocal
 from .registry import query
 
 ID = ["call_id", "chrom", "start_pos", "end_pos", "sv_type", "sv_len", "source"]
@@ -17,8 +17,8 @@ TX = "('ITX', 'CTX')"
 
 
 def usable(t: Inputs) -> DataFrame:
-    """What goes into the merge: long enough, no translocation, with its wiggle."""
-    return filters.long_enough(t.calls).where("sv_type not in ('ITX', 'CTX')").withColumn("wiggle", filters.wiggle_of())
+    """What goes into the merge: long enough, or a translocation, with its wiggle."""
+    return filters.long_enough(t.calls).withColumn("wiggle", filters.wiggle_of())
 
 
 # Filters
@@ -105,21 +105,56 @@ def islands_sql(source: str, out: str, keys: str, order: str, low: str, high: st
 {out} AS MATERIALIZED (SELECT * EXCLUDE (is_new), CAST(sum(is_new) OVER (PARTITION BY {keys} ORDER BY {order} ROWS UNBOUNDED PRECEDING) AS BIGINT) AS island FROM {out}_n)"""
 
 
+def near_runs_sql(source: str, out: str, keys: str, reach: int, order: str = "s, e, id") -> str:
+    """Like `operators.merge._near_runs`."""
+    return f"""{out}_n AS (SELECT *, CASE WHEN s >= max(s + {reach}) OVER (PARTITION BY {keys} ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) IS NOT FALSE THEN 1 ELSE 0 END AS new_site,
+  CASE WHEN s - lag(s) OVER v < lag(w) OVER v AND abs(e - lag(e) OVER v) < lag(w) OVER v THEN 0 ELSE 1 END AS new_run FROM {source} WINDOW v AS (PARTITION BY {keys} ORDER BY {order})),
+{out}_r AS (SELECT * EXCLUDE (new_site, new_run), sum(new_site) OVER v AS site, sum(new_run) OVER v AS run FROM {out}_n WINDOW v AS (PARTITION BY {keys} ORDER BY {order} ROWS UNBOUNDED PRECEDING)),
+{out} AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY {keys}, run ORDER BY {order}) - 1 AS nr, count(*) OVER (PARTITION BY {keys}, run) AS n FROM {out}_r)"""
+
+
+def tx_level1_sql(wiggle: int) -> str:
+    """`txk`, the calls of each level-1 translocation, and `tx1`, these."""
+    keys = "sv_type, source, chrom, chrom2"
+    calls = f"tx0 AS (SELECT call_id AS id, sv_type, source, chrom, chrom2, start_pos AS s, end_pos AS e, {wiggle} AS w, sv_len FROM calls WHERE sv_type IN {TX})"
+    return f"""{calls},
+{near_runs_sql("tx0", "txr", keys, wiggle)},
+txk AS MATERIALIZED (SELECT *, first_value(id) OVER (PARTITION BY {keys}, run, nr // 2 ORDER BY nr) AS l1_id FROM txr),
+tx1 AS MATERIALIZED (SELECT l1_id AS id, sv_type, source, chrom, chrom2, CASE WHEN count(*) = 1 THEN min(s) ELSE min(s - w) END AS s, CASE WHEN count(*) = 1 THEN max(e) ELSE max(e + w) END AS e,
+  CASE WHEN count(*) = 1 THEN {wiggle} ELSE 0 END AS w, max(sv_len) AS sv_len, count(*) AS n_calls FROM txk GROUP BY l1_id, sv_type, source, chrom, chrom2)"""
+
+
+def tx_rounds_sql(n: int = 3) -> str:
+    """`txl(l1_id, l2_id)`, the level-2 pairs of translocations in so many rounds."""
+    key = "sv_type, chrom, chrom2, path"
+    parts = ["x0 AS (SELECT id, sv_type, chrom, chrom2, s, e, w, '' AS path FROM tx1)"]
+    for k in range(n):
+        parts.append(f"""{near_runs_sql(f"x{k}", f"y{k}", key, 5)},
+z{k} AS (SELECT *, first_value(id) OVER (PARTITION BY {key}, run, nr // 2 ORDER BY nr) AS head FROM y{k}),
+f{k} AS (SELECT *, EXISTS (SELECT 1 FROM y{k} o WHERE o.sv_type = z{k}.sv_type AND o.chrom = z{k}.chrom AND o.chrom2 = z{k}.chrom2 AND o.path = z{k}.path AND o.site = z{k}.site AND o.nr = o.n - 1 AND o.n % 2 = 1 AND o.w > 0 AND abs(o.s - z{k}.s) < z{k}.w AND abs(o.e - z{k}.e) < z{k}.w) AS fits FROM z{k}),
+g{k} AS MATERIALIZED (SELECT *, sum(CASE WHEN fits THEN 1 ELSE 0 END) OVER (PARTITION BY {key}, site) AS n_fit, count(*) OVER (PARTITION BY {key}, site) AS n_all FROM f{k}),
+x{k + 1} AS (SELECT id, sv_type, chrom, chrom2, s, e, w, path || CASE WHEN fits THEN 'g' ELSE 'b' END AS path FROM g{k} WHERE n_fit > 0 AND n_fit < n_all)""")
+    ready = " UNION ALL ".join(f"SELECT id AS l1_id, CASE WHEN n_fit > 0 THEN head ELSE id END AS l2_id FROM g{k} WHERE n_fit = n_all OR n_fit = 0" for k in range(n))
+    return ",\n".join(parts) + f",\ntxl AS MATERIALIZED ({ready})"
+
+
 USABLE_SQL = f"c AS MATERIALIZED (SELECT *, 100 AS wiggle FROM calls WHERE sv_len >= 50 AND sv_type NOT IN {TX})"
 LEVEL1_SQL = (
     USABLE_SQL
     + ",\n"
     + islands_sql("c", "l1i", "sv_type, source, chrom", "start_pos, end_pos, call_id", "start_pos - wiggle", "end_pos + wiggle")
+    + ",\n"
+    + tx_level1_sql(5)
     + """,
-l1 AS MATERIALIZED (SELECT first(call_id ORDER BY start_pos, end_pos, call_id) AS id, sv_type, source, chrom,
+l1 AS MATERIALIZED (SELECT first(call_id ORDER BY start_pos, end_pos, call_id) AS id, sv_type, source, chrom, chrom AS chrom2,
   CASE WHEN count(*) = 1 THEN min(start_pos) ELSE min(start_pos - wiggle) END AS s, CASE WHEN count(*) = 1 THEN max(end_pos) ELSE max(end_pos + wiggle) END AS e,
-  CASE WHEN count(*) = 1 THEN 100 ELSE 0 END AS w, max(sv_len) AS sv_len, count(*) AS n_calls FROM l1i GROUP BY sv_type, source, chrom, island)"""
+  CASE WHEN count(*) = 1 THEN 100 ELSE 0 END AS w, max(sv_len) AS sv_len, count(*) AS n_calls FROM l1i GROUP BY sv_type, source, chrom, island UNION ALL SELECT * FROM tx1)"""
 )
 
 
 def rounds_sql(n: int = 5) -> str:
     """`links(l1_id, l2_id)`, the level-2 merge in so many rounds."""
-    parts = ["r0 AS MATERIALIZED (SELECT id, sv_type, chrom, s, e, w, '' AS path FROM l1)"]
+    parts = ["r0 AS MATERIALIZED (SELECT id, sv_type, chrom, s, e, w, '' AS path FROM l1 WHERE sv_type NOT IN ('ITX', 'CTX'))"]
     for k in range(n):
         key = "sv_type, chrom, path"
         inner = f"{key}, comp"
@@ -136,7 +171,7 @@ r{k}j AS (SELECT *, (e + w - s + w >= 1 AND (size = 1 OR e + w - s + w >= 0.5 *
 r{k}k AS MATERIALIZED (SELECT *, sum(CASE WHEN fits THEN 1 ELSE 0 END) OVER (PARTITION BY {inner}) AS n_fit, count(*) OVER (PARTITION BY {inner}) AS n_all FROM r{k}j),
 r{k + 1} AS MATERIALIZED (SELECT id, sv_type, chrom, s, e, w, path || CASE WHEN fits THEN 'g' ELSE 'b' END AS path FROM r{k}k WHERE n_fit > 0 AND n_fit < n_all)""")
     ready = " UNION ALL ".join(f"SELECT id AS l1_id, CASE WHEN n_fit > 0 THEN head ELSE id END AS l2_id FROM r{k}k WHERE n_fit = n_all OR n_fit = 0" for k in range(n))
-    return ",\n".join(parts) + f",\nlinks AS MATERIALIZED ({ready})"
+    return ",\n".join(parts) + f",\n{tx_rounds_sql()},\nlinks AS MATERIALIZED ({ready} UNION ALL SELECT * FROM txl)"
 
 
 LEVEL2_SQL = (
@@ -145,16 +180,16 @@ LEVEL2_SQL = (
     + rounds_sql()
     + """,
 m AS MATERIALIZED (SELECT l2_id, l1.*, row_number() OVER (PARTITION BY l2_id ORDER BY s, e, id) AS nr, count(*) OVER (PARTITION BY l2_id) AS n_items FROM links JOIN l1 ON l1.id = links.l1_id),
-leaf AS MATERIALIZED (SELECT m.l2_id, m.nr, m.n_items, m.n_calls, x.call_id, x.start_pos, x.end_pos, x.sv_len, x.source FROM m JOIN l1k x ON x.l1_id = m.id),
-l2 AS MATERIALIZED (SELECT m.l2_id, any_value(sv_type) AS sv_type, any_value(chrom) AS chrom, max(m.sv_len) AS sv_len, string_agg(DISTINCT source, ',' ORDER BY source) AS sources, count(DISTINCT source) AS n_sources,
+leaf AS MATERIALIZED (SELECT m.l2_id, m.nr, m.n_items, m.n_calls, x.call_id, x.start_pos, x.end_pos, x.sv_len, x.source, m.sv_type FROM m JOIN l1k x ON x.l1_id = m.id),
+l2 AS MATERIALIZED (SELECT m.l2_id, any_value(sv_type) AS sv_type, any_value(chrom) AS chrom, any_value(chrom2) AS chrom2, max(m.sv_len) AS sv_len, string_agg(DISTINCT source, ',' ORDER BY source) AS sources, count(DISTINCT source) AS n_sources,
   CASE WHEN count(*) = 1 THEN min(s) ELSE min(s - w) END AS s, CASE WHEN count(*) = 1 THEN max(e) ELSE max(e + w) END AS e, count(*) AS n_level1, CAST(sum(n_calls) AS BIGINT) AS n_calls FROM m GROUP BY m.l2_id),
 bounds AS (SELECT l2_id, min(start_pos) AS call_start, max(end_pos) AS call_end FROM leaf GROUP BY l2_id),
 members AS MATERIALIZED (
-  SELECT l2_id, start_pos AS s, end_pos AS e, 100 AS w, sv_len, source FROM leaf WHERE nr = 1 AND NOT (n_items = 1 AND n_calls = 1)
-  UNION ALL SELECT l2_id, s, e, w, sv_len, source FROM m WHERE nr > 1)"""
+  SELECT l2_id, sv_type, start_pos AS s, end_pos AS e, CASE WHEN sv_type IN ('ITX', 'CTX') THEN 5 ELSE 100 END AS w, sv_len, source FROM leaf WHERE nr = 1 AND NOT (n_items = 1 AND n_calls = 1)
+  UNION ALL SELECT l2_id, sv_type, s, e, w, sv_len, source FROM m WHERE nr > 1)"""
 ).replace(
     "l1 AS MATERIALIZED",
-    "l1k AS MATERIALIZED (SELECT first_value(call_id) OVER (PARTITION BY sv_type, source, chrom, island ORDER BY start_pos, end_pos, call_id) AS l1_id, call_id, start_pos, end_pos, sv_len, source FROM l1i),\nl1 AS MATERIALIZED",
+    "l1k AS MATERIALIZED (SELECT first_value(call_id) OVER (PARTITION BY sv_type, source, chrom, island ORDER BY start_pos, end_pos, call_id) AS l1_id, call_id, start_pos, end_pos, sv_len, source FROM l1i UNION ALL SELECT l1_id, id, s, e, sv_len, source FROM txk),\nl1 AS MATERIALIZED",
     1,
 )
 
@@ -164,15 +199,15 @@ PRECISE = "('Pindel', 'BreakSeq', 'HaplotypeCaller', 'SoftClip')"
 VALIDATE_SQL = (
     LEVEL2_SQL
     + f""",
-p AS (SELECT * FROM members WHERE source IN {PRECISE}),
+p AS (SELECT * FROM members WHERE source IN {PRECISE} AND sv_type NOT IN {TX}),
 """
     + islands_sql("p", "pi", "l2_id", "s, e, source", "s - w", "e + w")
     + f""",
 pm AS MATERIALIZED (SELECT l2_id, min(s - w) AS low, max(e + w) AS high FROM pi GROUP BY l2_id, island),
 one AS (SELECT *, count(*) OVER (PARTITION BY l2_id, source) AS n FROM members),
-cand AS MATERIALIZED (SELECT one.*, {RANK} AS rk FROM one JOIN bounds USING (l2_id) WHERE n = 1 AND (
+cand AS MATERIALIZED (SELECT one.*, {RANK} AS rk FROM one JOIN bounds USING (l2_id) WHERE n = 1 AND CASE WHEN sv_type IN {TX} THEN source IN {PRECISE} ELSE (
   (least(e + w, call_end) - greatest(s - w, call_start) >= 1 AND least(e + w, call_end) - greatest(s - w, call_start) >= 0.5 * greatest(e - s + 2 * w, call_end - call_start))
-  OR EXISTS (SELECT 1 FROM pm WHERE pm.l2_id = one.l2_id AND least(e + w, high) - greatest(s - w, low) >= 1 AND least(e + w, high) - greatest(s - w, low) >= 0.5 * greatest(e - s + 2 * w, high - low)))),
+  OR EXISTS (SELECT 1 FROM pm WHERE pm.l2_id = one.l2_id AND least(e + w, high) - greatest(s - w, low) >= 1 AND least(e + w, high) - greatest(s - w, low) >= 0.5 * greatest(e - s + 2 * w, high - low))) END),
 dec AS (SELECT * FROM cand QUALIFY row_number() OVER (PARTITION BY l2_id ORDER BY rk) = 1),
 somelen AS (SELECT l2_id, sv_len AS some_len FROM members WHERE sv_len > 0 QUALIFY row_number() OVER (PARTITION BY l2_id ORDER BY {RANK}, s) = 1),
 nm AS (SELECT l2_id, count(*) AS n_members FROM members GROUP BY l2_id),
@@ -183,21 +218,18 @@ v AS MATERIALIZED (SELECT l2.*, call_start, call_end, dec.s AS by_s, dec.e AS by
 )
 
 
-@query("merge_intra", f"WITH {LEVEL1_SQL} SELECT id AS l1_id, sv_type, source, chrom, s AS start_pos, e AS end_pos, w AS wiggle, sv_len, n_calls FROM l1", ("calls",))
+@query("merge_intra", f"WITH {LEVEL1_SQL} SELECT id AS l1_id, sv_type, source, chrom, s AS start_pos, e AS end_pos, w AS wiggle, sv_len, n_calls, chrom2 FROM l1", ("calls",))
 def merge_intra(t: Inputs) -> DataFrame:
-    return merge.merge_intra(usable(t)).drop("leaves")
+    return merge.level1_of(usable(t)).drop("leaves")
 
 
 @query("merge_inter", f"WITH {LEVEL2_SQL} SELECT l2_id, sv_type, chrom, s AS start_pos, e AS end_pos, n_level1, n_calls, sv_len, sources FROM l2", ("calls",))
 def merge_inter(t: Inputs) -> DataFrame:
-    level1 = merge.settled(merge.merge_intra(usable(t)))
-    out = merge.level2(level1, merge.merge_inter(level1))
-    return out.select("l2_id", "sv_type", "chrom", "start_pos", "end_pos", F.col("n_level1").cast("long"), F.col("n_calls").cast("long"), "sv_len", F.array_join("sources", ",").alias("sources"))
+    return level2_calls(t).select("l2_id", "sv_type", "chrom", "start_pos", "end_pos", F.col("n_level1").cast("long"), F.col("n_calls").cast("long"), "sv_len", F.array_join("sources", ",").alias("sources"))
 
 
 def level2_calls(t: Inputs) -> DataFrame:
-    level1 = merge.settled(merge.merge_intra(usable(t)))
-    return merge.level2(level1, merge.merge_inter(level1))
+    return merge.level2_of(usable(t))
 
 
 @query("validate_calls", f"WITH {VALIDATE_SQL} SELECT l2_id, call_start AS start_pos, call_end AS end_pos, is_validated, is_precise, by_source FROM v", ("calls",))
@@ -207,12 +239,12 @@ def validate_calls(t: Inputs) -> DataFrame:
 
 @query(
     "snap_precise",
-    f"""WITH {VALIDATE_SQL} SELECT l2_id, sv_type, chrom, CASE WHEN is_validated AND is_precise THEN by_s ELSE call_start END AS start_pos, CASE WHEN is_validated AND is_precise THEN by_e ELSE call_end END AS end_pos,
+    f"""WITH {VALIDATE_SQL} SELECT l2_id, sv_type, chrom, chrom2, CASE WHEN is_validated AND is_precise THEN by_s ELSE call_start END AS start_pos, CASE WHEN is_validated AND is_precise THEN by_e ELSE call_end END AS end_pos,
     CASE WHEN is_validated AND is_precise THEN CASE WHEN by_len <> 0 THEN by_len ELSE coalesce(some_len, by_len) END ELSE sv_len END AS sv_len, is_validated, is_precise FROM v""",
     ("calls",),
 )
 def snap_precise(t: Inputs) -> DataFrame:
-    return merge.consolidated(usable(t)).select("l2_id", "sv_type", "chrom", "start_pos", "end_pos", "sv_len", "is_validated", "is_precise")
+    return merge.consolidated(usable(t)).select("l2_id", "sv_type", "chrom", "chrom2", "start_pos", "end_pos", "sv_len", "is_validated", "is_precise")
 
 
 @query("singleton_precise", f"WITH {VALIDATE_SQL} SELECT v.l2_id, is_precise, is_validated FROM v LEFT JOIN nm USING (l2_id) WHERE n_members IS NULL", ("calls",))
@@ -235,7 +267,7 @@ METHODS_SQL = "CASE source WHEN 'Pindel' THEN ['SR'] WHEN 'BreakSeq' THEN ['JM']
 
 @query(
     "info_merge",
-    f"""WITH {LEVEL2_SQL}, txt AS (SELECT l2_id, string_agg(chrom || '-' || s || '-' || chrom || '-' || e || '-' || members.sv_len || '-' || source, ',' ORDER BY chrom || '-' || s || '-' || chrom || '-' || e || '-' || members.sv_len || '-' || source) AS sources_text FROM members JOIN (SELECT l2_id, chrom FROM l2) USING (l2_id) GROUP BY l2_id),
+    f"""WITH {LEVEL2_SQL}, txt AS (SELECT l2_id, string_agg(chrom || '-' || s || '-' || chrom2 || '-' || e || '-' || members.sv_len || '-' || source, ',' ORDER BY chrom || '-' || s || '-' || chrom2 || '-' || e || '-' || members.sv_len || '-' || source) AS sources_text FROM members JOIN (SELECT l2_id, chrom, chrom2 FROM l2) USING (l2_id) GROUP BY l2_id),
     met AS (SELECT l2_id, count(DISTINCT k) AS num_svmethods FROM (SELECT l2_id, unnest({METHODS_SQL}) AS k FROM m) GROUP BY l2_id)
     SELECT l2_id, sources_text, CAST(num_svmethods AS INTEGER) AS num_svmethods, CAST(n_sources AS INTEGER) AS num_svtools FROM txt JOIN met USING (l2_id) JOIN l2 USING (l2_id)""",
     ("calls",),
@@ -396,7 +428,7 @@ def merge_neg_distance(t: Inputs) -> DataFrame:
 def src_bed_track(t: Inputs) -> DataFrame:
     """The track as disjoint intervals, merged in coordinate blocks."""
     rows = t.track.withColumn("id", F.col("end_pos"))
-    return block_islands(rows, ["chrom"], "id", F.col("start_pos"), F.col("end_pos")).groupBy("chrom", "island").agg(F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos")).drop("island")
+    return islands(rows, ["chrom"], ["start_pos", "id"], F.col("start_pos"), F.col("end_pos")).groupBy("chrom", "island").agg(F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos")).drop("island")
 
 
 INS_SQL = "x AS (SELECT call_id, chrom, sv_type, source, sv_len, start_pos - 150 AS start_pos, end_pos + 150 AS end_pos FROM calls WHERE sv_type = 'INS')"
@@ -489,6 +521,6 @@ def dedupe_adjacent(t: Inputs) -> DataFrame:
     return merge.coalesce_adjacent(calls).drop("methods")
 
 
-@query("pair_translocations")
+@query("pair_translocations", f"WITH {tx_level1_sql(500)} SELECT id AS l1_id, sv_type, source, chrom, chrom2, s AS start_pos, e AS end_pos, n_calls FROM tx1", ("calls",))
 def pair_translocations(t: Inputs) -> DataFrame:
-    return merge.pair_translocations(t.calls.withColumn("wiggle", filters.wiggle_of(tx_wiggle=500)))
+    return merge.pair_translocations(t.calls.withColumn("wiggle", filters.wiggle_of(tx_wiggle=500))).drop("wiggle", "sv_len", "leaves")

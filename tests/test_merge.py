@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from svloom.operators import merge
-from svloom.operators.intervals import block_islands, islands, overlap_join
+from svloom.operators.intervals import islands, islands_within, overlap_join
 
 
 def random_calls(seed, n=400, span=3000, sources=("A", "B", "C")):
@@ -44,13 +44,27 @@ def test_merge_intra_is_the_fold(spark):
     assert {(r["source"], r["start_pos"], r["end_pos"], r["n_calls"]) for r in got} == expected
 
 
-def test_block_islands_equal_islands(spark):
-    df = spark.createDataFrame(random_calls(2), COLUMNS)
-    low, high = F.col("start_pos"), F.col("end_pos")
-    plain = islands(df, ["chrom"], ["start_pos", "call_id"], low, high)
-    blocked = block_islands(df, ["chrom"], "call_id", low, high, block=200)
-    group = lambda d: {frozenset(r["ids"]) for r in d.groupBy("island").agg(F.collect_list("call_id").alias("ids")).collect()}
-    assert group(plain) == group(blocked)
+def test_islands_by_blocks_equal_those_of_a_window(spark):
+    """Across blocks of any width, for touching and negative gaps, mixed wiggles and null keys."""
+    rng = random.Random(2)
+    rows = [(*r[:1], rng.choice(["1", "2", None]), *r[2:7], rng.choice([0, 3, 40])) for r in random_calls(2)]
+    df = spark.createDataFrame(rows, COLUMNS)
+    group = lambda d: {(r["chrom"], frozenset(r["ids"])) for r in d.groupBy("chrom", "island").agg(F.collect_list("call_id").alias("ids")).collect()}
+    low, high = F.col("start_pos") - F.col("wiggle"), F.col("end_pos") + F.col("wiggle")
+    for first, touching, gap, block in (("start_pos", False, 0, 200), ("start_pos", True, -30, 50), (low, True, 0, 1000), ("start_pos", False, -5, 7), ("start_pos", True, 10, 10**6)):
+        order = [first, "start_pos", "end_pos", "call_id"]
+        plain = islands_within(df, ["chrom"], order, low, high, touching=touching, gap=gap)
+        assert group(islands(df, ["chrom"], order, low, high, touching=touching, gap=gap, block=block)) == group(plain)
+    assert "_" not in {c[0] for c in islands(df, ["chrom"], ["start_pos"], low, high).columns}
+
+
+def test_long_intervals_meet_short_ones(spark):
+    """Pairs of all lengths meet once, and no interval is listed under more than a few hundred bins."""
+    rng = random.Random(3)
+    rows = [(i, rng.choice("12"), s, s + rng.choice([0, 3, 50, 5_000, 90_000])) for i, s in enumerate(rng.randrange(100_000) for _ in range(120))]
+    df = spark.createDataFrame(rows, "call_id long, chrom string, start_pos long, end_pos long")
+    got = sorted((r["call_id"], r["b_call_id"]) for r in overlap_join(df, df, pad=5, width=16).collect())
+    assert got == sorted((a[0], b[0]) for a in rows for b in rows if a[1] == b[1] and max(a[2] - 5, b[2]) < min(a[3] + 5, b[3]))
 
 
 def test_overlap_join_is_exact_and_binned(spark):
@@ -131,3 +145,44 @@ def test_translocations_pair_up(spark):
     df = spark.createDataFrame(rows, "call_id long, chrom string, chrom2 string, start_pos long, end_pos long, sv_type string, sv_len long, source string, wiggle int")
     got = sorted((r["l1_id"], r["n_calls"], r["start_pos"], r["end_pos"]) for r in merge.pair_translocations(df).collect())
     assert got == [(0, 2, 95, 506), (2, 1, 102, 502), (9, 1, 100, 500)]
+
+
+def fold_pairs(items):
+    """The recursion over translocations (start, end, wiggle, ids), sorted, as it is written down."""
+    near = lambda x, y: abs(x[0] - y[0]) < x[2] and abs(x[1] - y[1]) < x[2]
+    items = sorted(items, key=lambda x: (x[0], x[1], x[3]))
+    merged = []
+    for x in items:
+        if merged and near(merged[-1], x):
+            c = merged.pop()
+            x = (min(c[0] - c[2], x[0] - x[2]), max(c[1] + c[2], x[1] + x[2]), 0, c[3] + x[3])
+        merged.append(x)
+    good = [x for x in items if any(near(x, m) for m in merged if m[2])]
+    bad = [x for x in items if x not in good]
+    if not bad:
+        return merged
+    return bad if not good else fold_pairs(bad) + fold_pairs(good)
+
+
+def test_translocations_of_callers_pair_up_where_a_third_stands_by(spark):
+    rng = random.Random(7)
+    rows = []
+    for site in range(60):
+        for k in range(rng.choice([1, 2, 2, 3, 3, 4, 5, 7])):
+            rows.append((len(rows), "1", "2", 10_000 * site + rng.randrange(7), 500_000 + rng.randrange(7), "CTX", 0, rng.choice(["Pindel", "BreakDancer", "Manta", "Lumpy"]), 5))
+    df = spark.createDataFrame(rows, "call_id long, chrom string, chrom2 string, start_pos long, end_pos long, sv_type string, sv_len long, source string, wiggle int")
+    level1 = merge.settled(merge.level1_of(df))
+    got = {}
+    for r in merge.merge_pairs(level1).collect():
+        got.setdefault(r["l2_id"], set()).add(r["l1_id"])
+    items = level1.collect()
+    expected = set()
+    for site in range(60):
+        here = [(r["start_pos"], r["end_pos"], r["wiggle"], (r["l1_id"],)) for r in items if abs(r["start_pos"] - 10_000 * site) < 100]
+        expected |= {frozenset(x[3]) for x in fold_pairs(here)}
+    assert {frozenset(x) for x in got.values()} == expected and max(map(len, expected)) == 2
+    calls = merge.consolidated(df)
+    found = calls.collect()
+    assert sum(r["n_calls"] for r in found) == len(rows) and {r["chrom2"] for r in found} == {"2"}
+    both = [r for r in found if r["n_level1"] == 2]
+    assert both and all(r["is_validated"] == (len(r["sources"]) > 1 and "Pindel" in r["sources"]) for r in both)
