@@ -40,7 +40,7 @@ SELECT l_orderkey * 10 + l_linenumber AS read_id,
        MIN(l_linestatus) = 'O' AS is_reverse,
        CASE WHEN l_orderkey % 7 = 0 THEN MIN(l_linestatus) = 'O' ELSE MIN(l_linestatus) <> 'O' END AS mate_is_reverse,
        l_orderkey % 50 = 0 AS is_duplicate, l_orderkey % 53 = 0 AS is_unmapped, l_orderkey % 17 = 0 AS mate_is_unmapped,
-       l_linenumber % 2 = 1 AS is_read1
+       l_linenumber % 2 = 1 AS is_read1, l_orderkey % 61 <> 0 AS is_paired
 FROM lineitem GROUP BY l_orderkey, l_linenumber
 """,
     "gaps": """

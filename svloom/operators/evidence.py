@@ -7,12 +7,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .. import constants as C
-from .intervals import overlap_join
+from .intervals import islands, overlap_join
 
 PRECISE_METHODS = ("AS", "SR", "JM")
 
 
-def as_intervals(reads: DataFrame, *columns: str) -> DataFrame:
+def as_intervals(reads: DataFrame, *columns: str | Column) -> DataFrame:
     return reads.select("chrom", F.col("pos").alias("start_pos"), F.col("aend").alias("end_pos"), *columns)
 
 
@@ -22,12 +22,13 @@ def as_intervals(reads: DataFrame, *columns: str) -> DataFrame:
 def genotype_counts(calls: DataFrame, reads: DataFrame, window: int = C.GT_WINDOW, isize: tuple[float, float] = (C.ISIZE_MEAN - 3 * C.ISIZE_SD, C.ISIZE_MEAN + 3 * C.ISIZE_SD), around: int = 20) -> DataFrame:
     """`call_id, total, normal`: reads near the breakpoints, and those of normal pairs that span one.
 
-    Insertions have one breakpoint, others two. Calls without reads count 0.
+    Insertions have one breakpoint, others two. Reads without a mate don't count. Calls without
+    reads count 0.
     """
     points = F.when(F.col("sv_type") == "INS", F.array("start_pos")).otherwise(F.array("start_pos", "end_pos"))
     at = calls.select("call_id", "chrom", F.posexplode(points).alias("nr", "point"))
     windows = at.select("call_id", "chrom", "nr", "point", F.greatest(F.lit(0), F.col("point") - window).alias("start_pos"), (F.col("point") + window).alias("end_pos"))
-    seen = as_intervals(reads.where(~F.col("is_duplicate")), "pos", "aend", "tlen", "mate_chrom", "mate_pos", "is_reverse", "mate_is_reverse", "is_unmapped", "mate_is_unmapped")
+    seen = as_intervals(reads.where(F.col("is_paired") & ~F.col("is_duplicate")), "pos", "aend", "tlen", "mate_chrom", "mate_pos", "is_reverse", "mate_is_reverse", "is_unmapped", "mate_is_unmapped")
     met = overlap_join(windows, seen, prefix="r_", width=2000)
     inward = F.when(F.col("r_is_reverse"), (F.col("r_mate_pos") < F.col("r_pos")) & ~F.col("r_mate_is_reverse")).otherwise((F.col("r_mate_pos") > F.col("r_pos")) & F.col("r_mate_is_reverse"))
     spans = (F.col("r_aend") - F.col("point") >= around) & (F.col("point") - F.col("r_pos") >= around)
@@ -176,7 +177,8 @@ def truth_overlap(calls: DataFrame, truth: DataFrame) -> DataFrame:
 def library_stats(reads: DataFrame, min_mapq: int = 18, trim: float = 0.05) -> DataFrame:
     """Mean coverage of covered places and, of the middle insert sizes, mean and deviation; one row.
 
-    Sizes are counted first, so what is ranked is a row per size, not per read.
+    Sizes are counted first, so what is ranked is a row per size, not per read. Covered places are
+    those of the islands that reads form.
     """
     good = reads.where(F.col("mapq") >= min_mapq)
     sizes = good.groupBy(F.abs("tlen").alias("size")).agg(F.count("*").alias("n"))
@@ -186,20 +188,26 @@ def library_stats(reads: DataFrame, min_mapq: int = 18, trim: float = 0.05) -> D
     kept = ranked.withColumn("k", F.greatest(F.lit(0), F.least("through", high) - F.greatest(F.col("through") - F.col("n"), low)))
     stats = kept.agg(F.sum("k").alias("n"), F.sum(F.col("k") * F.col("size")).alias("s"), F.sum(F.col("k") * F.col("size") * F.col("size")).alias("ss"))
     mean = F.col("s") / F.col("n")
-    return stats.select(F.col("n").alias("n_reads"), mean.alias("isize_mean"), F.sqrt(F.col("ss") / F.col("n") - mean * mean).alias("isize_sd"))
+    placed = islands(as_intervals(good, "read_id"), ["chrom"], ["start_pos", "end_pos", "read_id"], F.col("start_pos"), F.col("end_pos"))
+    covered = placed.groupBy("chrom", "island").agg(F.sum(F.col("end_pos") - F.col("start_pos")).alias("bases"), (F.max("end_pos") - F.min("start_pos")).alias("places")).agg((F.sum("bases") / F.sum("places")).alias("coverage"))
+    return stats.select(F.col("n").alias("n_reads"), mean.alias("isize_mean"), F.sqrt(F.col("ss") / F.col("n") - mean * mean).alias("isize_sd")).join(F.broadcast(covered), F.lit(True), "left")
 
 
 def variant_read_features(calls: DataFrame, reads: DataFrame, isize_mean: float, isize_sd: float, points: int = 10, min_mapq: int = 18, longest: int = 1_000_000) -> DataFrame:
-    """Reads at places of a call that depend on its id alone, and discordant ones beside its ends."""
+    """Reads at places of a call that depend on its id alone, and discordant ones beside its ends.
+
+    aligned_share and end_aligned_share: what of the bases of well mapped reads there is not clipped.
+    """
     short = calls.where(F.col("end_pos") - F.col("start_pos") <= longest)
     place = F.transform(F.sequence(F.lit(0), F.lit(points - 1)), lambda i: F.struct(F.lit("in").alias("kind"), (F.col("start_pos") + F.pmod(F.col("call_id") * 7919 + i * 104729, F.greatest(F.lit(1), F.col("end_pos") - F.col("start_pos")))).alias("at")))
     ends = F.array(F.struct(F.lit("end").alias("kind"), F.greatest(F.lit(0), F.col("start_pos") - int(isize_sd)).alias("at")), F.struct(F.lit("end").alias("kind"), (F.col("end_pos") + int(isize_sd)).alias("at")))
     at = short.select("call_id", "chrom", F.explode(F.concat(place, ends)).alias("p")).select("call_id", "chrom", "p.kind", F.col("p.at").alias("start_pos"), (F.col("p.at") + 1).alias("end_pos"))
-    met = overlap_join(at, as_intervals(reads, "mapq", "is_reverse", "tlen"), prefix="r_", width=2000)
+    met = overlap_join(at, as_intervals(reads, "mapq", "is_reverse", "tlen", "rlen", (F.col("rlen") - F.col("clip_left") - F.col("clip_right")).alias("kept")), prefix="r_", width=2000)
     inside, good = F.col("kind") == "in", F.col("r_mapq") >= min_mapq
     n = lambda c: F.sum(F.when(c, 1).otherwise(0))
+    share = lambda c: F.sum(F.when(c, F.col("r_kept"))) / F.sum(F.when(c, F.col("r_rlen")))
     size = F.abs("r_tlen")
-    counts = met.groupBy("call_id").agg(n(inside & good).alias("unique"), n(inside).alias("total"), n(inside & good & ~F.col("r_is_reverse")).alias("forward"), n(~inside & good & (size > isize_mean + 3 * isize_sd)).alias("discordant_high"), n(~inside & good & (size < isize_mean - 3 * isize_sd)).alias("discordant_low"))
+    counts = met.groupBy("call_id").agg(n(inside & good).alias("unique"), n(inside).alias("total"), n(inside & good & ~F.col("r_is_reverse")).alias("forward"), n(~inside & good & (size > isize_mean + 3 * isize_sd)).alias("discordant_high"), n(~inside & good & (size < isize_mean - 3 * isize_sd)).alias("discordant_low"), share(inside & good).alias("aligned_share"), share(~inside & good).alias("end_aligned_share"))
     zero = {c: F.coalesce(c, F.lit(0)) for c in ("unique", "total", "forward", "discordant_high", "discordant_low")}
     out = short.select("call_id").join(counts, "call_id", "left").withColumns(zero)
     return out.withColumns({"strand_bias": F.when(F.col("unique") > 0, F.pow(F.col("forward") / F.col("unique") - 0.5, F.lit(2))), "unique_share": F.when(F.col("total") > 0, F.col("unique") / F.col("total"))})

@@ -9,11 +9,11 @@ from ..fixtures import Inputs
 from ..functions.reads import with_cigar
 from ..operators import evidence, filters
 from .registry import query
-from .calls import METHODS_SQL
+from .calls import METHODS_SQL, islands_sql
 
 GT_SQL = """p AS MATERIALIZED (SELECT call_id, chrom, start_pos AS pt FROM calls UNION ALL SELECT call_id, chrom, end_pos FROM calls WHERE sv_type <> 'INS'),
 k AS (SELECT p.call_id, count(*) AS total, count(*) FILTER (NOT is_unmapped AND NOT mate_is_unmapped AND mate_chrom = r.chrom AND CASE WHEN is_reverse THEN mate_pos < pos AND NOT mate_is_reverse ELSE mate_pos > pos AND mate_is_reverse END
-  AND aend - pt >= 20 AND pt - pos >= 20 AND abs(tlen) BETWEEN 200 AND 500) AS normal FROM p JOIN reads r ON r.chrom = p.chrom AND NOT r.is_duplicate AND greatest(r.pos, greatest(0, pt - 100)) < least(r.aend, pt + 100) GROUP BY p.call_id),
+  AND aend - pt >= 20 AND pt - pos >= 20 AND abs(tlen) BETWEEN 200 AND 500) AS normal FROM p JOIN reads r ON r.chrom = p.chrom AND r.is_paired AND NOT r.is_duplicate AND greatest(r.pos, greatest(0, pt - 100)) < least(r.aend, pt + 100) GROUP BY p.call_id),
 gt AS MATERIALIZED (SELECT calls.call_id, coalesce(total, 0) AS total, coalesce(normal, 0) AS normal FROM calls LEFT JOIN k USING (call_id))"""
 
 
@@ -135,7 +135,7 @@ def ann_weighted(t: Inputs) -> DataFrame:
     return evidence.weighted_overlap(t.calls, t.track).withColumn("score", F.round("score", 6))
 
 
-BINS_SQL = """b AS MATERIALIZED (SELECT call_id, chrom, unnest(range(start_pos, end_pos, 50)) AS s FROM calls WHERE chrom IN ('1', '2') AND end_pos > start_pos),
+BINS_SQL = """b AS MATERIALIZED (SELECT call_id, chrom, unnest(range(start_pos, end_pos, 50)) AS s FROM calls WHERE end_pos > start_pos),
 n AS MATERIALIZED (SELECT b.call_id, s, count(r.read_id) AS n, count(r.read_id) FILTER (mapq >= 20 AND nm < 2 AND clip_left + clip_right <= 10) AS g FROM b LEFT JOIN reads r ON r.chrom = b.chrom AND NOT is_duplicate AND r.pos < b.s + 50 AND r.aend > b.s GROUP BY b.call_id, s)"""
 
 
@@ -145,7 +145,7 @@ n AS MATERIALIZED (SELECT b.call_id, s, count(r.read_id) AS n, count(r.read_id)
     ("calls", "reads"),
 )
 def ann_cov_bins(t: Inputs) -> DataFrame:
-    out = evidence.coverage_bins(t.calls.where("chrom in ('1', '2')"), t.reads)
+    out = evidence.coverage_bins(t.calls, t.reads)
     return out.select("call_id", "coverage", "good_coverage", "least", "most", "good_most", F.round("mean", 6).alias("mean"), F.round("most_ratio", 6).alias("most_ratio"))
 
 
@@ -172,27 +172,30 @@ def ann_del_variant(t: Inputs) -> DataFrame:
     return evidence.weighted_overlap(dels, t.track).join(flags, "call_id").select("call_id", F.round("score", 6).alias("score"), (F.col("overlaps") == 1).alias("in_gap"))
 
 
-LIB_SQL = """o AS (SELECT abs(tlen) AS size, row_number() OVER (ORDER BY abs(tlen)) - 1 AS nr, count(*) OVER () AS n FROM reads WHERE mapq >= 18),
+LIB_SQL = "lr AS (SELECT * FROM reads WHERE mapq >= 18),\n" + islands_sql("lr", "lri", "chrom", "pos, aend, read_id", "pos", "aend") + """,
+o AS (SELECT abs(tlen) AS size, row_number() OVER (ORDER BY abs(tlen)) - 1 AS nr, count(*) OVER () AS n FROM reads WHERE mapq >= 18),
+cov AS (SELECT sum(b) / sum(p) AS coverage FROM (SELECT sum(aend - pos) AS b, max(aend) - min(pos) AS p FROM lri GROUP BY chrom, island)),
 lib AS (SELECT count(*) AS n_reads, avg(size) AS m, sqrt(sum(size * size) / count(*) - avg(size) * avg(size)) AS sd FROM o WHERE nr >= floor(n * 0.05) AND nr < ceil(n * 0.95))"""
 
 
-@query("lib_stats", f"WITH {LIB_SQL} SELECT n_reads, round(m, 6) AS isize_mean, round(sd, 6) AS isize_sd FROM lib", ("reads",))
+@query("lib_stats", f"WITH {LIB_SQL} SELECT n_reads, round(m, 6) AS isize_mean, round(sd, 6) AS isize_sd, round(coverage, 6) AS coverage FROM lib, cov", ("reads",))
 def lib_stats(t: Inputs) -> DataFrame:
-    return evidence.library_stats(t.reads).select("n_reads", F.round("isize_mean", 6).alias("isize_mean"), F.round("isize_sd", 6).alias("isize_sd"))
+    return evidence.library_stats(t.reads).select("n_reads", F.round("isize_mean", 6).alias("isize_mean"), F.round("isize_sd", 6).alias("isize_sd"), F.round("coverage", 6).alias("coverage"))
 
 
 @query(
     "var_read_features",
-    """WITH q AS (SELECT call_id, chrom, 'in' AS kind, start_pos + (call_id * 7919 + i * 104729) % greatest(1, end_pos - start_pos) AS at_ FROM calls, range(10) r(i) WHERE chrom IN ('1', '2')
-      UNION ALL SELECT call_id, chrom, 'end', greatest(0, start_pos - 50) FROM calls WHERE chrom IN ('1', '2') UNION ALL SELECT call_id, chrom, 'end', end_pos + 50 FROM calls WHERE chrom IN ('1', '2'))
+    """WITH q AS (SELECT call_id, chrom, 'in' AS kind, start_pos + (call_id * 7919 + i * 104729) % greatest(1, end_pos - start_pos) AS at_ FROM calls, range(10) r(i)
+      UNION ALL SELECT call_id, chrom, 'end', greatest(0, start_pos - 50) FROM calls UNION ALL SELECT call_id, chrom, 'end', end_pos + 50 FROM calls)
     SELECT call_id, count(read_id) FILTER (kind = 'in' AND mapq >= 18) AS "unique", count(read_id) FILTER (kind = 'in') AS total, count(read_id) FILTER (kind = 'in' AND mapq >= 18 AND NOT is_reverse) AS forward,
-    count(read_id) FILTER (kind = 'end' AND mapq >= 18 AND abs(tlen) > 500) AS discordant_high, count(read_id) FILTER (kind = 'end' AND mapq >= 18 AND abs(tlen) < 200) AS discordant_low
+    count(read_id) FILTER (kind = 'end' AND mapq >= 18 AND abs(tlen) > 500) AS discordant_high, count(read_id) FILTER (kind = 'end' AND mapq >= 18 AND abs(tlen) < 200) AS discordant_low,
+    round(sum(rlen - clip_left - clip_right) FILTER (kind = 'in' AND mapq >= 18) / sum(rlen) FILTER (kind = 'in' AND mapq >= 18), 6) AS aligned_share, round(sum(rlen - clip_left - clip_right) FILTER (kind = 'end' AND mapq >= 18) / sum(rlen) FILTER (kind = 'end' AND mapq >= 18), 6) AS end_aligned_share
     FROM q LEFT JOIN reads r ON r.chrom = q.chrom AND r.pos < at_ + 1 AND r.aend > at_ GROUP BY call_id""",
     ("calls", "reads"),
 )
 def var_read_features(t: Inputs) -> DataFrame:
-    out = evidence.variant_read_features(t.calls.where("chrom in ('1', '2')"), t.reads, 350, 50)
-    return out.select("call_id", "unique", "total", "forward", "discordant_high", "discordant_low")
+    out = evidence.variant_read_features(t.calls, t.reads, 350, 50)
+    return out.select("call_id", "unique", "total", "forward", "discordant_high", "discordant_low", F.round("aligned_share", 6).alias("aligned_share"), F.round("end_aligned_share", 6).alias("end_aligned_share"))
 
 
 ML_SQL = f"""SELECT call_id, sv_len, len({METHODS_SQL}) AS n_methods, CAST(source IN ('BreakDancer', 'Manta', 'Lumpy') AS INTEGER) AS has_RP, CAST(source = 'CNVnator' AS INTEGER) AS has_RD, CAST(source IN ('Pindel', 'Manta', 'Lumpy') AS INTEGER) AS has_SR,
