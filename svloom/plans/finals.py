@@ -253,14 +253,16 @@ def aln_features(t: Inputs) -> DataFrame:
     return breakpoints.alignment_features(breakpoints.good_alignments(alignments(t)))
 
 
-BP_DEL_SQL = f"""WITH RECURSIVE {GOOD_SQL}, pl AS (SELECT call_id, start_pos, unnest([f1_e1, f2_s1]) AS at_ FROM gd WHERE sv_type = 'DEL'),
-po AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY call_id ORDER BY at_) AS nr FROM pl),
+#: The fold that takes places `pl(call_id, start_pos, at_)` a window apart: `en(call_id, start_pos, bps)`; needs WITH RECURSIVE.
+SPACED_SQL = """po AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY call_id ORDER BY at_) AS nr FROM pl),
 wk AS (SELECT call_id, start_pos, nr, at_ AS last_, [at_] AS bps FROM po WHERE nr = 1 UNION ALL
   SELECT p.call_id, p.start_pos, p.nr, CASE WHEN p.at_ - wk.last_ >= 20 THEN p.at_ ELSE wk.last_ END, CASE WHEN p.at_ - wk.last_ >= 20 THEN list_append(wk.bps, p.at_) ELSE wk.bps END FROM wk JOIN po p ON p.call_id = wk.call_id AND p.nr = wk.nr + 1),
 en AS (SELECT call_id, start_pos, last(bps ORDER BY nr) AS bps FROM wk GROUP BY call_id, start_pos)"""
+TWO_SQL = " SELECT call_id, start_pos - 500 + bps[1] AS bp1, start_pos - 500 + bps[2] AS bp2, bps[2] - bps[1] AS bp_len FROM en WHERE len(bps) = 2"
+BP_DEL_SQL = f"WITH RECURSIVE {GOOD_SQL}, pl AS (SELECT call_id, start_pos, unnest([f1_e1, f2_s1]) AS at_ FROM gd WHERE sv_type = 'DEL'),\n{SPACED_SQL}"
 
 
-@query("bp_del", BP_DEL_SQL + " SELECT call_id, start_pos - 500 + bps[1] AS bp1, start_pos - 500 + bps[2] AS bp2, bps[2] - bps[1] AS bp_len FROM en WHERE len(bps) = 2", ("split_alignments",))
+@query("bp_del", BP_DEL_SQL + TWO_SQL, ("split_alignments",))
 def bp_del(t: Inputs) -> DataFrame:
     return breakpoints.deletion_breakpoints(breakpoints.good_alignments(alignments(t)))
 
@@ -290,12 +292,39 @@ def shaped(t: Inputs, sv_type: str) -> DataFrame:
     return rows.withColumn("frags", F.array(frag(F.lit(1), at, F.lit(1), F.lit(450)), frag(at + 1, F.lit(1000), F.lit(650), F.lit(850)))).withColumn("contig_len", F.lit(1100))
 
 
-@query("bp_dup")
+def ends_sql(name: str, s1: str, e1: str, s2: str, e2: str) -> str:
+    """Columns of a fragment's lesser and greater end on the reference, and the contig's ends there."""
+    return f"least({s1}, {e1}) AS {name}_low, greatest({s1}, {e1}) AS {name}_high, CASE WHEN {s1} <= {e1} THEN {s2} ELSE {e2} END AS {name}_at_low, CASE WHEN {s1} <= {e1} THEN {e2} ELSE {s2} END AS {name}_at_high, abs({e1} - ({s1})) + 1 AS {name}_size"
+
+
+def side_sql(swap: str, other: str, what: str) -> str:
+    return f"CASE WHEN swap THEN {swap}_{what} ELSE {other}_{what} END"
+
+
+BP_DUP_SQL = f"""WITH RECURSIVE x AS (SELECT call_id, start_pos, ref_len AS n, contig_len, {ends_sql("a", "f1_e1", "ref_len - 700", "451", "900")}, {ends_sql("b", "ref_len - 900", "ref_len - f1_e1", "1", "450")} FROM split_alignments WHERE sv_type = 'DEL'),
+y AS (SELECT *, abs(a_low - 500) < 400 AND abs(b_high - (n - 500)) < 400 AS ab, abs(b_low - 500) < 400 AND abs(a_high - (n - 500)) < 400 AS ba FROM x WHERE least(a_size, b_size) >= 100),
+z AS (SELECT *, CASE WHEN ab AND ba THEN abs(b_low - 500) + abs(a_high - (n - 500)) <= abs(a_low - 500) + abs(b_high - (n - 500)) ELSE ba END AS swap FROM y WHERE ab OR ba),
+w AS (SELECT call_id, start_pos, contig_len, {side_sql("b", "a", "low")} AS l_low, {side_sql("b", "a", "at_low")} AS l_at, {side_sql("b", "a", "at_high")} AS l_far, {side_sql("a", "b", "high")} AS r_high, {side_sql("a", "b", "at_high")} AS r_at, {side_sql("a", "b", "at_low")} AS r_far FROM z),
+pl AS (SELECT call_id, start_pos, unnest([l_low, r_high]) AS at_ FROM w WHERE abs(l_at - r_at) <= 10 AND NOT greatest(least(l_far, r_far), least(l_far, r_far) - contig_len) > 10),
+{SPACED_SQL}"""
+
+
+@query("bp_dup", BP_DUP_SQL + TWO_SQL, ("split_alignments",))
 def bp_dup(t: Inputs) -> DataFrame:
     return breakpoints.duplication_breakpoints(breakpoints.good_alignments(shaped(t, "DUP")))
 
 
-@query("bp_inv")
+BP_INV_SQL = f"""WITH RECURSIVE x AS (SELECT call_id, start_pos, ref_len AS n, {ends_sql("a", "1", "f1_e1", "1", "450")}, {ends_sql("b", "ref_len - f1_e1", "f1_e1 + 1", "452", "900")}, f1_e1 + 1 < ref_len - f1_e1 AS turned FROM split_alignments WHERE sv_type = 'DEL'),
+y AS MATERIALIZED (SELECT * FROM x WHERE least(a_size, b_size) - 1 >= 50),
+v AS (SELECT call_id, start_pos, b_low AS low, b_high AS high, b_at_low AS at_low, b_at_high AS at_high FROM y WHERE turned AND abs(b_low - 500) < 400 AND abs(b_high - (n - 500)) < 400),
+o AS (SELECT call_id, a_low AS low, a_high AS high, a_at_low AS at_low, a_at_high AS at_high FROM y WHERE abs(a_high - 500) < 400 OR abs(a_low - (n - 500)) < 400
+  UNION ALL SELECT call_id, b_low, b_high, b_at_low, b_at_high FROM y WHERE NOT turned AND (abs(b_high - 500) < 400 OR abs(b_low - (n - 500)) < 400)),
+m AS (SELECT v.call_id, start_pos, o.high > v.high AS beyond, v.low AS vl, v.high AS vh, o.low AS ol, o.high AS oh, v.at_low AS val, v.at_high AS vah, o.at_low AS oal, o.at_high AS oah FROM v JOIN o USING (call_id) WHERE (o.low - v.low) * (o.high - v.high) > 0),
+pl AS (SELECT call_id, start_pos, unnest(CASE WHEN beyond THEN [vl, ol] ELSE [vh, oh] END) AS at_ FROM m WHERE abs(CASE WHEN beyond THEN val - oal ELSE vah - oah END) <= 10),
+{SPACED_SQL}"""
+
+
+@query("bp_inv", BP_INV_SQL + TWO_SQL, ("split_alignments",))
 def bp_inv(t: Inputs) -> DataFrame:
     return breakpoints.inversion_breakpoints(breakpoints.good_alignments(shaped(t, "INV")))
 

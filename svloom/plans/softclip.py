@@ -9,6 +9,7 @@ from ..fixtures import Inputs
 from ..functions import reads as R
 from ..operators import filters, softclip
 from ..operators.merge import settled
+from .calls import METHODS_SQL, islands_sql
 from .registry import query
 
 
@@ -143,9 +144,20 @@ def sc_merge(t: Inputs) -> DataFrame:
     return softclip.merged_windows(softclip.candidates(reads(t))).select("read_id", "chrom", "sv_type", "side", "island")
 
 
-@query("sc_other_split")
+SPLIT_SQL = (
+    ISLE_SQL
+    + """,
+oi AS (SELECT * EXCLUDE (nw), CASE WHEN sv_type = 'INS' THEN 0 ELSE greatest(0, other_bp - 500) END AS os, CASE WHEN sv_type = 'INS' THEN 1000 ELSE other_bp + 500 END AS oe FROM i),
+"""
+    + islands_sql("oi", "oc", "chrom, sv_type, side, isle", "os, oe, read_id", "os", "oe", ">", " - 500").replace("FROM oi", "FROM (SELECT * EXCLUDE (island), island AS isle FROM oi)")
+    + ",\n"
+    + islands_sql("oc", "op", "chrom, sv_type, side, isle, cluster", "start_pos, end_pos, read_id", "start_pos", "end_pos", ">", " - 500").replace("FROM oc", "FROM (SELECT * EXCLUDE (island), island AS cluster FROM oc)")
+)
+
+
+@query("sc_other_split", f"WITH {SPLIT_SQL} SELECT read_id, chrom, sv_type, side, isle AS island, dense_rank() OVER (PARTITION BY chrom, sv_type, side, isle ORDER BY cluster, island) AS part FROM op", ("reads",))
 def sc_other_split(t: Inputs) -> DataFrame:
-    return softclip.split_by_other_end(softclip.merged_windows(softclip.candidates(reads(t)))).select("read_id", *WINDOW_KEY, "part")
+    return softclip.split_by_other_end(softclip.merged_windows(softclip.candidates(reads(t)))).select("read_id", *WINDOW_KEY, F.col("part").cast("long").alias("part"))
 
 
 def features(t: Inputs) -> DataFrame:
@@ -251,15 +263,53 @@ def full(t: Inputs) -> DataFrame:
     return softclip.full_intervals(softclip.count_filter(supported(t), FEW)).withColumn("id", F.concat_ws(":", "chrom", "sv_type", "side", F.col("island").cast("string")))
 
 
-@query("sc_full_merge")
+def merge_full_sql(source: str, pad: int) -> str:
+    """`mf`, the intervals `id, sv_type, chrom, s, e` merged per type, with `ids`; needs WITH RECURSIVE."""
+    chain = f"""co AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY sv_type, chrom ORDER BY s, e, id) AS nr FROM {source} WHERE sv_type <> 'INS'),
+ch AS (SELECT sv_type, chrom, nr, id, s, e, id AS head FROM co WHERE nr = 1
+  UNION ALL SELECT sv_type, chrom, nr, id, CASE WHEN fits THEN least(s, ns) ELSE ns END, CASE WHEN fits THEN greatest(e, ne) ELSE ne END, CASE WHEN fits THEN head ELSE id END
+  FROM (SELECT ch.sv_type, ch.chrom, n.nr, n.id, ch.s, ch.e, ch.head, n.s AS ns, n.e AS ne, least(ch.e, n.e) - greatest(ch.s, n.s) > 0 AND least(ch.e, n.e) - greatest(ch.s, n.s) >= 0.5 * greatest(ch.e - ch.s, n.e - n.s) AS fits
+    FROM ch JOIN co n ON n.sv_type = ch.sv_type AND n.chrom = ch.chrom AND n.nr = ch.nr + 1))"""
+    ins = islands_sql("ci", "cj", "chrom", "s, e, id", "s", "e", ">", f" - {pad}")
+    return f"""{chain},
+ci AS (SELECT * FROM {source} WHERE sv_type = 'INS'),
+{ins},
+mf AS MATERIALIZED (SELECT sv_type, chrom, min(s) AS start_pos, max(e) AS end_pos, list(id ORDER BY nr) AS ids FROM ch GROUP BY sv_type, chrom, head
+  UNION ALL SELECT sv_type, chrom, min(s), max(e), list(id ORDER BY id) FROM cj GROUP BY sv_type, chrom, island)"""
+
+
+FULL_SQL = (
+    NEIGHBOUR_SQL
+    + f""",
+fu AS (SELECT *, (start_pos + end_pos) // 2 AS m, (other_start + other_end) // 2 AS o, other_start <> 0 OR other_end <> 0 AS two FROM nf WHERE neighbours >= 1.0 * {SCALE_SQL} AND (sv_type <> 'INS' OR least(plus, minus) >= 0.4 * {SCALE_SQL})),
+fi AS MATERIALIZED (SELECT concat_ws(':', chrom, sv_type, side, island) AS id, sv_type, chrom, CASE WHEN two THEN least(m, o) ELSE start_pos END AS s, CASE WHEN two THEN greatest(m, o) ELSE end_pos END AS e, m AS clip_at, o AS other_at FROM fu)"""
+)
+MERGED_FULL_SQL = FULL_SQL + ",\n" + merge_full_sql("fi", 500)
+
+
+@query("sc_full_merge", f"WITH RECURSIVE {MERGED_FULL_SQL} SELECT sv_type, chrom, start_pos, end_pos, array_to_string(ids, ',') AS ids FROM mf", ("reads",))
 def sc_full_merge(t: Inputs) -> DataFrame:
-    return softclip.merge_full(full(t))
+    return softclip.merge_full(full(t)).withColumn("ids", F.array_join("ids", ","))
+
 
+TUNE_SQL = (
+    MERGED_FULL_SQL
+    + """,
+fm AS (SELECT u.*, fi.clip_at, fi.other_at, abs(clip_at - start_pos) < abs(clip_at - end_pos) AS c_near, abs(other_at - start_pos) < abs(other_at - end_pos) AS o_near FROM (SELECT *, unnest(ids) AS id FROM mf) u JOIN fi ON fi.id = u.id),
+fv AS (SELECT sv_type, chrom, start_pos, end_pos, ids, CAST(floor(avg(clip_at) FILTER (c_near AND NOT o_near)) AS BIGINT) AS lb, CAST(floor(avg(clip_at) FILTER (NOT c_near AND o_near)) AS BIGINT) AS rb FROM fm GROUP BY ALL),
+fe AS (SELECT *, CASE WHEN sv_type = 'INS' OR (lb IS NOT NULL AND rb IS NOT NULL) THEN 2 WHEN lb IS NOT NULL OR rb IS NOT NULL THEN 1 END AS ends, sv_type <> 'INS' AND lb IS NOT NULL AND rb IS NOT NULL AS both_ FROM fv)"""
+)
 
-@query("sc_fine_tune")
+
+@query(
+    "sc_fine_tune",
+    f"""WITH RECURSIVE {TUNE_SQL} SELECT sv_type, chrom, CASE WHEN both_ THEN lb ELSE start_pos END AS start_pos, CASE WHEN both_ THEN rb ELSE end_pos END AS end_pos,
+    CASE WHEN both_ THEN rb - lb WHEN sv_type = 'INS' THEN 0 ELSE end_pos - start_pos END AS sv_len, ends, array_to_string(ids, ',') AS ids FROM fe WHERE ends IS NOT NULL""",
+    ("reads",),
+)
 def sc_fine_tune(t: Inputs) -> DataFrame:
     intervals = settled(full(t))
-    return softclip.fine_tune(softclip.merge_full(intervals), intervals)
+    return softclip.fine_tune(softclip.merge_full(intervals), intervals).withColumn("ids", F.array_join("ids", ","))
 
 
 @query("sc_one_end")
@@ -337,7 +387,27 @@ def fix_precise_coords(t: Inputs) -> DataFrame:
     return merged.select("chrom", "bin", "sv_type", softclip.precise_coordinates(F.col("members"), F.col("s"), F.col("e")).alias("p")).select("chrom", "bin", "sv_type", F.col("p.start").alias("start_pos"), F.col("p.end").alias("end_pos"))
 
 
-@query("sc_with_calls")
+WITH_CALLS_SQL = (
+    FULL_SQL
+    + """,
+bo AS (SELECT 'sc:' || id AS id, chrom, sv_type, s, e, 'SoftClip' AS source FROM fi UNION ALL SELECT 'call:' || call_id, chrom, sv_type, start_pos, end_pos, source FROM calls),
+bp AS MATERIALIZED (SELECT id, chrom, sv_type, source, CASE WHEN sv_type = 'INS' THEN greatest(s - 100, 0) ELSE s END AS s, CASE WHEN sv_type = 'INS' THEN e + 100 ELSE e END AS e FROM bo),
+bn AS (SELECT * FROM bp WHERE sv_type NOT IN ('ITX', 'CTX')),
+"""
+    + merge_full_sql("bn", 100)
+    + f""",
+tl AS (SELECT u.sv_type, u.chrom, u.start_pos, u.end_pos, ids[1] AS first_id, list(DISTINCT source ORDER BY source) AS tools FROM (SELECT *, unnest(ids) AS id FROM mf) u JOIN bp ON bp.id = u.id GROUP BY ALL
+  UNION ALL SELECT sv_type, chrom, s, e, id, [source] FROM bp WHERE sv_type IN ('ITX', 'CTX')),
+tm AS (SELECT first_id, string_agg(DISTINCT k, ';' ORDER BY k) AS methods FROM (SELECT first_id, unnest(CASE WHEN source = 'SoftClip' THEN ['SC'] ELSE {METHODS_SQL} END) AS k FROM (SELECT first_id, unnest(tools) AS source FROM tl)) GROUP BY first_id)"""
+)
+
+
+@query(
+    "sc_with_calls",
+    f"""WITH RECURSIVE {WITH_CALLS_SQL} SELECT sv_type, chrom, CASE WHEN sv_type = 'INS' THEN start_pos + 100 ELSE start_pos END AS start_pos, CASE WHEN sv_type = 'INS' THEN greatest(end_pos - 100, start_pos + 101) ELSE end_pos END AS end_pos,
+    first_id, array_to_string(tools, ',') AS tools, methods FROM tl JOIN tm USING (first_id)""",
+    ("reads", "calls"),
+)
 def sc_with_calls(t: Inputs) -> DataFrame:
     """Soft-clip intervals and callers' merged per type; translocations pass through."""
     mine = full(t).select(F.concat(F.lit("sc:"), "id").alias("id"), "chrom", "sv_type", "start_pos", "end_pos", F.lit("SoftClip").alias("source"))

@@ -204,7 +204,16 @@ def sink_svp(t: Inputs) -> DataFrame:
     return sinks.svp_rows(judged(t))
 
 
-@query("sink_bed")
+BED_END = "CASE WHEN sv_type = 'INS' THEN end_pos + 1 WHEN sv_type IN ('ITX', 'CTX') THEN start_pos + 1 ELSE end_pos END"
+
+
+@query(
+    "sink_bed",
+    f"""WITH b AS (SELECT *, {BED_END} AS bed_end, replace({METHODS}, ',', ';') AS methods, CASE WHEN source IN ('Manta', 'Lumpy') THEN '2' ELSE '1' END AS n_methods FROM calls WHERE start_pos > 0)
+    SELECT call_id, concat_ws(chr(9), chrom, start_pos, bed_end, concat_ws(',', base64(encode('{{"NUM_SVTOOLS":"1","NUM_SVMETHODS":"' || n_methods || '"'
+      || CASE WHEN sv_type IN ('ITX', 'CTX') THEN ',"POS2":"' || end_pos || '","END":"' || bed_end || '","CHR2":"' || chrom2 || '"' ELSE '' END || '}}')), sv_type, sv_len, methods), 1) AS value FROM b""",
+    ("calls",),
+)
 def sink_bed(t: Inputs) -> DataFrame:
     return sinks.bed_rows(judged(t))
 

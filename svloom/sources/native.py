@@ -210,4 +210,5 @@ def packed_name(name: Column) -> Column:
 
 
 def pack_name(info: Column, sv_type: Column, sv_len: Column, methods: Column) -> Column:
-    return F.concat_ws(",", F.base64(F.to_json(info).cast("binary")), sv_type, sv_len.cast("string"), F.array_join(methods, ";"))
+    packed = F.translate(F.base64(F.to_json(info).cast("binary")), "\r\n", "")  # long text comes broken into lines
+    return F.concat_ws(",", packed, sv_type, sv_len.cast("string"), F.array_join(methods, ";"))
