@@ -28,8 +28,9 @@ def high() -> Column:
 
 
 def _level1(marked: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Runs of calls, numbered by `island` within `keys`, to level-1 intervals."""
-    leaf = F.struct("start_pos", "end_pos", "call_id", "sv_len", "wiggle", "source")
+    """Runs of calls, numbered by `island` within `keys`, to level-1 intervals. Calls may have `info`, a text of `key=value;..`."""
+    info = F.col("info") if "info" in marked.columns else F.lit("")
+    leaf = F.struct("start_pos", "end_pos", "call_id", "sv_len", "wiggle", "source", info.alias("info"))
     merged = marked.groupBy(*keys, "island").agg(F.min(low()).alias("low"), F.max(high()).alias("high"), F.max("sv_len").alias("sv_len"), F.count("*").alias("n_calls"), F.array_sort(F.collect_list(leaf)).alias("leaves"))
     first, single = F.element_at("leaves", 1), F.col("n_calls") == 1
     return merged.select(
@@ -173,16 +174,17 @@ def level2_of(calls: DataFrame, ratio: float = C.OVERLAP_RATIO) -> DataFrame:
 def level2(level1: DataFrame, links: DataFrame) -> DataFrame:
     """One row per level-2 interval: bounds, length, sources, and its members in order.
 
-    A member is {start, end, wiggle, len, source, nested}: the first level-1 interval gives its
-    calls, each later one is a member itself. A level-2 interval of one unmerged call has none.
+    A member is {start, end, wiggle, len, source, info}: the first level-1 interval gives its
+    calls, each later one is a member itself, without info if it is merged. A level-2 interval of
+    one unmerged call has none.
     """
     rows = level1.join(links, "l1_id")
     item = F.struct("start_pos", "end_pos", "l1_id", "wiggle", "sv_len", "source", "n_calls", "leaves")
     merged = rows.groupBy("l2_id", "sv_type", "chrom").agg(F.array_sort(F.collect_list(item)).alias("items"), F.min(low()).alias("low"), F.max(high()).alias("high"), F.max("sv_len").alias("sv_len"), F.array_sort(F.collect_set("source")).alias("sources"), F.max("chrom2").alias("chrom2"))
     first = F.element_at("items", 1)
-    leaf = lambda x: F.struct(x["start_pos"].alias("start"), x["end_pos"].alias("end"), x["wiggle"].cast("int").alias("wiggle"), x["sv_len"].alias("len"), x["source"].alias("source"))
-    own = F.transform(first["leaves"], leaf)
-    later = F.transform(F.slice("items", F.lit(2), F.size("items")), leaf)
+    member = lambda x, info: F.struct(x["start_pos"].alias("start"), x["end_pos"].alias("end"), x["wiggle"].cast("int").alias("wiggle"), x["sv_len"].alias("len"), x["source"].alias("source"), info.alias("info"))
+    own = F.transform(first["leaves"], lambda x: member(x, x["info"]))
+    later = F.transform(F.slice("items", F.lit(2), F.size("items")), lambda x: member(x, F.when(x["n_calls"] == 1, x["leaves"][0]["info"]).otherwise("")))
     alone = (F.size("items") == 1) & (first["n_calls"] == 1)
     every = F.flatten(F.transform("items", lambda x: x["leaves"]))
     return merged.select(
@@ -198,7 +200,7 @@ def level2(level1: DataFrame, links: DataFrame) -> DataFrame:
         F.size("items").alias("n_level1"),
         "sv_len",
         "sources",
-        F.when(alone, F.array().cast("array<struct<start:bigint,end:bigint,wiggle:int,len:bigint,source:string>>")).otherwise(F.concat(own, later)).alias("members"),
+        F.when(alone, F.array().cast("array<struct<start:bigint,end:bigint,wiggle:int,len:bigint,source:string,info:string>>")).otherwise(F.concat(own, later)).alias("members"),
     )
 
 
@@ -284,6 +286,14 @@ def reciprocal_chains(df: DataFrame, keys: Sequence[str], ratio: float = C.OVERL
     return grouped.select(*keys, F.explode(F.aggregate("rows", empty, add)).alias("c")).select(*keys, "c.*")
 
 
+def merge_per_type(intervals: DataFrame, ratio: float = C.OVERLAP_RATIO, pad: int = C.SC_PAD) -> DataFrame:
+    """`id, sv_type, chrom, start_pos, end_pos` to keys, bounds, and ids of the members: insertions merge by distance, types with two ends by reciprocal chains."""
+    chains = reciprocal_chains(intervals.where("sv_type <> 'INS'").withColumnRenamed("id", "call_id"), ["sv_type", "chrom"], ratio)
+    ins = merge_by_distance(intervals.where("sv_type = 'INS'"), ["sv_type", "chrom"], "id", pad)
+    ins = ins.groupBy("sv_type", "chrom", "island").agg(F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos"), F.array_sort(F.collect_list("id")).alias("ids")).drop("island")
+    return chains.unionByName(ins)
+
+
 def coalesce_adjacent(df: DataFrame, near: int = 10) -> DataFrame:
     """Consecutive calls of a type with both ends within `near` of the merged ones so far become one.
 
@@ -314,7 +324,18 @@ def call_stats(validated: DataFrame) -> DataFrame:
     return validated.groupBy("sv_type", F.when(F.col("is_validated"), "PASS").otherwise("LowQual").alias("filter"), F.when(F.col("is_precise"), "PRECISE").otherwise("IMPRECISE").alias("precision"), F.concat_ws(",", "sources").alias("sources")).count().withColumnRenamed("count", "n")
 
 
+def _info_union(members: Column) -> Column:
+    """The members' `key=value` parts, one for each key; that of a later member wins."""
+    parts = lambda m: F.filter(F.split(F.coalesce(m["info"], F.lit("")), ";"), lambda x: x != "")
+    key = lambda x: F.substring_index(x, "=", 1)
+
+    def add(have: Column, m: Column) -> Column:
+        return F.concat(F.filter(have, lambda x: ~F.array_contains(F.transform(parts(m), key), key(x))), parts(m))
+
+    return F.array_join(F.array_sort(F.aggregate(members, F.array().cast("array<string>"), add)), ";")
+
+
 def info_merge(calls: DataFrame) -> DataFrame:
-    """The keys that a merged call's INFO gains: SOURCES with each member, and the numbers of methods and callers."""
+    """A merged call's INFO: the union of its members', SOURCES with each member, and the numbers of methods and callers."""
     member = lambda m: F.concat_ws("-", F.col("chrom"), m["start"].cast("string"), F.col("chrom2"), m["end"].cast("string"), m["len"].cast("string"), m["source"])
-    return calls.where(F.size("members") > 0).select("l2_id", F.array_join(F.array_sort(F.transform("members", member)), ",").alias("sources_text"), F.size(methods_of(F.col("sources"))).alias("num_svmethods"), F.size("sources").alias("num_svtools"))
+    return calls.where(F.size("members") > 0).select("l2_id", F.array_join(F.array_sort(F.transform("members", member)), ",").alias("sources_text"), F.size(methods_of(F.col("sources"))).alias("num_svmethods"), F.size("sources").alias("num_svtools"), _info_union(F.col("members")).alias("info"))

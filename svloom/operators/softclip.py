@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from ..functions import reads as R
 from .intervals import anti_overlap, overlap_join
-from .merge import merge_by_distance, reciprocal_chains
+from .merge import merge_by_distance
 
 FAR = 1_000_000_000
 
@@ -193,14 +193,6 @@ def full_intervals(windows: DataFrame) -> DataFrame:
     return out.withColumn("sv_len", F.when(F.col("sv_type") == "INS", 0).otherwise(F.greatest(F.col("end_pos") - F.col("start_pos"), F.lit(0))))
 
 
-def merge_full(intervals: DataFrame, ratio: float = C.OVERLAP_RATIO, pad: int = C.SC_PAD) -> DataFrame:
-    """Insertions merge by distance, types with two ends by reciprocal chains: keys, bounds, ids of the members."""
-    chains = reciprocal_chains(intervals.where("sv_type <> 'INS'").withColumnRenamed("id", "call_id"), ["sv_type", "chrom"], ratio)
-    ins = merge_by_distance(intervals.where("sv_type = 'INS'"), ["sv_type", "chrom"], "id", pad)
-    ins = ins.groupBy("sv_type", "chrom", "island").agg(F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos"), F.array_sort(F.collect_list("id")).alias("ids")).drop("island")
-    return chains.unionByName(ins)
-
-
 def fine_tune(merged: DataFrame, intervals: DataFrame) -> DataFrame:
     """Merged intervals refined by their members: `ends` 2 with averaged ends, 1 if only one side votes, dropped if none.
 

@@ -18,7 +18,8 @@ TX = "('ITX', 'CTX')"
 
 def usable(t: Inputs) -> DataFrame:
     """What goes into the merge: long enough, or a translocation, with its wiggle."""
-    return filters.long_enough(t.calls).withColumn("wiggle", filters.wiggle_of())
+    info = F.concat(F.lit("RP="), F.col("call_id") % 9, F.when(F.col("call_id") % 2 == 0, F.concat(F.lit(";SR="), F.col("call_id") % 5)).otherwise(""))
+    return filters.long_enough(t.calls).withColumns({"wiggle": filters.wiggle_of(), "info": info})
 
 
 # Filters
@@ -268,8 +269,11 @@ METHODS_SQL = "CASE source WHEN 'Pindel' THEN ['SR'] WHEN 'BreakSeq' THEN ['JM']
 @query(
     "info_merge",
     f"""WITH {LEVEL2_SQL}, txt AS (SELECT l2_id, string_agg(chrom || '-' || s || '-' || chrom2 || '-' || e || '-' || members.sv_len || '-' || source, ',' ORDER BY chrom || '-' || s || '-' || chrom2 || '-' || e || '-' || members.sv_len || '-' || source) AS sources_text FROM members JOIN (SELECT l2_id, chrom, chrom2 FROM l2) USING (l2_id) GROUP BY l2_id),
-    met AS (SELECT l2_id, count(DISTINCT k) AS num_svmethods FROM (SELECT l2_id, unnest({METHODS_SQL}) AS k FROM m) GROUP BY l2_id)
-    SELECT l2_id, sources_text, CAST(num_svmethods AS INTEGER) AS num_svmethods, CAST(n_sources AS INTEGER) AS num_svtools FROM txt JOIN met USING (l2_id) JOIN l2 USING (l2_id)""",
+    met AS (SELECT l2_id, count(DISTINCT k) AS num_svmethods FROM (SELECT l2_id, unnest({METHODS_SQL}) AS k FROM m) GROUP BY l2_id),
+    mi AS (SELECT l2_id, 1 AS nr, start_pos AS s, end_pos AS e, call_id FROM leaf WHERE nr = 1 AND NOT (n_items = 1 AND n_calls = 1) UNION ALL SELECT l2_id, nr, s, e, id FROM m WHERE nr > 1 AND n_calls = 1),
+    kv AS (SELECT *, 'RP' AS k, call_id % 9 AS v FROM mi UNION ALL SELECT *, 'SR', call_id % 5 FROM mi WHERE call_id % 2 = 0),
+    inf AS (SELECT l2_id, string_agg(k || '=' || v, ';' ORDER BY k) AS info FROM (SELECT l2_id, k, last(v ORDER BY nr, s, e, call_id) AS v FROM kv GROUP BY l2_id, k) GROUP BY l2_id)
+    SELECT l2_id, sources_text, CAST(num_svmethods AS INTEGER) AS num_svmethods, CAST(n_sources AS INTEGER) AS num_svtools, coalesce(info, '') AS info FROM txt JOIN met USING (l2_id) JOIN l2 USING (l2_id) LEFT JOIN inf USING (l2_id)""",
     ("calls",),
 )
 def info_merge(t: Inputs) -> DataFrame:
@@ -434,15 +438,32 @@ def src_bed_track(t: Inputs) -> DataFrame:
 INS_SQL = "x AS (SELECT call_id, chrom, sv_type, source, sv_len, start_pos - 150 AS start_pos, end_pos + 150 AS end_pos FROM calls WHERE sv_type = 'INS')"
 
 
+def merge_full_sql(source: str, pad: int) -> str:
+    """`mf`, the intervals `id, sv_type, chrom, s, e` merged per type, with `ids`; needs WITH RECURSIVE."""
+    chain = f"""co AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY sv_type, chrom ORDER BY s, e, id) AS nr FROM {source} WHERE sv_type <> 'INS'),
+ch AS (SELECT sv_type, chrom, nr, id, s, e, id AS head FROM co WHERE nr = 1
+  UNION ALL SELECT sv_type, chrom, nr, id, CASE WHEN fits THEN least(s, ns) ELSE ns END, CASE WHEN fits THEN greatest(e, ne) ELSE ne END, CASE WHEN fits THEN head ELSE id END
+  FROM (SELECT ch.sv_type, ch.chrom, n.nr, n.id, ch.s, ch.e, ch.head, n.s AS ns, n.e AS ne, least(ch.e, n.e) - greatest(ch.s, n.s) > 0 AND least(ch.e, n.e) - greatest(ch.s, n.s) >= 0.5 * greatest(ch.e - ch.s, n.e - n.s) AS fits
+    FROM ch JOIN co n ON n.sv_type = ch.sv_type AND n.chrom = ch.chrom AND n.nr = ch.nr + 1))"""
+    ins = islands_sql("ci", "cj", "chrom", "s, e, id", "s", "e", ">", f" - {pad}")
+    return f"""{chain},
+ci AS (SELECT * FROM {source} WHERE sv_type = 'INS'),
+{ins},
+mf AS MATERIALIZED (SELECT sv_type, chrom, min(s) AS start_pos, max(e) AS end_pos, list(id ORDER BY nr) AS ids FROM ch GROUP BY sv_type, chrom, head
+  UNION ALL SELECT sv_type, chrom, min(s), max(e), list(id ORDER BY id) FROM cj GROUP BY sv_type, chrom, island)"""
+
+
 @query(
     "merge_per_type",
-    f"WITH {INS_SQL}, " + islands_sql("x", "i", "sv_type, chrom", "start_pos, end_pos, call_id", "start_pos", "end_pos", ">", " - 50") + " SELECT sv_type, chrom, min(start_pos) AS start_pos, max(end_pos) AS end_pos, count(*) AS n FROM i GROUP BY sv_type, chrom, island",
+    "WITH RECURSIVE x AS (SELECT call_id AS id, sv_type, chrom, CASE WHEN sv_type = 'INS' THEN start_pos - 150 ELSE start_pos END AS s, CASE WHEN sv_type = 'INS' THEN end_pos + 150 ELSE end_pos END AS e FROM calls WHERE sv_type IN ('INS', 'DEL', 'DUP', 'INV')),\n"
+    + merge_full_sql("x", 50)
+    + " SELECT sv_type, chrom, start_pos, end_pos, array_to_string(ids, ',') AS ids FROM mf",
     ("calls",),
 )
 def merge_per_type(t: Inputs) -> DataFrame:
-    """Insertions merge by distance; types with two ends go through `merge_reciprocal_chain`."""
-    ins = padded_insertions(t)
-    return merge.merge_by_distance(ins, ["sv_type", "chrom"], "call_id", 50).groupBy("sv_type", "chrom", "island").agg(F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos"), F.count("*").alias("n")).drop("island")
+    ins = F.col("sv_type") == "INS"
+    rows = t.calls.where("sv_type in ('INS', 'DEL', 'DUP', 'INV')").select(F.col("call_id").alias("id"), "sv_type", "chrom", F.when(ins, F.col("start_pos") - 150).otherwise(F.col("start_pos")).alias("start_pos"), F.when(ins, F.col("end_pos") + 150).otherwise(F.col("end_pos")).alias("end_pos"))
+    return merge.merge_per_type(rows, pad=50).withColumn("ids", F.array_join("ids", ","))
 
 
 def padded_insertions(t: Inputs) -> DataFrame:

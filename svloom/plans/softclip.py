@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from ..fixtures import Inputs
 from ..functions import reads as R
 from ..operators import filters, softclip
-from ..operators.merge import settled
-from .calls import METHODS_SQL, islands_sql
+from ..operators.merge import merge_per_type, settled
+from .calls import METHODS_SQL, islands_sql, merge_full_sql
 from .registry import query
 
 
@@ -263,21 +263,6 @@ def full(t: Inputs) -> DataFrame:
     return softclip.full_intervals(softclip.count_filter(supported(t), FEW)).withColumn("id", F.concat_ws(":", "chrom", "sv_type", "side", F.col("island").cast("string")))
 
 
-def merge_full_sql(source: str, pad: int) -> str:
-    """`mf`, the intervals `id, sv_type, chrom, s, e` merged per type, with `ids`; needs WITH RECURSIVE."""
-    chain = f"""co AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY sv_type, chrom ORDER BY s, e, id) AS nr FROM {source} WHERE sv_type <> 'INS'),
-ch AS (SELECT sv_type, chrom, nr, id, s, e, id AS head FROM co WHERE nr = 1
-  UNION ALL SELECT sv_type, chrom, nr, id, CASE WHEN fits THEN least(s, ns) ELSE ns END, CASE WHEN fits THEN greatest(e, ne) ELSE ne END, CASE WHEN fits THEN head ELSE id END
-  FROM (SELECT ch.sv_type, ch.chrom, n.nr, n.id, ch.s, ch.e, ch.head, n.s AS ns, n.e AS ne, least(ch.e, n.e) - greatest(ch.s, n.s) > 0 AND least(ch.e, n.e) - greatest(ch.s, n.s) >= 0.5 * greatest(ch.e - ch.s, n.e - n.s) AS fits
-    FROM ch JOIN co n ON n.sv_type = ch.sv_type AND n.chrom = ch.chrom AND n.nr = ch.nr + 1))"""
-    ins = islands_sql("ci", "cj", "chrom", "s, e, id", "s", "e", ">", f" - {pad}")
-    return f"""{chain},
-ci AS (SELECT * FROM {source} WHERE sv_type = 'INS'),
-{ins},
-mf AS MATERIALIZED (SELECT sv_type, chrom, min(s) AS start_pos, max(e) AS end_pos, list(id ORDER BY nr) AS ids FROM ch GROUP BY sv_type, chrom, head
-  UNION ALL SELECT sv_type, chrom, min(s), max(e), list(id ORDER BY id) FROM cj GROUP BY sv_type, chrom, island)"""
-
-
 FULL_SQL = (
     NEIGHBOUR_SQL
     + f""",
@@ -289,7 +274,7 @@ MERGED_FULL_SQL = FULL_SQL + ",\n" + merge_full_sql("fi", 500)
 
 @query("sc_full_merge", f"WITH RECURSIVE {MERGED_FULL_SQL} SELECT sv_type, chrom, start_pos, end_pos, array_to_string(ids, ',') AS ids FROM mf", ("reads",))
 def sc_full_merge(t: Inputs) -> DataFrame:
-    return softclip.merge_full(full(t)).withColumn("ids", F.array_join("ids", ","))
+    return merge_per_type(full(t)).withColumn("ids", F.array_join("ids", ","))
 
 
 TUNE_SQL = (
@@ -309,14 +294,14 @@ fe AS (SELECT *, CASE WHEN sv_type = 'INS' OR (lb IS NOT NULL AND rb IS NOT NULL
 )
 def sc_fine_tune(t: Inputs) -> DataFrame:
     intervals = settled(full(t))
-    return softclip.fine_tune(softclip.merge_full(intervals), intervals).withColumn("ids", F.array_join("ids", ","))
+    return softclip.fine_tune(merge_per_type(intervals), intervals).withColumn("ids", F.array_join("ids", ","))
 
 
 @query("sc_one_end")
 def sc_one_end(t: Inputs) -> DataFrame:
     """One-ended intervals: support is looked for at the other end, and those that now have both are kept."""
     intervals = settled(full(t))
-    tuned = settled(softclip.fine_tune(softclip.merge_full(intervals), intervals))
+    tuned = settled(softclip.fine_tune(merge_per_type(intervals), intervals))
     one = tuned.where("ends = 1")
     windows = softclip.other_end_windows(one, intervals)
     windows = softclip.with_neighbours(softclip.with_coverage(windows, t.reads, ["id"]), reads(t), ["id"])
@@ -324,7 +309,7 @@ def sc_one_end(t: Inputs) -> DataFrame:
     members = found.select("id", "sv_type", "chrom", "start_pos", "end_pos", "window_start", "window_end", "other_start", "other_end")
     known = intervals.join(one.select(F.explode("ids").alias("id")).distinct(), "id", "left_semi").select(*members.columns)
     again = settled(members.unionByName(known))
-    return tuned.where("ends = 2").unionByName(softclip.fine_tune(softclip.merge_full(again), again).where("ends = 2"))
+    return tuned.where("ends = 2").unionByName(softclip.fine_tune(merge_per_type(again), again).where("ends = 2"))
 
 
 @query("none_unmatched", f"""WITH {VOTE_SQL}, seen AS (SELECT DISTINCT chrom, start_pos, end_pos FROM v), o AS (SELECT call_id AS id, chrom, greatest(0, start_pos - 500) AS s, start_pos + 500 AS e FROM calls WHERE source = 'CNVnator'),
@@ -413,7 +398,7 @@ def sc_with_calls(t: Inputs) -> DataFrame:
     mine = full(t).select(F.concat(F.lit("sc:"), "id").alias("id"), "chrom", "sv_type", "start_pos", "end_pos", F.lit("SoftClip").alias("source"))
     theirs = t.calls.select(F.concat(F.lit("call:"), F.col("call_id").cast("string")).alias("id"), "chrom", "sv_type", "start_pos", "end_pos", "source")
     both = settled(softclip.padded(mine.unionByName(theirs), 100))
-    merged = softclip.merge_full(both.where("sv_type not in ('ITX', 'CTX')"), pad=100)
+    merged = merge_per_type(both.where("sv_type not in ('ITX', 'CTX')"), pad=100)
     tools = merged.withColumn("id", F.explode("ids")).join(both.select("id", "source"), "id").groupBy("sv_type", "chrom", "start_pos", "end_pos", F.col("ids")[0].alias("first_id")).agg(F.array_sort(F.collect_set("source")).alias("tools"))
     passed = both.where("sv_type in ('ITX', 'CTX')").select("sv_type", "chrom", "start_pos", "end_pos", F.col("id").alias("first_id"), F.array("source").alias("tools"))
     out = softclip.unpadded(tools.unionByName(passed), 100)
