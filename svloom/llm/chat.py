@@ -10,7 +10,8 @@ turn that a third of the logs share is one row of it.
 
 Cases: a null role renders as "unknown" and a null text as empty, but both differ from such
 strings when compared; turns order by turn (null last), then role and text; repeated rows
-count once; rows of a null conv_id are one conversation; an empty table gives no rows.
+count once; rows of a null conv_id are one conversation; a very long text is hashed and rendered
+whole; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

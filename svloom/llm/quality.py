@@ -9,8 +9,9 @@ The weights are fitted on a bounded sample of the labelled rows (`sample_rows`,
 whose hash is lowest); every document is scored.
 
 Cases: a null or empty text scores as one without words; rows without a label are scored
-alike; labels of null or without a document teach nothing; with fewer than one good and one
-bad document every score is 0.5; repeated rows score alike; an empty table gives no rows.
+alike, rows of a null doc_id are not held out; labels of null or without a document teach nothing;
+with fewer than one good and one bad document every score is 0.5; repeated rows score alike; a
+very long text is one more row; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -6,8 +6,9 @@ document count once). Lines above the limit are taken out, and a document of whi
 little stays is rejected as depleted.
 
 Cases: a null or empty text has no words and fails the base rule; a null host is a host of
-its own; repeated rows count once as documents and are each judged; an empty table gives no
-rows; other columns are ignored.
+its own; repeated rows count once as documents and are each judged, rows of a null or repeated doc_id by
+their own text; a very long text is one more document; an empty table gives no rows; other
+columns are ignored. The query takes `source` for the host.
 """
 
 from __future__ import annotations

@@ -143,5 +143,16 @@ def test_frequent_lines_are_removed(spark):
     assert all(rules[i] == len(words(texts[i])) - len(words(want[i])) == got[i]["n_words"] - got[i]["n_left"] for i in rules)
 
 
+def test_rules_of_odd_rows(spark, tmp_path):
+    """Null and repeated ids are judged by their own text, and a long text is counted whole."""
+    rng = random.Random(5)
+    long = "\n".join(sentence(rng, 12) for _ in range(12_000))
+    rows = [(None, sentence(rng, 20)), (None, "short"), (1, sentence(rng, 20)), (1, "short"), (2, long), (2, long)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCS)
+    got = quality_rules.op10_quality_rules(spark, folder(spark, tmp_path, documents=docs)).collect()
+    want = Counter((i, len(words(t)), len(words(t)) >= 10) for i, t in rows)
+    assert Counter((r["doc_id"], r["n_words"], r["kept"]) for r in got) == want
+
+
 def test_rules_of_nothing(spark, tmp_path):
     assert quality_rules.op10_quality_rules(spark, folder(spark, tmp_path, documents=spark.createDataFrame([], DOCS))).count() == 0

@@ -4,6 +4,7 @@ import time
 import zlib
 
 import corpus_pipeline
+import numpy as np
 
 from svloom.llm import common, html_text, quality
 
@@ -41,6 +42,43 @@ def test_quality(spark, tmp_path):
     assert (again.score == got.score).all()
 
 
+def test_weights_are_those_of_plain_descent():
+    """Newton's weights minimise the logistic loss of the contests: descent by small steps from nothing ends there too."""
+    rng = np.random.default_rng(25)
+    good = (rng.uniform(size=60) < 0.6).astype(int)
+    x = rng.normal(size=(60, len(quality.FEATURES))) + good[:, None] * rng.uniform(-1, 1, len(quality.FEATURES))
+    ranker = quality.fit_pairs(x, good, pairs_each=4)
+    z = np.clip((x - x.mean(0)) / x.std(0), -quality.CLIP, quality.CLIP)
+    win, lose = z[good == 1], z[good == 0]
+    n = max(len(win), len(lose)) * 4
+    contests = [(win[i % len(win)], lose[(i * 7919 + i // len(win)) % len(lose)]) for i in range(n)]
+    difference = np.array([a - b for a, b in contests])
+    weights = np.zeros(z.shape[1])
+    for _ in range(20_000):
+        lost = 1 / (1 + np.exp(difference @ weights))
+        weights += 0.05 * ((difference * lost[:, None]).mean(0) - 0.01 * weights)
+    assert np.abs(weights - ranker.weights).max() < 1e-3
+    margins = z @ ranker.weights
+    assert (margins < ranker.cut).sum() == (good == 0).sum()
+
+
+def test_quality_of_odd_rows(spark, tmp_path):
+    """Null and repeated ids, equal rows and long texts each get the score of their text."""
+    rng = random.Random(26)
+    texts, good = corpus(rng, 60)
+    long = ". ".join(sentence(rng, 12) for _ in range(10_000))
+    rows = [*enumerate(texts), (None, texts[1]), (0, texts[1]), (1, texts[1]), (70, long), (71, long)]
+    labels = spark.createDataFrame([(i, g, 0) for i, g in enumerate(good)] + [(None, 0, 0), (1, 1, 0)], LABELS)
+    sf = folder(spark, tmp_path, documents=spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCS), labels=labels)
+    got = quality.op6_quality(spark, sf).collect()
+    assert len(got) == len(rows) and all(0 <= r["score"] <= 1 for r in got)
+    of = {}
+    for r in got:
+        of.setdefault(r["doc_id"], []).append(r["score"])
+    assert of[None][0] in of[0] and of[1][0] == of[1][1] == of[None][0] and of[70] == of[71]
+    assert [r["held_out"] for r in got if r["doc_id"] is None] == [False]
+
+
 def test_quality_without_labels(spark, tmp_path):
     sf = folder(spark, tmp_path, documents=documents(spark, ["a b", None]), labels=spark.createDataFrame([], LABELS))
     assert set(quality.op6_quality(spark, sf).toPandas().score) == {0.5}
@@ -219,6 +257,8 @@ def test_pipeline(spark, tmp_path):
     assert set(after) <= set(before) and all(0 < r["taken"] <= 3 * len(words(r["text"])) for r in after.values())
     total = sum(len(words(t)) for t in before.values())
     assert abs(sum(r["taken"] for r in after.values()) - total) <= 3
+    whole = {r["doc_id"]: (r["text"], r["taken"], r["copies"]) for r in corpus_pipeline.run(spark, sf).collect()}
+    assert whole == {i: (r["text"], r["taken"], r["copies"]) for i, r in after.items()}
 
 
 def test_pipeline_of_nothing(spark, tmp_path):
