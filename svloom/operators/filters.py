@@ -59,7 +59,7 @@ def wiggle_of(wiggle: int = C.WIGGLE, ins_wiggle: int = C.INS_WIGGLE, tx_wiggle:
     return F.when(is_translocation(), tx_wiggle).otherwise(other)
 
 
-def outside_gaps(calls: DataFrame, gaps: DataFrame, pad: int = 0) -> DataFrame:
+def outside_gaps(calls: DataFrame, gaps: DataFrame, pad: int | Column = 0) -> DataFrame:
     """Calls that overlap no gap. Gaps are joined by bins, so a long track needs no broadcast."""
     hit = overlap_join(calls, gaps.select("chrom", "start_pos", "end_pos"), pad).select("call_id").distinct()
     return calls.join(hit, "call_id", "left_anti")

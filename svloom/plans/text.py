@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..fixtures import Inputs
-from ..operators import filters
+from ..operators import filters, merge
 from ..sources import native, sinks
+from .calls import METHODS_SQL, VALIDATE_SQL
 from .registry import query
 
 BD = "calls WHERE source = 'BreakDancer' AND sv_type <> 'DUP'"
@@ -175,7 +176,7 @@ METHODS = "CASE source WHEN 'Pindel' THEN 'SR' WHEN 'BreakSeq' THEN 'JM' WHEN 'H
 PRECISE = "source IN ('Pindel', 'BreakSeq', 'HaplotypeCaller')"
 VCF_LINE = f"""concat_ws(chr(9), chrom, start_pos, '.', 'N', '<' || sv_type || '>', '.', CASE WHEN call_id % 3 = 0 THEN 'PASS' ELSE 'LowQual' END,
     concat_ws(';', 'SVTYPE=' || sv_type, 'SVLEN=' || CASE WHEN sv_type = 'DEL' THEN -sv_len ELSE sv_len END, CASE WHEN sv_type IN ('DEL', 'DUP', 'ITX', 'CTX') THEN 'END=' || end_pos END, CASE WHEN sv_type IN ('ITX', 'CTX') THEN 'CHR2=' || chrom2 END,
-    'SVMETHOD=' || {METHODS}, 'NUM_SVTOOLS=1', CASE WHEN NOT ({PRECISE}) THEN 'IMPRECISE' END, 'VT=SV'), 'GT', '1/1')"""
+    'SVMETHOD=' || {METHODS}, 'NUM_SVTOOLS=1', CASE WHEN NOT ({PRECISE}) THEN 'IMPRECISE' END, 'VT=SV', CASE WHEN sv_type = 'INS' AND NOT ({PRECISE}) THEN 'CIPOS=0,0' END), 'GT', '1/1')"""
 
 
 @query("sink_vcf", f"SELECT call_id, {VCF_LINE} AS value FROM calls WHERE start_pos > 0 AND source <> 'HaplotypeCaller'", ("calls",))
@@ -189,10 +190,11 @@ def vcf_concat(t: Inputs) -> DataFrame:
     return sinks.in_contig_order(sinks.vcf_rows(judged(t)), t.contigs).select("contig_ord", "start_pos", "call_id", "value")
 
 
-@query("sink_per_tool", f"SELECT source, count(*) AS n, max({VCF_LINE}) AS last_value FROM calls WHERE start_pos > 0 AND source <> 'HaplotypeCaller' GROUP BY source", ("calls",))
+@query("sink_per_tool", f"SELECT source, call_id, {VCF_LINE} AS value FROM calls WHERE start_pos > 0 AND source <> 'HaplotypeCaller'", ("calls",))
 def sink_per_tool(t: Inputs) -> DataFrame:
+    """The lines of each caller's own file, as `write_per_caller` deals them to folders."""
     calls = judged(t)
-    return sinks.vcf_rows(calls).join(calls.select("call_id", "source"), "call_id").groupBy("source").agg(F.count("*").alias("n"), F.max("value").alias("last_value"))
+    return sinks.vcf_rows(calls).join(calls.select("call_id", "source"), "call_id").select("source", "call_id", "value")
 
 
 @query(
@@ -226,3 +228,44 @@ def sink_bed(t: Inputs) -> DataFrame:
 )
 def tool_to_vcf(t: Inputs) -> DataFrame:
     return sinks.tool_rows(t.calls.where(F.col("source").isin("Pindel", "BreakDancer", "CNVnator", "BreakSeq"))).select("call_id", "value")
+
+
+# The whole path
+
+
+def native_calls(t: Inputs) -> DataFrame:
+    """The calls of four callers, from their own lines."""
+    kept = ["call_id", "chrom", "chrom2", "start_pos", "end_pos", "sv_type", "sv_len", "source", "wiggle"]
+    plain = lambda df, source, wiggle=0: df.withColumns({"source": F.lit(source), "wiggle": F.lit(wiggle) if isinstance(wiggle, int) else wiggle})
+    own = lambda df: df.withColumn("chrom2", F.col("chrom")).select(*kept)
+    breakdancer = plain(native.normalised_breakdancer(native.breakdancer(t.lines_breakdancer)), "BreakDancer").select(*kept)
+    pindel = own(plain(native.normalised_pindel(native.pindel(t.lines_pindel)), "Pindel", F.col("wiggle")))
+    cnvnator = own(plain(native.normalised(native.cnvnator(t.lines_cnvnator), "CNVnator"), "CNVnator"))
+    breakseq = own(plain(native.normalised(native.breakseq(t.lines_breakseq), "BreakSeq"), "BreakSeq"))
+    return breakdancer.unionByName(pindel).unionByName(cnvnator).unionByName(breakseq)
+
+
+NATIVE_SQL = f"""wp AS (SELECT call_id, chrom, chrom2, start_pos, end_pos, CASE WHEN sv_type IN ('ITX', 'CTX') THEN 0 ELSE sv_len END AS sv_len, sv_type, source, 0 AS own_wiggle FROM {BD} AND (chrom = chrom2 OR sv_type = 'CTX')
+  UNION ALL SELECT call_id, chrom, chrom, start_pos, CASE WHEN sv_type = 'INS' THEN start_pos ELSE end_pos END, sv_len, sv_type, source, CASE WHEN sv_type = 'INS' THEN 100 ELSE 0 END FROM {PD}
+  UNION ALL SELECT call_id, chrom, chrom, start_pos, end_pos, end_pos - start_pos, sv_type, source, 0 FROM {CN}
+  UNION ALL SELECT call_id, chrom, chrom, start_pos, end_pos, CASE WHEN sv_type = 'INS' THEN 0 ELSE end_pos - start_pos END, sv_type, source, 0 FROM {BS}),
+wq AS MATERIALIZED (SELECT * FROM wp WHERE (sv_len >= 50 OR sv_type IN ('ITX', 'CTX')) AND NOT EXISTS (SELECT 1 FROM gaps g WHERE g.chrom = wp.chrom AND greatest(wp.start_pos - own_wiggle, g.start_pos) < least(wp.end_pos + own_wiggle, g.end_pos)))"""
+
+
+@query(
+    "lines_to_vcf",
+    f"""WITH {NATIVE_SQL}, {VALIDATE_SQL.replace("FROM calls", "FROM wq")},
+    fs AS (SELECT *, CASE WHEN is_validated AND is_precise THEN by_s ELSE call_start END AS s0, CASE WHEN is_validated AND is_precise THEN by_e ELSE call_end END AS e0, CASE WHEN is_validated AND is_precise THEN CASE WHEN by_len <> 0 THEN by_len ELSE coalesce(some_len, by_len) END ELSE sv_len END AS len0 FROM v),
+    fx AS (SELECT *, CASE WHEN sv_type = 'INS' AND is_precise THEN (s0 + e0) // 2 ELSE s0 END AS fs_, CASE WHEN sv_type = 'INS' AND is_precise THEN (s0 + e0) // 2 WHEN sv_type = 'INS' THEN s0 ELSE e0 END AS fe_ FROM fs WHERE len0 BETWEEN 50 AND 1000000 OR sv_type IN ('ITX', 'CTX')),
+    me AS (SELECT l2_id, string_agg(DISTINCT k, ',' ORDER BY k) AS methods FROM (SELECT l2_id, unnest({METHODS_SQL}) AS k FROM (SELECT l2_id, unnest(string_split(sources, ',')) AS source FROM fx)) GROUP BY l2_id)
+    SELECT l2_id AS call_id, chrom, fs_ AS start_pos, concat_ws(chr(9), chrom, fs_, '.', 'N', '<' || sv_type || '>', '.', CASE WHEN is_validated THEN 'PASS' ELSE 'LowQual' END,
+      concat_ws(';', 'SVTYPE=' || sv_type, 'SVLEN=' || CASE WHEN sv_type = 'DEL' THEN -len0 ELSE len0 END, CASE WHEN sv_type IN ('DEL', 'DUP', 'ITX', 'CTX') THEN 'END=' || fe_ END, CASE WHEN sv_type IN ('ITX', 'CTX') THEN 'CHR2=' || chrom2 END,
+      'SVMETHOD=' || methods, 'NUM_SVTOOLS=' || n_sources, CASE WHEN NOT is_precise THEN 'IMPRECISE' END, 'VT=SV', CASE WHEN sv_type = 'INS' AND NOT is_precise THEN 'CIPOS=0,0' END), 'GT', '1/1') AS value FROM fx JOIN me USING (l2_id) WHERE fs_ > 0""",
+    ("calls", "gaps"),
+)
+def lines_to_vcf(t: Inputs) -> DataFrame:
+    """From callers' lines to the merged, validated and printed calls."""
+    usable = merge.settled(filters.long_enough(native_calls(t)))
+    clear = filters.outside_gaps(usable, t.gaps, F.col("wiggle")).withColumn("wiggle", filters.wiggle_of())
+    final = filters.length_between(filters.fixed_position(merge.consolidated(clear)))
+    return sinks.vcf_rows(final.withColumnRenamed("l2_id", "call_id"))
