@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..fixtures import Inputs
 from ..operators import filters, merge
+from ..session import shared_folder
 from ..sources import native, sinks
 from .calls import METHODS_SQL, VALIDATE_SQL
 from .registry import query
@@ -131,11 +134,13 @@ def src_vcf_small(t: Inputs) -> DataFrame:
     return native.vcf_small(native.vcf(lines)).select("call_id", "chrom", "start_pos", "end_pos", "sv_type", "sv_len")
 
 
-@query("src_vcf_dir", f"SELECT call_id, chrom FROM {VC} AND chrom IN ('1', '2')", ("calls",))
+@query("src_vcf_dir", f"SELECT chrom, start_pos, sv_type FROM {VC} AND chrom IN ('1', '2')", ("calls",))
 def src_vcf_dir(t: Inputs) -> DataFrame:
-    """Only the whitelisted chromosomes' lines are parsed."""
-    lines = t.lines_vcf.where(F.substring_index("value", "\t", 1).isin("1", "2"))
-    return native.vcf(lines).select("call_id", "chrom")
+    """Calls from a folder per chromosome, of which only the wanted ones are opened."""
+    path = f"{shared_folder(t.spark)}/vcf-{uuid.uuid4().hex}"
+    t.lines_vcf.select("value", F.substring_index("value", "\t", 1).alias("chrom")).write.partitionBy("chrom").text(path)
+    lines = native.vcf_folder(t.spark, path, ["1", "2"])
+    return native.vcf(lines).select("chrom", F.col("pos").alias("start_pos"), F.col("info")["SVTYPE"].alias("sv_type"))
 
 
 @query("src_contigs", "SELECT chrom, CAST(length AS BIGINT) AS length FROM contigs", ("contigs",))

@@ -1,21 +1,25 @@
-"""Cutting lineage in the folder that driver and executors share."""
+"""Cutting lineage, and keeping files, in the folder that driver and executors share."""
 
 from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """`df`, computed once and kept in the session's spark.checkpoint.dir.
-
-    Where none is set a temporary folder is taken, but only if all runs on this machine.
-    """
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None and not spark.sparkContext.master.startswith("local["):
+def shared_folder(spark: SparkSession) -> str:
+    """The session's spark.checkpoint.dir; where none is set a temporary folder, but only if all runs on this machine."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        spark.sparkContext.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-"))
+        folder = tempfile.mkdtemp(prefix="spark-")
+    return folder
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """`df`, computed once and kept in the shared folder."""
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()

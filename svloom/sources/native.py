@@ -5,7 +5,9 @@ Other columns of the lines stay. Numbers are cast, not checked: a malformed fiel
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.filters import is_translocation
@@ -141,6 +143,11 @@ def vcf(lines: DataFrame) -> DataFrame:
     return out.withColumn("gt", genotype(F.col("format"), F.col("sample_value")))
 
 
+def vcf_folder(spark: SparkSession, path: str, contigs: Sequence[str]) -> DataFrame:
+    """The lines of a folder that has one folder, `chrom=<contig>`, for each contig; those of other contigs are not opened."""
+    return spark.read.schema("value string, chrom string").text(path).where(F.col("chrom").isin(*contigs)).select("value")
+
+
 def info_map(info: Column) -> Column:
     """`k=v;flag` to a map of strings; values of several parts keep their commas."""
     flags = F.array_join(F.transform(F.split(info, ";"), lambda x: F.when(F.instr(x, "=") > 0, x).otherwise(F.concat(x, F.lit("=true")))), ";")

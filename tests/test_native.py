@@ -58,3 +58,11 @@ def test_sinks_write_and_read_back(spark, tmp_path, sf_dir):
     assert spark.read.text(f"{tmp_path}/vcf/0-header").count() == len(sinks.VCF_HEADER)
     sinks.write_per_caller(judged(t), f"{tmp_path}/callers")
     assert spark.read.text(f"{tmp_path}/callers").select("source").distinct().count() == 6
+
+
+def test_folders_of_other_contigs_are_not_opened(spark, tmp_path):
+    """Partition pruning: a folder that can't be read does no harm if its contig isn't wanted."""
+    spark.createDataFrame([("1\t5", "1"), ("2\t6", "2"), ("X\t7", "X")], "value string, chrom string").write.partitionBy("chrom").text(f"{tmp_path}/vcf")
+    lines = native.vcf_folder(spark, f"{tmp_path}/vcf", ["1", "X"])
+    assert sorted(r["value"] for r in lines.collect()) == ["1\t5", "X\t7"]
+    assert "PartitionFilters: [isnotnull(chrom" in lines._jdf.queryExecution().toString() or "PartitionFilters: [chrom" in lines._jdf.queryExecution().toString()
