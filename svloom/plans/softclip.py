@@ -189,28 +189,35 @@ def sc_cov_filter(t: Inputs) -> DataFrame:
     return softclip.coverage_filter(features(t), coverage=0.2).select(*WINDOW_KEY)
 
 
-NEIGHBOUR_SQL = (
-    FEATURE_SQL
-    + """,
-nr AS MATERIALIZED (SELECT *, CASE WHEN mate_is_unmapped OR chrom <> mate_chrom THEN 'INS' WHEN is_reverse = mate_is_reverse THEN 'INV' WHEN (pos < mate_pos AND is_reverse) OR (pos > mate_pos AND NOT is_reverse) THEN 'DUP'
-    WHEN abs(tlen) > 450 THEN 'DEL' WHEN abs(tlen) < 250 THEN 'INS' ELSE 'NONE' END AS rt, clip_left + clip_right AS clip, CASE WHEN clip_left > 0 THEN 0 ELSE match_len END AS dl, CASE WHEN clip_left > 0 THEN match_len ELSE 0 END AS dr,
-    (greatest(0, CASE WHEN clip_left > 0 THEN pos ELSE aend END - 500) + CASE WHEN clip_left > 0 THEN pos ELSE aend END + 500) // 2 AS cat
-  FROM reads WHERE NOT is_duplicate AND NOT is_unmapped AND mapq >= 5 AND nm <= 10 AND aend - pos >= 50),
-nj AS (SELECT f.chrom, f.sv_type, f.side, f.island, f.other_start, f.other_end, (f.start_pos + f.end_pos) // 2 AS mid, nr.* EXCLUDE (chrom) FROM f JOIN nr ON nr.chrom = f.chrom AND nr.rt = f.sv_type AND greatest(f.start_pos, nr.pos) < least(f.end_pos, nr.aend)),
-nk AS (SELECT *, CASE WHEN clip > 0 THEN cat ELSE mid END AS a, dl <= 2 AS cl, dr <= 2 AS cr, pos <= mate_pos AS fi, abs(tlen) - 350 AS ov, abs(tlen) + 350 AS bo FROM nj WHERE clip = 0 OR abs(cat - mid) <= 250),
-nl AS (SELECT *, pos > a - 20 AS nl_, aend < a + 20 AS nr_, pos - a AS be, aend - a AS af FROM nk),
-nb AS (SELECT *, CASE WHEN clip > 0 THEN CASE sv_type
+def votes_sql(joined: str, out: str, kind: str) -> str:
+    """`<out>b`, the windows and reads `joined` with `ob`, the other breakpoint that a read of this kind names."""
+    return f"""{out}k AS (SELECT *, CASE WHEN clip > 0 THEN cat ELSE mid END AS a, dl <= 2 AS cl, dr <= 2 AS cr, pos <= mate_pos AS fi, abs(tlen) - 350 AS ov, abs(tlen) + 350 AS bo FROM {joined} WHERE clip = 0 OR abs(cat - mid) <= 250),
+{out}l AS (SELECT *, pos > a - 20 AS nl_, aend < a + 20 AS nr_, pos - a AS be, aend - a AS af FROM {out}k),
+{out}b AS (SELECT *, CASE WHEN clip > 0 THEN CASE {kind}
     WHEN 'INS' THEN CASE WHEN (cl AND is_reverse) OR (cr AND NOT is_reverse) THEN 1 END
     WHEN 'INV' THEN CASE WHEN cr AND NOT is_reverse AND NOT fi THEN a - ov - dl WHEN cl AND NOT is_reverse AND NOT fi THEN a - ov - 2 * clip + rlen WHEN cl AND is_reverse AND fi THEN a + ov + dr
       WHEN cr AND is_reverse AND fi THEN a + ov + 2 * clip - rlen WHEN cl AND is_reverse AND NOT fi THEN a - bo + 2 * dr + rlen WHEN cr AND NOT is_reverse AND fi THEN a + bo - 2 * dl - rlen END
     WHEN 'DEL' THEN CASE WHEN cl AND is_reverse AND NOT fi THEN a - ov WHEN cr AND NOT is_reverse AND fi THEN a + ov END
     WHEN 'DUP' THEN CASE WHEN cl AND is_reverse AND fi THEN a + bo - rlen - dr WHEN cr AND NOT is_reverse AND NOT fi THEN a - bo + rlen + dl END END
-  ELSE CASE sv_type
+  ELSE CASE {kind}
     WHEN 'INS' THEN CASE WHEN NOT is_reverse AND nr_ THEN CASE WHEN mate_is_unmapped OR chrom <> mate_chrom OR mate_pos > a - 20 THEN 1 END WHEN is_reverse AND nl_ THEN CASE WHEN mate_is_unmapped OR chrom <> mate_chrom OR mate_pos + rlen < a + 20 THEN 1 END END
     WHEN 'INV' THEN CASE WHEN NOT is_reverse AND NOT fi AND nr_ THEN a - ov + 2 * be + rlen WHEN NOT is_reverse AND NOT fi AND nl_ THEN a - ov + 2 * be + rlen WHEN is_reverse AND fi AND nl_ THEN a + ov + 2 * af - rlen
       WHEN is_reverse AND fi AND nr_ THEN a + ov + 2 * af - rlen WHEN is_reverse AND NOT fi AND nl_ THEN a - bo + 2 * af + rlen WHEN NOT is_reverse AND fi AND nr_ THEN a + bo + 2 * be - rlen END
     WHEN 'DEL' THEN CASE WHEN is_reverse AND nl_ THEN a - ov WHEN NOT is_reverse AND nr_ THEN a + ov END
-    WHEN 'DUP' THEN CASE WHEN is_reverse AND fi AND nl_ THEN a + bo - 2 * rlen WHEN NOT is_reverse AND NOT fi AND pos < a + 20 THEN a - bo + 2 * rlen END END END AS ob FROM nl),
+    WHEN 'DUP' THEN CASE WHEN is_reverse AND fi AND nl_ THEN a + bo - 2 * rlen WHEN NOT is_reverse AND NOT fi AND pos < a + 20 THEN a - bo + 2 * rlen END END END AS ob FROM {out}l)"""
+
+
+NEIGHBOUR_SQL = (
+    FEATURE_SQL
+    + """,
+nr AS MATERIALIZED (SELECT *, CASE WHEN mate_is_unmapped OR chrom <> mate_chrom THEN 'INS' WHEN is_reverse = mate_is_reverse THEN 'INV' WHEN (pos < mate_pos AND is_reverse) OR (pos > mate_pos AND NOT is_reverse) THEN 'DUP'
+    WHEN abs(tlen) > 450 THEN 'DEL' WHEN abs(tlen) < 250 THEN 'INS' ELSE 'NONE' END AS rt, clip_left + clip_right AS clip, CASE WHEN clip_left > 0 THEN 0 ELSE match_len END AS dl, CASE WHEN clip_left > 0 THEN match_len ELSE 0 END AS dr,
+    (greatest(0, CASE WHEN clip_left > 0 THEN pos ELSE aend END - 500) + CASE WHEN clip_left > 0 THEN pos ELSE aend END + 500) // 2 AS cat
+  FROM reads WHERE NOT is_duplicate AND NOT is_unmapped AND mapq >= 5 AND nm <= 10 AND aend - pos >= 50),
+nj AS (SELECT f.chrom, f.sv_type, f.side, f.island, f.other_start, f.other_end, (f.start_pos + f.end_pos) // 2 AS mid, nr.* EXCLUDE (chrom) FROM f JOIN nr ON nr.chrom = f.chrom AND nr.rt = f.sv_type AND greatest(f.start_pos, nr.pos) < least(f.end_pos, nr.aend)),
+"""
+    + votes_sql("nj", "n", "sv_type")
+    + """,
 nv AS MATERIALIZED (SELECT * FROM nb WHERE ob IS NOT NULL AND (sv_type = 'INS' OR abs(greatest(ob, 0) - (other_start + other_end) // 2) <= 500)),
 ns AS (SELECT chrom, sv_type, side, island, count(*) AS neighbours, count(*) FILTER (NOT is_reverse) AS plus, count(*) FILTER (is_reverse) AS minus FROM nv GROUP BY ALL),
 nf AS MATERIALIZED (SELECT f.*, coalesce(neighbours, 0) AS neighbours, coalesce(plus, 0) AS plus, coalesce(minus, 0) AS minus FROM f LEFT JOIN ns USING (chrom, sv_type, side, island))"""
@@ -322,7 +329,32 @@ def none_unmatched(t: Inputs) -> DataFrame:
     return softclip.unmatched_windows(none, other, softclip.candidates(reads(t))).select("id", "chrom", "start_pos", "end_pos", "kind")
 
 
-@query("none_resolve")
+NONE_SQL = (
+    NEIGHBOUR_SQL
+    + """,
+nw AS (SELECT read_id AS id, chrom, start_pos, end_pos FROM w WHERE sv_type = 'NONE'),
+"""
+    + islands_sql("nw", "ni", "chrom", "start_pos, end_pos, id", "start_pos", "end_pos", ">", " - 500")
+    + """,
+nm AS (SELECT chrom, island, min(start_pos) AS s, max(end_pos) AS e, count(*) AS support FROM ni GROUP BY chrom, island),
+nc AS MATERIALIZED (SELECT * FROM (SELECT nm.*, count(r.read_id) AS coverage FROM nm LEFT JOIN reads r ON r.chrom = nm.chrom AND greatest(r.pos, s) < least(r.aend, e) GROUP BY ALL) WHERE coverage / abs(s - e + 1) * 100 <= 1.5 * 20),
+uj AS (SELECT nc.chrom, nc.island, s, e, support, coverage, (s + e) // 2 AS mid, nr.* EXCLUDE (chrom) FROM nc JOIN nr ON nr.chrom = nc.chrom AND nr.rt <> 'NONE' AND greatest(s, nr.pos) < least(e, nr.aend)),
+"""
+    + votes_sql("uj", "u", "rt")
+    + f""",
+uv AS MATERIALIZED (SELECT *, rt AS sv_type FROM ub WHERE ob IS NOT NULL),
+ut AS (SELECT chrom, island, sv_type, any_value(support) AS support, any_value(coverage) AS coverage, count(*) AS neighbours, count(*) FILTER (NOT is_reverse) AS plus, count(*) FILTER (is_reverse) AS minus FROM uv GROUP BY chrom, island, sv_type),
+uo AS (SELECT chrom, island, sv_type FROM ut WHERE coverage * 1.4 * {THRESHOLD_SQL} * {SCALE_SQL} <= neighbours AND neighbours >= {SCALE_SQL} * 1.4
+  AND (sv_type <> 'INS' OR (coverage * 1.4 * {THRESHOLD_SQL} * {SCALE_SQL} * 0.4 <= least(plus, minus) AND least(plus, minus) >= {SCALE_SQL} * 1.4 * 0.4)))"""
+)
+
+
+@query(
+    "none_resolve",
+    f"""WITH {NONE_SQL} SELECT read_id, chrom, s AS start_pos, e AS end_pos, (s + e) // 2 AS location, CAST(greatest(ob, 0) AS BIGINT) AS other_bp, CASE WHEN is_reverse THEN '-' ELSE '+' END AS strand, sv_type,
+    CASE WHEN (s + e) // 2 <= greatest(ob, 0) THEN 'L' ELSE 'R' END AS side FROM uv JOIN uo USING (chrom, island, sv_type)""",
+    ("reads",),
+)
 def none_resolve(t: Inputs) -> DataFrame:
     none = softclip.none_candidates(reads(t)).select(F.col("read_id").alias("id"), "chrom", "start_pos", "end_pos", F.lit("NONE").alias("kind"))
     return softclip.resolve_none(none, reads(t), FEW, LOW_FRACTIONS, coverage=20)
