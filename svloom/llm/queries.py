@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, html_text, mixing, near_dups, packing, periodic_runs, quality, quality_rules, secrets, substrings, url_filter
+from . import chat, conversation_repair, decontaminate, html_text, mixing, near_dups, packing, periodic_runs, quality, quality_rules, secrets, substrings, url_filter
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_html_text": html_text.op8_html_text,
     "op9_substrings": substrings.op9_substrings,
     "op10_quality_rules": quality_rules.op10_quality_rules,
+    "op11_repair_conversations": conversation_repair.op11_repair_conversations,
     "op12_pack": packing.op12_pack,
     "op13_periodic_runs": periodic_runs.op13_periodic_runs,
 }
