@@ -29,7 +29,7 @@ def genotype_counts(calls: DataFrame, reads: DataFrame, window: int = C.GT_WINDO
     at = calls.select("call_id", "chrom", F.posexplode(points).alias("nr", "point"))
     windows = at.select("call_id", "chrom", "nr", "point", F.greatest(F.lit(0), F.col("point") - window).alias("start_pos"), (F.col("point") + window).alias("end_pos"))
     seen = as_intervals(reads.where(F.col("is_paired") & ~F.col("is_duplicate")), "pos", "aend", "tlen", "mate_chrom", "mate_pos", "is_reverse", "mate_is_reverse", "is_unmapped", "mate_is_unmapped")
-    met = overlap_join(windows, seen, prefix="r_", width=2000)
+    met = overlap_join(windows, seen, prefix="r_")
     inward = F.when(F.col("r_is_reverse"), (F.col("r_mate_pos") < F.col("r_pos")) & ~F.col("r_mate_is_reverse")).otherwise((F.col("r_mate_pos") > F.col("r_pos")) & F.col("r_mate_is_reverse"))
     spans = (F.col("r_aend") - F.col("point") >= around) & (F.col("point") - F.col("r_pos") >= around)
     normal = ~F.col("r_is_unmapped") & ~F.col("r_mate_is_unmapped") & (F.col("r_mate_chrom") == F.col("chrom")) & inward & spans & F.abs("r_tlen").between(*isize)
@@ -69,7 +69,7 @@ def pair_windows(calls: DataFrame, pad: int = C.SC_PAD, longest: int = 10_000, f
 
 def reads_of(windows: DataFrame, reads: DataFrame) -> DataFrame:
     """Each window's call with the names of the fragments that touch it, once each."""
-    met = overlap_join(windows, as_intervals(reads, "qname"), prefix="r_", width=2000)
+    met = overlap_join(windows, as_intervals(reads, "qname"), prefix="r_")
     return met.groupBy("call_id", F.col("r_qname").alias("qname")).agg(F.first("low").alias("low"), F.first("high").alias("high"), F.first("chrom").alias("region_chrom"))
 
 
@@ -158,7 +158,7 @@ def coverage_bins(calls: DataFrame, reads: DataFrame, step: int = 50) -> DataFra
     """Reads and very good reads in each bin of a call, as lists, and their mean, least and greatest."""
     bins = calls.where("end_pos > start_pos").select("call_id", "chrom", F.explode(F.sequence(F.col("start_pos"), F.col("end_pos") - 1, F.lit(step))).alias("start_pos")).withColumn("end_pos", F.col("start_pos") + step)
     seen = reads.where("not is_duplicate").withColumn("good", (F.col("mapq") >= 20) & (F.col("nm") < 2) & (F.col("clip_left") + F.col("clip_right") <= 10))
-    met = overlap_join(bins, as_intervals(seen, "good"), prefix="r_", width=2000).groupBy("call_id", "start_pos").agg(F.count("*").alias("n"), F.sum(F.when(F.col("r_good"), 1).otherwise(0)).alias("g"))
+    met = overlap_join(bins, as_intervals(seen, "good"), prefix="r_").groupBy("call_id", "start_pos").agg(F.count("*").alias("n"), F.sum(F.when(F.col("r_good"), 1).otherwise(0)).alias("g"))
     full = bins.join(met, ["call_id", "start_pos"], "left").select("call_id", "start_pos", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("g", F.lit(0)).alias("g"))
     text = lambda c: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start_pos", c))), lambda x: x[c].cast("string")), ";")
     out = full.groupBy("call_id").agg(text("n").alias("coverage"), F.avg("n").alias("mean"), F.min("n").alias("least"), F.max("n").alias("most"), text("g").alias("good_coverage"), F.avg("g").alias("good_mean"), F.min("g").alias("good_least"), F.max("g").alias("good_most"))
@@ -202,7 +202,7 @@ def variant_read_features(calls: DataFrame, reads: DataFrame, isize_mean: float,
     place = F.transform(F.sequence(F.lit(0), F.lit(points - 1)), lambda i: F.struct(F.lit("in").alias("kind"), (F.col("start_pos") + F.pmod(F.col("call_id") * 7919 + i * 104729, F.greatest(F.lit(1), F.col("end_pos") - F.col("start_pos")))).alias("at")))
     ends = F.array(F.struct(F.lit("end").alias("kind"), F.greatest(F.lit(0), F.col("start_pos") - int(isize_sd)).alias("at")), F.struct(F.lit("end").alias("kind"), (F.col("end_pos") + int(isize_sd)).alias("at")))
     at = short.select("call_id", "chrom", F.explode(F.concat(place, ends)).alias("p")).select("call_id", "chrom", "p.kind", F.col("p.at").alias("start_pos"), (F.col("p.at") + 1).alias("end_pos"))
-    met = overlap_join(at, as_intervals(reads, "mapq", "is_reverse", "tlen", "rlen", (F.col("rlen") - F.col("clip_left") - F.col("clip_right")).alias("kept")), prefix="r_", width=2000)
+    met = overlap_join(at, as_intervals(reads, "mapq", "is_reverse", "tlen", "rlen", (F.col("rlen") - F.col("clip_left") - F.col("clip_right")).alias("kept")), prefix="r_")
     inside, good = F.col("kind") == "in", F.col("r_mapq") >= min_mapq
     n = lambda c: F.sum(F.when(c, 1).otherwise(0))
     share = lambda c: F.sum(F.when(c, F.col("r_kept"))) / F.sum(F.when(c, F.col("r_rlen")))

@@ -1,10 +1,7 @@
-"""Interval joins and interval merging on DataFrames.
+"""Interval predicates and interval merging on DataFrames.
 
 Intervals are half open, `chrom, start_pos, end_pos`; two overlap if the greater start lies
-before the lesser end. Spark plans a bare range predicate as a nested loop, so joins go by
-bins: each side is listed under every bin that it touches, bins meet in an equi-join, the
-exact predicate follows, and a pair counts only in the first bin that both touch. A hot bin
-is a skewed join key, which adaptive execution splits.
+before the lesser end. Joins are sweeps, see `sweeps`.
 """
 
 from __future__ import annotations
@@ -15,47 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-BIN = 10_000
+from ..session import settled
+from .sweeps import BLOCK, overlap_join
 
-
-#: Intervals over so many bins are listed under bins that are so much wider.
-LONG = 256
-
-
-def _listed(df: DataFrame, pad: Column, width: int, with_long: str, with_short: str) -> DataFrame:
-    """`df` under each of its bins: `_bin`, and `_first`, the first bin of the same kind and width.
-
-    A short interval meets the other side's short ones in narrow bins and its long ones in wide bins, a long
-    one both kinds in wide bins, so that none is listed many times.
-    """
-
-    def bins(kind: str, size: int) -> Column:
-        first = F.floor((F.col("start_pos") - pad) / size)
-        last = F.greatest(first, F.floor((F.col("end_pos") + pad - 1) / size))
-        return F.transform(F.sequence(first, last), lambda b: F.struct(F.lit(kind).alias("kind"), b.alias("bin"), first.alias("first")))
-
-    short = F.col("end_pos") - F.col("start_pos") + 2 * pad <= LONG * width
-    wide = width * LONG
-    at = F.when(short, F.concat(bins("narrow", width), bins(with_long, wide))).otherwise(F.concat(bins(with_short, wide), bins("wide", wide)))
-    return df.withColumn("_at", F.explode(at)).withColumns({"_kind": F.col("_at.kind"), "_bin": F.col("_at.bin"), "_first": F.col("_at.first")}).drop("_at")
-
-
-def overlap_join(a: DataFrame, b: DataFrame, pad: int | Column = 0, prefix: str = "b_", on: Sequence[str] = (), width: int = BIN) -> DataFrame:
-    """Pairs of rows that overlap, `a` widened by `pad` on each side.
-
-    Columns of `b` get the prefix, and `overlap_bp` tells the common length. `on` names more
-    columns that must be equal. `pad` may be a column of `a`.
-    """
-    pad = F.lit(pad) if isinstance(pad, int) else pad
-    left = _listed(a, pad, width, "a short", "b short")
-    right = _listed(b, F.lit(0), width, "b short", "a short").select(*[F.col(c).alias(prefix + c) for c in b.columns], *[F.col(c).alias(f"{c}_b") for c in ("_kind", "_bin", "_first")])
-    keys = (F.col("chrom") == F.col(prefix + "chrom")) & (F.col("_kind") == F.col("_kind_b")) & (F.col("_bin") == F.col("_bin_b"))
-    for c in on:
-        keys = keys & (F.col(c) == F.col(prefix + c))
-    low = F.greatest(F.col("start_pos") - pad, F.col(prefix + "start_pos"))
-    high = F.least(F.col("end_pos") + pad, F.col(prefix + "end_pos"))
-    met = left.join(right, keys & (low < high) & (F.col("_bin") == F.greatest("_first", "_first_b")))
-    return met.withColumn("overlap_bp", high - low).drop("_kind", "_bin", "_first", "_kind_b", "_bin_b", "_first_b")
+#: How far before its coordinate a row of `islands` may reach.
+SLACK = 10_000
 
 
 def reciprocal(ratio: float, prefix: str = "b_") -> Column:
@@ -87,30 +48,29 @@ def islands_within(df: DataFrame, keys: Sequence[str], order: Sequence[str | Col
     return flagged.withColumn(name, F.sum("_new").over(w.rowsBetween(W.unboundedPreceding, 0))).drop("_new")
 
 
-def islands(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], low: Column, high: Column, touching: bool = False, name: str = "island", gap: int = 0, block: int = 1_000_000) -> DataFrame:
+def islands(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], low: Column, high: Column, touching: bool = False, name: str = "island", gap: int = 0, block: int = BLOCK, slack: int = SLACK) -> DataFrame:
     """Numbers runs of rows that overlap the rows before them, within `keys`, in the given order.
 
     A row begins a new island if its `low` is at or beyond (beyond, if touching counts) the
     greatest `high` so far plus `gap`.
 
-    The first of `order` is a coordinate. Rows are dealt to blocks of it, so no task sorts a whole
-    key: a block's greatest `high`, and the islands begun in it, are carried into the next blocks by
-    running sums over the small table of blocks.
+    The first of `order` is a coordinate, at most `slack` beyond `low`. Rows are dealt to blocks of it, so no task
+    sorts a whole key. A row that reaches into later blocks leaves its `high` there as a mark, so each block knows where
+    islands begin. The input is read once and settled; only the islands begun in each block are summed up after that.
     """
     first = F.col(order[0]) if isinstance(order[0], str) else order[0]
-    rows = df.withColumns({"_low": low, "_high": high, "_block": F.floor(first / block), "_key": F.struct(*keys)})
-    before = W.partitionBy("_key").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    tops = rows.groupBy("_key", "_block").agg(F.max("_high").alias("_top")).select("_key", "_block", F.max("_top").over(before).alias("_carry"))
-    rows = _carried(rows, tops, "_carry")
-    w = W.partitionBy("_key", "_block").orderBy(*order)
-    reach = F.greatest(F.max("_high").over(w.rowsBetween(W.unboundedPreceding, -1)), F.col("_carry")) + gap
-    rows = rows.withColumn("_new", F.when(reach.isNull() | ((F.col("_low") > reach) if touching else (F.col("_low") >= reach)), 1).otherwise(0))
-    rows = rows.withColumn("_within", F.sum("_new").over(w.rowsBetween(W.unboundedPreceding, 0)))
-    counts = rows.groupBy("_key", "_block").agg(F.sum("_new").alias("_news")).select("_key", "_block", F.coalesce(F.sum("_news").over(before), F.lit(0)).alias("_base"))
-    return _carried(rows, counts, "_base").withColumn(name, F.col("_base") + F.col("_within")).drop("_low", "_high", "_block", "_key", "_carry", "_new", "_within", "_base")
-
-
-def _carried(rows: DataFrame, blocks: DataFrame, what: str) -> DataFrame:
-    """`rows` with a column of their key's block; keys of null are keys too."""
-    other = blocks.select(F.col("_key").alias("_of_key"), F.col("_block").alias("_of_block"), what)
-    return rows.join(other, rows["_key"].eqNullSafe(other["_of_key"]) & (rows["_block"] == other["_of_block"])).drop("_of_key", "_of_block")
+    near = F.when(first - low <= slack, low).when(low.isNotNull(), F.raise_error(F.lit(f"a row begins more than {slack} before its coordinate")).cast("long"))
+    own = F.floor(first / block)
+    later = F.floor((high + gap + slack) / block)
+    rows = df.withColumns({"_low": near, "_high": high, "_own": own})
+    rows = rows.withColumn("_block", F.explode_outer(F.when(later > own, F.sequence(own, later)).otherwise(F.array(own)))).withColumn("_mark", F.col("_block") != F.col("_own"))
+    w = W.partitionBy(*keys, "_block").orderBy(F.col("_mark").desc(), *order)
+    reach = F.max("_high").over(w.rowsBetween(W.unboundedPreceding, -1)) + gap
+    rows = rows.withColumn("_new", F.when(F.col("_mark"), 0).when(reach.isNull() | ((F.col("_low") > reach) if touching else (F.col("_low") >= reach)), 1).otherwise(0))
+    rows = rows.withColumn("_within", F.sum("_new").over(w.rowsBetween(W.unboundedPreceding, 0))).where(~F.col("_mark") | F.col("_mark").isNull())
+    held = settled(rows.drop("_low", "_high", "_own", "_mark"))
+    before = W.partitionBy("_of_key").orderBy("_of_block").rowsBetween(W.unboundedPreceding, -1)
+    begun = held.groupBy(F.struct(*keys).alias("_of_key"), F.col("_block").alias("_of_block")).agg(F.sum("_new").alias("_news"))
+    base = begun.select("_of_key", "_of_block", F.coalesce(F.sum("_news").over(before), F.lit(0)).alias("_base"))
+    met = held.join(base, F.struct(*keys).eqNullSafe(F.col("_of_key")) & F.col("_block").eqNullSafe(F.col("_of_block")))
+    return met.withColumn(name, F.col("_base") + F.col("_within")).drop("_block", "_new", "_within", "_base", "_of_key", "_of_block")

@@ -56,21 +56,23 @@ def merge_intra(calls: DataFrame, keys: Sequence[str] = ("sv_type", "source", "c
     return _level1(islands(rows, keys, ["start_pos", "end_pos", "call_id"], low(), high()), keys)
 
 
-def _near_runs(rows: DataFrame, keys: Sequence[str], id_: str, reach: Column) -> DataFrame:
-    """Rows with `site`, `run`, `nr` and `n`: runs of rows each near the one before it, and the places in a run, from 0.
+def _sites(rows: DataFrame, keys: Sequence[str], id_: str, reach: Column) -> DataFrame:
+    """Rows with `site`: cut where starts lie `reach` or more apart, so that what follows looks at neighbours only."""
+    return islands(rows, keys, ["start_pos", "end_pos", id_], F.col("start_pos"), F.col("start_pos") + reach, name="site").repartition(*keys, "site")
 
-    Near is within the wiggle of the row before at both ends. Rows are cut first into sites, where starts
-    lie `reach` or more apart, so that a window spans neighbours only.
+
+def _near_runs(rows: DataFrame, keys: Sequence[str], id_: str) -> DataFrame:
+    """Rows of sites, which `keys` tell apart, with `run`, `nr` and `n`: runs of rows each near the one before it, and the places in a run, from 0.
+
+    Near is within the wiggle of the row before at both ends.
     """
-    order = ["start_pos", "end_pos", id_]
-    rows = islands(rows, keys, order, F.col("start_pos"), F.col("start_pos") + reach, name="site")
-    site = W.partitionBy(*keys, "site").orderBy(*order)
+    site = W.partitionBy(*keys).orderBy("start_pos", "end_pos", id_)
     within = F.lag("wiggle").over(site)
     near = (F.col("start_pos") - F.lag("start_pos").over(site) < within) & (F.abs(F.col("end_pos") - F.lag("end_pos").over(site)) < within)
     rows = rows.withColumn("_near", F.coalesce(near, F.lit(False)))
     rows = rows.withColumn("run", F.sum(F.when(F.col("_near"), 0).otherwise(1)).over(site.rowsBetween(W.unboundedPreceding, 0)))
-    run = W.partitionBy(*keys, "site", "run")
-    return rows.withColumns({"nr": F.row_number().over(run.orderBy(*order)) - 1, "n": F.count("*").over(run)}).drop("_near")
+    run = W.partitionBy(*keys, "run")
+    return rows.withColumns({"nr": F.row_number().over(run.orderBy("start_pos", "end_pos", id_)) - 1, "n": F.count("*").over(run)}).drop("_near")
 
 
 TX_KEYS = ["sv_type", "source", "chrom", "chrom2"]
@@ -82,9 +84,9 @@ def pair_translocations(calls: DataFrame) -> DataFrame:
     A merged pair has no wiggle left, so it takes up nothing more: within a run of near calls
     the first pairs with the second, the third with the fourth, and so on.
     """
-    runs = _near_runs(calls.where(is_translocation()), TX_KEYS, "call_id", F.col("wiggle"))
-    keys = [*TX_KEYS, "site", "run"]
-    return _level1(runs.withColumn("island", F.floor(F.col("nr") / 2)), keys).drop("site", "run")
+    keys = [*TX_KEYS, "site"]
+    runs = _near_runs(_sites(calls.where(is_translocation()), TX_KEYS, "call_id", F.col("wiggle")), keys, "call_id")
+    return _level1(runs.withColumn("island", F.floor(F.col("nr") / 2)), [*keys, "run"]).drop("site", "run")
 
 
 def merge_pairs(level1: DataFrame) -> DataFrame:
@@ -95,20 +97,23 @@ def merge_pairs(level1: DataFrame) -> DataFrame:
     a site that fits gives its pairs, one of which none fits stays as it is, and else both halves go
     through again.
     """
-    keys = ["sv_type", "chrom", "chrom2", "path"]
+    of = ["sv_type", "chrom", "chrom2"]
     reach = F.array_max(F.transform("leaves", lambda x: x["wiggle"]))
-    kept = ["id", *keys[:3], "start_pos", "end_pos", "wiggle", "reach"]
-    rows = level1.where(is_translocation()).withColumns({"id": F.col("l1_id"), "reach": reach}).select(*kept, F.lit("").alias("path"))
+    kept = ["id", *of, "start_pos", "end_pos", "wiggle", "reach", "site"]
+    rows = level1.where(is_translocation()).withColumns({"id": F.col("l1_id"), "reach": reach}).select(*kept[:-1], F.lit("").alias("path"))
+    rows = _sites(rows, of, "id", F.col("reach"))
+    keys = [*of, "site", "path", "part"]
     done = None
     while True:
-        runs = _near_runs(rows, keys, "id", F.col("reach"))
-        site, pair = W.partitionBy(*keys, "site"), W.partitionBy(*keys, "site", "run", F.floor(F.col("nr") / 2)).orderBy("nr")
+        rows = islands_within(rows, keys[:-1], ["start_pos", "end_pos", "id"], F.col("start_pos"), F.col("start_pos") + F.col("reach"), name="part")
+        runs = _near_runs(rows, keys, "id")
+        part, pair = W.partitionBy(*keys), W.partitionBy(*keys, "run", F.floor(F.col("nr") / 2)).orderBy("nr")
         single = (F.col("nr") == F.col("n") - 1) & (F.col("n") % 2 == 1) & (F.col("wiggle") > 0)
-        runs = runs.withColumn("singles", F.collect_list(F.when(single, F.struct("start_pos", "end_pos"))).over(site))
+        runs = runs.withColumn("singles", F.collect_list(F.when(single, F.struct("start_pos", "end_pos"))).over(part))
         near = lambda x: (F.abs(F.col("start_pos") - x["start_pos"]) < F.col("wiggle")) & (F.abs(F.col("end_pos") - x["end_pos"]) < F.col("wiggle"))
         runs = runs.withColumn("fits", F.exists("singles", near))
-        runs = runs.withColumns({"n_fit": F.sum(F.when(F.col("fits"), 1).otherwise(0)).over(site), "n_all": F.count("*").over(site), "head": F.first("id").over(pair)})
-        judged = settled(runs)
+        runs = runs.withColumns({"n_fit": F.sum(F.when(F.col("fits"), 1).otherwise(0)).over(part), "n_all": F.count("*").over(part), "head": F.first("id").over(pair)})
+        judged = settled(runs.drop("singles"))
         out = judged.where("n_fit = n_all or n_fit = 0").select(F.col("id").alias("l1_id"), F.when(F.col("n_fit") > 0, F.col("head")).otherwise(F.col("id")).alias("l2_id"))
         done = out if done is None else done.unionByName(out)
         rows = judged.where("n_fit > 0 and n_fit < n_all").select(*kept, F.concat("path", F.when(F.col("fits"), "g").otherwise("b")).alias("path"))
@@ -117,25 +122,32 @@ def merge_pairs(level1: DataFrame) -> DataFrame:
 
 
 def _round(rows: DataFrame, ratio: float) -> DataFrame:
-    """One round of `merge_inter`: rows with component, island, its bounds, and whether it fits its island."""
-    keys = ["sv_type", "chrom", "path"]
-    rows = islands(rows, keys, [low(), "start_pos", "end_pos", "id"], low(), high(), touching=True, name="component")
-    inner = [*keys, "component"]
+    """One round of `merge_inter` over rows with `component` and `path`: `part` of these, its islands, and whether a row fits its own.
+
+    All windows are within a component, by which rows are dealt, so nothing is shuffled.
+    """
+    of = [*COMPONENT, "path"]
     order = ["start_pos", "end_pos", "id"]
-    rows = islands_within(rows, inner, order, low(), high(), name="part")
+    rows = islands_within(rows, of, [low(), *order], low(), high(), touching=True, name="part")
+    inner = [*of, "part"]
+    rows = islands_within(rows, inner, order, low(), high(), name="stretch")
     # Touching intervals without wiggle also merge: the next island begins where the last one, merged, ended.
-    parts = rows.groupBy(*inner, "part").agg(F.max(high()).alias("reach"), F.count("*").alias("size"), F.min_by(F.struct("start_pos", "end_pos", "wiggle"), F.struct(*order)).alias("first"))
-    w = W.partitionBy(*inner).orderBy("part")
-    touches = (F.col("first.wiggle") == 0) & (F.col("first.start_pos") == F.lag("reach").over(w)) & (F.col("first.end_pos") > F.col("first.start_pos")) & ((F.lag("size").over(w) > 1) | (F.lag("first.wiggle").over(w) == 0))
-    parts = parts.withColumn("joins", F.coalesce(touches, F.lit(False))).withColumn("island", F.sum(F.when(F.col("joins"), 0).otherwise(1)).over(w.rowsBetween(W.unboundedPreceding, 0)))
-    rows = rows.join(parts.select(*inner, "part", "island"), [*inner, "part"]).drop("part")
+    stretch, along = W.partitionBy(*inner, "stretch"), W.partitionBy(*inner).orderBy("stretch", *order)
+    rows = rows.withColumns({"size": F.count("*").over(stretch), "first_wiggle": F.first("wiggle").over(stretch.orderBy(*order)), "reach": F.max(high()).over(stretch)})
+    heads = F.coalesce(F.lag("stretch").over(along) != F.col("stretch"), F.lit(True))
+    touches = (F.col("wiggle") == 0) & (F.col("start_pos") == F.lag("reach").over(along)) & (F.col("end_pos") > F.col("start_pos")) & ((F.lag("size").over(along) > 1) | (F.lag("first_wiggle").over(along) == 0))
+    rows = rows.withColumn("begins", heads & ~F.coalesce(touches, F.lit(False))).withColumn("island", F.sum(F.when(F.col("begins"), 1).otherwise(0)).over(along.rowsBetween(W.unboundedPreceding, 0)))
     isle = W.partitionBy(*inner, "island")
     rows = rows.withColumns({"low": F.min(low()).over(isle), "high": F.max(high()).over(isle), "size": F.count("*").over(isle)})
     own = high() - low()
     alone = F.col("size") == 1
     fits = (own >= 1) & (alone | (own >= ratio * (F.col("high") - F.col("low"))))
     whole = W.partitionBy(*inner)
-    return rows.withColumn("fits", fits).withColumns({"n_fit": F.sum(F.when(F.col("fits"), 1).otherwise(0)).over(whole), "n_all": F.count("*").over(whole)})
+    rows = rows.withColumns({"fits": fits, "head": F.first("id").over(isle.orderBy(*order))})
+    return rows.withColumns({"n_fit": F.sum(F.when(F.col("fits"), 1).otherwise(0)).over(whole), "n_all": F.count("*").over(whole)})
+
+
+COMPONENT = ["sv_type", "chrom", "component"]
 
 
 def merge_inter(level1: DataFrame, ratio: float = C.OVERLAP_RATIO) -> DataFrame:
@@ -143,19 +155,19 @@ def merge_inter(level1: DataFrame, ratio: float = C.OVERLAP_RATIO) -> DataFrame:
 
     A component whose intervals all fit the islands they merge into gives these islands; if
     none fits, each stays for itself; else it is divided by fit and both halves go through
-    again, each smaller than before, until all are done. A round is a few windows over the
-    unfinished intervals, which are settled in the shared folder; only whether there are any
-    comes to the driver.
+    again, each smaller than before, until all are done. Components are cut once and dealt to tasks; a round is a
+    few windows within them over the unfinished intervals, which are settled in the shared folder; only whether
+    there are any comes to the driver.
     """
-    rows = level1.where(~is_translocation()).select(F.col("l1_id").alias("id"), "sv_type", "chrom", "start_pos", "end_pos", "wiggle").withColumn("path", F.lit(""))
+    kept = ["id", *COMPONENT, "start_pos", "end_pos", "wiggle"]
+    rows = level1.where(~is_translocation()).select(F.col("l1_id").alias("id"), *COMPONENT[:2], "start_pos", "end_pos", "wiggle")
+    rows = islands(rows, COMPONENT[:2], [low(), "start_pos", "end_pos", "id"], low(), high(), touching=True, name="component").repartition(*COMPONENT).withColumn("path", F.lit(""))
     done = None
     while True:
-        judged = settled(_round(rows, ratio))
-        ready = judged.where("n_fit = n_all or n_fit = 0")
-        isle = W.partitionBy("sv_type", "chrom", "path", "component", "island").orderBy("start_pos", "end_pos", "id")
-        out = ready.select(F.col("id").alias("l1_id"), F.when(F.col("n_fit") > 0, F.first("id").over(isle)).otherwise(F.col("id")).alias("l2_id"))
+        judged = settled(_round(rows, ratio).select(*kept, "path", "fits", "head", "n_fit", "n_all"))
+        out = judged.where("n_fit = n_all or n_fit = 0").select(F.col("id").alias("l1_id"), F.when(F.col("n_fit") > 0, F.col("head")).otherwise(F.col("id")).alias("l2_id"))
         done = out if done is None else done.unionByName(out)
-        rows = judged.where("n_fit > 0 and n_fit < n_all").select("id", "sv_type", "chrom", "start_pos", "end_pos", "wiggle", F.concat("path", F.when(F.col("fits"), "g").otherwise("b")).alias("path"))
+        rows = judged.where("n_fit > 0 and n_fit < n_all").select(*kept, F.concat("path", F.when(F.col("fits"), "g").otherwise("b")).alias("path"))
         if rows.isEmpty():
             return done
 

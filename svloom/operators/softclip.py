@@ -95,7 +95,7 @@ def window_features(marked: DataFrame, keys: list[str], pad: int = C.SC_PAD) ->
 
 def with_coverage(windows: DataFrame, reads: DataFrame, id_: list[str]) -> DataFrame:
     """Windows with `coverage`, the number of reads that touch them."""
-    touch = overlap_join(windows.select(*dict.fromkeys([*id_, "chrom", "start_pos", "end_pos"])), reads.select("chrom", F.col("pos").alias("start_pos"), F.col("aend").alias("end_pos")), width=2000)
+    touch = overlap_join(windows.select(*dict.fromkeys([*id_, "chrom", "start_pos", "end_pos"])), reads.select("chrom", F.col("pos").alias("start_pos"), F.col("aend").alias("end_pos")))
     counts = touch.groupBy(*id_).agg(F.count("*").alias("coverage"))
     return windows.join(counts, id_, "left").withColumn("coverage", F.coalesce("coverage", F.lit(0)))
 
@@ -119,7 +119,7 @@ def neighbour_votes(windows: DataFrame, reads: DataFrame, id_: list[str], typed:
     seen = F.struct(R.softclip(F.col("cigar")).alias("clip"), R.infer_svtype().alias("read_type"), R.clip_window().alias("w"))
     near = reads.where(R.good_read(neighbour=True)).withColumn("seen", F.explode(F.array(seen))).where("seen.read_type <> 'NONE'")
     near = near.withColumns({"read_type": F.col("seen.read_type"), "clip": F.col("seen.clip"), "_w": F.col("seen.w")}).select("read_id", "chrom", "pos", "aend", "rlen", "tlen", "mate_chrom", "mate_pos", "is_reverse", "mate_is_unmapped", "read_type", "clip", F.floor((F.col("_w.low") + F.col("_w.high")) / 2).alias("clip_at"), F.col("pos").alias("start_pos"), F.col("aend").alias("end_pos"))
-    met = overlap_join(have, near, prefix="r_", width=2000)
+    met = overlap_join(have, near, prefix="r_")
     if typed:
         met = met.where("want = r_read_type")
     middle = F.floor((F.col("start_pos") + F.col("end_pos")) / 2)
