@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from .intervals import islands, overlap_join
+from .sweeps import bin_counts, overlap_counts
 
 PRECISE_METHODS = ("AS", "SR", "JM")
 
@@ -26,14 +27,17 @@ def genotype_counts(calls: DataFrame, reads: DataFrame, window: int = C.GT_WINDO
     reads count 0.
     """
     points = F.when(F.col("sv_type") == "INS", F.array("start_pos")).otherwise(F.array("start_pos", "end_pos"))
-    at = calls.select("call_id", "chrom", F.posexplode(points).alias("nr", "point"))
-    windows = at.select("call_id", "chrom", "nr", "point", F.greatest(F.lit(0), F.col("point") - window).alias("start_pos"), (F.col("point") + window).alias("end_pos"))
-    seen = as_intervals(reads.where(F.col("is_paired") & ~F.col("is_duplicate")), "pos", "aend", "tlen", "mate_chrom", "mate_pos", "is_reverse", "mate_is_reverse", "is_unmapped", "mate_is_unmapped")
-    met = overlap_join(windows, seen, prefix="r_")
-    inward = F.when(F.col("r_is_reverse"), (F.col("r_mate_pos") < F.col("r_pos")) & ~F.col("r_mate_is_reverse")).otherwise((F.col("r_mate_pos") > F.col("r_pos")) & F.col("r_mate_is_reverse"))
-    spans = (F.col("r_aend") - F.col("point") >= around) & (F.col("point") - F.col("r_pos") >= around)
-    normal = ~F.col("r_is_unmapped") & ~F.col("r_mate_is_unmapped") & (F.col("r_mate_chrom") == F.col("chrom")) & inward & spans & F.abs("r_tlen").between(*isize)
-    counts = met.groupBy("call_id").agg(F.count("*").alias("total"), F.sum(F.when(normal, 1).otherwise(0)).alias("normal"))
+    at = calls.select("call_id", "chrom", F.explode(points).alias("point"))
+    span = lambda kind, low, high: F.struct(F.lit(kind).alias("kind"), low.alias("start_pos"), high.alias("end_pos"))
+    windows = at.select("call_id", "chrom", F.inline(F.array(span("near", F.greatest(F.lit(0), F.col("point") - window), F.col("point") + window), span("spans", F.col("point"), F.col("point") + 1))))
+    seen = reads.where(F.col("is_paired") & ~F.col("is_duplicate") & (F.col("pos") < F.col("aend")))
+    inward = F.when(F.col("is_reverse"), (F.col("mate_pos") < F.col("pos")) & ~F.col("mate_is_reverse")).otherwise((F.col("mate_pos") > F.col("pos")) & F.col("mate_is_reverse"))
+    normal = ~F.col("is_unmapped") & ~F.col("mate_is_unmapped") & (F.col("mate_chrom") == F.col("chrom")) & inward & F.abs("tlen").between(*isize)
+    # A read spans the points that lie `around` inside of its ends.
+    places = F.array_append(F.array(span("near", F.col("pos"), F.col("aend"))), F.when(normal, span("spans", F.col("pos") + around, F.col("aend") - around + 1)))
+    counts = overlap_counts(windows, seen.select("chrom", F.inline(F.array_compact(places))), ["call_id", "kind"], on=["kind"])
+    n = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("n")).otherwise(0))
+    counts = counts.groupBy("call_id").agg(n("near").alias("total"), n("spans").alias("normal"))
     return calls.select("call_id").join(counts, "call_id", "left").select("call_id", F.coalesce("total", F.lit(0)).alias("total"), F.coalesce("normal", F.lit(0)).alias("normal"))
 
 
@@ -143,7 +147,7 @@ def skipped_breakpoints(calls: DataFrame) -> DataFrame:
 
 
 def overlap_flag(calls: DataFrame, track: DataFrame) -> DataFrame:
-    hit = overlap_join(calls.select("call_id", "chrom", "start_pos", "end_pos"), track.select("chrom", "start_pos", "end_pos")).select("call_id").distinct().withColumn("hit", F.lit(1))
+    hit = overlap_counts(calls, track, ["call_id"]).where("n > 0").select("call_id", F.lit(1).alias("hit"))
     return calls.select("call_id").join(hit, "call_id", "left").select("call_id", F.coalesce("hit", F.lit(0)).alias("overlaps"))
 
 
@@ -156,12 +160,12 @@ def weighted_overlap(calls: DataFrame, track: DataFrame) -> DataFrame:
 
 def coverage_bins(calls: DataFrame, reads: DataFrame, step: int = 50) -> DataFrame:
     """Reads and very good reads in each bin of a call, as lists, and their mean, least and greatest."""
-    bins = calls.where("end_pos > start_pos").select("call_id", "chrom", F.explode(F.sequence(F.col("start_pos"), F.col("end_pos") - 1, F.lit(step))).alias("start_pos")).withColumn("end_pos", F.col("start_pos") + step)
-    seen = reads.where("not is_duplicate").withColumn("good", (F.col("mapq") >= 20) & (F.col("nm") < 2) & (F.col("clip_left") + F.col("clip_right") <= 10))
-    met = overlap_join(bins, as_intervals(seen, "good"), prefix="r_").groupBy("call_id", "start_pos").agg(F.count("*").alias("n"), F.sum(F.when(F.col("r_good"), 1).otherwise(0)).alias("g"))
-    full = bins.join(met, ["call_id", "start_pos"], "left").select("call_id", "start_pos", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("g", F.lit(0)).alias("g"))
-    text = lambda c: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start_pos", c))), lambda x: x[c].cast("string")), ";")
-    out = full.groupBy("call_id").agg(text("n").alias("coverage"), F.avg("n").alias("mean"), F.min("n").alias("least"), F.max("n").alias("most"), text("g").alias("good_coverage"), F.avg("g").alias("good_mean"), F.min("g").alias("good_least"), F.max("g").alias("good_most"))
+    seen = reads.where("not is_duplicate").withColumn("good", F.coalesce((F.col("mapq") >= 20) & (F.col("nm") < 2) & (F.col("clip_left") + F.col("clip_right") <= 10), F.lit(False)))
+    counts = bin_counts(calls, as_intervals(seen, "good"), step)
+    text = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), ";")
+    mean = lambda c: F.aggregate(c, F.lit(0).cast("bigint"), lambda a, x: a + x) / F.size(c)
+    of = lambda c, pre="": [mean(c).alias(f"{pre}mean"), F.array_min(c).alias(f"{pre}least"), F.array_max(c).alias(f"{pre}most")]
+    out = counts.select("call_id", text("n").alias("coverage"), *of("n"), text("good").alias("good_coverage"), *of("good", "good_"))
     ratio = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(F.lit(1.0))
     return out.withColumns({"least_ratio": ratio("least", "mean"), "most_ratio": ratio("most", "mean"), "good_least_ratio": ratio("good_least", "good_mean"), "good_most_ratio": ratio("good_most", "good_mean")})
 

@@ -84,11 +84,21 @@ def pair_translocations(calls: DataFrame) -> DataFrame:
     A merged pair has no wiggle left, so it takes up nothing more: within a run of near calls
     the first pairs with the second, the third with the fourth, and so on.
     """
+    return _paired(_sites(calls.where(is_translocation()), TX_KEYS, "call_id", F.col("wiggle")))
+
+
+def _paired(sites: DataFrame) -> DataFrame:
     keys = [*TX_KEYS, "site"]
-    runs = _near_runs(_sites(calls.where(is_translocation()), TX_KEYS, "call_id", F.col("wiggle")), keys, "call_id")
+    runs = _near_runs(sites, keys, "call_id")
     return _level1(runs.withColumn("island", F.floor(F.col("nr") / 2)), [*keys, "run"]).drop("site", "run")
 
 
+def _several(rows: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(the rows that share their keys with others, with an empty `path`; the links of the others to themselves)"""
+    counted = settled(rows.withColumn("_n", F.count("*").over(W.partitionBy(*keys))))
+    return counted.where("_n > 1").drop("_n").withColumn("path", F.lit("")), counted.where("_n = 1").select(F.col("id").alias("l1_id"), F.col("id").alias("l2_id"))
+
+
 def merge_pairs(level1: DataFrame) -> DataFrame:
     """Level-1 translocations to their level-2 interval: `l1_id, l2_id` for each.
 
@@ -100,10 +110,9 @@ def merge_pairs(level1: DataFrame) -> DataFrame:
     of = ["sv_type", "chrom", "chrom2"]
     reach = F.array_max(F.transform("leaves", lambda x: x["wiggle"]))
     kept = ["id", *of, "start_pos", "end_pos", "wiggle", "reach", "site"]
-    rows = level1.where(is_translocation()).withColumns({"id": F.col("l1_id"), "reach": reach}).select(*kept[:-1], F.lit("").alias("path"))
-    rows = _sites(rows, of, "id", F.col("reach"))
+    rows = level1.where(is_translocation()).withColumns({"id": F.col("l1_id"), "reach": reach}).select(*kept[:-1])
+    rows, done = _several(_sites(rows, of, "id", F.col("reach")), [*of, "site"])
     keys = [*of, "site", "path", "part"]
-    done = None
     while True:
         rows = islands_within(rows, keys[:-1], ["start_pos", "end_pos", "id"], F.col("start_pos"), F.col("start_pos") + F.col("reach"), name="part")
         runs = _near_runs(rows, keys, "id")
@@ -115,7 +124,7 @@ def merge_pairs(level1: DataFrame) -> DataFrame:
         runs = runs.withColumns({"n_fit": F.sum(F.when(F.col("fits"), 1).otherwise(0)).over(part), "n_all": F.count("*").over(part), "head": F.first("id").over(pair)})
         judged = settled(runs.drop("singles"))
         out = judged.where("n_fit = n_all or n_fit = 0").select(F.col("id").alias("l1_id"), F.when(F.col("n_fit") > 0, F.col("head")).otherwise(F.col("id")).alias("l2_id"))
-        done = out if done is None else done.unionByName(out)
+        done = done.unionByName(out)
         rows = judged.where("n_fit > 0 and n_fit < n_all").select(*kept, F.concat("path", F.when(F.col("fits"), "g").otherwise("b")).alias("path"))
         if rows.isEmpty():
             return done
@@ -161,20 +170,25 @@ def merge_inter(level1: DataFrame, ratio: float = C.OVERLAP_RATIO) -> DataFrame:
     """
     kept = ["id", *COMPONENT, "start_pos", "end_pos", "wiggle"]
     rows = level1.where(~is_translocation()).select(F.col("l1_id").alias("id"), *COMPONENT[:2], "start_pos", "end_pos", "wiggle")
-    rows = islands(rows, COMPONENT[:2], [low(), "start_pos", "end_pos", "id"], low(), high(), touching=True, name="component").repartition(*COMPONENT).withColumn("path", F.lit(""))
-    done = None
+    rows = islands(rows, COMPONENT[:2], [low(), "start_pos", "end_pos", "id"], low(), high(), touching=True, name="component")
+    rows, done = _several(rows.repartition(*COMPONENT), COMPONENT)
     while True:
         judged = settled(_round(rows, ratio).select(*kept, "path", "fits", "head", "n_fit", "n_all"))
         out = judged.where("n_fit = n_all or n_fit = 0").select(F.col("id").alias("l1_id"), F.when(F.col("n_fit") > 0, F.col("head")).otherwise(F.col("id")).alias("l2_id"))
-        done = out if done is None else done.unionByName(out)
+        done = done.unionByName(out)
         rows = judged.where("n_fit > 0 and n_fit < n_all").select(*kept, F.concat("path", F.when(F.col("fits"), "g").otherwise("b")).alias("path"))
         if rows.isEmpty():
             return done
 
 
 def level1_of(calls: DataFrame) -> DataFrame:
-    """The level-1 intervals of all types, with chrom2."""
-    return merge_intra(calls).withColumn("chrom2", F.col("chrom")).unionByName(pair_translocations(calls))
+    """The level-1 intervals of all types, with chrom2: what `merge_intra` and `pair_translocations` give, cut by one pass over the calls."""
+    tx, keys = is_translocation(), [*TX_KEYS[:3], "_pair"]
+    rows = calls.withColumn("_pair", F.when(tx, F.col("chrom2")))
+    begin, end = F.when(tx, F.col("start_pos")).otherwise(low()), F.when(tx, F.col("start_pos") + F.col("wiggle")).otherwise(high())
+    cut = islands(rows, keys, ["start_pos", "end_pos", "call_id"], begin, end)
+    plain = _level1(cut.where(~tx), TX_KEYS[:3]).withColumn("chrom2", F.col("chrom"))
+    return plain.unionByName(_paired(cut.where(tx).withColumnRenamed("island", "site")))
 
 
 def level2_of(calls: DataFrame, ratio: float = C.OVERLAP_RATIO) -> DataFrame:

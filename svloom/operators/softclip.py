@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from ..functions import reads as R
 from .intervals import anti_overlap, overlap_join
+from .sweeps import overlap_counts
 from .merge import merge_by_distance
 
 FAR = 1_000_000_000
@@ -95,8 +96,8 @@ def window_features(marked: DataFrame, keys: list[str], pad: int = C.SC_PAD) ->
 
 def with_coverage(windows: DataFrame, reads: DataFrame, id_: list[str]) -> DataFrame:
     """Windows with `coverage`, the number of reads that touch them."""
-    touch = overlap_join(windows.select(*dict.fromkeys([*id_, "chrom", "start_pos", "end_pos"])), reads.select("chrom", F.col("pos").alias("start_pos"), F.col("aend").alias("end_pos")))
-    counts = touch.groupBy(*id_).agg(F.count("*").alias("coverage"))
+    seen = reads.select("chrom", F.col("pos").alias("start_pos"), F.col("aend").alias("end_pos"))
+    counts = overlap_counts(windows, seen, id_).where("n > 0").withColumnRenamed("n", "coverage")
     return windows.join(counts, id_, "left").withColumn("coverage", F.coalesce("coverage", F.lit(0)))
 
 

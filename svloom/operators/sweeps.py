@@ -19,6 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import LongType, StructField, StructType
 
 #: Bases of a block. Intervals that are longer are listed in several.
@@ -128,3 +129,68 @@ def overlap_join(a: DataFrame, b: DataFrame, pad: int | Column = 0, prefix: str
     out = rows.mapInArrow(_swept([*keys, "_block"], block), StructType([*fields, StructField(f"_{len(fields)}", LongType())]))
     names = [*a.columns, *[prefix + c for c in b.columns], "overlap_bp"]
     return out.select(*[F.col(f"_{n}").alias(name) for n, name in enumerate(names)])
+
+
+#: Bases of a block whose intervals are held as two sorted arrays of ends.
+COUNTED = 1 << 19
+
+
+def _as_events(intervals: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Where intervals begin and end, each sorted: the places at which a running count goes up and down."""
+    return tuple(np.sort(intervals[c].to_numpy()) for c in ("_low", "_high"))
+
+
+def _counted(ids: Sequence[str], schema: pa.Schema, block: int) -> Callable[[tuple, pa.Table, pa.Table], pa.Table]:
+    def count(key: tuple, queries: pa.Table, intervals: pa.Table) -> pa.Table:
+        up, down = _as_events(intervals)
+        low, high = queries["_low"].to_numpy(), queries["_high"].to_numpy()
+        begin = key[-1].as_py() * block
+        # What begins before the query ends, without what has ended where it begins, or, in its later blocks, without what began before.
+        gone = np.where(low >= begin, np.searchsorted(down, low, side="right"), np.searchsorted(up, begin, side="left"))
+        n = np.searchsorted(up, np.minimum(high, begin + block), side="left") - gone
+        return pa.table([*(queries[c] for c in ids), pa.array(n, pa.int64())], schema=schema)
+
+    return count
+
+
+def overlap_counts(queries: DataFrame, intervals: DataFrame, ids: Sequence[str], on: Sequence[str] = (), block: int = COUNTED) -> DataFrame:
+    """`ids, n`: how many intervals each query overlaps, by differences of running counts; no pair is formed.
+
+    Both have chrom, start_pos, end_pos and the columns of `on`, which must be equal. A row for every query that isn't empty.
+    """
+    keys = ["chrom", *on]
+    held = dict.fromkeys([*keys, *ids])
+    left = dealt(queries, F.col("start_pos"), F.col("end_pos"), block).select(*held, "_block", "_low", "_high")
+    right = dealt(intervals, F.col("start_pos"), F.col("end_pos"), block).select(*keys, "_block", "_low", "_high")
+    schema = StructType([*[left.schema[c] for c in ids], StructField("n", LongType())])
+    met = left.groupBy(*keys, "_block").cogroup(right.groupBy(*keys, "_block")).applyInArrow(_counted(ids, to_arrow_schema(schema), block), schema)
+    return met.groupBy(*ids).agg(F.sum("n").alias("n"))
+
+
+_BINS = pa.schema([("call_id", pa.int64()), ("first", pa.int64()), ("n", pa.list_(pa.int64())), ("good", pa.list_(pa.int64()))])
+
+
+def _binned(step: int, block: int) -> Callable[[tuple, pa.Table, pa.Table], pa.Table]:
+    def count(key: tuple, calls: pa.Table, reads: pa.Table) -> pa.Table:
+        begin = key[-1].as_py() * block
+        low, high = calls["_low"].to_numpy(), calls["_high"].to_numpy()
+        first = np.maximum(0, -((low - begin) // step))  # this block's bins of a call: those that begin in it
+        n = np.maximum(0, -((low - np.minimum(high, begin + block)) // step) - first)
+        at = np.repeat(low + step * first, n) + step * (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
+        ends = pa.array(np.append(0, np.cumsum(n)), pa.int32())
+        lists = []
+        for rows in (reads, reads.filter(reads["good"])):
+            up, down = _as_events(rows)
+            lists.append(pa.ListArray.from_arrays(ends, pa.array(np.searchsorted(up, at + step, side="left") - np.searchsorted(down, at, side="right"), pa.int64())))
+        return pa.table([calls["call_id"].combine_chunks(), pa.array(first, pa.int64()), *lists], schema=_BINS).filter(pa.array(n > 0))
+
+    return count
+
+
+def bin_counts(calls: DataFrame, reads: DataFrame, step: int, block: int = COUNTED) -> DataFrame:
+    """`call_id, n, good`: for each call the reads (with a flag `good`) that touch each of its bins of `step` bases, in order."""
+    left = dealt(calls, F.col("start_pos"), F.col("end_pos"), block).select("call_id", "chrom", "_block", "_low", "_high")
+    right = dealt(reads, F.col("start_pos"), F.col("end_pos"), block, reach=step).select("chrom", "_block", "_low", "_high", "good")
+    parts = left.groupBy("chrom", "_block").cogroup(right.groupBy("chrom", "_block")).applyInArrow(_binned(step, block), "call_id long, first long, n array<long>, good array<long>")
+    whole = parts.groupBy("call_id").agg(F.array_sort(F.collect_list(F.struct("first", "n", "good"))).alias("p"))
+    return whole.select("call_id", F.flatten("p.n").alias("n"), F.flatten("p.good").alias("good"))
