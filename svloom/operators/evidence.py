@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .. import constants as C
+from ..session import settled
 from .intervals import islands, overlap_join
 from .sweeps import bin_counts, overlap_counts
 
@@ -91,8 +94,57 @@ def complete_pairs(reads: DataFrame) -> DataFrame:
 
 
 def build_pairs(calls: DataFrame, reads: DataFrame, pad: int = C.SC_PAD, most: int = C.MAX_PAIRS) -> DataFrame:
-    """The complete pairs of each call's windows; a mate counts wherever it lies."""
-    return within_cap(reads_of(pair_windows(calls, pad), reads), most).join(complete_pairs(reads), "qname")
+    """The complete pairs of each call's windows; a mate counts wherever it lies.
+
+    Only reads of fragments that a window touches are paired: the fragments' names go to the scan as a Bloom
+    filter, which lets a hundredth of the others pass, and the join drops these.
+    """
+    wanted = settled(within_cap(reads_of(pair_windows(calls, pad), reads), most))
+    return wanted.join(complete_pairs(named(reads, wanted, "qname")), "qname")
+
+
+#: Bits of a Bloom filter, at most: 16 MB, which the driver and every executor can hold.
+BLOOM_BITS = 1 << 27
+BITS_A_NAME, HASHES = 10, 6
+
+
+def named(rows: DataFrame, wanted: DataFrame, name: str) -> DataFrame:
+    """Rows whose `name` is among the wanted ones.
+
+    A Bloom filter of the wanted names is built where they lie and applied where rows are scanned, so that only rows
+    that pass are shuffled to the semi-join, which decides. Where there are too many names for a
+    filter of bounded size, the semi-join works alone.
+    """
+    names = wanted.select(name).distinct()
+    n = names.count()
+    if 0 < n <= BLOOM_BITS // BITS_A_NAME:
+        rows = rows.crossJoin(F.broadcast(_bloom(names, name, n))).where(_maybe(F.col(name), n)).drop("_bloom")
+    return rows.join(names, name, "left_semi")
+
+
+def _places(name: Column, n: int) -> list[Column]:
+    return [F.pmod(F.xxhash64(name, F.lit(i)), F.lit(64 * _words(n))) for i in range(HASHES)]
+
+
+def _words(n: int) -> int:
+    return -(-BITS_A_NAME * n // 64)
+
+
+def _bit(place: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))
+
+
+def _bloom(names: DataFrame, name: str, n: int) -> DataFrame:
+    """One row: the filter of `n` names as an array of 64-bit words. Each task ORs its own bits first."""
+    places = names.select(F.explode(F.array(*_places(F.col(name), n))).alias("at"))
+    some = places.groupBy(F.floor(F.col("at") / 64).alias("id")).agg(F.bit_or(_bit(F.col("at"))).alias("word"))
+    every = names.sparkSession.range(_words(n)).join(some, "id", "left").select("id", F.coalesce("word", F.lit(0).cast("long")).alias("word"))
+    return every.agg(F.transform(F.array_sort(F.collect_list(F.struct("id", "word"))), lambda x: x["word"]).alias("_bloom"))
+
+
+def _maybe(name: Column, n: int) -> Column:
+    """Holds for every name in the filter, and for about one in a hundred others."""
+    return reduce(lambda a, b: a & b, [F.get("_bloom", F.floor(p / 64).cast("int")).bitwiseAND(_bit(p)) != 0 for p in _places(name, n)])
 
 
 def selectors(max_nm: int = 5, isize: tuple[int, int] = (300, 400)) -> dict[str, Column]:

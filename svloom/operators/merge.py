@@ -12,10 +12,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StructField
 
 from .. import constants as C
 from ..session import settled
 from .filters import caller_rank, is_precise_source, is_translocation, methods_of
+from .folds import fold_runs
 from .intervals import islands, islands_within
 
 
@@ -293,23 +295,25 @@ def reciprocal_chains(df: DataFrame, keys: Sequence[str], ratio: float = C.OVERL
     """Sorted intervals join the chain before them while they reciprocally overlap the whole chain.
 
     The chain's bounds decide, so this is a fold: rows are cut into islands of overlapping
-    intervals, which no chain crosses, and each island is folded by itself. One row per chain:
-    keys, start_pos, end_pos, ids. An island's size bounds a fold's memory.
+    intervals, which no chain crosses, and each island streams through a fold of its own. One row per chain:
+    keys, start_pos, end_pos, ids.
     """
     marked = islands(df, keys, ["start_pos", "end_pos", "call_id"], F.col("start_pos"), F.col("end_pos"))
-    grouped = marked.groupBy(*keys, "island").agg(F.array_sort(F.collect_list(F.struct("start_pos", "end_pos", "call_id"))).alias("rows"))
-    empty = F.array().cast(f"array<struct<start_pos:bigint,end_pos:bigint,ids:array<{dict(df.dtypes)['call_id']}>>>")
 
-    def add(chains: Column, x: Column) -> Column:
-        last = F.element_at(chains, -1)
-        common = F.least(last["end_pos"], x["end_pos"]) - F.greatest(last["start_pos"], x["start_pos"])
-        longer = F.greatest(last["end_pos"] - last["start_pos"], x["end_pos"] - x["start_pos"])
-        joined = F.struct(F.least(last["start_pos"], x["start_pos"]).alias("start_pos"), F.greatest(last["end_pos"], x["end_pos"]).alias("end_pos"), F.array_append(last["ids"], x["call_id"]).alias("ids"))
-        alone = F.struct(x["start_pos"].alias("start_pos"), x["end_pos"].alias("end_pos"), F.array(x["call_id"]).alias("ids"))
-        grow = F.concat(F.slice(chains, F.lit(1), F.size(chains) - 1), F.array(joined))
-        return F.when(F.size(chains) == 0, F.array(alone)).when((common > 0) & (common >= ratio * longer), grow).otherwise(F.array_append(chains, alone))
+    def begin(x: dict) -> dict:
+        return {"start_pos": x["start_pos"], "end_pos": x["end_pos"], "ids": [x["call_id"]]}
 
-    return grouped.select(*keys, F.explode(F.aggregate("rows", empty, add)).alias("c")).select(*keys, "c.*")
+    def add(chain: dict, x: dict) -> bool:
+        common = min(chain["end_pos"], x["end_pos"]) - max(chain["start_pos"], x["start_pos"])
+        longer = max(chain["end_pos"] - chain["start_pos"], x["end_pos"] - x["start_pos"])
+        if common <= 0 or common < ratio * longer:
+            return False
+        chain["start_pos"], chain["end_pos"] = min(chain["start_pos"], x["start_pos"]), max(chain["end_pos"], x["end_pos"])
+        chain["ids"].append(x["call_id"])
+        return True
+
+    fields = [df.schema["start_pos"], df.schema["end_pos"], StructField("ids", ArrayType(df.schema["call_id"].dataType))]
+    return fold_runs(marked.select(*keys, "island", "start_pos", "end_pos", "call_id"), [*keys, "island"], ["start_pos", "end_pos", "call_id"], keys, begin, add, fields)
 
 
 def merge_per_type(intervals: DataFrame, ratio: float = C.OVERLAP_RATIO, pad: int = C.SC_PAD) -> DataFrame:
@@ -330,19 +334,20 @@ def coalesce_adjacent(df: DataFrame, near: int = 10) -> DataFrame:
     keys = ["sv_type", "chrom"]
     # Starts only grow, so calls whose start is farther than `near` from the last one's can't share a run.
     marked = islands(df, keys, ["start_pos", "end_pos", "call_id"], F.col("start_pos"), F.col("start_pos") + near, touching=True, name="_cut")
-    grouped = marked.groupBy(*keys, "_cut").agg(F.array_sort(F.collect_list(F.struct("start_pos", "end_pos", "call_id", "passed", "methods"))).alias("rows"))
-    empty = F.array().cast("array<struct<start_pos:bigint,end_pos:bigint,first_id:bigint,n_calls:int,passed:boolean,methods:array<string>>>")
-
-    def add(runs: Column, x: Column) -> Column:
-        last = F.element_at(runs, -1)
-        alone = F.struct(x["start_pos"].alias("start_pos"), x["end_pos"].alias("end_pos"), x["call_id"].alias("first_id"), F.lit(1).alias("n_calls"), x["passed"].alias("passed"), x["methods"].alias("methods"))
-        both = F.array_sort(F.array_union(last["methods"], x["methods"]))
-        own = F.size(F.array_except(both, F.array(F.lit("SC"), F.lit("AS")))) > 1
-        joined = F.struct(F.least(last["start_pos"], x["start_pos"]).alias("start_pos"), F.greatest(last["end_pos"], x["end_pos"]).alias("end_pos"), last["first_id"].alias("first_id"), (last["n_calls"] + 1).alias("n_calls"), (last["passed"] | x["passed"] | (~F.array_contains(both, "AS") & own)).alias("passed"), both.alias("methods"))
-        fits = (F.abs(last["start_pos"] - x["start_pos"]) <= near) & (F.abs(last["end_pos"] - x["end_pos"]) <= near)
-        return F.when(F.size(runs) == 0, F.array(alone)).when(fits, F.concat(F.slice(runs, F.lit(1), F.size(runs) - 1), F.array(joined))).otherwise(F.array_append(runs, alone))
-
-    return grouped.select(*keys, F.explode(F.aggregate("rows", empty, add)).alias("r")).select(*keys, "r.*")
+
+    def begin(x: dict) -> dict:
+        return {"start_pos": x["start_pos"], "end_pos": x["end_pos"], "first_id": x["call_id"], "n_calls": 1, "passed": x["passed"], "methods": x["methods"]}
+
+    def add(run: dict, x: dict) -> bool:
+        if abs(run["start_pos"] - x["start_pos"]) > near or abs(run["end_pos"] - x["end_pos"]) > near:
+            return False
+        both = set(run["methods"]) | set(x["methods"])
+        agreed = "AS" not in both and len(both - {"SC"}) > 1
+        run |= {"start_pos": min(run["start_pos"], x["start_pos"]), "end_pos": max(run["end_pos"], x["end_pos"]), "n_calls": run["n_calls"] + 1, "passed": run["passed"] or x["passed"] or agreed, "methods": sorted(both)}
+        return True
+
+    fields = [df.schema["start_pos"], df.schema["end_pos"], StructField("first_id", df.schema["call_id"].dataType), StructField("n_calls", IntegerType()), StructField("passed", BooleanType()), df.schema["methods"]]
+    return fold_runs(marked.select(*keys, "_cut", "start_pos", "end_pos", "call_id", "passed", "methods"), [*keys, "_cut"], ["start_pos", "end_pos", "call_id"], keys, begin, add, fields)
 
 
 def call_stats(validated: DataFrame) -> DataFrame:

@@ -438,19 +438,22 @@ def src_bed_track(t: Inputs) -> DataFrame:
 INS_SQL = "x AS (SELECT call_id, chrom, sv_type, source, sv_len, start_pos - 150 AS start_pos, end_pos + 150 AS end_pos FROM calls WHERE sv_type = 'INS')"
 
 
-def merge_full_sql(source: str, pad: int) -> str:
-    """`mf`, the intervals `id, sv_type, chrom, s, e` merged per type, with `ids`; needs WITH RECURSIVE."""
-    chain = f"""co AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY sv_type, chrom ORDER BY s, e, id) AS nr FROM {source} WHERE sv_type <> 'INS'),
-ch AS (SELECT sv_type, chrom, nr, id, s, e, id AS head FROM co WHERE nr = 1
-  UNION ALL SELECT sv_type, chrom, nr, id, CASE WHEN fits THEN least(s, ns) ELSE ns END, CASE WHEN fits THEN greatest(e, ne) ELSE ne END, CASE WHEN fits THEN head ELSE id END
-  FROM (SELECT ch.sv_type, ch.chrom, n.nr, n.id, ch.s, ch.e, ch.head, n.s AS ns, n.e AS ne, least(ch.e, n.e) - greatest(ch.s, n.s) > 0 AND least(ch.e, n.e) - greatest(ch.s, n.s) >= 0.5 * greatest(ch.e - ch.s, n.e - n.s) AS fits
-    FROM ch JOIN co n ON n.sv_type = ch.sv_type AND n.chrom = ch.chrom AND n.nr = ch.nr + 1))"""
-    ins = islands_sql("ci", "cj", "chrom", "s, e, id", "s", "e", ">", f" - {pad}")
+def merge_full_sql(source: str, pad: int, p: str = "") -> str:
+    """`mf` (after the prefix `p`), the intervals `id, sv_type, chrom, s, e` merged per type, with `ids`; needs WITH RECURSIVE."""
+    cut = islands_sql(f"{p}cc", f"{p}cd", "sv_type, chrom", "s, e, id", "s", "e")  # no chain crosses islands, so the recursion is as deep as an island
+    chain = f"""{p}cc AS (SELECT * FROM {source} WHERE sv_type <> 'INS'),
+{cut},
+{p}co AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY sv_type, chrom, island ORDER BY s, e, id) AS nr FROM {p}cd),
+{p}ch AS (SELECT sv_type, chrom, island, nr, id, s, e, id AS head FROM {p}co WHERE nr = 1
+  UNION ALL SELECT sv_type, chrom, island, nr, id, CASE WHEN fits THEN least(s, ns) ELSE ns END, CASE WHEN fits THEN greatest(e, ne) ELSE ne END, CASE WHEN fits THEN head ELSE id END
+  FROM (SELECT ch.sv_type, ch.chrom, ch.island, n.nr, n.id, ch.s, ch.e, ch.head, n.s AS ns, n.e AS ne, least(ch.e, n.e) - greatest(ch.s, n.s) > 0 AND least(ch.e, n.e) - greatest(ch.s, n.s) >= 0.5 * greatest(ch.e - ch.s, n.e - n.s) AS fits
+    FROM {p}ch ch JOIN {p}co n ON n.sv_type = ch.sv_type AND n.chrom = ch.chrom AND n.island = ch.island AND n.nr = ch.nr + 1))"""
+    ins = islands_sql(f"{p}ci", f"{p}cj", "chrom", "s, e, id", "s", "e", ">", f" - {pad}")
     return f"""{chain},
-ci AS (SELECT * FROM {source} WHERE sv_type = 'INS'),
+{p}ci AS (SELECT * FROM {source} WHERE sv_type = 'INS'),
 {ins},
-mf AS MATERIALIZED (SELECT sv_type, chrom, min(s) AS start_pos, max(e) AS end_pos, list(id ORDER BY nr) AS ids FROM ch GROUP BY sv_type, chrom, head
-  UNION ALL SELECT sv_type, chrom, min(s), max(e), list(id ORDER BY id) FROM cj GROUP BY sv_type, chrom, island)"""
+{p}mf AS MATERIALIZED (SELECT sv_type, chrom, min(s) AS start_pos, max(e) AS end_pos, list(id ORDER BY nr) AS ids FROM {p}ch GROUP BY sv_type, chrom, island, head
+  UNION ALL SELECT sv_type, chrom, min(s), max(e), list(id ORDER BY id) FROM {p}cj GROUP BY sv_type, chrom, island)"""
 
 
 @query(

@@ -274,7 +274,7 @@ FULL_SQL = (
     NEIGHBOUR_SQL
     + f""",
 fu AS (SELECT *, (start_pos + end_pos) // 2 AS m, (other_start + other_end) // 2 AS o, other_start <> 0 OR other_end <> 0 AS two FROM nf WHERE neighbours >= 1.0 * {SCALE_SQL} AND (sv_type <> 'INS' OR least(plus, minus) >= 0.4 * {SCALE_SQL})),
-fi AS MATERIALIZED (SELECT concat_ws(':', chrom, sv_type, side, island) AS id, sv_type, chrom, CASE WHEN two THEN least(m, o) ELSE start_pos END AS s, CASE WHEN two THEN greatest(m, o) ELSE end_pos END AS e, m AS clip_at, o AS other_at FROM fu)"""
+fi AS MATERIALIZED (SELECT concat_ws(':', chrom, sv_type, side, island) AS id, sv_type, chrom, CASE WHEN two THEN least(m, o) ELSE start_pos END AS s, CASE WHEN two THEN greatest(m, o) ELSE end_pos END AS e, m AS clip_at, o AS other_at, other_start, other_end FROM fu)"""
 )
 MERGED_FULL_SQL = FULL_SQL + ",\n" + merge_full_sql("fi", 500)
 
@@ -284,19 +284,22 @@ def sc_full_merge(t: Inputs) -> DataFrame:
     return merge_per_type(full(t)).withColumn("ids", F.array_join("ids", ","))
 
 
-TUNE_SQL = (
-    MERGED_FULL_SQL
-    + """,
-fm AS (SELECT u.*, fi.clip_at, fi.other_at, abs(clip_at - start_pos) < abs(clip_at - end_pos) AS c_near, abs(other_at - start_pos) < abs(other_at - end_pos) AS o_near FROM (SELECT *, unnest(ids) AS id FROM mf) u JOIN fi ON fi.id = u.id),
-fv AS (SELECT sv_type, chrom, start_pos, end_pos, ids, CAST(floor(avg(clip_at) FILTER (c_near AND NOT o_near)) AS BIGINT) AS lb, CAST(floor(avg(clip_at) FILTER (NOT c_near AND o_near)) AS BIGINT) AS rb FROM fm GROUP BY ALL),
-fe AS (SELECT *, CASE WHEN sv_type = 'INS' OR (lb IS NOT NULL AND rb IS NOT NULL) THEN 2 WHEN lb IS NOT NULL OR rb IS NOT NULL THEN 1 END AS ends, sv_type <> 'INS' AND lb IS NOT NULL AND rb IS NOT NULL AS both_ FROM fv)"""
-)
+def tune_sql(source: str, p: str = "") -> str:
+    """`fe` (after the prefix): the merged intervals `mf` of `source` with averaged ends and how many ends have votes."""
+    return f"""
+{p}fm AS (SELECT u.*, o.clip_at, o.other_at, abs(clip_at - start_pos) < abs(clip_at - end_pos) AS c_near, abs(other_at - start_pos) < abs(other_at - end_pos) AS o_near FROM (SELECT *, unnest(ids) AS id FROM {p}mf) u JOIN {source} o ON o.id = u.id),
+{p}fv AS (SELECT sv_type, chrom, start_pos, end_pos, ids, CAST(floor(avg(clip_at) FILTER (c_near AND NOT o_near)) AS BIGINT) AS lb, CAST(floor(avg(clip_at) FILTER (NOT c_near AND o_near)) AS BIGINT) AS rb FROM {p}fm GROUP BY ALL),
+{p}fe AS MATERIALIZED (SELECT *, CASE WHEN sv_type = 'INS' OR (lb IS NOT NULL AND rb IS NOT NULL) THEN 2 WHEN lb IS NOT NULL OR rb IS NOT NULL THEN 1 END AS ends, sv_type <> 'INS' AND lb IS NOT NULL AND rb IS NOT NULL AS both_ FROM {p}fv)"""
+
+
+TUNED = """sv_type, chrom, CASE WHEN both_ THEN lb ELSE start_pos END AS start_pos, CASE WHEN both_ THEN rb ELSE end_pos END AS end_pos,
+    CASE WHEN both_ THEN rb - lb WHEN sv_type = 'INS' THEN 0 ELSE end_pos - start_pos END AS sv_len, ends, array_to_string(ids, ',') AS ids"""
+TUNE_SQL = MERGED_FULL_SQL + "," + tune_sql("fi")
 
 
 @query(
     "sc_fine_tune",
-    f"""WITH RECURSIVE {TUNE_SQL} SELECT sv_type, chrom, CASE WHEN both_ THEN lb ELSE start_pos END AS start_pos, CASE WHEN both_ THEN rb ELSE end_pos END AS end_pos,
-    CASE WHEN both_ THEN rb - lb WHEN sv_type = 'INS' THEN 0 ELSE end_pos - start_pos END AS sv_len, ends, array_to_string(ids, ',') AS ids FROM fe WHERE ends IS NOT NULL""",
+    f"WITH RECURSIVE {TUNE_SQL} SELECT {TUNED} FROM fe WHERE ends IS NOT NULL",
     ("reads",),
 )
 def sc_fine_tune(t: Inputs) -> DataFrame:
@@ -304,7 +307,32 @@ def sc_fine_tune(t: Inputs) -> DataFrame:
     return softclip.fine_tune(merge_per_type(intervals), intervals).withColumn("ids", F.array_join("ids", ","))
 
 
-@query("sc_one_end")
+#: The support at other ends: windows over them, reads and votes there, and what holds up, merged again with the members of one-ended intervals.
+ONE_END_SQL = (
+    TUNE_SQL
+    + """,
+oi AS MATERIALIZED (SELECT fe.sv_type, fe.chrom, fe.start_pos, fe.end_pos, fi.* EXCLUDE (sv_type, chrom, s, e) FROM (SELECT *, unnest(ids) AS id FROM fe WHERE ends = 1) fe JOIN fi ON fi.id = fe.id),
+os AS (SELECT sv_type, chrom, start_pos, end_pos, min(other_start) AS low, max(other_end) AS high, min(id) AS id FROM oi GROUP BY ALL),
+oc AS (SELECT *, CASE WHEN abs((low + high) // 2 - start_pos) > abs((low + high) // 2 - end_pos) THEN start_pos ELSE end_pos END AS clip FROM os),
+ow AS MATERIALIZED (SELECT 'one:' || id AS id, sv_type, chrom, low AS start_pos, high AS end_pos, greatest(0, clip - 500) AS other_start, clip + 500 AS other_end, 1 AS support FROM oc),
+ov AS (SELECT ow.id, count(r.read_id) AS coverage FROM ow LEFT JOIN reads r ON r.chrom = ow.chrom AND greatest(r.pos, ow.start_pos) < least(r.aend, ow.end_pos) GROUP BY ow.id),
+oj AS (SELECT ow.id, ow.chrom, ow.sv_type, ow.other_start, ow.other_end, (ow.start_pos + ow.end_pos) // 2 AS mid, nr.* EXCLUDE (chrom) FROM ow JOIN nr ON nr.chrom = ow.chrom AND nr.rt = ow.sv_type AND greatest(ow.start_pos, nr.pos) < least(ow.end_pos, nr.aend)),
+"""
+    + votes_sql("oj", "o", "sv_type")
+    + f""",
+on_ AS (SELECT id, count(*) AS neighbours, count(*) FILTER (NOT is_reverse) AS plus, count(*) FILTER (is_reverse) AS minus FROM ob WHERE ob IS NOT NULL AND (sv_type = 'INS' OR abs(greatest(ob, 0) - (other_start + other_end) // 2) <= 500) GROUP BY id),
+ox AS (SELECT ow.*, coverage, coalesce(neighbours, 0) AS neighbours, coalesce(plus, 0) AS plus, coalesce(minus, 0) AS minus FROM ow JOIN ov USING (id) LEFT JOIN on_ USING (id)),
+oy AS (SELECT *, (start_pos + end_pos) // 2 AS m, (other_start + other_end) // 2 AS o FROM ox WHERE coverage * {THRESHOLD_SQL} * {SCALE_SQL} <= neighbours AND neighbours >= 1.0 * {SCALE_SQL}
+  AND (sv_type <> 'INS' OR (coverage * {THRESHOLD_SQL} * {SCALE_SQL} * 0.4 <= least(plus, minus) AND least(plus, minus) >= 0.4 * {SCALE_SQL}))),
+oa AS MATERIALIZED (SELECT id, sv_type, chrom, least(m, o) AS s, greatest(m, o) AS e, m AS clip_at, o AS other_at FROM oy UNION ALL SELECT id, sv_type, chrom, s, e, clip_at, other_at FROM fi WHERE id IN (SELECT id FROM oi)),
+"""
+    + merge_full_sql("oa", 500, "x")
+    + ","
+    + tune_sql("oa", "x")
+)
+
+
+@query("sc_one_end", f"WITH RECURSIVE {ONE_END_SQL} SELECT {TUNED} FROM fe WHERE ends = 2 UNION ALL SELECT {TUNED} FROM xfe WHERE ends = 2", ("reads",))
 def sc_one_end(t: Inputs) -> DataFrame:
     """One-ended intervals: support is looked for at the other end, and those that now have both are kept."""
     intervals = settled(full(t))
@@ -316,7 +344,8 @@ def sc_one_end(t: Inputs) -> DataFrame:
     members = found.select("id", "sv_type", "chrom", "start_pos", "end_pos", "window_start", "window_end", "other_start", "other_end")
     known = intervals.join(one.select(F.explode("ids").alias("id")).distinct(), "id", "left_semi").select(*members.columns)
     again = settled(members.unionByName(known))
-    return tuned.where("ends = 2").unionByName(softclip.fine_tune(merge_per_type(again), again).where("ends = 2"))
+    both = tuned.where("ends = 2").unionByName(softclip.fine_tune(merge_per_type(again), again).where("ends = 2"))
+    return both.withColumn("ids", F.array_join("ids", ","))
 
 
 @query("none_unmatched", f"""WITH {VOTE_SQL}, seen AS (SELECT DISTINCT chrom, start_pos, end_pos FROM v), o AS (SELECT call_id AS id, chrom, greatest(0, start_pos - 500) AS s, start_pos + 500 AS e FROM calls WHERE source = 'CNVnator'),
