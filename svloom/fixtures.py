@@ -92,6 +92,22 @@ SELECT c.call_id, c.call_id * 4 + k.k AS contig_id, c.chrom, c.start_pos, c.end_
        1 AS f1_s2, 450 AS f1_e2, 451 + (c.call_id * k.k) % 60 AS f2_s2, 900 AS f2_e2, 800 AS score, 95 + k.k AS pct_identity
 FROM calls c CROSS JOIN (SELECT 1 AS k UNION ALL SELECT 2 AS k UNION ALL SELECT 3 AS k) k
 WHERE c.sv_type IN ('DEL', 'DUP') AND c.call_id % 3 = 0
+""",
+    # Contigs over inversions, of seven kinds: both ends, with a right flank, two candidates, long ones with one end (3, 5), pieces that hold it whole (4), a turned contig (6).
+    "inversion_fragments": """
+SELECT call_id, contig_id, chrom, start_pos, end_pos, 'INV' AS sv_type, n AS ref_len, contig_len, score, pct_identity, i,
+       CASE i WHEN 1 THEN CASE kind WHEN 5 THEN q + 300 WHEN 6 THEN q ELSE 1 END
+         WHEN 2 THEN CASE kind WHEN 2 THEN n - q + 60 WHEN 4 THEN 620 WHEN 5 THEN n - q + 1 WHEN 6 THEN q + 1 ELSE n - q END
+         ELSE CASE kind WHEN 1 THEN n - q + 1 WHEN 2 THEN n - q ELSE 1 END END AS s1,
+       CASE i WHEN 1 THEN CASE kind WHEN 4 THEN 429 - 30 * (call_id % 3) + 15 * (call_id % 2) WHEN 5 THEN q + 1 WHEN 6 THEN 1 ELSE q END
+         WHEN 2 THEN CASE kind WHEN 2 THEN q + 70 WHEN 3 THEN n - q - 300 WHEN 4 THEN 430 WHEN 5 THEN n WHEN 6 THEN n - q ELSE q + 1 END
+         ELSE CASE kind WHEN 1 THEN n - 20 WHEN 2 THEN q + 1 WHEN 5 THEN q - 200 ELSE 60 END END AS e1,
+       CASE i WHEN 1 THEN 1 WHEN 2 THEN CASE kind WHEN 5 THEN 303 ELSE 452 END ELSE CASE kind WHEN 2 THEN 452 WHEN 5 THEN 800 ELSE 901 END END AS s2,
+       CASE i WHEN 1 THEN CASE kind WHEN 5 THEN 300 ELSE 450 END
+         WHEN 2 THEN CASE kind WHEN 3 THEN 751 WHEN 4 THEN CASE WHEN call_id % 11 = 0 THEN 897 ELSE 642 END WHEN 5 THEN 700 ELSE 900 END
+         ELSE CASE kind WHEN 1 THEN 1200 WHEN 6 THEN 960 ELSE 900 END END AS e2
+FROM (SELECT a.*, CAST(FLOOR(call_id / 10) AS BIGINT) % 7 AS kind, f1_e1 AS q, CASE WHEN CAST(FLOOR(call_id / 10) AS BIGINT) % 7 = 4 THEN 1040 ELSE ref_len END AS n FROM split_alignments a WHERE sv_type = 'DEL') x
+CROSS JOIN (SELECT 1 AS i UNION ALL SELECT 2 AS i UNION ALL SELECT 3 AS i) k WHERE i < 3 OR kind IN (1, 2, 5, 6)
 """,
 }
 
@@ -108,13 +124,15 @@ class Inputs:
             raise AttributeError(name)
         for table in TABLES:
             self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet").createOrReplaceTempView(table)
-        if name != "calls" and "calls" in VIEWS[name]:
-            self.calls.createOrReplaceTempView("calls")
+        for other in ("calls", "split_alignments"):
+            if name != other and other in VIEWS[name]:
+                getattr(self, other).createOrReplaceTempView(other)
         return self.spark.sql(VIEWS[name])
 
 
 def with_views(sql: str, views: tuple[str, ...]) -> str:
     """The query with the views that it reads as common table expressions."""
+    views = {*views, *(v for v in ("split_alignments",) for x in views if v in VIEWS[x])}
     names = [v for v in VIEWS if v in views or (v == "calls" and any("calls" in VIEWS[x] for x in views))]
     heads = ",\n".join(f"{v} AS MATERIALIZED ({VIEWS[v].strip()})" for v in names)
     sql = sql.strip()

@@ -8,6 +8,7 @@ reference piece (1) and on the contig (2). The reference piece begins `pad` befo
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 PAD = 500
@@ -147,20 +148,47 @@ def duplication_breakpoints(good: DataFrame, pad: int = PAD, near: int = NEAR, c
     return _two_breakpoints(met.select("call_id", "start_pos", F.explode(F.array(l_low, r_high)).alias("at")), pad)
 
 
-def inversion_breakpoints(good: DataFrame, pad: int = PAD, near: int = NEAR, contig_gap: int = 10) -> DataFrame:
-    """Where an inverted fragment that spans the call and a normal one beyond an end of it meet on the contig.
+def inversion_breakpoints(good: DataFrame, pad: int = PAD, near: int = NEAR, contig_gap: int = 10, min_fragment: int = 50, min_border: int = 10, most_overlap: int = 10, most_gap: int = 50) -> DataFrame:
+    """Where an inverted fragment and a normal one beside it meet on the contig.
 
-    Fragments run against each other on the contig; the inverted one lies between the
-    expected places, the normal one ends at one of them.
+    Of a contig's fragments of some length the inverted one has both ends at the expected places, the
+    one with the nearest ends if there are several. If there is none, the inversion is longer than its
+    contig shows: then it has one end at its place while another fragment lies beyond the other side of that place. The
+    normal one ends at an expected place and runs the other way; the longest counts. Where the whole inversion fits
+    into the contig, both must also meet on the reference, and the inverted one must not reach the contig's border.
     """
-    rows = good.where("sv_type = 'INV'").select("call_id", "start_pos", "ref_len", F.posexplode("frags").alias("nr", "x")).select("call_id", "start_pos", "ref_len", "nr", _ends(F.col("x")).alias("e"), (F.sign(F.col("x.e1") - F.col("x.s1")) != F.sign(F.col("x.e2") - F.col("x.s2"))).alias("turned"), F.monotonically_increasing_id().alias("row"))
-    inv = rows.where(F.col("turned") & (F.abs(F.col("e.low") - pad) < near) & (F.abs(F.col("e.high") - (F.col("ref_len") - pad)) < near)).select("call_id", "start_pos", F.col("e").alias("i"))
-    norm = rows.where(~F.col("turned") & ((F.abs(F.col("e.high") - pad) < near) | (F.abs(F.col("e.low") - (F.col("ref_len") - pad)) < near))).select("call_id", F.col("e").alias("n"))
-    pair = inv.join(norm, "call_id").where((F.col("n.low") - F.col("i.low")) * (F.col("n.high") - F.col("i.high")) > 0)
-    beyond = F.col("n.high") > F.col("i.high")
-    bp1, bp2 = F.when(beyond, F.col("i.low")).otherwise(F.col("i.high")), F.when(beyond, F.col("n.low")).otherwise(F.col("n.high"))
-    at1, at2 = F.when(beyond, F.col("i.at_low")).otherwise(F.col("i.at_high")), F.when(beyond, F.col("n.at_low")).otherwise(F.col("n.at_high"))
-    return _two_breakpoints(pair.where(F.abs(at1 - at2) <= contig_gap).select("call_id", "start_pos", F.explode(F.array(bp1, bp2)).alias("at")), pad)
+    of_contig = W.partitionBy("call_id", "contig_id")
+    n = lambda c: F.sum(F.when(c, 1).otherwise(0)).over(of_contig)
+    begins, ends, before, after = (F.col(c) for c in ("begins", "ends", "before", "after"))
+    left, right = F.lit(pad), F.col("ref_len") - pad
+    rows = good.where("sv_type = 'INV'").select("call_id", "contig_id", "start_pos", "ref_len", "contig_len", F.posexplode("frags").alias("i", "x"))
+    rows = rows.where((F.abs(F.col("x.e1") - F.col("x.s1")) > min_fragment) & (F.abs(F.col("x.e2") - F.col("x.s2")) > min_fragment))
+    rows = rows.withColumns({"turned": F.sign(F.col("x.e1") - F.col("x.s1")) != F.sign(F.col("x.e2") - F.col("x.s2")), "e": _ends(F.col("x"))}).select("*", "e.*").drop("x", "e")
+    rows = rows.where(F.col("high") - F.col("low") <= F.greatest(F.col("ref_len") - 2 * (pad - near), F.lit(pad + near)))
+    places = {"begins": ("low", left), "ends": ("high", right), "before": ("high", left), "after": ("low", right)}
+    rows = rows.withColumns({k: F.abs(F.col(c) - side) < near for k, (c, side) in places.items()}).withColumn("beside", before | after)
+    rows = rows.withColumns({"n": F.count("*").over(of_contig), "n_full": n(begins & ends), "n_beside": n(F.col("beside")), "n_before": n(before), "n_after": n(after)}).where("n >= 2")
+    rows = rows.withColumn("full", begins & ends & ~((F.col("n_full") > 1) & (F.col("n_beside") <= 1) & F.col("beside")))
+    others = lambda c, count: F.col(count) - c.cast("int") > 0
+    rows = rows.withColumn("open", (n(F.col("full")) == 0) & ((begins & others(after, "n_after")) | (ends & others(before, "n_before"))))
+    middle = F.col("low") + F.col("high")
+    one_end = F.col("open") & ((n(F.col("open")) == 1) | (begins & (middle > 2 * left)) | (ends & (middle < 2 * right)))
+    off_left, off_right = F.abs(F.col("low") - left), F.abs(F.col("high") - right)
+    off = F.when(F.col("full"), off_left + off_right).when(begins, off_left).otherwise(off_right)
+    shape = ["low", "high", "at_low", "at_high"]
+    chosen = F.min(F.when(F.col("full") | one_end, F.struct(off.alias("off"), "i", *shape, "turned", "begins", "full"))).over(of_contig)
+    rows = rows.withColumn("v", chosen).where("v is not null")
+    v, o = F.col("v"), F.col("o")
+    facing = F.col("beside") & (F.col("i") != v["i"]) & (F.col("turned") != v["turned"]) & (v["full"] | F.when(v["begins"], after).otherwise(before))
+    rows = rows.where(facing).groupBy("call_id", "contig_id", "start_pos", "ref_len", "contig_len", "v").agg(F.max(F.struct((F.col("high") - F.col("low")).alias("size"), (-F.col("i")).alias("i"), *shape)).alias("o"))
+    beyond, short_of = o["high"] > v["high"], o["low"] < v["low"]
+    apart = F.when(beyond, o["low"] - v["high"]).when(short_of, v["low"] - o["high"]).otherwise(0)
+    border = F.least(v["at_low"], v["at_high"], F.abs(v["at_low"] - F.col("contig_len")), F.abs(v["at_high"] - F.col("contig_len")))
+    long = ~v["full"] | (F.col("ref_len") > 2 * pad + min_fragment)
+    pair = rows.where(((o["low"] - v["low"]) * (o["high"] - v["high"]) > 0) & (long | ((border >= min_border) & apart.between(-most_overlap, most_gap))))
+    bp1, bp2 = F.when(beyond, v["low"]).otherwise(v["high"]), F.when(beyond, o["low"]).otherwise(o["high"])
+    on_contig = F.when(beyond, v["at_low"] - o["at_low"]).otherwise(v["at_high"] - o["at_high"])
+    return _two_breakpoints(pair.where(F.abs(on_contig) <= contig_gap).select("call_id", "start_pos", F.explode(F.array(bp1, bp2)).alias("at")), pad)
 
 
 def insertion_breakpoints(good: DataFrame, all_alignments: DataFrame, pad: int = PAD, window: int = WINDOW, min_fragment: int = 200, near: int = 50, near_clip: int = 100) -> DataFrame:

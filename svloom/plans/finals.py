@@ -287,8 +287,6 @@ def shaped(t: Inputs, sv_type: str) -> DataFrame:
     at = f[0]["e1"]
     if sv_type == "DUP":  # the contig runs through the end of the copy into its beginning
         return rows.withColumn("frags", F.array(frag(at, F.col("ref_len") - 700, F.lit(451), F.lit(900)), frag(F.col("ref_len") - 900, F.col("ref_len") - at, F.lit(1), F.lit(450))))
-    if sv_type == "INV":  # a normal left flank, then the whole stretch turned
-        return rows.withColumn("frags", F.array(frag(F.lit(1), at, F.lit(1), F.lit(450)), frag(F.col("ref_len") - at, at + 1, F.lit(452), F.lit(900))))
     return rows.withColumn("frags", F.array(frag(F.lit(1), at, F.lit(1), F.lit(450)), frag(at + 1, F.lit(1000), F.lit(650), F.lit(850)))).withColumn("contig_len", F.lit(1100))
 
 
@@ -314,19 +312,28 @@ def bp_dup(t: Inputs) -> DataFrame:
     return breakpoints.duplication_breakpoints(breakpoints.good_alignments(shaped(t, "DUP")))
 
 
-BP_INV_SQL = f"""WITH RECURSIVE x AS (SELECT call_id, start_pos, ref_len AS n, {ends_sql("a", "1", "f1_e1", "1", "450")}, {ends_sql("b", "ref_len - f1_e1", "f1_e1 + 1", "452", "900")}, f1_e1 + 1 < ref_len - f1_e1 AS turned FROM split_alignments WHERE sv_type = 'DEL'),
-y AS MATERIALIZED (SELECT * FROM x WHERE least(a_size, b_size) - 1 >= 50),
-v AS (SELECT call_id, start_pos, b_low AS low, b_high AS high, b_at_low AS at_low, b_at_high AS at_high FROM y WHERE turned AND abs(b_low - 500) < 400 AND abs(b_high - (n - 500)) < 400),
-o AS (SELECT call_id, a_low AS low, a_high AS high, a_at_low AS at_low, a_at_high AS at_high FROM y WHERE abs(a_high - 500) < 400 OR abs(a_low - (n - 500)) < 400
-  UNION ALL SELECT call_id, b_low, b_high, b_at_low, b_at_high FROM y WHERE NOT turned AND (abs(b_high - 500) < 400 OR abs(b_low - (n - 500)) < 400)),
-m AS (SELECT v.call_id, start_pos, o.high > v.high AS beyond, v.low AS vl, v.high AS vh, o.low AS ol, o.high AS oh, v.at_low AS val, v.at_high AS vah, o.at_low AS oal, o.at_high AS oah FROM v JOIN o USING (call_id) WHERE (o.low - v.low) * (o.high - v.high) > 0),
-pl AS (SELECT call_id, start_pos, unnest(CASE WHEN beyond THEN [vl, ol] ELSE [vh, oh] END) AS at_ FROM m WHERE abs(CASE WHEN beyond THEN val - oal ELSE vah - oah END) <= 10),
+BP_INV_SQL = f"""WITH RECURSIVE al AS (SELECT *, min(abs(e1 - s1)) OVER (PARTITION BY contig_id) AS least_, ref_len AS n FROM inversion_fragments),
+g0 AS (SELECT *, least(s1, e1) AS low, greatest(s1, e1) AS high, CASE WHEN s1 <= e1 THEN s2 ELSE e2 END AS at_low, CASE WHEN s1 <= e1 THEN e2 ELSE s2 END AS at_high, sign(e1 - s1) <> sign(e2 - s2) AS turned FROM al
+  WHERE least_ >= 50 AND abs(e1 - s1) > 50 AND abs(e2 - s2) > 50 AND abs(e1 - s1) <= greatest(n - 200, 900)),
+g1 AS (SELECT *, abs(low - 500) < 400 AS lnl, abs(high - (n - 500)) < 400 AS rnr, abs(high - 500) < 400 AS rnl, abs(low - (n - 500)) < 400 AS lnr FROM g0),
+g AS MATERIALIZED (SELECT *, count(*) FILTER (lnl AND rnr) OVER w AS n_c, count(*) FILTER (lnr OR rnl) OVER w AS n_n, count(*) FILTER (lnr) OVER w AS n_lnr, count(*) FILTER (rnl) OVER w AS n_rnl FROM g1 WINDOW w AS (PARTITION BY contig_id) QUALIFY count(*) OVER w >= 2),
+c1 AS MATERIALIZED (SELECT *, FALSE AS one_end, n > 1050 AS long_ FROM g WHERE lnl AND rnr AND NOT (n_c > 1 AND n_n <= 1 AND (lnr OR rnl)) QUALIFY row_number() OVER (PARTITION BY contig_id ORDER BY abs(low - 500) + abs(high - (n - 500)), i) = 1),
+c2 AS (SELECT *, count(*) OVER (PARTITION BY contig_id) AS n_o FROM g WHERE contig_id NOT IN (SELECT contig_id FROM c1) AND ((lnl AND n_lnr - CAST(lnr AS INTEGER) > 0) OR (rnr AND n_rnl - CAST(rnl AS INTEGER) > 0))),
+c3 AS (SELECT * EXCLUDE (n_o), TRUE AS one_end, TRUE AS long_ FROM c2 WHERE n_o = 1 OR (lnl AND s1 + e1 > 1000) OR (rnr AND s1 + e1 < 2 * (n - 500)) QUALIFY row_number() OVER (PARTITION BY contig_id ORDER BY CASE WHEN lnl THEN abs(low - 500) ELSE abs(high - (n - 500)) END, i) = 1),
+v AS (SELECT * FROM c1 UNION ALL SELECT * FROM c3),
+m AS (SELECT v.*, o.low AS ol, o.high AS oh, o.at_low AS oal, o.at_high AS oah FROM v JOIN g o ON o.contig_id = v.contig_id AND o.i <> v.i AND (o.lnr OR o.rnl) AND o.turned <> v.turned AND (NOT v.one_end OR CASE WHEN v.lnl THEN o.lnr ELSE o.rnl END)
+  QUALIFY row_number() OVER (PARTITION BY v.contig_id ORDER BY o.high - o.low DESC, o.i) = 1),
+ok AS (SELECT *, oh > high AS beyond FROM m WHERE (ol - low) * (oh - high) > 0 AND (long_ OR (least(s2, abs(s2 - contig_len), e2, abs(e2 - contig_len)) >= 10 AND CASE WHEN oh > high THEN ol - high ELSE low - oh END BETWEEN -10 AND 50))),
+pl AS (SELECT call_id, start_pos, unnest(CASE WHEN beyond THEN [low, ol] ELSE [high, oh] END) AS at_ FROM ok WHERE abs(CASE WHEN beyond THEN at_low - oal ELSE at_high - oah END) <= 10),
 {SPACED_SQL}"""
 
 
-@query("bp_inv", BP_INV_SQL + TWO_SQL, ("split_alignments",))
+@query("bp_inv", BP_INV_SQL + TWO_SQL, ("inversion_fragments",))
 def bp_inv(t: Inputs) -> DataFrame:
-    return breakpoints.inversion_breakpoints(breakpoints.good_alignments(shaped(t, "INV")))
+    f = t.inversion_fragments
+    frag = F.struct("i", *[F.col(c).cast("bigint").alias(c) for c in ("s1", "e1", "s2", "e2")])
+    rows = f.groupBy(*[c for c in f.columns if c not in ("i", "s1", "e1", "s2", "e2")]).agg(F.array_sort(F.collect_list(frag)).alias("frags"))
+    return breakpoints.inversion_breakpoints(breakpoints.good_alignments(rows))
 
 
 #: The fixture's contigs of insertions lack no reference base and hold 199 bases more.
