@@ -53,6 +53,11 @@ SELECT DISTINCT CAST(o_custkey % 9 + 1 AS STRING) AS chrom, o_custkey % 9 + 1 AS
     "track": """
 SELECT CAST(o_custkey % 8 + 1 AS STRING) AS chrom, (o_orderkey % 20000) * 450 AS start_pos,
        (o_orderkey % 20000) * 450 + 100 + o_orderkey % 200 AS end_pos, CAST(o_orderkey % 100 AS BIGINT) AS score FROM orders
+""",
+    # Sequence chunks of 64 bases, under two thirds of the calls' starts.
+    "sequence": """
+SELECT chrom, chunk, CONCAT(TRANSLATE(MD5(CONCAT(chrom, '-', CAST(chunk AS STRING))), '0123456789abcdef', 'ACGTACGTACGTACGT'), TRANSLATE(MD5(CONCAT(CAST(chunk AS STRING), '-', chrom)), '0123456789abcdef', 'ACGTACGTACGTACGT')) AS seq
+FROM (SELECT DISTINCT chrom, CAST(FLOOR((start_pos - 1) / 64) AS BIGINT) AS chunk FROM calls WHERE call_id % 3 <> 0) c
 """,
     "lines_breakdancer": """
 SELECT call_id, CONCAT_WS(CHR(9), chrom, CAST(start_pos - 1 AS STRING), '5+0-', chrom2, CAST(end_pos AS STRING), '0+5-', sv_type,

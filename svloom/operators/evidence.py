@@ -249,10 +249,12 @@ def library_stats(reads: DataFrame, min_mapq: int = 18, trim: float = 0.05) -> D
     return stats.select(F.col("n").alias("n_reads"), mean.alias("isize_mean"), F.sqrt(F.col("ss") / F.col("n") - mean * mean).alias("isize_sd")).join(F.broadcast(covered), F.lit(True), "left")
 
 
-def variant_read_features(calls: DataFrame, reads: DataFrame, isize_mean: float, isize_sd: float, points: int = 10, min_mapq: int = 18, longest: int = 1_000_000) -> DataFrame:
+def variant_read_features(calls: DataFrame, reads: DataFrame, isize_mean: float, isize_sd: float, coverage: float = C.COVERAGE, points: int = 10, min_mapq: int = 18, longest: int = 1_000_000) -> DataFrame:
     """Reads at places of a call that depend on its id alone, and discordant ones beside its ends.
 
-    aligned_share and end_aligned_share: what of the bases of well mapped reads there is not clipped.
+    aligned_share and end_aligned_share: what of the bases of well mapped reads there is not clipped. unique_share: what of
+    the reads inside is well mapped, which is little in repeats. unique_coverage and total_coverage: reads at a place over the
+    library's mean coverage.
     """
     short = calls.where(F.col("end_pos") - F.col("start_pos") <= longest)
     place = F.transform(F.sequence(F.lit(0), F.lit(points - 1)), lambda i: F.struct(F.lit("in").alias("kind"), (F.col("start_pos") + F.pmod(F.col("call_id") * 7919 + i * 104729, F.greatest(F.lit(1), F.col("end_pos") - F.col("start_pos")))).alias("at")))
@@ -266,7 +268,7 @@ def variant_read_features(calls: DataFrame, reads: DataFrame, isize_mean: float,
     counts = met.groupBy("call_id").agg(n(inside & good).alias("unique"), n(inside).alias("total"), n(inside & good & ~F.col("r_is_reverse")).alias("forward"), n(~inside & good & (size > isize_mean + 3 * isize_sd)).alias("discordant_high"), n(~inside & good & (size < isize_mean - 3 * isize_sd)).alias("discordant_low"), share(inside & good).alias("aligned_share"), share(~inside & good).alias("end_aligned_share"))
     zero = {c: F.coalesce(c, F.lit(0)) for c in ("unique", "total", "forward", "discordant_high", "discordant_low")}
     out = short.select("call_id").join(counts, "call_id", "left").withColumns(zero)
-    return out.withColumns({"strand_bias": F.when(F.col("unique") > 0, F.pow(F.col("forward") / F.col("unique") - 0.5, F.lit(2))), "unique_share": F.when(F.col("total") > 0, F.col("unique") / F.col("total"))})
+    return out.withColumns({"strand_bias": F.when(F.col("unique") > 0, F.pow(F.col("forward") / F.col("unique") - 0.5, F.lit(2))), "unique_share": F.when(F.col("total") > 0, F.col("unique") / F.col("total")), **{f"{c}_coverage": F.col(c) / points / coverage for c in ("unique", "total")}})
 
 
 ONE_HOT = ("RP", "RD", "SR", "JM", "AS", "SC")

@@ -189,13 +189,16 @@ def lib_stats(t: Inputs) -> DataFrame:
       UNION ALL SELECT call_id, chrom, 'end', greatest(0, start_pos - 50) FROM calls UNION ALL SELECT call_id, chrom, 'end', end_pos + 50 FROM calls)
     SELECT call_id, count(read_id) FILTER (kind = 'in' AND mapq >= 18) AS "unique", count(read_id) FILTER (kind = 'in') AS total, count(read_id) FILTER (kind = 'in' AND mapq >= 18 AND NOT is_reverse) AS forward,
     count(read_id) FILTER (kind = 'end' AND mapq >= 18 AND abs(tlen) > 500) AS discordant_high, count(read_id) FILTER (kind = 'end' AND mapq >= 18 AND abs(tlen) < 200) AS discordant_low,
-    round(sum(rlen - clip_left - clip_right) FILTER (kind = 'in' AND mapq >= 18) / sum(rlen) FILTER (kind = 'in' AND mapq >= 18), 6) AS aligned_share, round(sum(rlen - clip_left - clip_right) FILTER (kind = 'end' AND mapq >= 18) / sum(rlen) FILTER (kind = 'end' AND mapq >= 18), 6) AS end_aligned_share
+    round(sum(rlen - clip_left - clip_right) FILTER (kind = 'in' AND mapq >= 18) / sum(rlen) FILTER (kind = 'in' AND mapq >= 18), 6) AS aligned_share, round(sum(rlen - clip_left - clip_right) FILTER (kind = 'end' AND mapq >= 18) / sum(rlen) FILTER (kind = 'end' AND mapq >= 18), 6) AS end_aligned_share,
+    round(count(read_id) FILTER (kind = 'in' AND mapq >= 18) / nullif(count(read_id) FILTER (kind = 'in'), 0), 6) AS unique_share, round(count(read_id) FILTER (kind = 'in' AND mapq >= 18) / 10 / 30, 6) AS unique_coverage, round(count(read_id) FILTER (kind = 'in') / 10 / 30, 6) AS total_coverage,
+    round(power(count(read_id) FILTER (kind = 'in' AND mapq >= 18 AND NOT is_reverse) / nullif(count(read_id) FILTER (kind = 'in' AND mapq >= 18), 0) - 0.5, 2), 6) AS strand_bias
     FROM q LEFT JOIN reads r ON r.chrom = q.chrom AND r.pos < at_ + 1 AND r.aend > at_ GROUP BY call_id""",
     ("calls", "reads"),
 )
 def var_read_features(t: Inputs) -> DataFrame:
-    out = evidence.variant_read_features(t.calls, t.reads, 350, 50)
-    return out.select("call_id", "unique", "total", "forward", "discordant_high", "discordant_low", F.round("aligned_share", 6).alias("aligned_share"), F.round("end_aligned_share", 6).alias("end_aligned_share"))
+    out = evidence.variant_read_features(t.calls, t.reads, 350, 50, coverage=30)
+    shares = ("aligned_share", "end_aligned_share", "unique_share", "unique_coverage", "total_coverage", "strand_bias")
+    return out.select("call_id", "unique", "total", "forward", "discordant_high", "discordant_low", *[F.round(c, 6).alias(c) for c in shares])
 
 
 ML_SQL = f"""SELECT call_id, sv_len, len({METHODS_SQL}) AS n_methods, CAST(source IN ('BreakDancer', 'Manta', 'Lumpy') AS INTEGER) AS has_RP, CAST(source = 'CNVnator' AS INTEGER) AS has_RD, CAST(source IN ('Pindel', 'Manta', 'Lumpy') AS INTEGER) AS has_SR,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..fixtures import Inputs
 from ..operators import breakpoints, filters, finalize
 from ..sources import sinks
+from ..sources.sequence import with_reference
 from .registry import query
 
 FILTER_SQL = "fc AS MATERIALIZED (SELECT *, CASE WHEN call_id % 5 = 0 THEN 'LowQual' ELSE 'PASS' END AS filter FROM calls)"
@@ -47,12 +48,12 @@ def final_filter(t: Inputs) -> DataFrame:
     return finalize.final_verdicts(packed(t))
 
 
-@query("final_bed_to_vcf", f"WITH {FINAL_SQL} SELECT contig_ord, call_id, concat_ws(chr(9), chrom, start_pos, '.', 'N', '<' || sv_type || '>', '.', filter, 'SVTYPE=' || sv_type || ';SVLEN=' || sv_len || ';END=' || end_pos, 'GT', gt) AS value FROM fin JOIN contigs USING (chrom)", ("calls", "contigs"))
+@query("final_bed_to_vcf", f"WITH {FINAL_SQL} SELECT contig_ord, call_id, concat_ws(chr(9), chrom, start_pos, '.', coalesce(substr(seq, (start_pos - 1) % 64 + 1, 1), 'N'), '<' || sv_type || '>', '.', filter, 'SVTYPE=' || sv_type || ';SVLEN=' || sv_len || ';END=' || end_pos, 'GT', gt) AS value FROM fin JOIN contigs USING (chrom) LEFT JOIN (SELECT chrom AS seq_chrom, chunk, seq FROM sequence) ON seq_chrom = chrom AND chunk = (start_pos - 1) // 64", ("calls", "contigs", "sequence"))
 def final_bed_to_vcf(t: Inputs) -> DataFrame:
     text = lambda c: F.col(c).cast("string")
     info = F.concat(F.lit("SVTYPE="), "sv_type", F.lit(";SVLEN="), text("sv_len"), F.lit(";END="), text("end_pos"))
-    line = F.concat_ws("\t", "chrom", text("start_pos"), F.lit("."), F.lit("N"), F.concat(F.lit("<"), "sv_type", F.lit(">")), F.lit("."), "filter", info, F.lit("GT"), "gt")
-    return sinks.in_contig_order(finalize.final_verdicts(packed(t)).withColumn("value", line), t.contigs).select("contig_ord", "call_id", "value")
+    line = F.concat_ws("\t", "chrom", text("start_pos"), F.lit("."), "ref_base", F.concat(F.lit("<"), "sv_type", F.lit(">")), F.lit("."), "filter", info, F.lit("GT"), "gt")
+    return sinks.in_contig_order(with_reference(finalize.final_verdicts(packed(t)), t.sequence, 64).withColumn("value", line), t.contigs).select("contig_ord", "call_id", "value")
 
 
 @query(

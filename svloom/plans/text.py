@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from ..fixtures import Inputs
 from ..operators import filters, merge
+from ..operators.sweeps import overlap_join
 from ..session import shared_folder
-from ..sources import native, sinks
+from ..sources import layout, native, sinks
+from ..sources.sequence import with_reference
 from .calls import METHODS_SQL, VALIDATE_SQL
 from .registry import query
 
@@ -184,9 +186,13 @@ VCF_LINE = f"""concat_ws(chr(9), chrom, start_pos, '.', 'N', '<' || sv_type || '
     'SVMETHOD=' || {METHODS}, 'NUM_SVTOOLS=1', CASE WHEN NOT ({PRECISE}) THEN 'IMPRECISE' END, 'VT=SV', CASE WHEN sv_type = 'INS' AND NOT ({PRECISE}) THEN 'CIPOS=0,0' END), 'GT', '1/1')"""
 
 
-@query("sink_vcf", f"SELECT call_id, {VCF_LINE} AS value FROM calls WHERE start_pos > 0 AND source <> 'HaplotypeCaller'", ("calls",))
+REF_SQL = "calls LEFT JOIN (SELECT chrom AS seq_chrom, chunk, seq FROM sequence) ON seq_chrom = chrom AND chunk = (start_pos - 1) // 64"
+REF_BASE = "coalesce(substr(seq, (start_pos - 1) % 64 + 1, 1), 'N')"
+
+
+@query("sink_vcf", f"SELECT call_id, {VCF_LINE.replace("'N'", REF_BASE, 1)} AS value FROM {REF_SQL} WHERE start_pos > 0 AND source <> 'HaplotypeCaller'", ("calls", "sequence"))
 def sink_vcf(t: Inputs) -> DataFrame:
-    return sinks.vcf_rows(judged(t)).select("call_id", "value")
+    return sinks.vcf_rows(with_reference(judged(t), t.sequence, 64)).select("call_id", "value")
 
 
 @query("vcf_concat", f"SELECT contig_ord, start_pos, call_id, {VCF_LINE} AS value FROM calls JOIN contigs USING (chrom) WHERE start_pos > 0 AND source <> 'HaplotypeCaller'", ("calls", "contigs"))
@@ -274,3 +280,20 @@ def lines_to_vcf(t: Inputs) -> DataFrame:
     clear = filters.outside_gaps(usable, t.gaps, F.col("wiggle")).withColumn("wiggle", filters.wiggle_of())
     final = filters.length_between(filters.fixed_position(merge.consolidated(clear)))
     return sinks.vcf_rows(final.withColumnRenamed("l2_id", "call_id"))
+
+
+READ_COLUMNS = "read_id long, qname string, chrom string, pos long, aend long"
+
+
+@query(
+    "reads_by_region",
+    "SELECT c.call_id, r.read_id FROM calls c JOIN reads r ON r.chrom = c.chrom AND greatest(r.pos, c.start_pos - 500) < least(r.aend, c.end_pos + 500) WHERE c.sv_type = 'INV' AND c.start_pos < 4000000",
+    ("calls", "reads"),
+)
+def reads_by_region(t: Inputs) -> DataFrame:
+    """Reads near inversions of the first four million bases, from a clustered copy of the reads of which only touched blocks are opened."""
+    path = f"{shared_folder(t.spark)}/reads-{uuid.uuid4().hex}"
+    layout.write_clustered(t.reads.select("read_id", "qname", "chrom", "pos", "aend"), path, 1 << 18)
+    windows = t.calls.where("sv_type = 'INV' and start_pos < 4000000").select("call_id", "chrom", (F.col("start_pos") - 500).alias("start_pos"), (F.col("end_pos") + 500).alias("end_pos"))
+    near = layout.touching(layout.read_clustered(t.spark, path, READ_COLUMNS), windows, 200, 1 << 18)
+    return overlap_join(windows, near.select("read_id", "chrom", F.col("pos").alias("start_pos"), F.col("aend").alias("end_pos"))).select("call_id", F.col("b_read_id").alias("read_id"))

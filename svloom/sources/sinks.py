@@ -33,10 +33,12 @@ def reportable(calls: DataFrame) -> DataFrame:
 
 
 def vcf_rows(calls: DataFrame, ref: Column | None = None) -> DataFrame:
-    """`call_id, chrom, start_pos, value` for each reportable call.
+    """`call_id, chrom, start_pos, value` for each reportable call; REF is `ref_base`, if calls have it (see `sequence`), else N.
 
     CIPOS is that of the call, if it has one (`cipos`, a text); an imprecise insertion is put on its start, with none to either side.
     """
+    if ref is None:
+        ref = F.col("ref_base") if "ref_base" in calls.columns else F.lit("N")
     tx = is_translocation()
     methods = methods_of(F.col("sources"))
     length = F.when(F.col("sv_type") == "DEL", -F.col("sv_len")).otherwise(F.col("sv_len"))
@@ -53,7 +55,7 @@ def vcf_rows(calls: DataFrame, ref: Column | None = None) -> DataFrame:
         F.concat(F.lit("CIPOS="), F.when((F.col("sv_type") == "INS") & ~F.col("is_precise"), "0,0").otherwise(F.col("cipos") if "cipos" in calls.columns else F.lit(None))),
     )
     verdict = F.when(F.col("is_validated"), "PASS").otherwise("LowQual")
-    line = F.concat_ws("\t", "chrom", F.col("start_pos").cast("string"), F.lit("."), ref if ref is not None else F.lit("N"), F.concat(F.lit("<"), "sv_type", F.lit(">")), F.lit("."), verdict, info, F.lit("GT"), F.lit("1/1"))
+    line = F.concat_ws("\t", "chrom", F.col("start_pos").cast("string"), F.lit("."), ref, F.concat(F.lit("<"), "sv_type", F.lit(">")), F.lit("."), verdict, info, F.lit("GT"), F.lit("1/1"))
     return reportable(calls).select("call_id", "chrom", "start_pos", line.alias("value"))
 
 
