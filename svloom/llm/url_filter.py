@@ -13,7 +13,8 @@ log odds is bad, else good; one with hardly any text is not labelled. The odds a
 most `sample_rows` labelled documents, those whose id has the least checksum.
 
 Cases: a null url or one without "://" has an empty host and path, fits no rule, and stands
-for a host of its own; null, empty and very long html is one page more, labelled if it has text;
+for a host of its own; null, empty and very long html is one page more, labelled if it has text, and read in
+time that grows with its length alone, whatever stays open in it (what an unclosed comment or script hides is not read);
 pages of equal url and repeated rows are each judged; without labels no page is bad; a label of
 a null or unknown document teaches nothing; an empty table gives no rows; other columns are
 ignored.
@@ -32,9 +33,11 @@ from pyspark.sql import functions as F
 from .common import WORD, settled, table
 
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
-#: The article of a page, and what of it is not visible text.
-ARTICLE = r"(?is)<article\b[^>]*>(.*)</article>"
-VISIBLE = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<title\b.*?</title>|<!--.*?-->|<[^>]*>"
+#: What follows the first article tag of a page, what of that is before the last end tag, and what isn't visible text. Each is
+#: anchored, stops at the next tag, or takes the rest of the page where an end is missing (as browsers do), so none starts over again and again.
+ARTICLE = r"(?is)^.*?<article\b[^<>]*>(.*)\z"
+ARTICLE_END = r"(?is)^(.*)</article>"
+VISIBLE = r"(?is)<script\b.*?(?:</script>|\z)|<style\b.*?(?:</style>|\z)|<title\b.*?(?:</title>|\z)|<!--.*?(?:-->|\z)|<[^<>]*>"
 JUNK = "[#*$%|<>@^~!?]"
 #: What of a text is counted, and how many steps a whole share has; the last step holds all from STEPS on.
 SIGNS = (("junk", 200), ("capitals", 40), ("repeats", 20))
@@ -74,7 +77,7 @@ def domain_of(host: Column) -> Column:
 
 
 def main_text(html: Column) -> Column:
-    found = F.regexp_extract(html, ARTICLE, 1)
+    found = F.regexp_extract(F.regexp_extract(html, ARTICLE, 1), ARTICLE_END, 1)
     return F.regexp_replace(F.when(found != "", found).otherwise(html), VISIBLE, " ")
 
 
@@ -194,7 +197,7 @@ sizes AS (SELECT count(*) FILTER (good = 0) AS n0, count(*) FILTER (good = 1) AS
 seen AS (SELECT good, sign, step, count(*) AS n FROM (UNPIVOT taught ON {", ".join(name for name, _ in SIGNS)} INTO NAME sign VALUE step) GROUP BY ALL),
 odds AS MATERIALIZED (SELECT sign, step, ln(({_SHARE_SQL.format(0)}) / ({_SHARE_SQL.format(1)})) AS w FROM (SELECT s.sign, x.step, good, n, n0, n1 FROM (SELECT unnest(['{"', '".join(name for name, _ in SIGNS)}']) AS sign) s CROSS JOIN (SELECT unnest(range({STEPS + 1})) AS step) x CROSS JOIN sizes LEFT JOIN seen ON seen.sign = s.sign AND seen.step = x.step) GROUP BY sign, step),
 q AS MATERIALIZED (SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}') AS host,
-  coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path, regexp_replace(CASE WHEN regexp_extract(html, '{ARTICLE}', 1) <> '' THEN regexp_extract(html, '{ARTICLE}', 1) ELSE html END, '{VISIBLE}', ' ', 'g') AS text FROM pages),
+  coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path, regexp_replace(CASE WHEN regexp_extract(regexp_extract(html, '{ARTICLE}', 1), '{ARTICLE_END}', 1) <> '' THEN regexp_extract(regexp_extract(html, '{ARTICLE}', 1), '{ARTICLE_END}', 1) ELSE html END, '{VISIBLE}', ' ', 'g') AS text FROM pages),
 weighed AS (SELECT host, text, {_signs_sql("text")} FROM q),
 o AS (SELECT host, CASE WHEN length(trim(text, ' ')) >= 20 THEN CAST((SELECT ln((n0 + 1) / (n1 + 1)) FROM sizes) + {" + ".join(f"{name}_o.w" for name, _ in SIGNS)} > 0 AS INTEGER) END AS bad
   FROM weighed {" ".join(f"LEFT JOIN odds {name}_o ON {name}_o.sign = '{name}' AND {name}_o.step = weighed.{name}" for name, _ in SIGNS)}),

@@ -3,6 +3,7 @@ import math
 import os
 import random
 import re
+import time
 from collections import Counter
 
 import duckdb
@@ -220,3 +221,18 @@ def test_chats_as_sql(spark, sf_dir):
 
 def test_chats_of_nothing(spark, tmp_path):
     assert chat.op5_format_chats(spark, folder(spark, tmp_path, conversations=spark.createDataFrame([], CHAT))).count() == 0
+
+
+def test_hostile_pages_are_read_in_linear_time(spark):
+    """A megabyte of what stays open; the SQL's engine, which never backtracks, gives the same texts."""
+
+
+    parts = ["<!--", "<script ", "<", "<article ", "<article>", "</article>", "<style>", "<title ", "<a href=", "<!-- -->", "<article></article>", "<script>x</script>", "<article>a</article>b"]
+    pages = [p * (1_000_000 // len(p)) for p in parts] + ["<p>a<!-- b", "<p>a<script>b</p>", "x <article id=1>y<b>z</article> w </article> v", "5 < 6 <i>t</i>"]
+    began = time.perf_counter()
+    got = [r[0] for r in spark.createDataFrame([(h,) for h in pages], "html string").select(url_filter.main_text(F.col("html"))).collect()]
+    assert time.perf_counter() - began < 60
+    con = duckdb.connect()
+    for html, text in zip(pages, got, strict=True):
+        found = con.execute("SELECT regexp_extract(regexp_extract($1, $2, 1), $3, 1)", [html, url_filter.ARTICLE, url_filter.ARTICLE_END]).fetchone()[0]
+        assert con.execute("SELECT regexp_replace($1, $2, ' ', 'g')", [found or html, url_filter.VISIBLE]).fetchone()[0] == text
