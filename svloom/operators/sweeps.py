@@ -13,6 +13,7 @@ only, so a pair is found once, and no second listing or `distinct` is needed.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -108,6 +109,11 @@ def _swept(keys: Sequence[str], block: int) -> Callable[[Iterator[pa.RecordBatch
     return sweep
 
 
+def _keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of which no key is null; the others meet nothing."""
+    return df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in keys]))
+
+
 def overlap_join(a: DataFrame, b: DataFrame, pad: int | Column = 0, prefix: str = "b_", on: Sequence[str] = (), block: int = BLOCK) -> DataFrame:
     """Pairs of rows that overlap, `a` widened by `pad` on each side.
 
@@ -116,14 +122,14 @@ def overlap_join(a: DataFrame, b: DataFrame, pad: int | Column = 0, prefix: str
     """
     pad = F.lit(pad) if isinstance(pad, int) else pad
     keys = ["chrom", *on]
-    held = [F.col(c).isNotNull() for c in keys]
-    row_a, row_b = F.struct(*a.columns), F.struct(*b.columns)
     kind_a, kind_b = StructType(a.schema.fields), StructType(b.schema.fields)
-    left = dealt(a, F.col("start_pos") - pad, F.col("end_pos") + pad, block).select(*keys, "_block", "_low", "_high", row_a.alias("a"), F.lit(None).cast(kind_b).alias("b"))
-    right = dealt(b, F.col("start_pos"), F.col("end_pos"), block).select(*keys, "_block", "_low", "_high", F.lit(None).cast(kind_a).alias("a"), row_b.alias("b"))
-    rows = left.unionByName(right)
-    for c in held:
-        rows = rows.where(c)
+
+    def side(df: DataFrame, pad: Column, row_a: Column, row_b: Column) -> DataFrame:
+        rows = df.select(*keys, (F.col("start_pos") - pad).alias("_from"), (F.col("end_pos") + pad).alias("_to"), row_a.alias("a"), row_b.alias("b"))
+        return dealt(_keyed(rows, keys), F.col("_from"), F.col("_to"), block).drop("_from", "_to")
+
+    left = side(a, pad, F.struct(*a.columns), F.lit(None).cast(kind_b))
+    rows = left.unionByName(side(b, F.lit(0), F.lit(None).cast(kind_a), F.struct(*b.columns)))
     rows = rows.repartition(*keys, "_block").sortWithinPartitions(*keys, "_block", "_low")
     fields = [StructField(f"_{n}", f.dataType) for n, f in enumerate([*a.schema.fields, *b.schema.fields])]
     out = rows.mapInArrow(_swept([*keys, "_block"], block), StructType([*fields, StructField(f"_{len(fields)}", LongType())]))
@@ -156,12 +162,12 @@ def _counted(ids: Sequence[str], schema: pa.Schema, block: int) -> Callable[[tup
 def overlap_counts(queries: DataFrame, intervals: DataFrame, ids: Sequence[str], on: Sequence[str] = (), block: int = COUNTED) -> DataFrame:
     """`ids, n`: how many intervals each query overlaps, by differences of running counts; no pair is formed.
 
-    Both have chrom, start_pos, end_pos and the columns of `on`, which must be equal. A row for every query that isn't empty.
+    Both have chrom, start_pos, end_pos and the columns of `on`, which must be equal. A row for every query that isn't empty and has no null among these.
     """
     keys = ["chrom", *on]
     held = dict.fromkeys([*keys, *ids])
-    left = dealt(queries, F.col("start_pos"), F.col("end_pos"), block).select(*held, "_block", "_low", "_high")
-    right = dealt(intervals, F.col("start_pos"), F.col("end_pos"), block).select(*keys, "_block", "_low", "_high")
+    left = dealt(_keyed(queries, keys), F.col("start_pos"), F.col("end_pos"), block).select(*held, "_block", "_low", "_high")
+    right = dealt(_keyed(intervals, keys), F.col("start_pos"), F.col("end_pos"), block).select(*keys, "_block", "_low", "_high")
     schema = StructType([*[left.schema[c] for c in ids], StructField("n", LongType())])
     met = left.groupBy(*keys, "_block").cogroup(right.groupBy(*keys, "_block")).applyInArrow(_counted(ids, to_arrow_schema(schema), block), schema)
     return met.groupBy(*ids).agg(F.sum("n").alias("n"))
@@ -189,8 +195,8 @@ def _binned(step: int, block: int) -> Callable[[tuple, pa.Table, pa.Table], pa.T
 
 def bin_counts(calls: DataFrame, reads: DataFrame, step: int, block: int = COUNTED) -> DataFrame:
     """`call_id, n, good`: for each call the reads (with a flag `good`) that touch each of its bins of `step` bases, in order."""
-    left = dealt(calls, F.col("start_pos"), F.col("end_pos"), block).select("call_id", "chrom", "_block", "_low", "_high")
-    right = dealt(reads, F.col("start_pos"), F.col("end_pos"), block, reach=step).select("chrom", "_block", "_low", "_high", "good")
+    left = dealt(_keyed(calls, ["chrom"]), F.col("start_pos"), F.col("end_pos"), block).select("call_id", "chrom", "_block", "_low", "_high")
+    right = dealt(_keyed(reads, ["chrom"]), F.col("start_pos"), F.col("end_pos"), block, reach=step).select("chrom", "_block", "_low", "_high", "good")
     parts = left.groupBy("chrom", "_block").cogroup(right.groupBy("chrom", "_block")).applyInArrow(_binned(step, block), "call_id long, first long, n array<long>, good array<long>")
     whole = parts.groupBy("call_id").agg(F.array_sort(F.collect_list(F.struct("first", "n", "good"))).alias("p"))
     return whole.select("call_id", F.flatten("p.n").alias("n"), F.flatten("p.good").alias("good"))
