@@ -2,8 +2,8 @@
 
 Lines are normalised to their lower-cased words and hashed. For each host, a line's
 frequency is the number of distinct documents of the host with it (exact copies of a
-document count once). Lines above the limit are taken out, and a document of which too
-little stays is rejected as depleted.
+document count once). Lines above the limit (in over 5 and over a twentieth of a host's documents) are
+taken out, and a document of which too little stays (30 % of its words) is rejected as depleted.
 
 Cases: a null or empty text has no words and fails the base rule; a null host is a host of
 its own; repeated rows count once as documents and are each judged, rows of a null or repeated doc_id by
@@ -147,7 +147,7 @@ def text_left(body: pa.Array, frequent: pa.Array) -> pa.Array:
     return join_lists(out, _LEFT)
 
 
-def without_frequent_lines(docs: DataFrame, min_docs: int = 20, max_share: float = 0.2) -> DataFrame:
+def without_frequent_lines(docs: DataFrame, min_docs: int = 5, max_share: float = 0.05) -> DataFrame:
     """`row_id, host, text` to row_id, the counts of `text_stats`, n_left and text: what its frequent lines leave of it.
 
     The other lines, and those without words, stay as they are; a null text gives "".
@@ -160,7 +160,7 @@ def without_frequent_lines(docs: DataFrame, min_docs: int = 20, max_share: float
     return out.select("row_id", "s.*", text_left("body", "frequent").alias("l")).select("*", "l.*").drop("l")
 
 
-def quality_rules(docs: DataFrame, min_words: int = 10, max_repeat_percent: int = 20, min_left: float = 0.3, min_docs: int = 20, max_share: float = 0.2) -> DataFrame:
+def quality_rules(docs: DataFrame, min_words: int = 10, max_repeat_percent: int = 20, min_left: float = 0.3, min_docs: int = 5, max_share: float = 0.05) -> DataFrame:
     """`row_id, host, text` to row_id, the counts of `text_stats`, base_failed, frequent_words and kept.
 
     min_left: the share of a document's words that must stand outside frequent lines.
@@ -185,7 +185,7 @@ lines AS (SELECT doc_id, host, line, nr, array_to_string(lw, ' ') AS norm, len(l
 dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n, string_agg(norm, chr(10) ORDER BY nr) AS content FROM lines GROUP BY doc_id),
 hosts AS (SELECT host, count(DISTINCT coalesce(content, '')) AS host_docs FROM d LEFT JOIN dup USING (doc_id) GROUP BY host),
 freq AS (SELECT host, norm, count(DISTINCT content) AS n_docs FROM lines JOIN dup USING (doc_id) GROUP BY host, norm),
-lost AS (SELECT doc_id, CAST(sum(words) AS BIGINT) AS n FROM lines JOIN freq USING (host, norm) JOIN hosts USING (host) WHERE n_docs > 20 AND n_docs > 0.2 * host_docs GROUP BY doc_id),
+lost AS (SELECT doc_id, CAST(sum(words) AS BIGINT) AS n FROM lines JOIN freq USING (host, norm) JOIN hosts USING (host) WHERE n_docs > 5 AND n_docs > 0.05 * host_docs GROUP BY doc_id),
 s AS (SELECT d.doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars, length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(dup.n, 0) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words, coalesce(lost.n, 0) AS frequent_words
   FROM d LEFT JOIN dup USING (doc_id) LEFT JOIN rep USING (doc_id) LEFT JOIN lost USING (doc_id)),
 b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM s)

@@ -156,3 +156,9 @@ def test_rules_of_odd_rows(spark, tmp_path):
 
 def test_rules_of_nothing(spark, tmp_path):
     assert quality_rules.op10_quality_rules(spark, folder(spark, tmp_path, documents=spark.createDataFrame([], DOCS))).count() == 0
+
+
+def test_limits_act_on_given_tables(spark):
+    """A line that a tenth of all hosts' documents share goes, and no more than it."""
+    found = quality_rules.op10_quality_rules(spark, "/root/testdata/sf0.01").select("frequent_words").where("frequent_words > 0").collect()
+    assert 50 < len(found) < 200 and {r[0] for r in found} == {9}
