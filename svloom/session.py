@@ -11,7 +11,7 @@ def shared_folder(spark: SparkSession) -> str:
     """The session's spark.checkpoint.dir; where none is set a temporary folder, but only if all runs on this machine."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="spark-")
     return folder
