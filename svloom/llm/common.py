@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import settled, shared_folder  # noqa: F401
+
 #: A word, as a pattern of Java, DuckDB and Python.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -16,26 +16,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """`df`, computed once and kept in the cluster's checkpoint folder.
-
-    """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The session's spark.checkpoint.dir; where none is set a temporary folder, but only if all runs on this machine."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        folder = tempfile.mkdtemp(prefix="spark-")
-    return folder
-
-
 def numbered(df: DataFrame, *order: str, running: str | None = None) -> DataFrame:
     """`df`, range-sorted, with `nr`, the rows' numbers in the given order, from 0; no task holds all rows.
 

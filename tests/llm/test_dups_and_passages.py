@@ -326,3 +326,27 @@ def test_leaks_of_nothing(spark, tmp_path):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.leaks(spark.createDataFrame([], DOCS), none).count() == 0
     assert decontaminate.leaks(documents(spark, ["a b c d e"]), none).count() == 0
+
+
+def test_leaks_are_those_of_every_passage_and_item(spark):
+    """Every item aligned with every whole text: the same pairs, and the same scores."""
+    rng = random.Random(31)
+    bench = [sentence(rng, rng.randrange(15, 40)) for _ in range(12)]
+    texts = [None, "", *bench[:2]]
+    for i in range(60):
+        words_ = sentence(rng, rng.randrange(0, 80)).split()
+        for _ in range(rng.randrange(0, 3)):
+            share = rng.choice([0, 0.05, 0.1, 0.2, 0.6])
+            copy = [w if rng.random() >= share else sentence(rng, 1) for w in rng.choice(bench).split()]
+            at = rng.randrange(len(words_) + 1)
+            words_[at:at] = copy[rng.choice([0, 0, len(copy) // 3]) :]
+        texts.append(" ".join(words_))
+    items = spark.createDataFrame(list(enumerate(bench)), "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in decontaminate.leaks(documents(spark, texts), items).collect()}
+    want = {}
+    for d, text in enumerate(texts):
+        for i, item in enumerate(bench):
+            score = full_align((text or "").split(), item.split())
+            if score >= 0.5:
+                want[d, i] = round(score, 6)
+    assert got == want and len(want) > 30 and min(want.values()) < 0.8
