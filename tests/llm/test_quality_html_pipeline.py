@@ -157,6 +157,14 @@ def test_pairing_deletes_the_shared_frame(spark, tmp_path):
     assert got.text[7] == got.text[8] == "Home\n\nAbout\n\nStory t t\n\nMore of t t\n\nEnd"
 
 
+def test_runs_of_copies_look_farther(spark, tmp_path):
+    """Copies beside copies find a page that isn't one, and lose the frame that they share with it."""
+    page = "<body><div>Home</div><p>About</p><p>Story {0} {0}</p><p>More of {0} {0}</p><p>End</p></body>"
+    rows = [(f"http://h.org/a/{i:02}", page.format("same" if i < 7 else i)) for i in range(10)]
+    got = extract(spark, tmp_path, *rows)
+    assert got.text.tolist() == ["Story same same\n\nMore of same same"] * 7 + [f"Story {i} {i}\n\nMore of {i} {i}" for i in range(7, 10)]
+
+
 def brute_extract(rows):
     """Pairs pages by sorting all of them, and aligns by the whole table."""
     split = lambda u: re.fullmatch(r"(?:.*?://([^/?#]*)([^?#]*).*)?", u or "", re.S).groups("")
@@ -165,13 +173,20 @@ def brute_extract(rows):
     out = {}
     for k, i in enumerate(order):
         texts, gone = [t for t, _ in lines[i]], set()
-        beside = [order[j] for j in (k - 1, k + 1) if 0 <= j < len(order) and split(rows[order[j]][1])[0] == split(rows[i][1])[0]]
-        for j in beside:
-            hit = html_text.common_lines(texts, [t for t, _ in lines[j]])
-            size = lambda some: sum(len(texts[x].split()) for x in some)
-            if hit and 2 * size(hit) < size(range(len(texts))):
-                gone = {x for x in hit if lines[i][x][1]}
-                break
+        step, copies = 1, True
+        mine = [j for j, x in enumerate(order) if split(rows[x][1])[0] == split(rows[i][1])[0]]
+        while copies:
+            beside = [order[j] for j in (max(k - step, mine[0]), min(k + step, mine[-1])) if j != k]
+            copies = bool(beside) and (k - step > mine[0] or k + step < mine[-1])
+            step *= 2
+            for j in beside:
+                hit = html_text.common_lines(texts, [t for t, _ in lines[j]])
+                size = lambda some: sum(len(texts[x].split()) for x in some)
+                if 2 * size(hit) < size(range(len(texts))):
+                    copies = False
+                    if hit:
+                        gone = {x for x in hit if lines[i][x][1]}
+                        break
         out[rows[i][0]] = "\n\n".join(t for x, t in enumerate(texts) if x not in gone)
     return out
 
