@@ -52,7 +52,7 @@ SHARD_ROWS = 1 << 13
 #: Tokens that a task packs, about.
 TASK_TOKENS = 1 << 23
 #: Chunks in a worker's cache.
-CACHED = 1 << 20
+CACHED = 1 << 21
 #: BM25's saturation and length normalisation.
 K1, B = 1.2, 0.75
 
