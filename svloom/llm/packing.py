@@ -51,8 +51,8 @@ SHARD_TOKENS = 1 << 19
 SHARD_ROWS = 1 << 13
 #: Tokens that a task packs, about.
 TASK_TOKENS = 1 << 23
-#: Chunks in a worker's cache.
-CACHED = 1 << 21
+#: Chunks, and ids of theirs, in a worker's cache.
+CACHED, CACHED_IDS = 1 << 21, 1 << 23
 #: BM25's saturation and length normalisation.
 K1, B = 1.2, 0.75
 
@@ -63,58 +63,56 @@ def default_tokenizer() -> tuple[str, str | None]:
 
 
 class Known:
-    """Ids of chunks by their keys: sorted arrays, a large old one and a small young one that is merged into it."""
+    """Ids of chunks by their keys: sorted keys, old ones and a few young ones that are merged into them, over one buffer of ids."""
 
     YOUNG = 1 << 16
 
     def __init__(self):
-        self.old, self.young = self._none(), self._none()
+        self.clear()
 
-    @staticmethod
-    def _none() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        return np.zeros(0, dtype=np.uint64), np.zeros(1, dtype=np.int64), np.zeros(0, dtype=np.uint16)  # keys, where their ids begin and end, ids
+    def clear(self) -> None:
+        self.old = self.young = (np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int32))  # keys, where their ids begin, how many
+        self.flat, self.used = np.zeros(1 << 16, dtype=np.uint16), 0
 
     @staticmethod
-    def _taken(ends: np.ndarray, flat: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of some entries in turn, and how many each has."""
-        n = np.diff(ends)[which]
-        return flat[np.repeat(ends[which] - (np.cumsum(n) - n), n) + np.arange(n.sum())], n
-
-    @classmethod
-    def _merged(cls, a: tuple, b: tuple) -> tuple:
+    def _merged(a: tuple, b: tuple) -> tuple:
         keys = np.concatenate([a[0], b[0]])
         order = np.argsort(keys, kind="stable")
-        flat, n = cls._taken(np.append(a[1], a[1][-1] + b[1][1:]), np.concatenate([a[2], b[2]]), order)
-        return keys[order], np.append(0, np.cumsum(n)), flat
+        return keys[order], np.concatenate([a[1], b[1]])[order], np.concatenate([a[2], b[2]])[order]
 
     @staticmethod
     def _find(level: tuple, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = np.minimum(np.searchsorted(level[0], keys), max(0, len(level[0]) - 1))
         return at, level[0][at] == keys if len(level[0]) else np.zeros(len(keys), dtype=bool)
 
+    def make_room(self) -> None:
+        """Between batches, so that what one batch has looked up stays until it is done."""
+        if len(self.old[0]) + len(self.young[0]) > CACHED or self.used > CACHED_IDS:
+            self.clear()
+        elif len(self.young[0]) > self.YOUNG:
+            self.old, self.young = self._merged(self.old, self.young), tuple(x[:0] for x in self.young)
+
     def missing(self, keys: np.ndarray) -> np.ndarray:
         return np.flatnonzero(~(self._find(self.old, keys)[1] | self._find(self.young, keys)[1]))
 
     def add(self, keys: np.ndarray, ids: list[list[int]]) -> None:
         """New ones, by sorted keys."""
-        if len(self.young[0]) > self.YOUNG:
-            self.old, self.young = self._merged(self.old, self.young) if len(self.old[0]) < CACHED else self.young, self._none()
-        flat = np.fromiter((i for x in ids for i in x), dtype=np.uint16)
-        self.young = self._merged(self.young, (keys, np.append(0, np.cumsum([len(x) for x in ids])).astype(np.int64), flat))
+        sizes = np.array([len(x) for x in ids], dtype=np.int64)
+        ends = self.used + np.cumsum(sizes)
+        if ends[-1] > len(self.flat):
+            self.flat = np.concatenate([self.flat[: self.used], np.zeros(int(ends[-1]), dtype=np.uint16)])
+        self.flat[self.used : ends[-1]] = np.fromiter((i for x in ids for i in x), dtype=np.uint16, count=int(sizes.sum()))
+        self.used = int(ends[-1])
+        self.young = self._merged(self.young, (keys, ends - sizes, sizes.astype(np.int32)))
 
     def ids(self, keys: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of keys[which] in turn, and how many each has; all are known."""
-        at, hit = self._find(self.old, keys)
-        at = np.where(hit, at, len(self.old[0]) + self._find(self.young, keys)[0])
-        sizes = np.concatenate([np.diff(self.old[1]), np.diff(self.young[1])])[at]
-        begin = np.concatenate([self.old[1][:-1], self.young[1][:-1]])[at]
-        flat = np.empty(int(sizes.sum()), dtype=np.uint16)
-        first = np.cumsum(sizes) - sizes
-        for of, level in ((hit, self.old), (~hit, self.young)):
-            n = sizes[of]
-            step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            flat[np.repeat(first[of], n) + step] = level[2][np.repeat(begin[of], n) + step]
-        return self._taken(np.append(first, len(flat)), flat, which)
+        begin, n = np.zeros(len(keys), dtype=np.int64), np.zeros(len(keys), dtype=np.int64)
+        for level in (self.old, self.young):
+            at, hit = self._find(level, keys)
+            begin[hit], n[hit] = level[1][at[hit]], level[2][at[hit]]
+        begin, n = begin[which], n[which]
+        return self.flat[np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())], n
 
 
 class Chunks:
@@ -141,6 +139,7 @@ class Chunks:
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of rows with these bytes, without end ids, and how many each row has."""
+        self.known.make_room()
         starts = chunk_starts(data, offsets)
         ends = np.append(starts[1:], len(data))
         total = np.zeros(len(data) + 1, dtype=np.uint64)

@@ -20,17 +20,22 @@ def tokenizer():
     return Tokenizer.from_file(P.default_tokenizer()[0])
 
 
-def test_chunks_give_the_tokenizers_ids():
+def test_chunks_give_the_tokenizers_ids(monkeypatch):
+    """Also when the cache is merged and emptied again and again; its bound holds, but for one batch."""
     rng = random.Random(2)
-    texts = ["".join(rng.choice(PARTS) for _ in range(rng.randrange(0, 40))) for _ in range(4000)] + [sentence(rng, 400)]
+    texts = ["".join(rng.choice(PARTS) for _ in range(rng.randrange(0, 40))) for _ in range(4000)] + [sentence(rng, 400), "".join(rng.choices("abcxyz019éß", k=200_000)) + " end", "a b"]
     want = [e.ids for e in tokenizer().encode_batch(texts, add_special_tokens=False)]
     for ranks in (P.default_tokenizer()[1], None):
         chunks, got = P.Chunks(P.default_tokenizer()[0], ranks), []
-        chunks.known.YOUNG = 500  # merges happen
+        most = 0
+        chunks.known.YOUNG = 500
+        monkeypatch.setattr(P, "CACHED", 3000)
+        monkeypatch.setattr(P, "CACHED_IDS", 1 << 17)
         for _, _, data, offsets in slices(pa.array(texts), 5000):
             ids, n = chunks(data, offsets)
             got += [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])]
-        assert got == want
+            most = max(most, len(chunks.known.old[0]))
+        assert got == want and 0 < most <= 3500
 
 
 def test_scores_are_bm25():
