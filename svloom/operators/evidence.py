@@ -93,14 +93,17 @@ def complete_pairs(reads: DataFrame) -> DataFrame:
     return sides.where("first is not null and second is not null")
 
 
-def build_pairs(calls: DataFrame, reads: DataFrame, pad: int = C.SC_PAD, most: int = C.MAX_PAIRS) -> DataFrame:
+def build_pairs(calls: DataFrame, reads: DataFrame, pad: int = C.SC_PAD, most: int = C.MAX_PAIRS, few: bool = False) -> DataFrame:
     """The complete pairs of each call's windows; a mate counts wherever it lies.
 
-    Only reads of fragments that a window touches are paired: the fragments' names go to the scan as a Bloom
-    filter, which lets a hundredth of the others pass, and the join drops these.
+    few: the windows touch a small part of the fragments, so no others are paired: the names of these go to the scan as
+    a Bloom filter, which lets a hundredth of the others pass. Else a filter would hold back little, and all are paired.
     """
-    wanted = settled(within_cap(reads_of(pair_windows(calls, pad), reads), most))
-    return wanted.join(complete_pairs(named(reads, wanted, "qname")), "qname")
+    wanted = within_cap(reads_of(pair_windows(calls, pad), reads), most)
+    if few:
+        wanted = settled(wanted)
+        reads = named(reads, wanted, "qname")
+    return wanted.join(complete_pairs(reads), "qname")
 
 
 #: Bits of a Bloom filter, at most: 16 MB, which the driver and every executor can hold.
