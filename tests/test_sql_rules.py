@@ -4,7 +4,7 @@ import duckdb
 from pyspark.sql import functions as F
 
 from svloom.operators import merge
-from svloom.plans.calls import LEVEL2_SQL
+from svloom.plans.calls import LEVEL2_SQL, islands_sql
 
 CALLS = "call_id long, chrom string, chrom2 string, start_pos long, end_pos long, sv_type string, sv_len long, source string"
 
@@ -19,3 +19,10 @@ def test_nine_callers_nested_in_one_another_take_as_many_rounds(spark):
     assert con.sql(f"WITH RECURSIVE {LEVEL2_SQL} SELECT max(length(path)) FROM lv").df().iloc[0, 0] > 5
     level1 = merge.settled(merge.level1_of(spark.createDataFrame(rows, CALLS).withColumn("wiggle", F.lit(100))))
     assert sorted(zip(links["l1_id"], links["l2_id"], strict=True)) == sorted(map(tuple, merge.merge_inter(level1).collect()))
+
+
+def test_equal_rows_are_of_one_island_in_any_order():
+    con = duckdb.connect()
+    con.sql("CREATE TABLE t AS SELECT i % 8 AS chrom, (i % 20000) * 450 AS s, (i % 20000) * 450 + 100 + i % 200 AS e FROM range(900000) x(i)")
+    bounds = lambda source: con.sql("WITH " + islands_sql(source, "i", "chrom", "s, e", "s", "e") + " SELECT chrom, min(s) AS s, max(e) AS e FROM i GROUP BY chrom, island ORDER BY ALL").df()
+    assert bounds("t").equals(bounds("(SELECT DISTINCT * FROM t)"))
