@@ -294,7 +294,7 @@ def line_keys(html: pa.Array) -> pa.Array:
 
 
 def site_lines(lines: dict, neighbours: list[list[int] | None]) -> list[int] | None:
-    """Which lines of a page go: those that the first neighbour which is no copy shows to be the site's. None if all are copies."""
+    """Which lines of a page the first neighbour that is no copy shows to be the site's. None if all are copies."""
     seen = [other for other in neighbours if other is not None]
     copies = bool(seen)
     for other in seen:
@@ -302,7 +302,7 @@ def site_lines(lines: dict, neighbours: list[list[int] | None]) -> list[int] | N
         if 2 * sum(lines["words"][i] for i in hit) < sum(lines["words"]):
             copies = False
             if hit:
-                return [i for i in hit if lines["loose"][i]]
+                return hit
     return None if copies else []
 
 
@@ -322,24 +322,27 @@ def text_without(html: pa.Array, deleted: pa.Array) -> pa.Array:
 
 
 def frame_lines(pages: DataFrame) -> DataFrame:
-    """`row_key, page_id, url, html` to `row_key, deleted` for the pages of which lines go."""
+    """`row_key, page_id, url, html` to `row_key, shared, deleted` for the pages that share lines with the site.
+
+    Every page is aligned, whatever its marks; of the lines shared those go that no mark settles.
+    """
     lines = settled(pages.select("row_key", "page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), line_keys("html").alias("lines")))
     rows = numbered(lines, "host", "path", "page_id", "row_key").drop("path", "page_id")
     ends = settled(rows.groupBy("host").agg(F.min("nr").alias("low"), F.max("nr").alias("high")))
     nr, step, found = F.col("nr"), 1, None
-    open_ = rows.where(F.exists("lines.loose", lambda x: x)).join(ends, "host")
+    open_ = rows.join(ends, "host")
     while True:  # as often as the longest run of copies can be halved, at most
         sides = {"before": F.when(nr > F.col("low"), F.greatest(nr - step, F.col("low"))), "after": F.when(nr < F.col("high"), F.least(nr + step, F.col("high")))}
         paired = open_.withColumns({f"at_{side}": at for side, at in sides.items()})
         for side in sides:
             paired = paired.join(rows.select(nr.alias(f"at_{side}"), F.col("lines.keys").alias(side)), f"at_{side}", "left")
-        judged = settled(paired.select("row_key", "nr", "low", "high", "lines", shared_lines("lines", "before", "after").alias("deleted")))
-        out = judged.where("size(deleted) > 0").select("row_key", "deleted")
+        judged = settled(paired.select("row_key", "nr", "low", "high", "lines", shared_lines("lines", "before", "after").alias("shared")))
+        out = judged.where("size(shared) > 0").select("row_key", "shared", F.filter("shared", lambda i: F.get("lines.loose", i)).alias("deleted"))
         found = out if found is None else found.unionByName(out)
-        open_ = judged.where("deleted is null").where((nr - step > F.col("low")) | (nr + step < F.col("high"))).drop("deleted")
+        open_ = judged.where("shared is null").where((nr - step > F.col("low")) | (nr + step < F.col("high"))).drop("shared")
         step *= 2
         if open_.isEmpty():
-            return found.groupBy("row_key").agg(F.first("deleted").alias("deleted"))
+            return found.groupBy("row_key").agg(F.first("shared").alias("shared"), F.first("deleted").alias("deleted"))
 
 
 def extract_text(pages: DataFrame, broadcast_lines: int = 500_000) -> DataFrame:
@@ -349,7 +352,7 @@ def extract_text(pages: DataFrame, broadcast_lines: int = 500_000) -> DataFrame:
     there are more, pages and lists are shuffled.
     """
     pages = pages.withColumn("row_key", F.xxhash64("page_id", "url", "html"))
-    deleted = settled(frame_lines(pages))
+    deleted = settled(frame_lines(pages).where("size(deleted) > 0").select("row_key", "deleted"))
     n = deleted.agg(F.sum(F.size("deleted") + 1)).first()[0] or 0
     met = pages.join(F.broadcast(deleted) if n <= broadcast_lines else deleted, "row_key", "left")
     return met.select("page_id", "url", text_without("html", "deleted").alias("text"))

@@ -279,3 +279,9 @@ def test_pipeline(spark, tmp_path):
 def test_pipeline_of_nothing(spark, tmp_path):
     sf = folder(spark, tmp_path, documents=spark.createDataFrame([], DOCS), labels=spark.createDataFrame([], LABELS), benchmark=spark.createDataFrame([], "item_id long, text string"))
     assert corpus_pipeline.run(spark, sf).count() == 0
+
+
+def test_pages_whose_lines_are_all_marked_are_aligned_too(spark):
+    rows = [(i, f"https://a.org/{i}", "<article>" + "".join(f"<p>own words {i} {k} {k * i}</p>" for k in range(1, 9)) + "<p>written at our desk</p></article>") for i in range(1, 5)]
+    pages = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "row_key long, page_id long, url string, html string")
+    assert sorted((r["shared"], r["deleted"]) for r in html_text.frame_lines(pages).collect()) == [([8], [])] * 4
