@@ -75,15 +75,14 @@ def pair_windows(calls: DataFrame, pad: int = C.SC_PAD, longest: int = 10_000, f
 
 
 def reads_of(windows: DataFrame, reads: DataFrame) -> DataFrame:
-    """Each window's call with the names of the fragments that touch it, once each."""
-    met = overlap_join(windows, as_intervals(reads, "qname"), prefix="r_")
+    """Each window's call with the names of the fragments that touch it, once each; dealt by call, as `within_cap` counts them."""
+    met = overlap_join(windows, as_intervals(reads, "qname"), prefix="r_").repartition("call_id")
     return met.groupBy("call_id", F.col("r_qname").alias("qname")).agg(F.first("low").alias("low"), F.first("high").alias("high"), F.first("chrom").alias("region_chrom"))
 
 
 def within_cap(fragments: DataFrame, most: int = C.MAX_PAIRS) -> DataFrame:
     """Without the calls that have more than `most` fragments."""
-    few = fragments.groupBy("call_id").agg(F.count("*").alias("n")).where(F.col("n") <= most).select("call_id")
-    return fragments.join(few, "call_id", "left_semi")
+    return fragments.withColumn("_n", F.count("*").over(W.partitionBy("call_id"))).where(F.col("_n") <= most).drop("_n")
 
 
 def complete_pairs(reads: DataFrame) -> DataFrame:

@@ -77,7 +77,8 @@ def cap_pairs(t: Inputs) -> DataFrame:
 
 @query("pairs_build", f"WITH {FRAGMENTS_SQL}, {SIDES_SQL} SELECT call_id, qname, r1, r2 FROM fr JOIN sd USING (qname)", ("calls", "reads"))
 def pairs_build(t: Inputs) -> DataFrame:
-    return evidence.build_pairs(long_calls(t), with_cigar(t.reads)).select("call_id", "qname", F.col("first.read_id").alias("r1"), F.col("second.read_id").alias("r2"))
+    reads = t.reads.select("read_id", "qname", "chrom", "pos", "aend", "is_read1")
+    return evidence.build_pairs(long_calls(t), reads).select("call_id", "qname", F.col("first.read_id").alias("r1"), F.col("second.read_id").alias("r2"))
 
 
 @query(
@@ -89,7 +90,8 @@ def pairs_build(t: Inputs) -> DataFrame:
     ("calls", "reads"),
 )
 def pairs_select(t: Inputs) -> DataFrame:
-    return evidence.build_pairs(long_calls(t), with_cigar(t.reads)).select("call_id", "qname", *[c.alias(n) for n, c in evidence.selectors().items()])
+    reads = with_cigar(t.reads).select("read_id", "qname", "chrom", "pos", "aend", "is_read1", "is_unmapped", "is_reverse", "mapq", "nm", "tlen", "cigar")
+    return evidence.build_pairs(long_calls(t), reads).select("call_id", "qname", *[c.alias(n) for n, c in evidence.selectors().items()])
 
 
 SEQ = "translate(md5(CAST(read_id AS VARCHAR)), '0123456789abcdef', 'ACGTACGTACGTACGT')"
