@@ -1,6 +1,6 @@
 """Fragments of calls are met and counted in one sweep."""
 
-from svloom.plans import registry
+from svloom.plans import evidence, registry  # noqa: F401
 
 
 def test_fragments_are_met_once(spark, sf_dir):
