@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from ..session import settled
 from .intervals import islands, overlap_join
-from .sweeps import bin_counts, overlap_counts
+from .sweeps import bin_counts, overlap_counts, point_sums
 
 PRECISE_METHODS = ("AS", "SR", "JM")
 
@@ -258,16 +259,21 @@ def variant_read_features(calls: DataFrame, reads: DataFrame, isize_mean: float,
     the reads inside is well mapped, which is little in repeats. unique_coverage and total_coverage: reads at a place over the
     library's mean coverage.
     """
-    short = calls.where(F.col("end_pos") - F.col("start_pos") <= longest)
-    place = F.transform(F.sequence(F.lit(0), F.lit(points - 1)), lambda i: F.struct(F.lit("in").alias("kind"), (F.col("start_pos") + F.pmod(F.col("call_id") * 7919 + i * 104729, F.greatest(F.lit(1), F.col("end_pos") - F.col("start_pos")))).alias("at")))
-    ends = F.array(F.struct(F.lit("end").alias("kind"), F.greatest(F.lit(0), F.col("start_pos") - int(isize_sd)).alias("at")), F.struct(F.lit("end").alias("kind"), (F.col("end_pos") + int(isize_sd)).alias("at")))
-    at = short.select("call_id", "chrom", F.explode(F.concat(place, ends)).alias("p")).select("call_id", "chrom", "p.kind", F.col("p.at").alias("start_pos"), (F.col("p.at") + 1).alias("end_pos"))
-    met = overlap_join(at, as_intervals(reads, "mapq", "is_reverse", "tlen", "rlen", (F.col("rlen") - F.col("clip_left") - F.col("clip_right")).alias("kept")), prefix="r_")
-    inside, good = F.col("kind") == "in", F.col("r_mapq") >= min_mapq
-    n = lambda c: F.sum(F.when(c, 1).otherwise(0))
-    share = lambda c: F.sum(F.when(c, F.col("r_kept"))) / F.sum(F.when(c, F.col("r_rlen")))
-    size = F.abs("r_tlen")
-    counts = met.groupBy("call_id").agg(n(inside & good).alias("unique"), n(inside).alias("total"), n(inside & good & ~F.col("r_is_reverse")).alias("forward"), n(~inside & good & (size > isize_mean + 3 * isize_sd)).alias("discordant_high"), n(~inside & good & (size < isize_mean - 3 * isize_sd)).alias("discordant_low"), share(inside & good).alias("aligned_share"), share(~inside & good).alias("end_aligned_share"))
+    short, beside = calls.where(F.col("end_pos") - F.col("start_pos") <= longest), int(isize_sd)
+    spans = short.where("call_id is not null").select("call_id", "chrom", F.col("start_pos").alias("begin"), F.col("end_pos").alias("end"), F.greatest(F.lit(0), F.least(F.col("start_pos"), F.col("start_pos") - beside)).alias("start_pos"), (F.greatest("start_pos", "end_pos") + beside + 1).alias("end_pos"))
+
+    def places(spans):
+        call, begin, end = (spans[c].to_numpy() for c in ("call_id", "begin", "end"))
+        inside = begin[:, None] + (call[:, None] * 7919 + np.arange(points) * 104729) % np.maximum(1, end - begin)[:, None]
+        return np.column_stack([inside, np.maximum(0, begin - beside), end + beside]), points
+
+    good, size = F.coalesce(F.col("mapq") >= min_mapq, F.lit(False)), F.abs("tlen")
+    only = lambda c, n=F.lit(1): F.when(c, F.coalesce(n, F.lit(0))).otherwise(0)
+    kept = F.col("rlen") - F.col("clip_left") - F.col("clip_right")
+    weights = {"all": F.lit(1), "good": only(good), "ahead": only(good & ~F.col("is_reverse")), "far": only(good & (size > isize_mean + 3 * isize_sd)), "near": only(good & (size < isize_mean - 3 * isize_sd)), "kept": only(good, kept), "bases": only(good, F.col("rlen"))}
+    sums = point_sums(spans, as_intervals(reads, *[w.alias(c) for c, w in weights.items()]), ["call_id"], list(weights), places)
+    share = lambda k: F.col(f"kept_{k}") / F.when(F.col(f"bases_{k}") != 0, F.col(f"bases_{k}"))
+    counts = sums.select("call_id", F.col("good_1").alias("unique"), F.col("all_1").alias("total"), F.col("ahead_1").alias("forward"), F.col("far_2").alias("discordant_high"), F.col("near_2").alias("discordant_low"), share(1).alias("aligned_share"), share(2).alias("end_aligned_share"))
     zero = {c: F.coalesce(c, F.lit(0)) for c in ("unique", "total", "forward", "discordant_high", "discordant_low")}
     out = short.select("call_id").join(counts, "call_id", "left").withColumns(zero)
     return out.withColumns({"strand_bias": F.when(F.col("unique") > 0, F.pow(F.col("forward") / F.col("unique") - 0.5, F.lit(2))), "unique_share": F.when(F.col("total") > 0, F.col("unique") / F.col("total")), **{f"{c}_coverage": F.col(c) / points / coverage for c in ("unique", "total")}})
