@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import settled, table
+from .common import kept, table
 from .kernels import _BASE, _INVERSE, Words, arrow_column, join_lists, lists, mix, powers, signed, squeezed, unsqueezed, words_in
 
 SHINGLE = 5
@@ -170,8 +170,8 @@ def buckets_of(texts: DataFrame) -> DataFrame:
     The counts are settled before they meet the members, so that the join may split a hot bucket.
     """
     members = texts.select("id", F.explode("bands").alias("key"))
-    counts = settled(members.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("leader")).where("n > 1"))
-    return settled(members.join(counts, "key"))
+    counts = kept(members.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("leader")).where("n > 1"))
+    return kept(members.join(counts, "key"))
 
 
 def first_pairs(met: DataFrame, small: int) -> DataFrame:
@@ -184,13 +184,13 @@ def first_pairs(met: DataFrame, small: int) -> DataFrame:
 
 def _spread(links: DataFrame) -> DataFrame:
     """`a, b` to `id, label` by spreading the least id along links and jumping to labels' labels."""
-    both = settled(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))))
-    labels = settled(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).withColumnRenamed("a", "id"))
+    both = kept(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))))
+    labels = kept(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).withColumnRenamed("a", "id"))
     while True:
         near = both.join(labels, both["b"] == labels["id"]).groupBy("a").agg(F.min("label").alias("near"))
         spread = labels.join(near, labels["id"] == near["a"], "left").select("id", F.col("label").alias("old"), F.least("label", F.coalesce("near", "label")).alias("label"))
         up = labels.select(F.col("id").alias("up_id"), F.col("label").alias("up"))
-        labels = settled(spread.join(up, spread["label"] == up["up_id"], "left").select("id", "old", F.least("label", F.coalesce("up", "label")).alias("label")))
+        labels = kept(spread.join(up, spread["label"] == up["up_id"], "left").select("id", "old", F.least("label", F.coalesce("up", "label")).alias("label")))
         if labels.where("old <> label").isEmpty():
             return labels.drop("old")
         labels = labels.drop("old")
@@ -202,7 +202,7 @@ def components(links: DataFrame) -> DataFrame:
     Each text is contracted into its least neighbour first, so that only the links between
     neighbours so chosen go through the rounds, not those of every text of a large group.
     """
-    up = settled(links.groupBy("b").agg(F.min("a").alias("up")))
+    up = kept(links.groupBy("b").agg(F.min("a").alias("up")))
     rest = links.join(up, "b").where("a <> up").select(F.col("up").alias("a"), F.col("a").alias("b")).distinct()
     heads = up.select(F.col("up").alias("b")).unionByName(rest.select("b")).distinct()
     chain = up.join(heads, "b", "left_semi").select(F.col("up").alias("a"), "b")
@@ -210,7 +210,7 @@ def components(links: DataFrame) -> DataFrame:
     named = lambda key: labels.select(F.col("id").alias(key), F.col("label").alias(f"{key}_label"))
     below = up.join(named("up"), "up", "left").join(labels.select(F.col("id").alias("b")), "b", "left_anti").select(F.col("b").alias("id"), F.coalesce("up_label", "up").alias("label"))
     roots = up.select(F.col("up").alias("id")).distinct().join(labels, "id", "left_anti").select("id", F.col("id").alias("label"))
-    return settled(below.unionByName(roots).unionByName(labels))
+    return kept(below.unionByName(roots).unionByName(labels))
 
 
 _FOUND = "a long, b long"
@@ -262,11 +262,11 @@ def open_links(met: DataFrame, labels: DataFrame, texts: DataFrame, sets: DataFr
     """The links `a < b` between classes that share a large bucket; met: the members of large buckets."""
     classed = met.select("id", "key").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     parts = classed.groupBy("key", "label").agg(F.count("*").alias("n"))
-    rule = settled(parts.groupBy("key").agg(F.max_by("label", F.struct("n", -F.col("label"))).alias("major"), F.sum("n").alias("n"), F.max("n").alias("most"), F.count("*").alias("classes")).where("classes > 1"))
+    rule = kept(parts.groupBy("key").agg(F.max_by("label", F.struct("n", -F.col("label"))).alias("major"), F.sum("n").alias("n"), F.max("n").alias("most"), F.count("*").alias("classes")).where("classes > 1"))
     members = classed.join(rule.select("key", "major"), "key").join(texts.select("id", "n_shingles"), "id")
     weights = members.groupBy("key").agg(F.sum("n_shingles").alias("shingles"), F.sum(F.when(F.col("label") != F.col("major"), F.col("n_shingles")).otherwise(0)).alias("asked_shingles"))
     blocks = lambda n, shingles: F.greatest(F.ceil(n / BLOCK_TEXTS), F.ceil(F.col(shingles) / BLOCK_SHINGLES)).cast("int")
-    cut = settled(rule.join(weights, "key").select("key", "major", blocks(F.col("n"), "shingles").alias("blocks"), blocks(F.col("n") - F.col("most"), "asked_shingles").alias("chunks")))
+    cut = kept(rule.join(weights, "key").select("key", "major", blocks(F.col("n"), "shingles").alias("blocks"), blocks(F.col("n") - F.col("most"), "asked_shingles").alias("chunks")))
     held = classed.join(cut, "key").join(sets, "id")
     place = lambda n: F.pmod(F.xxhash64("id", "key"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
@@ -281,25 +281,25 @@ def open_links(met: DataFrame, labels: DataFrame, texts: DataFrame, sets: DataFr
 def near_classes(docs: DataFrame, min_similarity: float = 0.8, small: int = 12) -> DataFrame:
     """`doc_id, text` to doc_id, class_id: the least doc_id of the class."""
     docs = docs.where("doc_id is not null").select("doc_id", "text")
-    read = settled(docs.select("doc_id", sketch("text").alias("s")).select("doc_id", "s.*"))
-    own = settled(read.groupBy("doc_id").agg(F.min(F.struct("whole", "n_shingles")).alias("t")).select("doc_id", "t.*"))
-    copies = settled(own.where("n_shingles > 0").groupBy("whole", "n_shingles").agg(F.min("doc_id").alias("id")))
-    texts = settled(read.join(copies.select(F.col("id").alias("doc_id"), "whole"), ["doc_id", "whole"], "left_semi").dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("id"), "whole", "bands", "signature", "n_shingles"))
+    read = kept(docs.select("doc_id", sketch("text").alias("s")).select("doc_id", "s.*"))
+    own = kept(read.groupBy("doc_id").agg(F.min(F.struct("whole", "n_shingles")).alias("t")).select("doc_id", "t.*"))
+    copies = kept(own.where("n_shingles > 0").groupBy("whole", "n_shingles").agg(F.min("doc_id").alias("id")))
+    texts = kept(read.join(copies.select(F.col("id").alias("doc_id"), "whole"), ["doc_id", "whole"], "left_semi").dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("id"), "whole", "bands", "signature", "n_shingles"))
     met = buckets_of(texts)
     pairs = first_pairs(met, small)
     side = lambda x: texts.select(F.col("id").alias(x), F.col("signature").alias(f"s{x}"), F.col("n_shingles").alias(f"n{x}"))
     fits = F.least("na", "nb") >= F.greatest("na", "nb") * (min_similarity - DOUBT)
     likely = pairs.join(side("a"), "a").join(side("b"), "b").where(fits).withColumn("about", estimate("sa", "sb")).where(F.col("about") >= min_similarity - DOUBT)
-    likely = settled(likely.select("a", "b"))
+    likely = kept(likely.select("a", "b"))
     large = met.where(f"n > {small}")
     asked = likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).union(large.select("id")).distinct()
     bodies = docs.join(asked, "doc_id", "left_semi").select("doc_id", squeezed("text").alias("body"))
     sets = bodies.select(F.col("doc_id").alias("id"), shingle_set("body").alias("s")).select("id", "s.*").join(texts.select("id", "whole"), ["id", "whole"], "left_semi")
-    sets = settled(sets.dropDuplicates(["id"]).select("id", "set"))
+    sets = kept(sets.dropDuplicates(["id"]).select("id", "set"))
     of = lambda x: sets.select(F.col("id").alias(x), F.col("set").alias(f"set_{x}"))
-    links = settled(likely.join(of("a"), "a").join(of("b"), "b").where(similarities("set_a", "set_b") >= min_similarity).select("a", "b"))
+    links = kept(likely.join(of("a"), "a").join(of("b"), "b").where(similarities("set_a", "set_b") >= min_similarity).select("a", "b"))
     labels = components(links)
-    more = settled(open_links(large, labels, texts, sets, min_similarity))
+    more = kept(open_links(large, labels, texts, sets, min_similarity))
     if not more.isEmpty():
         labels = components(links.unionByName(more))
     members = own.join(copies, ["whole", "n_shingles"], "left")
@@ -314,8 +314,8 @@ def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """One document of each class: that of the least doc_id. Of equal rows of it one stays."""
     docs = docs.select("doc_id", "text", "lang", "source", "n_chars")
     extra = near_classes(docs).where("doc_id <> class_id").select("doc_id")
-    kept = docs.join(extra, "doc_id", "left_anti")
-    again = settled(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    left = docs.join(extra, "doc_id", "left_anti")
+    again = kept(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"))
     if again.isEmpty():
-        return kept
-    return kept.join(again, "doc_id", "left_anti").unionByName(kept.join(again, "doc_id", "left_semi").distinct())
+        return left
+    return left.join(again, "doc_id", "left_anti").unionByName(left.join(again, "doc_id", "left_semi").distinct())

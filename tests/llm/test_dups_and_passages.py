@@ -1,5 +1,6 @@
 import hashlib
 import math
+import os
 import random
 from collections import Counter
 
@@ -232,6 +233,25 @@ def test_components_of_random_links(spark):
         assert sorted(got) == sorted(label.items())
 
 
+def test_small_rounds_leave_few_shuffle_files(spark):
+    """Rounds over a few links are dealt by what they hold, not to every shuffle partition."""
+    rng = random.Random(5)
+    groups = [sentence(rng, 60).split() for _ in range(12)]
+    texts = [" ".join([*g[:i], "other", *g[i:]]) for g in groups for i in range(15)]
+    written = lambda: {f for _, _, names in os.walk(spark.conf.get("spark.local.dir")) for f in names if f.endswith(".index")}
+    few = {"spark.sql.shuffle.partitions": "48", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    usual = {k: spark.conf.get(k) for k in few}
+    before = written()
+    try:
+        for k, v in few.items():
+            spark.conf.set(k, v)
+        near_dups.near_classes(documents(spark, texts)).write.format("noop").mode("overwrite").save()
+    finally:
+        for k, v in usual.items():
+            spark.conf.set(k, v)
+    assert len(written() - before) < 15 * 48
+
+
 def test_near_duplicates_of_nothing(spark, tmp_path):
     assert near_dups.op4_near_duplicates(spark, folder(spark, tmp_path, documents=spark.createDataFrame([], DOCS))).count() == 0
 
