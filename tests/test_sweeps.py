@@ -107,6 +107,19 @@ def test_layout_opens_touched_blocks_only(spark, tmp_path):
     assert layout.touching(stored, windows.limit(0), 100, 10_000).count() == 0
 
 
+def test_layout_has_few_folders(spark, tmp_path):
+    """Folders grow with stretches of blocks, not with blocks; all rows come back, those of negative places, too."""
+    reads = spark.range(-40, 960).selectExpr("id as read_id", "'1' as chrom", "id * 100 + 7 as pos", "id * 100 + 90 as aend")
+    path = tmp_path / "reads"
+    layout.write_clustered(reads, str(path), 100)
+    assert len(list(path.glob("chrom=1/*"))) <= 1 + 960 // 64 + 1
+    stored = layout.read_clustered(spark, str(path), "read_id long, chrom string, pos long, aend long")
+    windows = spark.createDataFrame([("1", -1_000, -900), ("1", 63 * 100 + 50, 64 * 100 + 10)], "chrom string, start_pos long, end_pos long")
+    near = layout.touching(stored, windows, 100, 100)
+    assert {r.read_id for r in near.collect()} == {-11, -10, 62, 63, 64}
+    assert stored.count() == 1_000
+
+
 def test_bases_come_from_chunks(spark):
     rng = random.Random(8)
     text = {c: "".join(rng.choices("ACGT", k=700)) for c in "12"}
