@@ -1,5 +1,6 @@
 """The long expressions of votes: compiled once, not interpreted, and short enough for the Java VM; sweeps carry keys once."""
 
+import random
 import re
 
 import pytest
@@ -51,3 +52,20 @@ def test_sweep_carries_keys_once(spark):
     assert list(map(tuple, met.collect())) == [(1, 7, 0, 10, 1, 7, 5, 8, "p", 3)]
     dealt = [line for line in explained(met, "extended").splitlines() if "struct(" in line or "named_struct(" in line]
     assert dealt and not any(re.search(r"struct\([^)]*\b(chrom|x)\b", line) for line in dealt)
+
+
+def test_sweep_sorts_by_one_number(spark, final_plans):
+    """The rows of many keys lie mixed in a batch, over several blocks; intervals reach over blocks and begin before theirs."""
+    rng = random.Random(8)
+    rows = [(i, rng.choice("123"), s, s + rng.choice([1, 5, 40, 300]), rng.choice("xyz")) for i, s in enumerate(rng.randrange(-100, 1_500) for _ in range(500))]
+    a, b = (spark.createDataFrame(part, "id long, chrom string, start_pos long, end_pos long, kind string") for part in (rows[:300], rows[300:]))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        for n in ("1", "4"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            met = sweeps.overlap_join(a, b, on=["kind"], block=128)
+            assert re.search(r"Sort \[_at#\d+L ASC NULLS FIRST\]", explained(met, "simple"))
+            assert sorted((r.id, r.b_id) for r in met.collect()) == sorted((x[0], y[0]) for x in rows[:300] for y in rows[300:] if x[1] == y[1] and x[4] == y[4] and max(x[2], y[2]) < min(x[3], y[3]))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
