@@ -58,7 +58,8 @@ def without_confused_insertions(calls: DataFrame, wiggle: int = 20) -> DataFrame
 
 def mate_windows(histogram: DataFrame, share: float = 0.15) -> DataFrame:
     """`call_id, chrom, mate_chrom, n, low, high` rows to the windows that hold more than a share of an insertion's reads."""
-    per = histogram.groupBy("call_id", "chrom", "mate_chrom").agg(F.sum("n").alias("n"), F.min("low").alias("start_pos"), F.max("high").alias("end_pos"))
+    # Dealt by the call from the start: its counts are grouped and totalled where they are.
+    per = histogram.repartition("call_id").groupBy("call_id", "chrom", "mate_chrom").agg(F.sum("n").alias("n"), F.min("low").alias("start_pos"), F.max("high").alias("end_pos"))
     all_ = F.sum("n").over(W.partitionBy("call_id"))
     return per.withColumn("all", all_).where((F.col("n") > share * F.col("all")) & (F.col("mate_chrom") != "-1") & (F.col("mate_chrom") != F.col("chrom"))).select("call_id", F.col("mate_chrom").alias("chrom"), "start_pos", "end_pos", "n")
 

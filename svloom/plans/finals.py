@@ -14,8 +14,13 @@ from .registry import query
 FILTER_SQL = "fc AS MATERIALIZED (SELECT *, CASE WHEN call_id % 5 = 0 THEN 'LowQual' ELSE 'PASS' END AS filter FROM calls)"
 
 
+def kept_calls(t: Inputs) -> DataFrame:
+    """The calls with what events are made of, for queries that go through them more than once."""
+    return t.kept("calls", ("sample", "chrom2", "sv_len", "source"))
+
+
 def filtered(t: Inputs) -> DataFrame:
-    return t.calls.withColumn("filter", F.when(F.col("call_id") % 5 == 0, "LowQual").otherwise("PASS"))
+    return kept_calls(t).withColumn("filter", F.when(F.col("call_id") % 5 == 0, "LowQual").otherwise("PASS"))
 
 
 def dups(t: Inputs) -> DataFrame:
@@ -75,14 +80,14 @@ MATE_SQL = (
 )
 
 
-def histogram(t: Inputs) -> DataFrame:
-    rows = t.calls.where("sv_type = 'INS'").withColumn("k", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
+def histogram(calls: DataFrame) -> DataFrame:
+    rows = calls.where("sv_type = 'INS'").withColumn("k", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
     return rows.select("call_id", "chrom", ((F.col("call_id") * 7 + F.col("k") * 3) % 8 + 1).cast("string").alias("mate_chrom"), (1 + (F.col("call_id") + F.col("k")) % 9).alias("n"), (F.col("start_pos") + F.col("k") * 40).alias("low"), (F.col("start_pos") + F.col("k") * 40 + 600).alias("high"))
 
 
 @query("ins_chr2", f"WITH {MATE_SQL} SELECT * FROM mw", ("calls",))
 def ins_chr2(t: Inputs) -> DataFrame:
-    return finalize.mate_windows(histogram(t))
+    return finalize.mate_windows(histogram(t.calls))
 
 
 IDP_SQL = (
@@ -160,7 +165,7 @@ CTX_SQL = (
 
 
 def ctxs(t: Inputs) -> DataFrame:
-    windows = finalize.mate_windows(histogram(t)).withColumn("filter", F.when(F.col("call_id") % 5 == 0, "LowQual").otherwise("PASS"))
+    windows = finalize.mate_windows(histogram(kept_calls(t))).withColumn("filter", F.when(F.col("call_id") % 5 == 0, "LowQual").otherwise("PASS"))
     return finalize.outer_translocations(dels_left(t), windows, ratio=0.5)
 
 
@@ -191,7 +196,7 @@ def res_emit_idp_itx(t: Inputs) -> DataFrame:
 
 @query("res_emit_ctx", f"WITH {CTX_SQL} SELECT del_id, ins_id, i.chrom AS chrom2, i.start_pos AS pos2, 'DEL-' || cx.chrom || '-' || cx.start_pos || '-' || cx.end_pos || ',INS-' || i.chrom || '-' || i.start_pos || '-' || i.start_pos AS intervals FROM cx JOIN calls i ON i.call_id = cx.ins_id", ("calls",))
 def res_emit_ctx(t: Inputs) -> DataFrame:
-    return finalize.ctx_rows(ctxs(t), t.calls.where("sv_type = 'INS'")).select("del_id", "ins_id", "chrom2", "pos2", "intervals")
+    return finalize.ctx_rows(ctxs(t), kept_calls(t).where("sv_type = 'INS'")).select("del_id", "ins_id", "chrom2", "pos2", "intervals")
 
 
 @query("drop_info", "SELECT call_id, 'SOURCE=' || source AS info FROM calls", ("calls",))
