@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .. import constants as C
-from ..session import settled
+from ..session import kept, settled
 from .intervals import islands, overlap_join
 from .sweeps import bin_counts, overlap_counts, point_sums
 
@@ -88,22 +88,75 @@ def within_cap(fragments: DataFrame, most: int = C.MAX_PAIRS) -> DataFrame:
 
 def complete_pairs(reads: DataFrame) -> DataFrame:
     """Both reads of a fragment on one row: qname, first and second as structs. Of several of one kind the last counts."""
+    return _sides(reads).drop("n_reads")
+
+
+def _sides(reads: DataFrame) -> DataFrame:
+    # Mates seldom lie in one file, so reads are shuffled as they are, not as half empty pairs.
     read = F.struct(*[c for c in reads.columns if c != "qname"])
-    sides = reads.groupBy("qname").agg(F.max_by(F.when(F.col("is_read1"), read), F.when(F.col("is_read1"), F.col("read_id"))).alias("first"), F.max_by(F.when(~F.col("is_read1"), read), F.when(~F.col("is_read1"), F.col("read_id"))).alias("second"))
+    sides = reads.repartition("qname").groupBy("qname").agg(F.max_by(F.when(F.col("is_read1"), read), F.when(F.col("is_read1"), F.col("read_id"))).alias("first"), F.max_by(F.when(~F.col("is_read1"), read), F.when(~F.col("is_read1"), F.col("read_id"))).alias("second"), F.count("*").alias("n_reads"))
     return sides.where("first is not null and second is not null")
 
 
 def build_pairs(calls: DataFrame, reads: DataFrame, pad: int = C.SC_PAD, most: int = C.MAX_PAIRS, few: bool = False) -> DataFrame:
-    """The complete pairs of each call's windows; a mate counts wherever it lies.
+    """The complete pairs of each call's windows; a mate counts wherever it lies. call_ids differ; reads are read several times.
+
+    Reads are paired first and take their mates along to the windows, so what meets them is not shuffled any more: `_met_pairs`. Only fragments
+    of more than two reads, and calls that more than `most` reads touch, are met by name and counted.
 
     few: the windows touch a small part of the fragments, so no others are paired: the names of these go to the scan as
     a Bloom filter, which lets a hundredth of the others pass. Else a filter would hold back little, and all are paired.
     """
-    wanted = within_cap(reads_of(pair_windows(calls, pad), reads), most)
+    windows = pair_windows(calls, pad)
     if few:
-        wanted = settled(wanted)
-        reads = named(reads, wanted, "qname")
-    return wanted.join(complete_pairs(reads), "qname")
+        wanted = settled(within_cap(reads_of(windows, reads), most))
+        return wanted.join(complete_pairs(named(reads, wanted, "qname")), "qname")
+    windows = kept(windows)
+    crowded = _crowded(windows, reads, most)
+    free = windows if crowded is None else windows.join(crowded, "call_id", "left_anti")
+    out = _met_pairs(free, reads)
+    odd = kept(reads.groupBy("qname").count().where("count > 2").select("qname"))
+    if not odd.isEmpty():
+        several = reads.join(odd, "qname", "left_semi")
+        out = out.unionByName(reads_of(free, several).join(complete_pairs(several), "qname"))
+    if crowded is not None:
+        wanted = within_cap(reads_of(windows.join(crowded, "call_id", "left_semi"), reads), most)
+        out = out.unionByName(wanted.join(complete_pairs(reads), "qname"))
+    return out
+
+
+#: Bases of a bin in which reads are counted, to see whether any call can have too many.
+CROWD = 1 << 14
+
+
+def _crowded(windows: DataFrame, reads: DataFrame, most: int) -> DataFrame | None:
+    """`call_id` of the calls that more than `most` reads touch, None if there are none. First the fullest bin tells for most calls that there can't be so many."""
+    seen = as_intervals(reads).where("start_pos < end_pos")
+    bins = seen.select("chrom", F.explode(F.sequence(F.floor(F.col("start_pos") / CROWD), F.floor((F.col("end_pos") - 1) / CROWD))).alias("bin")).groupBy("chrom", "bin").count()
+    fullest = bins.agg(F.max("count")).first()[0] or 0
+    length = F.col("end_pos") - F.col("start_pos")
+    parts = F.when((length == F.col("high") - F.col("low")), 1).otherwise(2)
+    maybe = windows.where((F.floor(length / CROWD) + 2) * parts * fullest > most)
+    if maybe.isEmpty():
+        return None
+    found = kept(overlap_counts(maybe, seen, ["call_id"]).where(F.col("n") > most).select("call_id"))
+    return None if found.isEmpty() else found
+
+
+def _met_pairs(windows: DataFrame, reads: DataFrame) -> DataFrame:
+    """Calls with the fragments of just two reads that touch their windows, once each.
+
+    Of the meetings of a call and a fragment that stays at which the first of the windows meets the first of the reads; a row knows both, so no rows are compared.
+    """
+    side = lambda i, c: F.struct(F.lit(i).alias("turn"), *[F.col(c)[x].alias(x) for x in ("chrom", "pos", "aend")])
+    rows = _sides(reads).where("n_reads = 2 and qname is not null").select("qname", "first", "second", F.inline(F.array(side(0, "first"), side(1, "second"))))
+    met = overlap_join(windows, as_intervals(rows, "qname", "first", "second", "turn"), prefix="r_")
+    first, second = F.col("r_first"), F.col("r_second")
+    touches = lambda r, low, high: F.coalesce((r["chrom"] == F.col("chrom")) & (r["pos"] < r["aend"]) & (F.greatest(r["pos"], low) < F.least(r["aend"], high)), F.lit(False))
+    begin, end, low = F.col("start_pos"), F.col("end_pos"), F.col("low")
+    by_first = (F.col("r_turn") == 1) & touches(first, begin, end)
+    by_left = (begin != low) & (touches(first, low, low + end - begin) | touches(second, low, low + end - begin))
+    return met.where(~by_first & ~by_left).select(F.col("r_qname").alias("qname"), "call_id", "low", "high", F.col("chrom").alias("region_chrom"), first.alias("first"), second.alias("second"))
 
 
 #: Bits of a Bloom filter, at most: 16 MB, which the driver and every executor can hold.
@@ -151,7 +204,7 @@ def _maybe(name: Column, n: int) -> Column:
 
 
 def selectors(max_nm: int = 5, isize: tuple[int, int] = (300, 400)) -> dict[str, Column]:
-    """Which pairs to hand to an assembler, by several rules: columns over `build_pairs`."""
+    """Which pairs to hand to an assembler, by several rules: columns over `build_pairs`, whose reads have `parts`, the number of parts of their cigar."""
 
     def good(side: str) -> Column:
         r = F.col(side)
@@ -159,7 +212,7 @@ def selectors(max_nm: int = 5, isize: tuple[int, int] = (300, 400)) -> dict[str,
 
     def perfect(side: str) -> Column:
         r = F.col(side)
-        return ~r["is_unmapped"] & (F.size(r["cigar"]) == 1) & (r["nm"] <= max_nm)
+        return ~r["is_unmapped"] & (r["parts"] == 1) & (r["nm"] <= max_nm)
 
     tlen = F.col("first")["tlen"]
     odd = (tlen == 0) | ~F.abs(tlen).between(*isize)

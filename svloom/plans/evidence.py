@@ -75,9 +75,14 @@ def cap_pairs(t: Inputs) -> DataFrame:
     return evidence.within_cap(evidence.reads_of(evidence.pair_windows(long_calls(t)), t.reads), 3).select("call_id", "qname")
 
 
+#: Columns of reads that the selectors don't look at, and those that pairs alone don't need.
+UNSELECTED = ("rlen", "mate_chrom", "mate_pos", "mate_is_reverse", "is_duplicate", "mate_is_unmapped", "is_paired")
+UNPAIRED = (*UNSELECTED, "match_len", "clip_left", "clip_right", "avg_qual", "is_unmapped", "is_reverse", "mapq", "nm", "tlen")
+
+
 @query("pairs_build", f"WITH {FRAGMENTS_SQL}, {SIDES_SQL} SELECT call_id, qname, r1, r2 FROM fr JOIN sd USING (qname)", ("calls", "reads"))
 def pairs_build(t: Inputs) -> DataFrame:
-    reads = t.reads.select("read_id", "qname", "chrom", "pos", "aend", "is_read1")
+    reads = t.kept("reads", UNPAIRED).select("read_id", "qname", "chrom", "pos", "aend", "is_read1")
     return evidence.build_pairs(long_calls(t), reads).select("call_id", "qname", F.col("first.read_id").alias("r1"), F.col("second.read_id").alias("r2"))
 
 
@@ -90,7 +95,7 @@ def pairs_build(t: Inputs) -> DataFrame:
     ("calls", "reads"),
 )
 def pairs_select(t: Inputs) -> DataFrame:
-    reads = with_cigar(t.reads).select("read_id", "qname", "chrom", "pos", "aend", "is_read1", "is_unmapped", "is_reverse", "mapq", "nm", "tlen", "cigar")
+    reads = with_cigar(t.kept("reads", UNSELECTED)).select("read_id", "qname", "chrom", "pos", "aend", "is_read1", "is_unmapped", "is_reverse", "mapq", "nm", "tlen", F.size("cigar").alias("parts"))
     return evidence.build_pairs(long_calls(t), reads).select("call_id", "qname", *[c.alias(n) for n, c in evidence.selectors().items()])
 
 
