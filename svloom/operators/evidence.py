@@ -111,11 +111,11 @@ def build_pairs(calls: DataFrame, reads: DataFrame, pad: int = C.SC_PAD, most: i
     if few:
         wanted = settled(within_cap(reads_of(windows, reads), most))
         return wanted.join(complete_pairs(named(reads, wanted, "qname")), "qname")
-    windows = kept(windows)
+    windows = kept(windows, "zstd")
     crowded = _crowded(windows, reads, most)
     free = windows if crowded is None else windows.join(crowded, "call_id", "left_anti")
     out = _met_pairs(free, reads)
-    odd = kept(reads.groupBy("qname").count().where("count > 2").select("qname"))
+    odd = kept(reads.groupBy("qname").count().where("count > 2").select("qname"), "zstd")
     if not odd.isEmpty():
         several = reads.join(odd, "qname", "left_semi")
         out = out.unionByName(reads_of(free, several).join(complete_pairs(several), "qname"))
@@ -139,7 +139,7 @@ def _crowded(windows: DataFrame, reads: DataFrame, most: int) -> DataFrame | Non
     maybe = windows.where((F.floor(length / CROWD) + 2) * parts * fullest > most)
     if maybe.isEmpty():
         return None
-    found = kept(overlap_counts(maybe, seen, ["call_id"]).where(F.col("n") > most).select("call_id"))
+    found = kept(overlap_counts(maybe, seen, ["call_id"]).where(F.col("n") > most).select("call_id"), "zstd")
     return None if found.isEmpty() else found
 
 
